@@ -9,6 +9,7 @@ and top-k orders carry the same name tie-breaker.
 
 from __future__ import annotations
 
+from sigspark.config import GENE_FUNCTIONS
 from sigspark.sources.binding import LITERATURE_TERMS, MARKER_GENES, REFERENCE_COMPOUND
 
 _BASE = {
@@ -98,3 +99,122 @@ _LEADS_TOP = "select * from leads_all order by max_potency desc, pert_iname asc
 ORACLE: dict[str, str] = {}
 
 ORACLE["precision_leads"] = q("select * from leads_top", leads_all=_LEADS_ALL, leads_top=_LEADS_TOP)
+
+_TOP7 = """
+select s.pr_gene_symbol from genetic_signatures s join leads_top t on s.pert_iname = t.pert_iname
+where abs(s.z_score) >= 2.0 group by s.pr_gene_symbol order by count(*) desc, s.pr_gene_symbol limit 7"""
+_TOP20 = """
+select pr_gene_symbol from genetic_signatures where abs(z_score) >= 2.0
+group by pr_gene_symbol order by count(*) desc, pr_gene_symbol limit 20"""
+_LEADS = {"leads_all": _LEADS_ALL, "leads_top": _LEADS_TOP}
+_DISEASE = f"select * from (values ({_lit(G1)}, 1), ({_lit(G2)}, -1)) t(pr_gene_symbol, direction)"
+_QC = f"""
+select m.pert_iname, m.moa, s.pr_gene_symbol, round(avg(s.z_score), 6) as avg_z from {J}
+where s.pr_gene_symbol in ({_lit(G1)}, {_lit(G2)}) group by m.pert_iname, m.moa, s.pr_gene_symbol
+having avg(s.z_score) > 4.0"""
+
+ORACLE.update({
+    "strongest_hits": q(f"""
+select m.pert_iname, m.moa, s.pr_gene_symbol, s.z_score from {J}
+order by s.z_score desc, m.pert_iname, s.pr_gene_symbol, s.sig_id limit 5"""),
+    "single_target_up": q(f"""
+select m.pert_iname, s.z_score from {J} where s.pr_gene_symbol = {_lit(G1)} and s.z_score > 2.0
+order by s.z_score desc, m.pert_iname, s.sig_id limit 10"""),
+    "reversal_signature": q(f"""
+select pert_iname, avg_impact from (
+  select m.pert_iname, round(avg(s.z_score), 6) as avg_impact from {J}
+  where s.pr_gene_symbol in ({_lit(G1)}, {_lit(G2)}) and s.z_score > 2.0
+  group by m.pert_iname having count(distinct s.pr_gene_symbol) = 2) x
+order by avg_impact desc, pert_iname limit 10"""),
+    "reversal_general": q(f"""
+select m.pert_iname, count(distinct s.pr_gene_symbol) as genes_reversed,
+       round(avg(-d.direction * s.z_score), 6) as reversal_score
+from {J} join disease d on d.pr_gene_symbol = s.pr_gene_symbol
+where -d.direction * s.z_score > 2.0
+group by m.pert_iname
+having count(distinct s.pr_gene_symbol) = (select count(distinct pr_gene_symbol) from disease)""",
+                          disease=_DISEASE),
+    "moa_mimics": q(f"""
+select m.pert_iname, m.moa, count(*) as matching_gene_count from {J}
+where s.pr_gene_symbol in (select pr_gene_symbol from genetic_signatures where pert_iname = {_lit(REF)} and z_score > 3.0)
+  and s.z_score > 3.0 and m.pert_iname != {_lit(REF)}
+group by m.pert_iname, m.moa order by matching_gene_count desc, m.pert_iname limit 10"""),
+    "toxicity_extreme_hits": q(f"""
+select m.pert_iname, count(*) as extreme_hit_count from {J} where abs(s.z_score) > 4.0
+group by m.pert_iname order by extreme_hit_count desc, m.pert_iname limit 20"""),
+    "safety_profile": q(f"""
+select s.pr_gene_symbol, s.z_score from {J} where m.pert_iname = {_lit(REF)} and abs(s.z_score) >= 2.0
+order by s.z_score desc"""),
+    "risk_filter": q(f"""
+select m.pert_iname, m.moa, count(distinct case when abs(s.z_score) > 4.0 then s.pr_gene_symbol end) as extreme_genes
+from {J} group by m.pert_iname, m.moa
+having count(distinct case when abs(s.z_score) > 4.0 then s.pr_gene_symbol end) <= 30"""),
+    "risk_filter_genes": q(f"""
+select m.pert_iname, m.moa, count(distinct case when abs(s.z_score) > 4.0 then s.pr_gene_symbol end) as extreme_genes
+from {J}
+where m.pert_iname not in (select pert_iname from genetic_signatures
+                           where abs(z_score) >= 2.0 and pr_gene_symbol in ({_lit(G2)}))
+group by m.pert_iname, m.moa
+having count(distinct case when abs(s.z_score) > 4.0 then s.pr_gene_symbol end) <= 30"""),
+    "potency_benchmark": q(f"""
+select m.pert_iname, m.moa, max(abs(s.z_score)) as max_potency from {J}
+group by m.pert_iname, m.moa order by max_potency desc, m.pert_iname limit 10"""),
+    "master_regulators": q("""
+select pr_gene_symbol, count(*) as frequency from genetic_signatures where abs(z_score) > 2.0
+group by pr_gene_symbol order by frequency desc, pr_gene_symbol limit 15"""),
+    "master_regulators_by_freq": q("""
+select pr_gene_symbol, count(*) as frequency from genetic_signatures where abs(z_score) >= 2.0
+group by pr_gene_symbol having count(*) > 15"""),
+    "repurposing_efficiency": q(f"""
+select m.pert_iname, m.moa, count(distinct s.pr_gene_symbol) as genes_regulated from {J}
+where m.pert_iname not ilike 'BRD-%' and abs(s.z_score) > 3.0
+group by m.pert_iname, m.moa order by genes_regulated desc, m.pert_iname limit 10"""),
+    "drug_type_counts": q(f"""
+select case when m.pert_iname ilike 'BRD-%' then 'Unknown (BRD Compound)' else 'Known/Approved Drug' end as drug_type,
+       count(*) as hit_count
+from {J} group by 1"""),
+    "precision_vs_power": q(f"""
+select m.pert_iname, max(abs(s.z_score)) as max_potency, count(distinct s.pr_gene_symbol) as affected_genes
+from {J} group by m.pert_iname"""),
+    "ideal_zone": q(f"""
+select m.pert_iname, max(abs(s.z_score)) as max_potency, count(distinct s.pr_gene_symbol) as affected_genes,
+       count(distinct s.pr_gene_symbol) between 0 and 50 as in_ideal_zone
+from {J} group by m.pert_iname"""),
+    "class_validation": q("select * from qc order by pert_iname", qc=_QC),
+    "class_distribution": q(f"""
+select qc.pert_iname, qc.moa, qc.pr_gene_symbol, qc.avg_z, qc.pert_iname in ({_lit(REF)}) as is_member,
+       g.gene_n, g.gene_q1, g.gene_median, g.gene_q3
+from qc join (select pr_gene_symbol, count(*) as gene_n,
+                     round(quantile_cont(avg_z, 0.25), 6) as gene_q1,
+                     round(quantile_cont(avg_z, 0.5), 6) as gene_median,
+                     round(quantile_cont(avg_z, 0.75), 6) as gene_q3
+              from qc group by pr_gene_symbol) g on g.pr_gene_symbol = qc.pr_gene_symbol""", qc=_QC),
+    "lead_gene_detail": q(f"""
+select m.pert_iname, m.moa, s.pr_gene_symbol, s.z_score from {J}
+join leads_top t on t.pert_iname = m.pert_iname where abs(s.z_score) >= 2.0""", **_LEADS),
+    "lead_fingerprint": q(f"""
+select m.pert_iname, s.pr_gene_symbol, round(avg(s.z_score), 6) as mean_z from {J}
+join leads_top t on t.pert_iname = m.pert_iname join top20 g on g.pr_gene_symbol = s.pr_gene_symbol
+group by m.pert_iname, s.pr_gene_symbol""", **_LEADS, top20=_TOP20),
+    "final_matrix": q(f"""
+select m.pert_iname, m.moa, s.pr_gene_symbol, s.z_score from {J}
+join leads_top t on m.pert_iname = t.pert_iname join top7 g on s.pr_gene_symbol = g.pr_gene_symbol""",
+                      **_LEADS, top7=_TOP7),
+    "final_matrix_mean": q(f"""
+select m.pert_iname, m.moa, s.pr_gene_symbol, round(avg(s.z_score), 6) as mean_z from {J}
+join leads_top t on m.pert_iname = t.pert_iname join top7 g on s.pr_gene_symbol = g.pr_gene_symbol
+group by m.pert_iname, m.moa, s.pr_gene_symbol""", **_LEADS, top7=_TOP7),
+    "compound_category": q("""
+select pert_iname, moa,
+  case when moa is null or moa = '' or moa = 'None' then 'Novel Mechanism'
+       when lower(moa) like '%inhibitor%' then 'Targeted Suppressor'
+       when lower(moa) like '%agonist%' then 'Pathway Activator'
+       else 'Complex Regulator' end as category
+from compound_metadata"""),
+    "gene_function_label": q("""
+select g.pr_gene_symbol, coalesce(lk.fn, 'Targeted Regulation') as gene_function,
+       coalesce(lk.fn, 'Targeted Regulation') || chr(10) || '(' || g.pr_gene_symbol || ')' as gene_label
+from (select distinct pr_gene_symbol from genetic_signatures) g left join lk on lk.sym = g.pr_gene_symbol""",
+                             lk="select * from (values " + ", ".join(
+                                 f"({_lit(k)}, {_lit(v)})" for k, v in GENE_FUNCTIONS.items()) + ") t(sym, fn)"),
+})

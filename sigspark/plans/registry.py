@@ -41,8 +41,55 @@ def _on_gs(fn, **kwargs) -> Query:
     return run
 
 
+G1, G2 = MARKER_GENES
+
+
+def _disease(spark: SparkSession) -> DataFrame:
+    """E1g parameter: a two-gene disease signature (gene, direction in disease)."""
+    return spark.createDataFrame([(G1, 1), (G2, -1)], "pr_gene_symbol string, direction int")
+
+
+def _genes(spark: SparkSession, genes) -> DataFrame:
+    return spark.createDataFrame([(g,) for g in genes], "pr_gene_symbol string")
+
+
+def _reversal_general(spark, sf_dir):
+    cm, gs = _cg(spark, sf_dir)
+    return E.reversal_general(cm, gs, _disease(spark))
+
+
+def _risk_filter_genes(spark, sf_dir):
+    cm, gs = _cg(spark, sf_dir)
+    return E.risk_filter(cm, gs, risk_genes=_genes(spark, [G2]))
+
+
 QUERIES: dict[str, Query] = {
+    # E — business questions
+    "strongest_hits": _on_cg(E.strongest_hits),
+    "single_target_up": _on_cg(E.single_target_up, gene=G1),
+    "reversal_signature": _on_cg(E.reversal_signature, genes=MARKER_GENES),
+    "reversal_general": _reversal_general,
+    "moa_mimics": _on_cg(E.moa_mimics, reference=REFERENCE_COMPOUND),
+    "toxicity_extreme_hits": _on_cg(E.toxicity_extreme_hits),
+    "safety_profile": _on_cg(E.safety_profile, compound=REFERENCE_COMPOUND),
+    "risk_filter": _on_cg(E.risk_filter),
+    "risk_filter_genes": _risk_filter_genes,
+    "potency_benchmark": _on_cg(E.potency_benchmark),
+    "master_regulators": _on_gs(E.master_regulators),
+    "master_regulators_by_freq": _on_gs(E.master_regulators_by_freq),
+    "repurposing_efficiency": _on_cg(E.repurposing_efficiency),
+    "drug_type_counts": _on_cg(E.drug_type_counts),
+    "precision_vs_power": _on_cg(E.precision_vs_power),
+    "ideal_zone": _on_cg(E.ideal_zone),
+    "class_validation": _on_cg(E.class_validation, genes=MARKER_GENES),
+    "class_distribution": _on_cg(E.class_distribution, genes=MARKER_GENES, members=[REFERENCE_COMPOUND]),
     "precision_leads": _on_cg(E.precision_leads),
+    "lead_gene_detail": _on_cg(E.lead_gene_detail),
+    "lead_fingerprint": _on_cg(E.lead_fingerprint),
+    "final_matrix": _on_cg(E.final_matrix),
+    "final_matrix_mean": _on_cg(E.final_matrix_mean),
+    "compound_category": lambda spark, d: E.compound_categories(_cg(spark, d)[0]),
+    "gene_function_label": _on_gs(E.gene_function_labels),
 }
 
 
