@@ -218,3 +218,423 @@ from (select distinct pr_gene_symbol from genetic_signatures) g left join lk on
                              lk="select * from (values " + ", ".join(
                                  f"({_lit(k)}, {_lit(v)})" for k, v in GENE_FUNCTIONS.items()) + ") t(sym, fn)"),
 })
+
+# ----------------------------------------------------------------------------- shared CTEs
+_TARGET = "cell_id = 'MCF7' and pert_dose = 10 and pert_dose_unit in ('µm', 'µM')"
+_EXPR_FLAG = """
+select pert_iname, sig_id, pr_gene_symbol, z_score,
+       case when z_score >= 2.0 or z_score <= -2.0 then 1 else 0 end as is_significant
+from expression"""
+_TM = """
+select s.pert_iname, si.pert_itime, max(abs(s.z_score)) as max_potency,
+       count(distinct s.pr_gene_symbol) as affected_genes
+from genetic_signatures s join sig_info si on si.sig_id = s.sig_id and si.pert_iname = s.pert_iname
+where abs(s.z_score) >= 2.0 and si.pert_itime in ('6 h', '24 h')
+group by s.pert_iname, si.pert_itime"""
+_TP = """
+select pert_iname, Max_Potency_6h, Max_Potency_24h, Affected_Genes_6h, Affected_Genes_24h,
+       Affected_Genes_24h - Affected_Genes_6h as Gene_Delta
+from (select pert_iname,
+        max(case when replace(pert_itime, ' ', '') = '6h' then max_potency end) as Max_Potency_6h,
+        max(case when replace(pert_itime, ' ', '') = '24h' then max_potency end) as Max_Potency_24h,
+        max(case when replace(pert_itime, ' ', '') = '6h' then affected_genes end) as Affected_Genes_6h,
+        max(case when replace(pert_itime, ' ', '') = '24h' then affected_genes end) as Affected_Genes_24h
+      from tm group by pert_iname) x"""
+_TIME = {"tm": _TM, "tp": _TP}
+_E7 = f"""
+select m.pert_iname, max(abs(s.z_score)) as max_potency, count(distinct s.pr_gene_symbol) as affected_genes
+from {J} group by m.pert_iname"""
+_FEATURES = f"""
+select m.pert_iname, count(distinct s.pr_gene_symbol) as biomarker_count,
+       round(avg(abs(s.z_score)), 6) as avg_response, max(abs(s.z_score)) as max_response,
+       round(stddev_samp(s.z_score), 6) as response_variability
+from {J} where s.is_significant = 1 group by m.pert_iname"""
+
+
+def _profile(p: str, g: str) -> str:
+    return (f"case when {p} >= 8.0 and {g} <= 50 then 'Precision_Lead' "
+            f"when {p} >= 8.0 and {g} > 50 then 'Broad_Spectrum' "
+            f"when {p} >= 3.0 and {p} < 8.0 then 'Moderate_Impact' "
+            f"when {p} < 3.0 then 'Low_Activity' else 'Unknown' end")
+
+
+def _triage(delta: int) -> str:
+    return (f"case when Gene_Delta >= {delta} then 'Cascade Inducer (Chronic/Systemic)' "
+            "when Affected_Genes_6h > 25 and Gene_Delta <= 0 then 'Rapid Responder (Acute/Targeted)' "
+            f"when Gene_Delta > 0 and Gene_Delta < {delta} then 'Gradual Modulator (Steady State)' "
+            "else 'Sustained Shock (Stable Profile)' end")
+
+
+def _maturity(c: str) -> str:
+    return (f"case when {c} is null then 'Error' when {c} > 100 then 'Highly Established' "
+            f"when {c} >= 1 then 'Emerging' else 'Novel IP (Unpatented)' end")
+
+
+_NOVELTY = ("case when publication_count is null or publication_count < 0 then 'error' "
+            "when publication_count < 5 then 'novel' else 'established' end")
+_RISK = "case when publication_count > 50 then 'LOW' when publication_count > 10 then 'MEDIUM' else 'HIGH' end"
+_TOK = "select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as w from documents"
+_BC = {
+    "bterms": "select distinct unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as term from benchmark",
+    "tok": _TOK,
+    "bc": """select t.term, count(tok.doc_id) as publication_count
+             from (select term from bterms where term <> '') t left join tok on tok.w = t.term group by t.term""",
+}
+_LEAD_B = {
+    **_LEADS,
+    "lead_b": f"""
+select pert_iname, moa, cast(null as varchar) as canonical_smiles, cast(null as varchar) as pubchem_cid,
+       cast(null as double) as max_potency, cast(null as bigint) as total_gene_hits
+from compound_metadata where pert_iname = {_lit(REF)}
+union all
+select pert_iname, moa, canonical_smiles, pubchem_cid, max_potency, total_gene_hits from leads_top""",
+}
+_EXEC = {
+    **_LEAD_B,
+    "tok": _TOK,
+    "lit": """select n.pert_iname, count(tok.doc_id) as pubmed_papers
+              from (select distinct pert_iname from lead_b) n left join tok on tok.w = lower(n.pert_iname)
+              group by n.pert_iname""",
+}
+_EXEC_BODY = f"""
+select b.*, lit.pubmed_papers, {_maturity('lit.pubmed_papers')} as research_maturity
+from lead_b b left join lit on lit.pert_iname = b.pert_iname"""
+_MERGE = {
+    **_LEADS,
+    "lc": "select pert_iname, moa, max_potency, total_gene_hits from leads_all",
+    "e7": _E7,
+    "pm": """select m.moa, count(*) as n_compounds, max(p.max_potency) as max_potency
+             from e7 p join compound_metadata m on m.pert_iname = p.pert_iname group by m.moa""",
+}
+
+
+def _merge(how: str) -> str:
+    key = "coalesce(l.moa, r.moa)" if how in ("right", "full") else "l.moa"
+    join = {"inner": "join", "left": "left join", "right": "right join", "full": "full join"}[how]
+    return q(f"""
+select l.pert_iname, {key} as moa, l.max_potency as max_potency_x, l.total_gene_hits,
+       r.n_compounds, r.max_potency as max_potency_y
+from lc l {join} pm r on l.moa is not distinct from r.moa""", **_MERGE)
+
+
+def _quality(table: str, cols: list[str]) -> str:
+    nulls = " + ".join(f"sum(case when {c} is null then 1 else 0 end)" for c in cols)
+    shares = ", ".join(f"sum(case when {c} is null then 1 else 0 end) * 1.0 / count(*)" for c in cols)
+    return q(f"""
+select n_rows, {len(cols)} as n_columns, total_nulls, duplicates, round(duplicates * 1.0 / n_rows, 6) as duplicate_ratio,
+       worst > 0.1 as warn_nulls, duplicates * 1.0 / n_rows > 0.05 as warn_duplicates
+from (select count(*) as n_rows, cast({nulls} as bigint) as total_nulls,
+             count(*) - (select count(*) from (select distinct {', '.join(cols)} from {table}) d) as duplicates,
+             greatest({shares}) as worst
+      from {table}) x""")
+
+
+_LI_COLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
+_LI_ORDER = "l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice"
+_CM_COLS = ["pert_iname", "moa", "target", "canonical_smiles", "pubchem_cid"]
+_REVERSAL = f"""
+select m.pert_iname from {J} join disease d on d.pr_gene_symbol = s.pr_gene_symbol
+where -d.direction * s.z_score > 2.0 group by m.pert_iname
+having count(distinct s.pr_gene_symbol) = (select count(distinct pr_gene_symbol) from disease)"""
+
+ORACLE.update({
+    # A
+    "read_matrix_tsv": q("select gene_id, sig_id, z_score from matrix_long"),
+    "read_metadata_tsv": q("select * from sig_info"),
+    "read_commented_tsv": q("select * from repurposing"),
+    "read_pruned": q("select sig_id, pert_iname, pert_itime from sig_info"),
+    "save_tables": q("""
+select 'compound_metadata' as table_name, count(*) as n_rows from compound_metadata
+union all select 'genetic_signatures', count(*) from genetic_signatures"""),
+    "export_reports": q("select * from leads_top", **_LEADS),
+    "append_new_compounds": q("select * from compound_metadata"),
+    "append_new_signatures": q(_EXPR_FLAG),
+    "stream_append_signatures": q(_EXPR_FLAG),
+    # B
+    "landmark_genes": q("select pr_gene_id, pr_gene_symbol from gene_info where pr_is_lm = 1"),
+    "target_signatures": q(f"select * from sig_info where {_TARGET}"),
+    "treatment_only": q("select * from matrix_long where sig_id in (select sig_id from sig_info where pert_type = 'trt_cp')"),
+    "valid_ids": q(f"""
+select 'gene' as axis, id from (select pr_gene_id as id from gene_info where pr_is_lm = 1
+                                intersect select gene_id from matrix_long) g
+union all
+select 'signature', id from (select sig_id as id from sig_info where {_TARGET}
+                             intersect select sig_id from matrix_long) s"""),
+    "extract_submatrix": q(f"""
+select * from matrix_long
+where gene_id in (select pr_gene_id from gene_info where pr_is_lm = 1)
+  and sig_id in (select sig_id from sig_info where {_TARGET} and pert_type = 'trt_cp')"""),
+    "melt_wide_to_long": q("""
+select pert_iname, 'Max_Potency_6h' as time_point, Max_Potency_6h as max_potency from tp
+union all select pert_iname, 'Max_Potency_24h', Max_Potency_24h from tp""", **_TIME),
+    "stack_matrix": q("""
+select * from (select pert_iname, 'Max_Potency_6h' as time_point, Max_Potency_6h as max_potency from tp
+               union all select pert_iname, 'Max_Potency_24h', Max_Potency_24h from tp) x
+where max_potency is not null""", **_TIME),
+    "filter_by_z_score": q("select * from expression where abs(z_score) >= 2.0"),
+    "significance_flag": q(_EXPR_FLAG),
+    "z_tier": q("""
+select pert_iname, sig_id, pr_gene_symbol,
+  case when abs(z_score) > 4.0 then 'extreme' when abs(z_score) > 3.0 then 'high_confidence'
+       when abs(z_score) > 2.0 then 'significant' else 'not_significant' end as z_tier,
+  case when z_score > 0 then 'up' when z_score < 0 then 'down' else 'none' end as direction
+from expression"""),
+    "dedup_first": q(f"""
+select {_LI_COLS} from (select *, row_number() over (partition by l_orderkey, l_linenumber order by {_LI_ORDER}) as rn
+                        from lineitem) x where rn = 1"""),
+    "dedup_last": q(f"""
+select {_LI_COLS} from (select *, row_number() over (partition by l_orderkey, l_linenumber
+                        order by l_partkey desc, l_suppkey desc, l_shipdate desc, l_quantity desc,
+                                 l_extendedprice desc) as rn from lineitem) x where rn = 1"""),
+    "dedup_none": q(f"""
+select {_LI_COLS} from (select *, count(*) over (partition by l_orderkey, l_linenumber) as n from lineitem) x
+where n = 1"""),
+    "safe_cast": q("""
+select event_id, coalesce(cast(regexp_extract(props, '"k": (-?[0-9]+)', 1) as integer), 0) as k from events"""),
+    "coerce_numeric": q("""
+select page_id, string_split(url, '/')[-1] as segment, try_cast(string_split(url, '/')[-1] as double) as value
+from pages"""),
+    "preview_rows": q("select * from genetic_signatures order by pert_iname, sig_id, pr_gene_symbol limit 20"),
+    "masked_fingerprint": q("""
+select pert_iname, pr_gene_symbol, case when abs(round(avg(z_score), 6)) >= 2.0 then round(avg(z_score), 6) end as mean_z
+from expression group by pert_iname, pr_gene_symbol"""),
+    "report_index": q("select *, row_number() over (order by pert_iname) - 1 as report_index from e7", e7=_E7),
+    # C
+    "fact_dim_join": q(f"select m.*, s.sig_id, s.pr_gene_symbol, s.z_score, s.is_significant from {J}"),
+    "attach_gene_symbol": q("""
+select m.sig_id, m.z_score, g.pr_gene_symbol from matrix_long m left join gene_info g on g.pr_gene_id = m.gene_id"""),
+    "attach_compound": q("select m.*, si.pert_iname from matrix_long m left join sig_info si on si.sig_id = m.sig_id"),
+    "combine_metadata": q("""
+select p.pert_iname, r.moa, r.target, p.canonical_smiles, p.pubchem_cid
+from pert_info p left join repurposing r on r.pert_iname = p.pert_iname"""),
+    "build_compound_metadata": q("select * from compound_metadata"),
+    "create_compound_metadata": q("select pert_iname, canonical_smiles, pubchem_cid from pert_info"),
+    "orphaned_signatures": q("""
+select * from genetic_signatures where pert_iname not in (select pert_iname from compound_metadata)"""),
+    "merge_inner": _merge("inner"),
+    "merge_left": _merge("left"),
+    "merge_right": _merge("right"),
+    "merge_outer": _merge("full"),
+    "lead_literature_report": q(_EXEC_BODY, **_EXEC),
+    # D
+    "gene_statistics": q("""
+select pr_gene_symbol, count(distinct pert_iname) as compound_count, round(avg(abs(z_score)), 6) as avg_abs_z_score,
+       max(abs(z_score)) as max_abs_z_score, min(abs(z_score)) as min_abs_z_score, count(*) as total_occurrences
+from genetic_signatures where is_significant = 1 group by pr_gene_symbol"""),
+    "compound_profile_summary": q("""
+select m.*, cast(coalesce(x.sig, 0) as bigint) as significant_hits, cast(coalesce(x.n, 0) as bigint) as total_affected_genes
+from compound_metadata m left join (
+  select pert_iname, sum(case when is_significant = 1 then 1 else 0 end) as sig, count(*) as n
+  from genetic_signatures group by pert_iname) x on x.pert_iname = m.pert_iname"""),
+    "compound_profile_detail": q(f"select * from genetic_signatures where pert_iname = {_lit(REF)}"),
+    "integrity_report": q("""
+select compound_count, signature_count, significant_count, orphaned_signatures,
+       round(case when signature_count > 0 then cast(significant_count as double) * 100.0 / signature_count
+                  else 0 end, 6) as significant_percentage
+from (select (select count(*) from compound_metadata) as compound_count,
+             (select count(*) from genetic_signatures) as signature_count,
+             (select count(*) from genetic_signatures where is_significant = 1) as significant_count,
+             (select count(*) from genetic_signatures
+              where pert_iname not in (select pert_iname from compound_metadata)) as orphaned_signatures) x"""),
+    "quality_report": _quality("compound_metadata", _CM_COLS),
+    "quality_report_lineitem": _quality("lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"]),
+    "null_profile": q(" union all ".join(
+        f"select '{c}' as \"column\", cast(sum(case when {c} is null then 1 else 0 end) as bigint) as null_count, "
+        f"round(sum(case when {c} is null then 1 else 0 end) * 100.0 / count(*), 2) as null_pct "
+        f"from compound_metadata" for c in _CM_COLS)),
+    "quality_gates": q("""
+select round(worst, 6) as max_null_share, round(dups * 1.0 / n, 6) as duplicate_share, round(z_mean, 6) as z_mean,
+       round(z_sd, 6) as z_sd, orphaned_signatures, worst < 0.1 as nulls_ok, dups * 1.0 / n < 0.05 as duplicates_ok,
+       abs(z_mean) <= 0.5 as mean_ok, z_sd between 0.5 and 2.0 as sd_ok, orphaned_signatures = 0 as no_orphans
+from (select count(*) as n, avg(z_score) as z_mean, stddev_samp(z_score) as z_sd,
+             greatest(sum(case when pert_iname is null then 1 else 0 end) * 1.0 / count(*),
+                      sum(case when sig_id is null then 1 else 0 end) * 1.0 / count(*),
+                      sum(case when pr_gene_symbol is null then 1 else 0 end) * 1.0 / count(*), 0.0) as worst,
+             count(*) - (select count(*) from (select distinct pert_iname, sig_id, pr_gene_symbol from expression) d) as dups,
+             (select count(*) from genetic_signatures
+              where pert_iname not in (select pert_iname from compound_metadata)) as orphaned_signatures
+      from expression) x"""),
+    "data_summary": q(f"""
+select n as rows, 5 as columns, nulls as null_count,
+       round(case when n > 0 then nulls * 100.0 / (n * 5) end, 6) as null_percentage,
+       n - (select count(*) from (select distinct * from compound_metadata) d) as duplicates, 'string:5' as dtypes
+from (select count(*) as n, cast({' + '.join(f'sum(case when {c} is null then 1 else 0 end)' for c in _CM_COLS)} as bigint) as nulls
+      from compound_metadata) x"""),
+    "column_statistics": q("""
+select count(value) as count, round(avg(value), 6) as mean, round(quantile_cont(value, 0.5), 6) as median,
+       round(stddev_samp(value), 6) as std, min(value) as min, max(value) as max,
+       round(quantile_cont(value, 0.25), 6) as q1, round(quantile_cont(value, 0.75), 6) as q3,
+       round(skewness(value), 6) as skewness, round(kurtosis(value), 6) as kurtosis
+from events where value is not null"""),
+    "time_point_distribution": q("select pert_itime, count(*) as total_experiments from sig_info group by pert_itime"),
+    "profile_distribution": q(f"""
+select {_profile('max_response', 'biomarker_count')} as clinical_profile, count(*) as n_compounds
+from f group by 1""", f=_FEATURES),
+    "extra_time_points": q("select distinct pert_itime from sig_info where pert_itime not in ('6 h', '24 h')"),
+    "outliers_iqr": q("""
+select event_id, value, coalesce(value < q1 - 1.5 * (q3 - q1) or value > q3 + 1.5 * (q3 - q1), false) as is_outlier
+from events, (select quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.75) as q3 from events) s"""),
+    "outliers_zscore": q("""
+select event_id, value, coalesce(case when sd > 0 then abs(value - mu) / sd > 1.5 end, false) as is_outlier
+from events, (select avg(value) as mu, stddev_pop(value) as sd from events) s"""),
+    "normalize_standard": q("""
+select g.*, round(case when b <> 0 then (z_score - a) / b end, 6) as z_score_normalized
+from genetic_signatures g, (select avg(z_score) as a, stddev_pop(z_score) as b from genetic_signatures) s"""),
+    "normalize_minmax": q("""
+select g.*, round(case when mx <> mn then (z_score - mn) / (mx - mn) end, 6) as z_score_normalized
+from genetic_signatures g, (select min(z_score) as mn, max(z_score) as mx from genetic_signatures) s"""),
+    "normalize_robust": q("""
+select g.*, round(case when q3 <> q1 then (z_score - med) / (q3 - q1) end, 6) as z_score_normalized
+from genetic_signatures g, (select quantile_cont(z_score, 0.25) as q1, quantile_cont(z_score, 0.5) as med,
+                                   quantile_cont(z_score, 0.75) as q3 from genetic_signatures) s"""),
+    "drug_type_share": q(f"""
+select drug_type, hit_count, round(cast(hit_count as double) * 100.0 / sum(hit_count) over (), 6) as share_pct
+from (select case when m.pert_iname ilike 'BRD-%' then 'Unknown (BRD Compound)' else 'Known/Approved Drug' end
+             as drug_type, count(*) as hit_count from {J} group by 1) x"""),
+    "validate_frame": q("select count(*) >= 1 as valid from (select 1 from genetic_signatures limit 1) x"),
+    "consensus_signature": q("""
+select pert_iname, pr_gene_symbol, round(avg(z_score), 6) as mean_z, count(*) as n_replicates
+from genetic_signatures group by pert_iname, pr_gene_symbol"""),
+    # E
+    "moa_transfer": q("""
+select r.pert_iname, r.best_match, r.shared_genes, m.moa as predicted_moa
+from (select *, row_number() over (partition by pert_iname order by shared_genes desc, best_match) as rn from sc) r
+left join compound_metadata m on m.pert_iname = r.best_match where rn = 1""",
+                      pairs=f"select distinct s.pert_iname, s.pr_gene_symbol from {J} where s.z_score > 3.0",
+                      sc="""select u.pert_iname, k.pert_iname as best_match, count(*) as shared_genes
+                            from pairs u join pairs k on u.pr_gene_symbol = k.pr_gene_symbol
+                            where u.pert_iname ilike 'BRD-%' and not k.pert_iname ilike 'BRD-%'
+                            group by u.pert_iname, k.pert_iname"""),
+    "lead_scorecard": q("""
+select b.pert_iname, b.mp >= 8.0 as high_potency, b.ag <= 50 as high_specificity,
+       (not b.pert_iname ilike 'BRD-%') or (b.moa is not null and b.moa <> '' and b.moa <> 'None') as moa_clarity,
+       b.eg <= 30 as limited_extreme, rev.pert_iname is not null as reversal_match,
+       coalesce(abs(tp.Gene_Delta) < 15, false) as stable_over_time, coalesce(lit.papers, 0) < 5 as novel_literature,
+       cast(b.mp >= 8.0 as integer) + cast(b.ag <= 50 as integer)
+       + cast((not b.pert_iname ilike 'BRD-%') or (b.moa is not null and b.moa <> '' and b.moa <> 'None') as integer)
+       + cast(b.eg <= 30 as integer) + cast(rev.pert_iname is not null as integer)
+       + cast(coalesce(abs(tp.Gene_Delta) < 15, false) as integer) + cast(coalesce(lit.papers, 0) < 5 as integer)
+       as criteria_met
+from base b left join rev on rev.pert_iname = b.pert_iname left join tp on tp.pert_iname = b.pert_iname
+left join lit on lit.pert_iname = b.pert_iname""",
+                        disease=_DISEASE, rev=_REVERSAL, **_TIME, tok=_TOK,
+                        base="""select p.*, m.moa from (
+                                  select pert_iname, max(abs(z_score)) as mp, count(distinct pr_gene_symbol) as ag,
+                                         count(distinct case when abs(z_score) > 4.0 then pr_gene_symbol end) as eg
+                                  from genetic_signatures group by pert_iname) p
+                                join compound_metadata m on m.pert_iname = p.pert_iname""",
+                        lit="""select n.pert_iname, count(tok.doc_id) as papers
+                               from (select distinct pert_iname from compound_metadata) n
+                               left join tok on tok.w = lower(n.pert_iname) group by n.pert_iname"""),
+    # F
+    "literature_counts": q("""
+select t.term, count(d.doc_id) as n_docs from lit_terms t
+left join (select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as w from documents) d
+  on d.w = t.term
+group by t.term""", lit_terms="select * from (values " + ", ".join(f"({_lit(t)})" for t in LITERATURE_TERMS)
+                    + ") t(term)"),
+    "research_maturity": q(f"select term, publication_count, {_maturity('publication_count')} as research_maturity from bc",
+                           **_BC),
+    "novelty_status": q(f"select term, publication_count, {_NOVELTY} as novelty_status from bc", **_BC),
+    "novelty_report": q(f"select term, publication_count, {_NOVELTY} as novelty_status, {_RISK} as risk_level from bc",
+                        **_BC),
+    "novelty_summary": q(f"""
+select count(*) as total_compounds, cast(sum(case when st = 'novel' then 1 else 0 end) as bigint) as novel_compounds,
+       cast(sum(case when st = 'established' then 1 else 0 end) as bigint) as established_compounds,
+       cast(sum(case when st = 'error' then 1 else 0 end) as bigint) as error_compounds,
+       round(avg(case when publication_count >= 0 then publication_count end), 6) as avg_publications
+from (select publication_count, {_NOVELTY} as st from bc) x""", **_BC),
+    "leads_with_benchmark": q("select * from lead_b", **_LEAD_B),
+    "page_fields": q("""
+select page_id, case when t = '' then 'N/A' else t end as title, case when y = '' then 'N/A' else y end as year,
+       try_cast(nullif(c, '') as bigint) as paper_count, contains(html, 'class="article-page"') as single_article
+from (select page_id, html,
+             regexp_replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '^\\s+|\\s+$', '', 'g') as t,
+             regexp_extract(html, '[0-9]{4}', 0) as y,
+             replace(regexp_extract(html, '<span[^>]*class="value"[^>]*>([0-9,]+)</span>', 1), ',', '') as c
+      from pages) x"""),
+    "page_maturity": q(f"""
+select page_id, papers as pubmed_papers, {_maturity('papers')} as research_maturity
+from (select page_id, cast(coalesce(try_cast(nullif(replace(regexp_extract(html,
+        '<span[^>]*class="value"[^>]*>([0-9,]+)</span>', 1), ',', ''), '') as bigint),
+        case when contains(html, 'class="article-page"') then 1 else 0 end) as bigint) as papers from pages) x"""),
+    "leads_by_papers": q(_EXEC_BODY, **_EXEC),
+    "executive_report": q(_EXEC_BODY, **_EXEC),
+    # G
+    "response_features": q("select * from f", f=_FEATURES),
+    "time_metrics": q("select tm.* from tm join leads_top t on t.pert_iname = tm.pert_iname", **_TIME, **_LEADS),
+    "time_pivot_delta": q("select * from tp", **_TIME),
+    "clinical_triage": q(f"select *, {_triage(15)} as Clinical_Profile from tp", **_TIME),
+    "clinical_triage_delta10": q(f"select *, {_triage(10)} as Clinical_Profile from tp", **_TIME),
+    "late_new_hits": q("""
+select distinct pert_iname, pr_gene_symbol from r where pert_itime = '24 h'
+except select pert_iname, pr_gene_symbol from r where pert_itime = '6 h'""", r="""
+select s.pert_iname, s.pr_gene_symbol, si.pert_itime from genetic_signatures s
+join sig_info si on si.sig_id = s.sig_id and si.pert_iname = s.pert_iname where abs(s.z_score) >= 2.0"""),
+    "large_shift": q("""
+select pert_iname, Gene_Delta, coalesce(abs(Gene_Delta) >= 15, false) as large_shift,
+       case when Gene_Delta > 0 then 'expansion' when Gene_Delta < 0 then 'contraction'
+            when Gene_Delta = 0 then 'none' end as shift_direction
+from tp""", **_TIME),
+    "leads_per_time": q("""
+select pert_itime, time_rank, pert_iname, max_potency, total_gene_hits
+from (select *, row_number() over (partition by pert_itime order by max_potency desc, pert_iname) as time_rank from pt) x
+where time_rank <= 10""", pt="""
+select si.pert_itime, s.pert_iname, max(abs(s.z_score)) as max_potency, count(distinct s.pr_gene_symbol) as total_gene_hits
+from genetic_signatures s join sig_info si on si.sig_id = s.sig_id and si.pert_iname = s.pert_iname
+where s.pert_iname in (select pert_iname from compound_metadata)
+group by si.pert_itime, s.pert_iname
+having count(distinct s.pr_gene_symbol) <= 50 and max(abs(s.z_score)) >= 8.0"""),
+    # H
+    "profile_rules": q(f"select *, {_profile('max_response', 'biomarker_count')} as clinical_profile from f", f=_FEATURES),
+    "classification_metrics": q("""
+select round(sum(case when t = p then 1 else 0 end) * 1.0 / count(*), 6) as accuracy,
+       round((select sum(support * prec) from m) / count(*), 6) as precision_weighted,
+       round((select sum(support * rec) from m) / count(*), 6) as recall_weighted,
+       round((select sum(support * f1) from m) / count(*), 6) as f1_weighted
+from pairs""", f=_FEATURES,
+                                truth=f"select pert_iname, {_profile('max_response', 'biomarker_count')} as t from f",
+                                early_rows="""select s.* from genetic_signatures s join sig_info si
+                                              on si.sig_id = s.sig_id and si.pert_iname = s.pert_iname
+                                              where si.pert_itime = '6 h'""",
+                                early="""select pert_iname, count(distinct pr_gene_symbol) as g, max(abs(z_score)) as mx
+                                         from early_rows group by pert_iname""",
+                                pairs=f"""select tr.t, case when coalesce(e.g, 0) = 0 then 'Unknown'
+                                                  else {_profile('coalesce(e.mx, 0.0)', 'coalesce(e.g, 0)')} end as p
+                                          from truth tr left join early e on e.pert_iname = tr.pert_iname""",
+                                lab="select t as label from pairs union select p from pairs",
+                                per="""select l.label,
+                                         cast((select count(*) from pairs where t = l.label) as double) as support,
+                                         cast((select count(*) from pairs where p = l.label) as double) as predicted,
+                                         cast((select count(*) from pairs where t = l.label and p = l.label) as double) as tp
+                                       from lab l""",
+                                m="""select support, prec, rec,
+                                       case when prec + rec > 0 then 2 * prec * rec / (prec + rec) else 0.0 end as f1
+                                     from (select support,
+                                             case when predicted > 0 then tp / predicted else 0.0 end as prec,
+                                             case when support > 0 then tp / support else 0.0 end as rec from per) x"""),
+    "predict_response": q(f"""
+select pert_iname, biomarker_count, avg_response, max_response, response_variability,
+       case when biomarker_count = 0 then 'Unknown' else {_profile('max_response', 'biomarker_count')} end
+       as predicted_profile
+from (select n.pert_iname, coalesce(x.g, 0) as biomarker_count, coalesce(x.a, 0.0) as avg_response,
+             coalesce(x.mx, 0.0) as max_response, coalesce(x.sd, 0.0) as response_variability
+      from (select distinct pert_iname from compound_metadata) n
+      left join (select pert_iname, count(distinct pr_gene_symbol) as g, round(avg(abs(z_score)), 6) as a,
+                        max(abs(z_score)) as mx, round(stddev_samp(z_score), 6) as sd
+                 from genetic_signatures group by pert_iname) x on x.pert_iname = n.pert_iname) y"""),
+    "profile_report": q(f"""
+select *, {_profile('max_response', 'biomarker_count')} as clinical_profile,
+       row_number() over (order by pert_iname) - 1 as temporal_index
+from f""", f=_FEATURES),
+    # I
+    "format_scientific": q("select event_id, printf('%.6e', value) as value_sci from events"),
+    "format_percentage": q("select event_id, printf('%.3f%%', value / 1000.0 * 100.0) as value_pct from events"),
+    "batch_map": q("select pert_iname, sig_id, pr_gene_symbol, abs(z_score) as abs_z from genetic_signatures"),
+    # J
+    "ad_hoc_sql": q("""
+select s.pert_iname, m.moa, count(*) as strong_hits from genetic_signatures s
+join compound_metadata m on m.pert_iname = s.pert_iname where abs(s.z_score) >= 3.0 group by s.pert_iname, m.moa"""),
+    # K
+    "build_signatures": q("select * from genetic_signatures"),
+})

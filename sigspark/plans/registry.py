@@ -9,14 +9,31 @@ the binding.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sigspark.errors import ValidationError
+from sigspark.functions import columns as Fc
+from sigspark.functions.batch import batch_map, execute_query
+from sigspark.operators import joins as Cj
+from sigspark.operators import quality as D
+from sigspark.operators import reshape as B
+from sigspark.operators.stats import sequence_index
+from sigspark.plans import literature as Lit
+from sigspark.plans import profiles as H
 from sigspark.plans import questions as E
-from sigspark.sources.binding import MARKER_GENES, REFERENCE_COMPOUND
-from sigspark.sources.store import signature_tables
+from sigspark.plans import scorecard as SC
+from sigspark.plans import temporal as G
+from sigspark.plans.jobs import build_signatures, expression_table, pipeline_summary
+from sigspark.session import scratch_root
+from sigspark.sources import readers as A
+from sigspark.sources import sinks as S
+from sigspark.sources.binding import LITERATURE_TERMS, MARKER_GENES, REFERENCE_COMPOUND
+from sigspark.sources.store import INPUT_TABLES, raw_table, signature_tables
+from sigspark.streaming.append import stream_append_signatures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +61,15 @@ def _on_gs(fn, **kwargs) -> Query:
 G1, G2 = MARKER_GENES
 
 
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return signature_tables(spark, sf_dir)
+
+
+def _fresh_dir(spark: SparkSession, what: str) -> str:
+    """A new folder under the shared scratch root (never reused, never cleared)."""
+    return f"{scratch_root(spark)}/sigspark-runs/{what}-{uuid.uuid4().hex[:12]}"
+
+
 def _disease(spark: SparkSession) -> DataFrame:
     """E1g parameter: a two-gene disease signature (gene, direction in disease)."""
     return spark.createDataFrame([(G1, 1), (G2, -1)], "pr_gene_symbol string, direction int")
@@ -53,6 +79,10 @@ def _genes(spark: SparkSession, genes) -> DataFrame:
     return spark.createDataFrame([(g,) for g in genes], "pr_gene_symbol string")
 
 
+def _expression(t: dict[str, DataFrame]) -> DataFrame:
+    return expression_table(t["gene_info"], t["sig_info"], t["matrix_long"])
+
+
 def _reversal_general(spark, sf_dir):
     cm, gs = _cg(spark, sf_dir)
     return E.reversal_general(cm, gs, _disease(spark))
@@ -63,13 +93,328 @@ def _risk_filter_genes(spark, sf_dir):
     return E.risk_filter(cm, gs, risk_genes=_genes(spark, [G2]))
 
 
+# ---------------------------------------------------------------- A: sources and sinks
+def _read_matrix_tsv(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    m = t["matrix_long"]
+    genes = sorted(r["gene_id"] for r in m.select("gene_id").distinct().collect())  # pivot labels: gene universe
+    wide = m.groupBy("sig_id").pivot("gene_id", genes).agg(F.first("z_score"))
+    path = _fresh_dir(spark, "matrix-tsv")
+    wide.write.option("sep", "\t").option("header", True).csv(path)
+    long = A.read_matrix_tsv(spark, path, row_id="sig_id", col_id="gene_id", value="z_score")
+    return long.where(F.col("z_score").isNotNull()).select("gene_id", "sig_id", "z_score")
+
+
+def _read_metadata_tsv(spark, sf_dir):
+    sig_info = _tables(spark, sf_dir)["sig_info"]
+    path = _fresh_dir(spark, "sig-info-tsv")
+    sig_info.write.option("sep", "\t").option("header", True).option("compression", "gzip").csv(path)
+    return A.read_metadata_tsv(spark, path, types={"pert_dose": "double"}, compression="gzip")
+
+
+def _read_commented_tsv(spark, sf_dir):
+    rep = _tables(spark, sf_dir)["repurposing"]
+    path = _fresh_dir(spark, "repurposing-tsv")
+    rep.write.option("sep", "\t").option("header", True).csv(path)
+    notes = spark.createDataFrame([("!mechanism list: pert_iname, moa, target",), ("!landed copy",)], "value string")
+    notes.write.mode("append").text(path)
+    return A.read_commented_tsv(spark, path)
+
+
+def _save_tables(spark, sf_dir):
+    cm, gs = _cg(spark, sf_dir)
+    paths = S.save_tables({"compound_metadata": cm, "genetic_signatures": gs}, _fresh_dir(spark, "saved"))
+    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
+             for n, p in paths.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def _export_reports(spark, sf_dir):
+    cm, gs = _cg(spark, sf_dir)
+    leads = E.precision_leads(cm, gs)
+    paths = S.export_reports(leads, E.lead_gene_detail(cm, gs), _fresh_dir(spark, "reports"))
+    return spark.read.schema(leads.schema).option("header", True).csv(paths["lead_summary"])
+
+
+def _append_compounds(spark, sf_dir):
+    cm = _cg(spark, sf_dir)[0]
+    path = _fresh_dir(spark, "compounds")
+    S.append_new_compounds(cm, path)
+    S.append_new_compounds(cm, path)  # replay: nothing new
+    return spark.read.parquet(path)
+
+
+def _append_signatures(spark, sf_dir):
+    expr = _expression(_tables(spark, sf_dir))
+    path = _fresh_dir(spark, "signatures")
+    S.append_new_signatures(expr, path)
+    S.append_new_signatures(expr, path)  # replay: nothing new
+    return spark.read.parquet(path)
+
+
+def _stream_signatures(spark, sf_dir):
+    expr = _expression(_tables(spark, sf_dir))
+    base = _fresh_dir(spark, "stream")
+    expr.repartition(4).write.parquet(f"{base}/incoming")
+    return stream_append_signatures(spark, f"{base}/incoming", f"{base}/table", f"{base}/_checkpoint",
+                                    max_files_per_trigger=2)
+
+
+# ---------------------------------------------------------------- B: reshape
+def _time_wide(spark, sf_dir):
+    """All compounds' potency at 6 h and 24 h side by side (nulls where missing)."""
+    t = _tables(spark, sf_dir)
+    return G.time_pivot_delta(G.time_metrics(t["genetic_signatures"], t["sig_info"])).select(
+        "pert_iname", "Max_Potency_6h", "Max_Potency_24h")
+
+
+def _valid_ids(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    m = t["matrix_long"]
+    genes = B.valid_ids(B.landmark_genes(t["gene_info"]).select(F.col("pr_gene_id").alias("gene_id")), m, "gene_id")
+    sigs = B.valid_ids(B.target_signatures(t["sig_info"]), m, "sig_id")
+    return (genes.select(F.lit("gene").alias("axis"), F.col("gene_id").alias("id"))
+            .unionByName(sigs.select(F.lit("signature").alias("axis"), F.col("sig_id").alias("id"))))
+
+
+def _extract_submatrix(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    sigs = B.target_signatures(t["sig_info"]).where(F.col("pert_type") == "trt_cp")
+    return B.extract_submatrix(t["matrix_long"], B.landmark_genes(t["gene_info"]), sigs)
+
+
+def _lineitem_keys(spark, sf_dir):
+    return raw_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+
+
+_DEDUP_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
+
+
+def _dedup(keep):
+    def run(spark, sf_dir):
+        kept = B.dedupe(_lineitem_keys(spark, sf_dir), ["l_orderkey", "l_linenumber"], _DEDUP_ORDER, keep=keep)
+        return kept.drop("l_shipdate")
+    return run
+
+
+def _safe_cast(spark, sf_dir):
+    ev = raw_table(spark, sf_dir, "events").select(
+        "event_id", F.regexp_extract("props", '"k": (-?[0-9]+)', 1).alias("k"))
+    return B.safe_cast(ev, "k", "int", fill=0)
+
+
+def _coerce_numeric(spark, sf_dir):
+    pages = raw_table(spark, sf_dir, "pages")
+    seg = F.element_at(F.split("url", "/"), -1)
+    return pages.select("page_id", seg.alias("segment"), B.coerce_numeric(seg).alias("value"))
+
+
+def _masked_fingerprint(spark, sf_dir):
+    cons = D.consensus_signature(_expression(_tables(spark, sf_dir)))
+    return cons.select("pert_iname", "pr_gene_symbol", B.masked("mean_z").alias("mean_z"))
+
+
+# ---------------------------------------------------------------- C: joins
+def _merge_frames(spark, sf_dir):
+    cm, gs = _cg(spark, sf_dir)
+    left = E.lead_candidates(cm, gs).select("pert_iname", "moa", "max_potency", "total_gene_hits")
+    per_moa = (E.precision_vs_power(cm, gs).join(cm.select("pert_iname", "moa"), "pert_iname")
+               .groupBy("moa").agg(F.count(F.lit(1)).alias("n_compounds"), F.max("max_potency").alias("max_potency")))
+    return left, per_moa
+
+
+def _merge(how):
+    def run(spark, sf_dir):
+        left, right = _merge_frames(spark, sf_dir)
+        return Cj.merge(left, right, ["moa"], how)
+    return run
+
+
+# ---------------------------------------------------------------- D, F, G, H helpers
+def _features(spark, sf_dir):
+    cm, gs = _cg(spark, sf_dir)
+    return G.response_features(cm, gs)
+
+
+def _time_pivot(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return G.time_pivot_delta(G.time_metrics(t["genetic_signatures"], t["sig_info"]))
+
+
+def _benchmark_terms(spark, sf_dir):
+    bench = raw_table(spark, sf_dir, "benchmark")
+    terms = Lit.document_tokens(bench.withColumnRenamed("item_id", "doc_id")).select(
+        F.col("token").alias("term")).where(F.col("term") != "").distinct()
+    return Lit.literature_counts(raw_table(spark, sf_dir, "documents"), terms, "term", "publication_count")
+
+
+def _lit_terms(spark, sf_dir):
+    terms = spark.createDataFrame([(t,) for t in LITERATURE_TERMS], "term string")
+    return Lit.literature_counts(raw_table(spark, sf_dir, "documents"), terms)
+
+
+def _leads_with_benchmark(spark, sf_dir):
+    cm, gs = _cg(spark, sf_dir)
+    bench = cm.where(F.col("pert_iname") == REFERENCE_COMPOUND).select("pert_iname", "moa")
+    return Lit.leads_with_benchmark(E.precision_leads(cm, gs), bench)
+
+
+def _executive_report(spark, sf_dir):
+    cm, gs = _cg(spark, sf_dir)
+    leads = Lit.leads_with_benchmark(
+        E.precision_leads(cm, gs), cm.where(F.col("pert_iname") == REFERENCE_COMPOUND).select("pert_iname", "moa"))
+    lit = Lit.compound_literature(raw_table(spark, sf_dir, "documents"), leads.select("pert_iname"))
+    return Lit.executive_report(leads, lit)
+
+
+def _profile_eval(spark, sf_dir):
+    """H4: the 6 h readout's rule profile scored against the all-time rule profile."""
+    t = _tables(spark, sf_dir)
+    cm, gs, si = t["compound_metadata"], t["genetic_signatures"], t["sig_info"]
+    truth = H.profile_rules(G.response_features(cm, gs)).select("pert_iname", F.col("clinical_profile").alias("rule_profile"))
+    early = gs.join(si.where(F.col("pert_itime") == "6 h").select("sig_id", "pert_iname"), ["sig_id", "pert_iname"],
+                    "left_semi")
+    early_prof = H.predict_response(early, truth.select("pert_iname")).select(
+        "pert_iname", F.col("predicted_profile").alias("clinical_profile"))
+    return H.classification_metrics(truth.join(early_prof, "pert_iname", "inner"))
+
+
+def _scorecard(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return SC.lead_scorecard(t["compound_metadata"], t["genetic_signatures"], t["sig_info"],
+                             raw_table(spark, sf_dir, "documents"), _disease(spark))
+
+
+def _batch_map(spark, sf_dir):
+    gs = _cg(spark, sf_dir)[1].select("pert_iname", "sig_id", "pr_gene_symbol", "z_score")
+
+    def magnitude(pdf):
+        return pdf.assign(abs_z=pdf["z_score"].abs()).drop(columns=["z_score"])
+
+    return batch_map(gs, magnitude, "pert_iname string, sig_id string, pr_gene_symbol string, abs_z double",
+                     batch_size=4096)
+
+
+def _ad_hoc(spark, sf_dir):
+    cm, gs = _cg(spark, sf_dir)
+    return execute_query(spark, """
+        select s.pert_iname, m.moa, count(*) as strong_hits
+        from {gs} s join {cm} m on m.pert_iname = s.pert_iname
+        where abs(s.z_score) >= :t group by s.pert_iname, m.moa""", {"gs": gs, "cm": cm}, {"t": 3.0})
+
+
+def _build_signatures(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return build_signatures({k: t[k] for k in INPUT_TABLES}).genetic_signatures
+
+
+def _build_compound_metadata(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return build_signatures({k: t[k] for k in INPUT_TABLES}).compound_metadata
+
+
+def _pipeline_summary(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    cm, gs = t["compound_metadata"], t["genetic_signatures"]
+    return pipeline_summary(spark, {
+        "phase1_extract": ("genetic_signatures", lambda: gs),
+        "phase2_integrity": ("integrity_report", lambda: D.integrity_report(cm, gs)),
+        "phase3_questions": ("precision_leads", lambda: E.precision_leads(cm, gs)),
+        "phase4_literature": ("executive_report", lambda: _executive_report(spark, sf_dir)),
+        "phase5_profiles": ("profile_rules", lambda: H.profile_rules(G.response_features(cm, gs))),
+    })
+
+
+def _t(name):
+    return lambda spark, d: _tables(spark, d)[name]
+
+
 QUERIES: dict[str, Query] = {
+    # A — sources and sinks
+    "read_matrix_tsv": _read_matrix_tsv,
+    "read_metadata_tsv": _read_metadata_tsv,
+    "read_commented_tsv": _read_commented_tsv,
+    "read_pruned": lambda spark, d: A.read_pruned(_tables(spark, d)["sig_info"], ["sig_id", "pert_iname", "pert_itime"]),
+    "save_tables": _save_tables,
+    "export_reports": _export_reports,
+    "append_new_compounds": _append_compounds,
+    "append_new_signatures": _append_signatures,
+    "stream_append_signatures": _stream_signatures,
+    # B — projection, filter, reshape
+    "landmark_genes": lambda spark, d: B.landmark_genes(_tables(spark, d)["gene_info"]),
+    "target_signatures": lambda spark, d: B.target_signatures(_tables(spark, d)["sig_info"]),
+    "treatment_only": lambda spark, d: B.treatment_only(_tables(spark, d)["matrix_long"], _tables(spark, d)["sig_info"]),
+    "valid_ids": _valid_ids,
+    "extract_submatrix": _extract_submatrix,
+    "melt_wide_to_long": lambda spark, d: B.melt_wide_to_long(_time_wide(spark, d), ["pert_iname"], None,
+                                                              "time_point", "max_potency"),
+    "stack_matrix": lambda spark, d: B.stack_matrix(_time_wide(spark, d), ["pert_iname"], None,
+                                                    "time_point", "max_potency"),
+    "filter_by_z_score": lambda spark, d: B.filter_by_z_score(_expression(_tables(spark, d))),
+    "significance_flag": lambda spark, d: _expression(_tables(spark, d)).withColumn(
+        "is_significant", B.significance_flag("z_score")),
+    "z_tier": lambda spark, d: _expression(_tables(spark, d)).select(
+        "pert_iname", "sig_id", "pr_gene_symbol", B.z_tier("z_score").alias("z_tier"),
+        B.z_direction("z_score").alias("direction")),
+    "dedup_first": _dedup("first"),
+    "dedup_last": _dedup("last"),
+    "dedup_none": _dedup(False),
+    "safe_cast": _safe_cast,
+    "coerce_numeric": _coerce_numeric,
+    "preview_rows": lambda spark, d: B.preview_rows(_cg(spark, d)[1], ["pert_iname", "sig_id", "pr_gene_symbol"], 20),
+    "masked_fingerprint": _masked_fingerprint,
+    "report_index": lambda spark, d: sequence_index(E.precision_vs_power(*_cg(spark, d)), ["pert_iname"], "report_index"),
+    # C — joins
+    "fact_dim_join": lambda spark, d: Cj.fact_dim_join(*_cg(spark, d)),
+    "attach_gene_symbol": lambda spark, d: Cj.attach_gene_symbol(_tables(spark, d)["matrix_long"],
+                                                                 _tables(spark, d)["gene_info"]),
+    "attach_compound": lambda spark, d: Cj.attach_compound(_tables(spark, d)["matrix_long"],
+                                                           _tables(spark, d)["sig_info"]),
+    "combine_metadata": lambda spark, d: Cj.combine_metadata(_tables(spark, d)["pert_info"],
+                                                             _tables(spark, d)["repurposing"]),
+    "build_compound_metadata": _build_compound_metadata,
+    "create_compound_metadata": lambda spark, d: Cj.create_compound_metadata(_tables(spark, d)["pert_info"]),
+    "orphaned_signatures": lambda spark, d: Cj.orphaned_signatures(_cg(spark, d)[1], _cg(spark, d)[0]),
+    "merge_inner": _merge("inner"),
+    "merge_left": _merge("left"),
+    "merge_right": _merge("right"),
+    "merge_outer": _merge("outer"),
+    "lead_literature_report": _executive_report,
+    # D — quality and statistics
+    "gene_statistics": _on_gs(D.gene_statistics),
+    "compound_profile_summary": _on_cg(D.compound_profile_summary),
+    "compound_profile_detail": lambda spark, d: D.compound_profile_detail(_cg(spark, d)[1], REFERENCE_COMPOUND),
+    "integrity_report": _on_cg(D.integrity_report),
+    "quality_report": lambda spark, d: D.quality_report(_cg(spark, d)[0]),
+    "quality_report_lineitem": lambda spark, d: D.quality_report(raw_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")),
+    "null_profile": lambda spark, d: D.null_profile(_cg(spark, d)[0]),
+    "quality_gates": lambda spark, d: D.quality_gates(_expression(_tables(spark, d)), *_cg(spark, d),
+                                                      ["pert_iname", "sig_id", "pr_gene_symbol"]),
+    "data_summary": lambda spark, d: D.data_summary(_cg(spark, d)[0]),
+    "column_statistics": lambda spark, d: D.column_statistics(raw_table(spark, d, "events"), "value"),
+    "time_point_distribution": lambda spark, d: D.value_counts(_tables(spark, d)["sig_info"], "pert_itime",
+                                                               "total_experiments"),
+    "profile_distribution": lambda spark, d: D.value_counts(H.profile_rules(_features(spark, d)), "clinical_profile",
+                                                            "n_compounds"),
+    "extra_time_points": lambda spark, d: D.extra_time_points(_tables(spark, d)["sig_info"]),
+    "outliers_iqr": lambda spark, d: D.outliers_iqr(raw_table(spark, d, "events").select("event_id", "value"), "value"),
+    "outliers_zscore": lambda spark, d: D.outliers_zscore(raw_table(spark, d, "events").select("event_id", "value"),
+                                                          "value"),
+    "normalize_standard": lambda spark, d: D.normalize(_cg(spark, d)[1], "z_score", "standard"),
+    "normalize_minmax": lambda spark, d: D.normalize(_cg(spark, d)[1], "z_score", "minmax"),
+    "normalize_robust": lambda spark, d: D.normalize(_cg(spark, d)[1], "z_score", "robust"),
+    "drug_type_share": lambda spark, d: D.share_of_total(E.drug_type_counts(*_cg(spark, d)), "hit_count"),
+    "validate_frame": lambda spark, d: D.validate_frame(_cg(spark, d)[1], ["pert_iname", "z_score"], 1),
+    "consensus_signature": lambda spark, d: D.consensus_signature(_cg(spark, d)[1]),
     # E — business questions
     "strongest_hits": _on_cg(E.strongest_hits),
     "single_target_up": _on_cg(E.single_target_up, gene=G1),
     "reversal_signature": _on_cg(E.reversal_signature, genes=MARKER_GENES),
     "reversal_general": _reversal_general,
     "moa_mimics": _on_cg(E.moa_mimics, reference=REFERENCE_COMPOUND),
+    "moa_transfer": _on_cg(E.moa_transfer),
     "toxicity_extreme_hits": _on_cg(E.toxicity_extreme_hits),
     "safety_profile": _on_cg(E.safety_profile, compound=REFERENCE_COMPOUND),
     "risk_filter": _on_cg(E.risk_filter),
@@ -90,6 +435,48 @@ QUERIES: dict[str, Query] = {
     "final_matrix_mean": _on_cg(E.final_matrix_mean),
     "compound_category": lambda spark, d: E.compound_categories(_cg(spark, d)[0]),
     "gene_function_label": _on_gs(E.gene_function_labels),
+    "lead_scorecard": _scorecard,
+    # F — literature and pages
+    "literature_counts": _lit_terms,
+    "research_maturity": lambda spark, d: _benchmark_terms(spark, d).withColumn(
+        "research_maturity", Fc.research_maturity("publication_count")),
+    "novelty_status": lambda spark, d: _benchmark_terms(spark, d).withColumn(
+        "novelty_status", Fc.novelty_status("publication_count")),
+    "novelty_report": lambda spark, d: Lit.novelty_report(_benchmark_terms(spark, d)),
+    "novelty_summary": lambda spark, d: Lit.novelty_summary(Lit.novelty_report(_benchmark_terms(spark, d))),
+    "leads_with_benchmark": _leads_with_benchmark,
+    "page_fields": lambda spark, d: Lit.page_fields(raw_table(spark, d, "pages")),
+    "page_maturity": lambda spark, d: Lit.page_maturity(Lit.page_fields(raw_table(spark, d, "pages"))),
+    "leads_by_papers": lambda spark, d: Lit.leads_by_papers(_executive_report(spark, d)),
+    "executive_report": _executive_report,
+    # G — temporal
+    "response_features": _features,
+    "time_metrics": lambda spark, d: G.time_metrics(_tables(spark, d)["genetic_signatures"], _tables(spark, d)["sig_info"],
+                                                    compounds=E.precision_leads(*_cg(spark, d))),
+    "time_pivot_delta": _time_pivot,
+    "clinical_triage": lambda spark, d: G.clinical_triage(_time_pivot(spark, d)),
+    "clinical_triage_delta10": lambda spark, d: G.clinical_triage(_time_pivot(spark, d), cascade_delta=10),
+    "late_new_hits": lambda spark, d: G.late_new_hits(_tables(spark, d)["genetic_signatures"],
+                                                      _tables(spark, d)["sig_info"]),
+    "large_shift": lambda spark, d: G.large_shift(_time_pivot(spark, d)),
+    "leads_per_time": lambda spark, d: G.leads_per_time(*_cg(spark, d), _tables(spark, d)["sig_info"]),
+    # H — profiles
+    "profile_rules": lambda spark, d: H.profile_rules(_features(spark, d)),
+    "profile_forest": lambda spark, d: H.profile_forest(_features(spark, d)),
+    "classification_metrics": _profile_eval,
+    "predict_response": lambda spark, d: H.predict_response(_cg(spark, d)[1], _cg(spark, d)[0]),
+    "profile_report": lambda spark, d: H.profile_report(H.profile_rules(_features(spark, d)), with_stamp=False),
+    # I — formats and batch functions
+    "format_scientific": lambda spark, d: raw_table(spark, d, "events").select(
+        "event_id", Fc.format_scientific("value", 6).alias("value_sci")),
+    "format_percentage": lambda spark, d: raw_table(spark, d, "events").select(
+        "event_id", Fc.format_percentage(F.col("value") / F.lit(1000.0), 3).alias("value_pct")),
+    "batch_map": _batch_map,
+    # J — ad-hoc SQL
+    "ad_hoc_sql": _ad_hoc,
+    # K — jobs
+    "build_signatures": _build_signatures,
+    "pipeline_summary": _pipeline_summary,
 }
 
 
