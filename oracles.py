@@ -533,6 +533,10 @@ left join (select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^
   on d.w = t.term
 group by t.term""", lit_terms="select * from (values " + ", ".join(f"({_lit(t)})" for t in LITERATURE_TERMS)
                     + ") t(term)"),
+    "document_frequency": q("""
+select token, count(distinct doc_id) as n_docs
+from (select doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as token from documents) t
+where token <> '' group by token"""),
     "research_maturity": q(f"select term, publication_count, {_maturity('publication_count')} as research_maturity from bc",
                            **_BC),
     "novelty_status": q(f"select term, publication_count, {_NOVELTY} as novelty_status from bc", **_BC),

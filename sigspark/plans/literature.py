@@ -3,8 +3,10 @@
 The reference asks a web search engine how many papers mention each
 compound. Here the corpus is a documents table: a term's count is the
 number of distinct documents whose tokens (``lower(text)`` split on
-non-letters, over the whole text) contain it. Landed web pages are parsed
-with regular expressions instead of a DOM library.
+non-letters, over the whole text) contain it. The corpus is tokenised once
+into a document-frequency table (the search index), and lookups join it.
+Landed web pages are parsed with regular expressions instead of a DOM
+library.
 """
 
 from __future__ import annotations
@@ -22,28 +24,37 @@ def document_tokens(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.explode(F.split(F.lower(F.col("text")), TOKEN_SPLIT)).alias("token"))
 
 
-# F5
-def literature_counts(documents: DataFrame, terms: DataFrame, term_col: str = "term",
-                      count_col: str = "n_docs") -> DataFrame:
-    """Distinct documents mentioning each term; terms with no match get 0.
+def document_frequency(documents: DataFrame) -> DataFrame:
+    """Inverted-index statistic: ``(token, n_docs)`` = distinct documents per token.
 
-    Tokens are joined to the term list *before* the distinct, so only
-    matching (doc, term) pairs are shuffled. The term list is a dimension;
-    Spark broadcasts it when its measured size allows.
+    Each document's tokens are de-duplicated in the row (``array_distinct``)
+    before the explode, then counted as a distinct aggregate on
+    (token, doc_id) — exact even if a doc_id repeats, and a token found in
+    every document is combined map-side. Built once per corpus and landed
+    (see ``sources.store.corpus_index``); every literature lookup is then a
+    join of its term list with this table.
     """
-    t = terms.select(F.col(term_col).alias("token")).distinct()
-    hits = document_tokens(documents).join(t, "token", "inner").select("doc_id", "token").distinct()
-    counts = hits.groupBy("token").agg(F.count(F.lit(1)).alias(count_col))
-    return (terms.select(F.col(term_col)).join(counts.withColumnRenamed("token", term_col), term_col, "left")
+    tokens = documents.select("doc_id", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), TOKEN_SPLIT)))
+                              .alias("token")).where(F.col("token") != "")
+    return tokens.groupBy("token").agg(F.countDistinct("doc_id").alias("n_docs"))
+
+
+# F5
+def literature_counts(index: DataFrame, terms: DataFrame, term_col: str = "term",
+                      count_col: str = "n_docs") -> DataFrame:
+    """Distinct documents mentioning each term (0 when none), from the
+    document-frequency ``index``; every term row is kept."""
+    hits = index.select(F.col("token").alias(term_col), F.col("n_docs").alias(count_col))
+    return (terms.select(term_col).join(hits, term_col, "left")
             .select(term_col, F.coalesce(F.col(count_col), F.lit(0)).cast("long").alias(count_col)))
 
 
-def compound_literature(documents: DataFrame, compounds: DataFrame) -> DataFrame:
+def compound_literature(index: DataFrame, compounds: DataFrame) -> DataFrame:
     """F5 for compound names: ``pert_iname, pubmed_papers, research_maturity``."""
-    terms = compounds.select("pert_iname", F.lower("pert_iname").alias("term")).distinct()
-    counts = literature_counts(documents, terms.select("term").distinct(), "term", "pubmed_papers")
-    return (terms.join(counts, "term", "left")
-            .select("pert_iname", F.coalesce("pubmed_papers", F.lit(0)).cast("long").alias("pubmed_papers"))
+    names = compounds.select("pert_iname", F.lower("pert_iname").alias("term")).distinct()
+    return (literature_counts(index, names.select("term").distinct(), "term", "pubmed_papers")
+            .join(names, "term", "inner")
+            .select("pert_iname", "pubmed_papers")
             .withColumn("research_maturity", research_maturity("pubmed_papers")))
 
 

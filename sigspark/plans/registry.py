@@ -32,7 +32,7 @@ from sigspark.session import scratch_root
 from sigspark.sources import readers as A
 from sigspark.sources import sinks as S
 from sigspark.sources.binding import LITERATURE_TERMS, MARKER_GENES, REFERENCE_COMPOUND
-from sigspark.sources.store import INPUT_TABLES, raw_table, signature_tables
+from sigspark.sources.store import INPUT_TABLES, corpus_index, raw_table, signature_tables
 from sigspark.streaming.append import stream_append_signatures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,15 +243,16 @@ def _time_pivot(spark, sf_dir):
 
 
 def _benchmark_terms(spark, sf_dir):
+    """Document counts for every word of the benchmark passages."""
     bench = raw_table(spark, sf_dir, "benchmark")
     terms = Lit.document_tokens(bench.withColumnRenamed("item_id", "doc_id")).select(
         F.col("token").alias("term")).where(F.col("term") != "").distinct()
-    return Lit.literature_counts(raw_table(spark, sf_dir, "documents"), terms, "term", "publication_count")
+    return Lit.literature_counts(corpus_index(spark, sf_dir), terms, "term", "publication_count")
 
 
 def _lit_terms(spark, sf_dir):
     terms = spark.createDataFrame([(t,) for t in LITERATURE_TERMS], "term string")
-    return Lit.literature_counts(raw_table(spark, sf_dir, "documents"), terms)
+    return Lit.literature_counts(corpus_index(spark, sf_dir), terms)
 
 
 def _leads_with_benchmark(spark, sf_dir):
@@ -264,7 +265,7 @@ def _executive_report(spark, sf_dir):
     cm, gs = _cg(spark, sf_dir)
     leads = Lit.leads_with_benchmark(
         E.precision_leads(cm, gs), cm.where(F.col("pert_iname") == REFERENCE_COMPOUND).select("pert_iname", "moa"))
-    lit = Lit.compound_literature(raw_table(spark, sf_dir, "documents"), leads.select("pert_iname"))
+    lit = Lit.compound_literature(corpus_index(spark, sf_dir), leads.select("pert_iname"))
     return Lit.executive_report(leads, lit)
 
 
@@ -283,7 +284,7 @@ def _profile_eval(spark, sf_dir):
 def _scorecard(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return SC.lead_scorecard(t["compound_metadata"], t["genetic_signatures"], t["sig_info"],
-                             raw_table(spark, sf_dir, "documents"), _disease(spark))
+                             corpus_index(spark, sf_dir), _disease(spark))
 
 
 def _batch_map(spark, sf_dir):
@@ -437,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "gene_function_label": _on_gs(E.gene_function_labels),
     "lead_scorecard": _scorecard,
     # F — literature and pages
+    "document_frequency": lambda spark, d: corpus_index(spark, d),
     "literature_counts": _lit_terms,
     "research_maturity": lambda spark, d: _benchmark_terms(spark, d).withColumn(
         "research_maturity", Fc.research_maturity("publication_count")),

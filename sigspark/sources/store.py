@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sigspark.plans.jobs import build_signatures
+from sigspark.plans.literature import document_frequency
 from sigspark.session import scratch_root
 from sigspark.sources.binding import bind_inputs
 
@@ -60,13 +61,13 @@ def _write(df: DataFrame, path: str, table: str) -> None:
     out.write.mode("overwrite").parquet(path)
 
 
-def _read_manifest(spark: SparkSession, root: str) -> dict[str, int] | None:
+def _read_manifest(spark: SparkSession, root: str, tables=ALL_TABLES) -> dict[str, int] | None:
     try:
         rows = spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{root}/_manifest").collect()
     except AnalysisException:
         return None
     got = {r["table"]: r["rows"] for r in rows}
-    return got if set(got) >= set(ALL_TABLES) else None
+    return got if set(got) >= set(tables) else None
 
 
 def land_tables(spark: SparkSession, sf_dir: str, root: str) -> dict[str, int]:
@@ -102,5 +103,30 @@ def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
     return tables
 
 
+def corpus_index(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """The landed document-frequency table ``(token, n_docs)`` of ``documents``."""
+    sf_dir = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, sf_dir, "corpus")
+    if not rebuild and key in _cache:
+        return _cache[key]["document_frequency"]
+    h = hashlib.sha1(f"{FORMAT_VERSION}|{os.path.abspath(sf_dir)}".encode())
+    path = os.path.join(sf_dir, "documents.parquet")
+    if os.path.exists(path):
+        st = os.stat(path)
+        h.update(f"|documents:{st.st_size}:{int(st.st_mtime)}".encode())
+    root = f"{scratch_root(spark)}/sigspark-corpus/{h.hexdigest()[:16]}"
+    if rebuild:
+        root = f"{root}-fresh-{uuid.uuid4().hex[:12]}"
+    if rebuild or _read_manifest(spark, root, ("document_frequency",)) is None:
+        index = document_frequency(raw_table(spark, sf_dir, "documents"))
+        index.sortWithinPartitions("token").write.mode("overwrite").parquet(f"{root}/document_frequency")
+        n = spark.read.parquet(f"{root}/document_frequency").count()
+        spark.createDataFrame([("document_frequency", n)], _MANIFEST_SCHEMA).write.mode("overwrite") \
+            .parquet(f"{root}/_manifest")
+    df = spark.read.parquet(f"{root}/document_frequency")
+    _cache[key] = {"document_frequency": df}
+    return df
+
+
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
