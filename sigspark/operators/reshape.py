@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigspark import config
@@ -59,9 +59,15 @@ def stack_matrix(df: DataFrame, id_vars: Sequence[str], value_vars: Sequence[str
 
 
 def filter_by_z_score(df: DataFrame, column: str = "z_score", threshold: float = config.Z_THRESHOLD) -> DataFrame:
-    """Keep ``abs(z) >= threshold``; a null Z is dropped."""
+    """Keep ``abs(z) >= threshold``; a null or NaN Z is dropped.
+
+    Written as ``z >= t OR z <= -t`` so the scan can push it into Parquet
+    (``abs`` cannot be pushed); Spark orders NaN above every number, hence
+    the explicit NaN test (pandas drops NaN here).
+    """
     require_columns(df, [column], "z filter input")
-    return df.where(F.abs(F.col(column)) >= F.lit(float(threshold)))
+    z, t = F.col(column), F.lit(float(threshold))
+    return df.where(((z >= t) | (z <= -t)) & ~F.isnan(z))
 
 
 def significance_flag(z: Column | str = "z_score", threshold: float = config.Z_THRESHOLD) -> Column:
@@ -92,23 +98,22 @@ def dedupe(df: DataFrame, subset: Sequence[str], order_by: Sequence[str], keep:
     """Drop duplicate keys, keeping the first / last row by ``order_by``, or none.
 
     Files have no row order in Spark, so the order is explicit. Written as
-    an aggregation (``min_by``/``max_by``/``count``), not a window, so a hot
-    key is combined map-side instead of landing whole in one task.
+    ``row_number() <= k`` over the key, which Spark plans with a partial
+    WindowGroupLimit before the shuffle: each map task forwards at most k
+    rows per key, so a key holding a third of the table never reaches one
+    task whole. ``keep=False`` keeps two rows per key that way, then drops
+    keys that still have two.
     """
     require_columns(df, list(subset) + list(order_by), "dedupe input")
-    others = [c for c in df.columns if c not in subset]
-    row = F.struct(*[F.col(c) for c in others])
-    order = F.struct(*[F.col(c) for c in order_by])
-    if keep == "first":
-        agg = df.groupBy(*subset).agg(F.min_by(row, order).alias("_row"))
-    elif keep == "last":
-        agg = df.groupBy(*subset).agg(F.max_by(row, order).alias("_row"))
-    elif keep is False or keep == "none":
-        agg = (df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n"), F.min_by(row, order).alias("_row"))
-               .where(F.col("_n") == 1).drop("_n"))
-    else:
+    if keep not in ("first", "last", "none", False):
         raise ValidationError(f"keep must be 'first', 'last' or False, got {keep!r}")
-    return agg.select(*subset, *[F.col("_row").getField(c).alias(c) for c in others]).select(*df.columns)
+    order = [F.col(c).desc_nulls_last() if keep == "last" else F.col(c).asc_nulls_first() for c in order_by]
+    ranked = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*subset).orderBy(*order)))
+    if keep in ("first", "last"):
+        return ranked.where(F.col("__rn") == 1).drop("__rn")
+    pairs = ranked.where(F.col("__rn") <= 2)
+    counted = pairs.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*subset)))
+    return counted.where(F.col("__n") == 1).drop("__rn", "__n")
 
 
 def safe_cast(df: DataFrame, column: str, dtype: str, fill=None) -> DataFrame:

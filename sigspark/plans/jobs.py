@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigspark import config
-from sigspark.operators.joins import attach_compound, attach_gene_symbol, build_compound_metadata, combine_metadata
-from sigspark.operators.reshape import (extract_submatrix, filter_by_z_score, landmark_genes, significance_flag,
-                                        target_signatures)
+from sigspark.operators.joins import build_compound_metadata, combine_metadata
+from sigspark.operators.reshape import filter_by_z_score, landmark_genes, significance_flag, target_signatures
 
 
 @dataclass
@@ -23,11 +22,21 @@ class Phase1:
 
 
 def expression_table(gene_info: DataFrame, sig_info: DataFrame, matrix_long: DataFrame) -> DataFrame:
-    """Landmark genes × target treatment signatures, long, with names attached."""
-    genes = landmark_genes(gene_info)
-    sigs = target_signatures(sig_info).where(F.col("pert_type") == config.TREATMENT_TYPE)
-    cells = extract_submatrix(matrix_long, genes, sigs).where(F.col("z_score").isNotNull())
-    named = attach_compound(attach_gene_symbol(cells, gene_info), sig_info)
+    """Landmark genes × target treatment signatures, long, with names attached.
+
+    The reference restricts the matrix to the wanted ids (B4/B5) and then
+    attaches symbols and compound names with left joins (C2/C3). Since the
+    restriction keeps only ids present in those dimensions, each pair is one
+    inner join here: the matrix — the only large input — is joined twice
+    instead of four times. The gene list is bounded by the gene universe;
+    the signature list is broadcast when its measured size allows and
+    shuffle-joined otherwise (AQE re-plans at run time from actual sizes).
+    """
+    genes = landmark_genes(gene_info).select(F.col("pr_gene_id").alias("gene_id"), "pr_gene_symbol")
+    sigs = (target_signatures(sig_info).where(F.col("pert_type") == config.TREATMENT_TYPE)
+            .select("sig_id", "pert_iname"))
+    cells = matrix_long.where(F.col("z_score").isNotNull())
+    named = cells.join(genes, "gene_id", "inner").join(sigs, "sig_id", "inner")
     return named.select("pert_iname", "sig_id", "pr_gene_symbol", "z_score")
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from sigspark import config
 from sigspark.errors import ValidationError
 from sigspark.operators.reshape import significance_flag
-from sigspark.session import ensure_checkpoint_dir
 
 COMPOUND_KEY = ("pert_iname",)
 SIGNATURE_KEY = ("pert_iname", "sig_id", "pr_gene_symbol")
@@ -54,6 +53,13 @@ def _existing(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFra
         return None
 
 
+def _stored_rows(spark: SparkSession, path: str) -> int:
+    try:
+        return spark.read.parquet(path).count()  # answered from Parquet footers
+    except AnalysisException:
+        return 0
+
+
 def append_if_absent(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is neither repeated in the batch nor already stored.
 
@@ -66,16 +72,21 @@ def append_if_absent(new: DataFrame, path: str, keys: Sequence[str]) -> DataFram
     return batch if stored is None else batch.join(stored, keys, "left_anti")
 
 
+def _append(rows: DataFrame, path: str) -> int:
+    """One job: the anti join reads the files listed at planning time and
+    appends new files, so the stored table is read and extended in a single
+    pass; the count is the difference of the footer row counts."""
+    spark = rows.sparkSession
+    before = _stored_rows(spark, path)
+    rows.write.mode("append").parquet(path)
+    return _stored_rows(spark, path) - before
+
+
 def append_new_compounds(new: DataFrame, path: str) -> int:
     """Append metadata rows for compounds not yet stored; returns the count appended."""
     if new.isEmpty():
         raise ValidationError("compound batch is empty")
-    ensure_checkpoint_dir(new.sparkSession)
-    rows = append_if_absent(new, path, COMPOUND_KEY).checkpoint(eager=True)
-    n = rows.count()
-    if n:
-        rows.write.mode("append").parquet(path)
-    return n
+    return _append(append_if_absent(new, path, COMPOUND_KEY), path)
 
 
 def append_new_signatures(new: DataFrame, path: str, threshold: float = config.Z_THRESHOLD) -> int:
@@ -83,11 +94,6 @@ def append_new_signatures(new: DataFrame, path: str, threshold: float = config.Z
     (compound, signature, gene) rows; returns the count appended."""
     if new.isEmpty():
         raise ValidationError("signature batch is empty")
-    ensure_checkpoint_dir(new.sparkSession)
     flagged = new.select("pert_iname", "sig_id", "pr_gene_symbol", F.col("z_score").cast("double").alias("z_score"),
                          significance_flag("z_score", threshold).alias("is_significant"))
-    rows = append_if_absent(flagged, path, SIGNATURE_KEY).checkpoint(eager=True)
-    n = rows.count()
-    if n:
-        rows.write.mode("append").parquet(path)
-    return n
+    return _append(append_if_absent(flagged, path, SIGNATURE_KEY), path)
