@@ -24,6 +24,18 @@ def document_tokens(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.explode(F.split(F.lower(F.col("text")), TOKEN_SPLIT)).alias("token"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy row work (regex over whole texts) every core.
+
+    A scan yields as many partitions as it has splits/row groups; when that
+    is fewer than the cluster's parallelism (a few large files), rows are
+    redistributed first. A scan that already has enough partitions — the
+    normal case on large inputs — is left alone, so no text is shuffled.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def document_frequency(documents: DataFrame) -> DataFrame:
     """Inverted-index statistic: ``(token, n_docs)`` = distinct documents per token.
 
@@ -34,7 +46,7 @@ def document_frequency(documents: DataFrame) -> DataFrame:
     (see ``sources.store.corpus_index``); every literature lookup is then a
     join of its term list with this table.
     """
-    tokens = documents.select("doc_id", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), TOKEN_SPLIT)))
+    tokens = spread(documents).select("doc_id", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), TOKEN_SPLIT)))
                               .alias("token")).where(F.col("token") != "")
     return tokens.groupBy("token").agg(F.countDistinct("doc_id").alias("n_docs"))
 

@@ -70,7 +70,7 @@ def _read_manifest(spark: SparkSession, root: str, tables=ALL_TABLES) -> dict[st
     return got if set(got) >= set(tables) else None
 
 
-def land_tables(spark: SparkSession, sf_dir: str, root: str) -> dict[str, int]:
+def land_tables(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Write the bound inputs, then the phase-1 outputs computed from the files."""
     inputs = bind_inputs(spark, sf_dir)
     for name in INPUT_TABLES:
@@ -79,11 +79,9 @@ def land_tables(spark: SparkSession, sf_dir: str, root: str) -> dict[str, int]:
     phase1 = build_signatures(landed)
     _write(phase1.genetic_signatures, f"{root}/genetic_signatures", "genetic_signatures")
     _write(phase1.compound_metadata, f"{root}/compound_metadata", "compound_metadata")
-    # Row counts come from the written files' footers (cheap metadata reads).
-    counts = {name: spark.read.parquet(f"{root}/{name}").count() for name in ALL_TABLES}
-    spark.createDataFrame(list(counts.items()), _MANIFEST_SCHEMA).coalesce(1) \
+    # Written last: its presence marks the set complete.
+    spark.createDataFrame([(name, None) for name in ALL_TABLES], _MANIFEST_SCHEMA).coalesce(1) \
         .write.mode("overwrite").parquet(f"{root}/_manifest")
-    return counts
 
 
 def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
@@ -120,8 +118,7 @@ def corpus_index(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Dat
     if rebuild or _read_manifest(spark, root, ("document_frequency",)) is None:
         index = document_frequency(raw_table(spark, sf_dir, "documents"))
         index.sortWithinPartitions("token").write.mode("overwrite").parquet(f"{root}/document_frequency")
-        n = spark.read.parquet(f"{root}/document_frequency").count()
-        spark.createDataFrame([("document_frequency", n)], _MANIFEST_SCHEMA).write.mode("overwrite") \
+        spark.createDataFrame([("document_frequency", None)], _MANIFEST_SCHEMA).write.mode("overwrite") \
             .parquet(f"{root}/_manifest")
     df = spark.read.parquet(f"{root}/document_frequency")
     _cache[key] = {"document_frequency": df}
