@@ -72,14 +72,25 @@ def append_if_absent(new: DataFrame, path: str, keys: Sequence[str]) -> DataFram
     return batch if stored is None else batch.join(stored, keys, "left_anti")
 
 
-def _append(rows: DataFrame, path: str) -> int:
+def _append(rows: DataFrame, path: str, count: bool = True) -> int | None:
     """One job: the anti join reads the files listed at planning time and
     appends new files, so the stored table is read and extended in a single
     pass; the count is the difference of the footer row counts."""
     spark = rows.sparkSession
-    before = _stored_rows(spark, path)
+    before = _stored_rows(spark, path) if count else 0
     rows.write.mode("append").parquet(path)
-    return _stored_rows(spark, path) - before
+    return _stored_rows(spark, path) - before if count else None
+
+
+def _flag(new: DataFrame, threshold: float) -> DataFrame:
+    return new.select("pert_iname", "sig_id", "pr_gene_symbol", F.col("z_score").cast("double").alias("z_score"),
+                      significance_flag("z_score", threshold).alias("is_significant"))
+
+
+def append_signature_batch(batch: DataFrame, path: str, threshold: float = config.Z_THRESHOLD) -> None:
+    """A9 for a stream micro-batch: no emptiness check and no counts (an
+    empty batch appends nothing; a replayed batch appends nothing)."""
+    _append(append_if_absent(_flag(batch, threshold), path, SIGNATURE_KEY), path, count=False)
 
 
 def append_new_compounds(new: DataFrame, path: str) -> int:
@@ -94,6 +105,4 @@ def append_new_signatures(new: DataFrame, path: str, threshold: float = config.Z
     (compound, signature, gene) rows; returns the count appended."""
     if new.isEmpty():
         raise ValidationError("signature batch is empty")
-    flagged = new.select("pert_iname", "sig_id", "pr_gene_symbol", F.col("z_score").cast("double").alias("z_score"),
-                         significance_flag("z_score", threshold).alias("is_significant"))
-    return _append(append_if_absent(flagged, path, SIGNATURE_KEY), path)
+    return _append(append_if_absent(_flag(new, threshold), path, SIGNATURE_KEY), path)

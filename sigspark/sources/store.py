@@ -25,10 +25,14 @@ from sigspark.plans.literature import document_frequency
 from sigspark.session import scratch_root
 from sigspark.sources.binding import bind_inputs
 
-FORMAT_VERSION = "3"
+FORMAT_VERSION = "4"
 INPUT_TABLES = ("gene_info", "sig_info", "pert_info", "repurposing", "matrix_long")
+# Inputs derived from the large fact table are landed; the three small
+# dimension views (a distinct over ``part``, two projections of ``supplier``)
+# are cheaper to re-derive on use than to write and re-read.
+LANDED_INPUTS = ("sig_info", "matrix_long")
 OUTPUT_TABLES = ("genetic_signatures", "compound_metadata")
-ALL_TABLES = INPUT_TABLES + OUTPUT_TABLES
+ALL_TABLES = LANDED_INPUTS + OUTPUT_TABLES
 
 # Sort keys inside each written file: min/max statistics then skip row groups
 # for per-compound lookups. No range partitioning, so a hot compound cannot
@@ -70,12 +74,18 @@ def _read_manifest(spark: SparkSession, root: str, tables=ALL_TABLES) -> dict[st
     return got if set(got) >= set(tables) else None
 
 
+def _inputs(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
+    bound = bind_inputs(spark, sf_dir)
+    return {name: spark.read.parquet(f"{root}/{name}") if name in LANDED_INPUTS else bound[name]
+            for name in INPUT_TABLES}
+
+
 def land_tables(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write the bound inputs, then the phase-1 outputs computed from the files."""
+    """Write the large bound inputs, then the phase-1 outputs computed from them."""
     inputs = bind_inputs(spark, sf_dir)
-    for name in INPUT_TABLES:
+    for name in LANDED_INPUTS:
         _write(inputs[name], f"{root}/{name}", name)
-    landed = {name: spark.read.parquet(f"{root}/{name}") for name in INPUT_TABLES}
+    landed = _inputs(spark, sf_dir, root)
     phase1 = build_signatures(landed)
     _write(phase1.genetic_signatures, f"{root}/genetic_signatures", "genetic_signatures")
     _write(phase1.compound_metadata, f"{root}/compound_metadata", "compound_metadata")
@@ -96,7 +106,8 @@ def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
         root = f"{base}/{_fingerprint(sf_dir)}" if not rebuild else f"{base}/fresh-{uuid.uuid4().hex[:12]}"
     if rebuild or _read_manifest(spark, root) is None:
         land_tables(spark, sf_dir, root)
-    tables = {name: spark.read.parquet(f"{root}/{name}") for name in ALL_TABLES}
+    tables = {**_inputs(spark, sf_dir, root),
+              **{name: spark.read.parquet(f"{root}/{name}") for name in OUTPUT_TABLES}}
     _cache[key] = tables
     return tables
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sigspark.sources.sinks import append_new_signatures
+from sigspark.sources.sinks import append_signature_batch
 
 SIGNATURE_SCHEMA = T.StructType([
     T.StructField("pert_iname", T.StringType()),
@@ -32,8 +32,7 @@ def start_signature_stream(spark: SparkSession, source_dir: str, target_path: st
     stream = reader.parquet(source_dir)
 
     def ingest(batch: DataFrame, epoch_id: int) -> None:
-        if not batch.isEmpty():
-            append_new_signatures(batch, target_path)
+        append_signature_batch(batch, target_path)
 
     writer = stream.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
