@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigspark import config
+from sigspark.functions.literals import literal_rows
 from sigspark.operators.joins import build_compound_metadata, combine_metadata
 from sigspark.operators.reshape import filter_by_z_score, landmark_genes, significance_flag, target_signatures
 
@@ -76,4 +77,4 @@ def pipeline_summary(spark: SparkSession, steps: dict[str, tuple[str, callable]]
             rows.append((phase, output, int(n), round(time.perf_counter() - t0, 3), "ok"))
         except Exception as exc:  # a failed phase is reported, later phases still run
             rows.append((phase, output, None, round(time.perf_counter() - t0, 3), f"failed: {type(exc).__name__}"))
-    return spark.createDataFrame(rows, RUN_SUMMARY_SCHEMA)
+    return literal_rows(spark, rows, RUN_SUMMARY_SCHEMA)

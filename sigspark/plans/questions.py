@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from sigspark import config
 from sigspark.functions.columns import compound_category, gene_function
+from sigspark.functions.literals import literal_rows
 from sigspark.operators.joins import fact_dim_join
 
 
@@ -374,7 +375,7 @@ def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CO
     n_k = known.select("pert_iname").distinct().count()
     spark = gs.sparkSession
     if n_u == 0 or n_k == 0:
-        return spark.createDataFrame([], _TRANSFER_SCHEMA + ", predicted_moa string")
+        return literal_rows(spark, [], _TRANSFER_SCHEMA + ", predicted_moa string")
     nbu, nbk = max(1, math.ceil(n_u / block_size)), max(1, math.ceil(n_k / block_size))
     u = (unknown.withColumn("ub", F.pmod(F.xxhash64("pert_iname"), F.lit(nbu)))
          .withColumn("kb", F.explode(F.sequence(F.lit(0), F.lit(nbk - 1)))))

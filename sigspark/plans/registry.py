@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from sigspark.errors import ValidationError
 from sigspark.functions import columns as Fc
 from sigspark.functions.batch import batch_map, execute_query
+from sigspark.functions.literals import literal_rows
 from sigspark.operators import joins as Cj
 from sigspark.operators import quality as D
 from sigspark.operators import reshape as B
@@ -72,11 +73,11 @@ def _fresh_dir(spark: SparkSession, what: str) -> str:
 
 def _disease(spark: SparkSession) -> DataFrame:
     """E1g parameter: a two-gene disease signature (gene, direction in disease)."""
-    return spark.createDataFrame([(G1, 1), (G2, -1)], "pr_gene_symbol string, direction int")
+    return literal_rows(spark, [(G1, 1), (G2, -1)], "pr_gene_symbol string, direction int")
 
 
 def _genes(spark: SparkSession, genes) -> DataFrame:
-    return spark.createDataFrame([(g,) for g in genes], "pr_gene_symbol string")
+    return literal_rows(spark, [(g,) for g in genes], "pr_gene_symbol string")
 
 
 def _expression(t: dict[str, DataFrame]) -> DataFrame:
@@ -116,7 +117,7 @@ def _read_commented_tsv(spark, sf_dir):
     rep = _tables(spark, sf_dir)["repurposing"]
     path = _fresh_dir(spark, "repurposing-tsv")
     rep.write.option("sep", "\t").option("header", True).csv(path)
-    notes = spark.createDataFrame([("!mechanism list: pert_iname, moa, target",), ("!landed copy",)], "value string")
+    notes = literal_rows(spark, [("!mechanism list: pert_iname, moa, target",), ("!landed copy",)], "value string")
     notes.write.mode("append").text(path)
     return A.read_commented_tsv(spark, path)
 
@@ -251,7 +252,7 @@ def _benchmark_terms(spark, sf_dir):
 
 
 def _lit_terms(spark, sf_dir):
-    terms = spark.createDataFrame([(t,) for t in LITERATURE_TERMS], "term string")
+    terms = literal_rows(spark, [(t,) for t in LITERATURE_TERMS], "term string")
     return Lit.literature_counts(corpus_index(spark, sf_dir), terms)
 
 

@@ -20,6 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from sigspark.functions.literals import literal_rows
 from sigspark.plans.jobs import build_signatures
 from sigspark.plans.literature import document_frequency
 from sigspark.session import scratch_root
@@ -90,7 +91,7 @@ def land_tables(spark: SparkSession, sf_dir: str, root: str) -> None:
     _write(phase1.genetic_signatures, f"{root}/genetic_signatures", "genetic_signatures")
     _write(phase1.compound_metadata, f"{root}/compound_metadata", "compound_metadata")
     # Written last: its presence marks the set complete.
-    spark.createDataFrame([(name, None) for name in ALL_TABLES], _MANIFEST_SCHEMA).coalesce(1) \
+    literal_rows(spark, [(name, None) for name in ALL_TABLES], _MANIFEST_SCHEMA) \
         .write.mode("overwrite").parquet(f"{root}/_manifest")
 
 
@@ -129,7 +130,7 @@ def corpus_index(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Dat
     if rebuild or _read_manifest(spark, root, ("document_frequency",)) is None:
         index = document_frequency(raw_table(spark, sf_dir, "documents"))
         index.sortWithinPartitions("token").write.mode("overwrite").parquet(f"{root}/document_frequency")
-        spark.createDataFrame([("document_frequency", None)], _MANIFEST_SCHEMA).write.mode("overwrite") \
+        literal_rows(spark, [("document_frequency", None)], _MANIFEST_SCHEMA).write.mode("overwrite") \
             .parquet(f"{root}/_manifest")
     df = spark.read.parquet(f"{root}/document_frequency")
     _cache[key] = {"document_frequency": df}
