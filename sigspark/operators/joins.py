@@ -15,11 +15,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigspark.errors import ValidationError, require_columns
 from sigspark.operators.reshape import dedupe
+from sigspark.operators.stats import with_scalars
 
 COMPOUND_COLUMNS = ("pert_iname", "moa", "target", "canonical_smiles", "pubchem_cid")
 
@@ -67,15 +68,21 @@ def create_compound_metadata(pert_info: DataFrame, order_by: Sequence[str] | Non
 def orphaned_signatures(signatures: DataFrame, compound_metadata: DataFrame, null_aware: bool = True) -> DataFrame:
     """Signature rows whose compound is not in the metadata.
 
-    ``null_aware=True`` keeps SQL ``NOT IN`` semantics (a null metadata key
-    yields no rows), planned by Spark as a null-aware anti join;
-    ``False`` is a plain ``left_anti`` for keys proven non-null.
+    ``null_aware=True`` keeps SQL ``x NOT IN (keys)`` semantics exactly: an
+    empty key list keeps every row; a null among the keys keeps none; a null
+    ``x`` is dropped otherwise. It is computed as an ordinary ``left_anti``
+    equi-join plus a one-row (count, null count) flag, because Spark's own
+    null-aware anti join exists only as a broadcast hash join and otherwise
+    falls back to a nested-loop join. ``False`` is the plain ``left_anti``
+    for keys proven non-null.
     """
+    keys = compound_metadata.select("pert_iname")
     if not null_aware:
-        return signatures.join(compound_metadata.select("pert_iname"), "pert_iname", "left_anti")
-    spark = SparkSession.getActiveSession() or signatures.sparkSession
-    return spark.sql("select * from {gs} where pert_iname not in (select pert_iname from {cm})",
-                     gs=signatures, cm=compound_metadata)
+        return signatures.join(keys, "pert_iname", "left_anti")
+    anti = signatures.join(keys.where(F.col("pert_iname").isNotNull()), "pert_iname", "left_anti")
+    flags = keys.agg(F.count(F.lit(1)).alias("__keys"), F.sum(F.col("pert_iname").isNull().cast("long")).alias("__nulls"))
+    keep = (F.col("__keys") == 0) | ((F.coalesce(F.col("__nulls"), F.lit(0)) == 0) & F.col("pert_iname").isNotNull())
+    return with_scalars(anti, flags).where(keep).select(*signatures.columns)
 
 
 def merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",

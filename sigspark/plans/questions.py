@@ -29,6 +29,7 @@ from sigspark import config
 from sigspark.functions.columns import compound_category, gene_function
 from sigspark.functions.literals import literal_rows
 from sigspark.operators.joins import fact_dim_join
+from sigspark.operators.stats import exact_quantiles
 
 
 def _abs_z() -> Column:
@@ -209,12 +210,11 @@ def class_distribution(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = ("DD
                        min_avg: float = config.EXTREME_Z) -> DataFrame:
     """E8 rows with per-gene quartiles of ``avg_z`` and a class-member flag."""
     qc = class_validation(cm, gs, genes, min_avg)
-    quart = qc.groupBy("pr_gene_symbol").agg(
-        F.count(F.lit(1)).alias("gene_n"),
-        _r6(F.percentile("avg_z", 0.25)).alias("gene_q1"),
-        _r6(F.percentile("avg_z", 0.5)).alias("gene_median"),
-        _r6(F.percentile("avg_z", 0.75)).alias("gene_q3"))
-    return (qc.join(quart, "pr_gene_symbol", "inner")
+    counts = qc.groupBy("pr_gene_symbol").agg(F.count(F.lit(1)).alias("gene_n"))
+    quart = exact_quantiles(qc, "avg_z", [0.25, 0.5, 0.75], ["pr_gene_symbol"], ["__q1", "__q2", "__q3"]).select(
+        "pr_gene_symbol", _r6(F.col("__q1")).alias("gene_q1"), _r6(F.col("__q2")).alias("gene_median"),
+        _r6(F.col("__q3")).alias("gene_q3"))
+    return (qc.join(counts, "pr_gene_symbol", "inner").join(quart, "pr_gene_symbol", "inner")
             .withColumn("is_member", F.col("pert_iname").isin(list(members)))
             .select("pert_iname", "moa", "pr_gene_symbol", "avg_z", "is_member", "gene_n", "gene_q1",
                     "gene_median", "gene_q3"))

@@ -41,7 +41,9 @@ def read_matrix_tsv(spark: SparkSession, path: str, row_id: str = "gene_id", col
     cells = fields.where(~is_header).select(
         F.col("__f")[0].alias(row_id), F.posexplode(F.col("__f")).alias("__pos", "__raw")).where(F.col("__pos") > 0)
     raw = F.when(F.trim("__raw").isin(list(config.MISSING_TOKENS)), F.lit(None)).otherwise(F.col("__raw"))
-    return (cells.join(F.broadcast(names), "__pos", "inner")
+    # The header table has one row per column; Spark broadcasts it when its
+    # measured size allows (any realistic width) and shuffles otherwise.
+    return (cells.join(names, "__pos", "inner")
             .select(row_id, col_id, raw.try_cast("double").alias(value)))
 
 
