@@ -55,3 +55,45 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
     return root
+
+
+_MB = 1 << 20
+
+
+def sizing(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.2,
+           target_partition_mb: int = 256) -> dict[str, str]:
+    """Runtime SQL settings for a large run, sized from the input.
+
+    * shuffle partitions: enough for ``target_partition_mb`` per partition of
+      the expected shuffle volume (``shuffle_fraction`` of the input — the Z
+      filter and map-side aggregation shrink most plans well below the
+      scan), at least two waves of the cluster's cores; AQE then coalesces
+      small partitions and splits skewed ones;
+    * scan splits at the same target size so a task's input fits in memory;
+    * broadcast only below 64 MB, by measured size (static and AQE);
+    * skew-join splitting for partitions 5× the median and above the target.
+    """
+    target = target_partition_mb * _MB
+    shuffle_parts = max(2 * total_cores, -(-int(input_bytes * shuffle_fraction) // target))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.shuffle.partitions": str(min(shuffle_parts, 200_000)),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * _MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * _MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
+
+
+def configure(spark: SparkSession, input_bytes: int, total_cores: int | None = None, **kw) -> dict[str, str]:
+    """Apply ``sizing`` to a running session (all keys are runtime SQL settings)."""
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    conf = sizing(input_bytes, cores, **kw)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
