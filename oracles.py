@@ -537,6 +537,15 @@ group by t.term""", lit_terms="select * from (values " + ", ".join(f"({_lit(t)})
 select token, count(distinct doc_id) as n_docs
 from (select doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as token from documents) t
 where token <> '' group by token"""),
+    "literature_search": q(f"""
+select t.term as compound, count(p.doc_id) as publication_count,
+       coalesce(array_to_string(list_transform(list_slice(list_sort(list(p.doc_id) filter (where p.doc_id is not null)),
+                                                          1, 10), lambda x: cast(x as varchar)), ','), '') as pmids,
+       {_NOVELTY.replace('publication_count', 'count(p.doc_id)')} as status
+from (select term from bterms where term <> '') t
+left join (select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as token from documents) p
+  on p.token = t.term
+group by t.term""", **_BC),
     "research_maturity": q(f"select term, publication_count, {_maturity('publication_count')} as research_maturity from bc",
                            **_BC),
     "novelty_status": q(f"select term, publication_count, {_NOVELTY} as novelty_status from bc", **_BC),

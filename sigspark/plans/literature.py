@@ -11,7 +11,7 @@ library.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigspark.functions.columns import novelty_status, research_maturity, risk_level
@@ -36,19 +36,25 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
-def document_frequency(documents: DataFrame) -> DataFrame:
-    """Inverted-index statistic: ``(token, n_docs)`` = distinct documents per token.
+def postings(documents: DataFrame) -> DataFrame:
+    """Inverted index: distinct ``(token, doc_id)`` over whole texts.
 
     Each document's tokens are de-duplicated in the row (``array_distinct``)
-    before the explode, then counted as a distinct aggregate on
-    (token, doc_id) — exact even if a doc_id repeats, and a token found in
-    every document is combined map-side. Built once per corpus and landed
-    (see ``sources.store.corpus_index``); every literature lookup is then a
-    join of its term list with this table.
+    before the explode; the distinct then only removes pairs of repeated
+    doc_ids, and a token found in every document is combined map-side.
     """
-    tokens = spread(documents).select("doc_id", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), TOKEN_SPLIT)))
-                              .alias("token")).where(F.col("token") != "")
-    return tokens.groupBy("token").agg(F.countDistinct("doc_id").alias("n_docs"))
+    tokens = spread(documents).select(
+        "doc_id", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), TOKEN_SPLIT))).alias("token"))
+    return tokens.where(F.col("token") != "").select("token", "doc_id").distinct()
+
+
+def document_frequency(postings_df: DataFrame) -> DataFrame:
+    """``(token, n_docs)``: distinct documents per token, from the postings.
+
+    Built once per corpus and landed (``sources.store.corpus_index``); every
+    literature count is then a join of its term list with this table.
+    """
+    return postings_df.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 # F5
@@ -70,6 +76,30 @@ def compound_literature(index: DataFrame, compounds: DataFrame) -> DataFrame:
             .withColumn("research_maturity", research_maturity("pubmed_papers")))
 
 
+def literature_search(postings_df: DataFrame, index: DataFrame, terms: DataFrame, term_col: str = "compound",
+                      max_results: int = 10) -> DataFrame:
+    """The search result per term: total count, the first ``max_results``
+    document ids (ascending, comma-joined as in the report CSV) and the
+    novelty status.
+
+    The id list is a top-k per term (``row_number() <= k``, limited per map
+    task before the shuffle), so a term found in every document still sends
+    only k ids per task; the count is the real total from the index.
+    """
+    t = terms.select(F.col(term_col).alias("token")).distinct()
+    w = Window.partitionBy("token").orderBy("doc_id")
+    first = (postings_df.join(t, "token", "left_semi").withColumn("__rn", F.row_number().over(w))
+             .where(F.col("__rn") <= max_results)
+             .groupBy("token").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")),
+                                                            lambda x: x.cast("string")), ",").alias("pmids")))
+    counts = literature_counts(index, t.withColumnRenamed("token", "term"), "term", "publication_count") \
+        .withColumnRenamed("term", "token")
+    return (counts.join(first, "token", "left")
+            .select(F.col("token").alias(term_col), "publication_count",
+                    F.coalesce(F.col("pmids"), F.lit("")).alias("pmids"),
+                    novelty_status("publication_count").alias("status")))
+
+
 # F6
 TITLE_RE = r"<h1[^>]*>([^<]*)</h1>"
 YEAR_RE = r"[0-9]{4}"

@@ -33,7 +33,7 @@ from sigspark.session import scratch_root
 from sigspark.sources import readers as A
 from sigspark.sources import sinks as S
 from sigspark.sources.binding import LITERATURE_TERMS, MARKER_GENES, REFERENCE_COMPOUND
-from sigspark.sources.store import INPUT_TABLES, corpus_index, raw_table, signature_tables
+from sigspark.sources.store import INPUT_TABLES, corpus_index, corpus_tables, raw_table, signature_tables
 from sigspark.streaming.append import stream_append_signatures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,6 +251,14 @@ def _benchmark_terms(spark, sf_dir):
     return Lit.literature_counts(corpus_index(spark, sf_dir), terms, "term", "publication_count")
 
 
+def _literature_search(spark, sf_dir):
+    c = corpus_tables(spark, sf_dir)
+    bench = raw_table(spark, sf_dir, "benchmark")
+    terms = Lit.document_tokens(bench.withColumnRenamed("item_id", "doc_id")).select(
+        F.col("token").alias("compound")).where(F.col("compound") != "").distinct()
+    return Lit.literature_search(c["postings"], c["document_frequency"], terms)
+
+
 def _lit_terms(spark, sf_dir):
     terms = literal_rows(spark, [(t,) for t in LITERATURE_TERMS], "term string")
     return Lit.literature_counts(corpus_index(spark, sf_dir), terms)
@@ -441,6 +449,7 @@ QUERIES: dict[str, Query] = {
     # F — literature and pages
     "document_frequency": lambda spark, d: corpus_index(spark, d),
     "literature_counts": _lit_terms,
+    "literature_search": _literature_search,
     "research_maturity": lambda spark, d: _benchmark_terms(spark, d).withColumn(
         "research_maturity", Fc.research_maturity("publication_count")),
     "novelty_status": lambda spark, d: _benchmark_terms(spark, d).withColumn(

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from sigspark.functions.literals import literal_rows
 from sigspark.plans.jobs import build_signatures
-from sigspark.plans.literature import document_frequency
+from sigspark.plans.literature import document_frequency, postings
 from sigspark.session import scratch_root
 from sigspark.sources.binding import bind_inputs
 
@@ -113,28 +113,42 @@ def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
     return tables
 
 
-def corpus_index(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
-    """The landed document-frequency table ``(token, n_docs)`` of ``documents``."""
-    sf_dir = sf_dir.rstrip("/")
-    key = (spark.sparkContext.applicationId, sf_dir, "corpus")
-    if not rebuild and key in _cache:
-        return _cache[key]["document_frequency"]
+def _corpus_root(spark: SparkSession, sf_dir: str, rebuild: bool) -> str:
     h = hashlib.sha1(f"{FORMAT_VERSION}|{os.path.abspath(sf_dir)}".encode())
     path = os.path.join(sf_dir, "documents.parquet")
     if os.path.exists(path):
         st = os.stat(path)
         h.update(f"|documents:{st.st_size}:{int(st.st_mtime)}".encode())
     root = f"{scratch_root(spark)}/sigspark-corpus/{h.hexdigest()[:16]}"
-    if rebuild:
-        root = f"{root}-fresh-{uuid.uuid4().hex[:12]}"
-    if rebuild or _read_manifest(spark, root, ("document_frequency",)) is None:
-        index = document_frequency(raw_table(spark, sf_dir, "documents"))
-        index.sortWithinPartitions("token").write.mode("overwrite").parquet(f"{root}/document_frequency")
-        literal_rows(spark, [("document_frequency", None)], _MANIFEST_SCHEMA).write.mode("overwrite") \
+    return f"{root}-fresh-{uuid.uuid4().hex[:12]}" if rebuild else root
+
+
+CORPUS_TABLES = ("postings", "document_frequency")
+
+
+def corpus_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> dict[str, DataFrame]:
+    """The landed inverted index of ``documents``: ``postings(token, doc_id)``
+    and ``document_frequency(token, n_docs)``; built once per corpus."""
+    sf_dir = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, sf_dir, "corpus")
+    if not rebuild and key in _cache:
+        return _cache[key]
+    root = _corpus_root(spark, sf_dir, rebuild)
+    if rebuild or _read_manifest(spark, root, CORPUS_TABLES) is None:
+        postings(raw_table(spark, sf_dir, "documents")).sortWithinPartitions("token", "doc_id") \
+            .write.mode("overwrite").parquet(f"{root}/postings")
+        document_frequency(spark.read.parquet(f"{root}/postings")).sortWithinPartitions("token") \
+            .write.mode("overwrite").parquet(f"{root}/document_frequency")
+        literal_rows(spark, [(t, None) for t in CORPUS_TABLES], _MANIFEST_SCHEMA).write.mode("overwrite") \
             .parquet(f"{root}/_manifest")
-    df = spark.read.parquet(f"{root}/document_frequency")
-    _cache[key] = {"document_frequency": df}
-    return df
+    tables = {t: spark.read.parquet(f"{root}/{t}") for t in CORPUS_TABLES}
+    _cache[key] = tables
+    return tables
+
+
+def corpus_index(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """The landed document-frequency table ``(token, n_docs)`` of ``documents``."""
+    return corpus_tables(spark, sf_dir, rebuild)["document_frequency"]
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
