@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -81,15 +82,25 @@ def _inputs(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]
             for name in INPUT_TABLES}
 
 
+def _write_all(jobs: list[tuple[DataFrame, str, str]]) -> None:
+    """Independent writes are submitted together (one driver thread each), so
+    a narrow scan of one does not leave the cluster idle."""
+    if len(jobs) == 1:
+        _write(*jobs[0])
+        return
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(_write, *job) for job in jobs]:
+            f.result()
+
+
 def land_tables(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Write the large bound inputs, then the phase-1 outputs computed from them."""
     inputs = bind_inputs(spark, sf_dir)
-    for name in LANDED_INPUTS:
-        _write(inputs[name], f"{root}/{name}", name)
+    _write_all([(inputs[name], f"{root}/{name}", name) for name in LANDED_INPUTS])
     landed = _inputs(spark, sf_dir, root)
     phase1 = build_signatures(landed)
-    _write(phase1.genetic_signatures, f"{root}/genetic_signatures", "genetic_signatures")
-    _write(phase1.compound_metadata, f"{root}/compound_metadata", "compound_metadata")
+    _write_all([(phase1.genetic_signatures, f"{root}/genetic_signatures", "genetic_signatures"),
+                (phase1.compound_metadata, f"{root}/compound_metadata", "compound_metadata")])
     # Written last: its presence marks the set complete.
     literal_rows(spark, [(name, None) for name in ALL_TABLES], _MANIFEST_SCHEMA) \
         .write.mode("overwrite").parquet(f"{root}/_manifest")
