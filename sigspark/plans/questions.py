@@ -363,7 +363,7 @@ def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CO
     runs in numpy. Per-task memory is bounded by the block sizes and the
     gene universe; no (compound, compound) row is ever materialised, so a
     gene shared by every compound costs nothing extra. Block counts come from
-    two distinct counts.
+    one aggregate of the two distinct compound counts.
     """
     import math
 
@@ -371,8 +371,9 @@ def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CO
                                                                          "left_semi")
     pairs = strong.select("pert_iname", "pr_gene_symbol").distinct()
     unknown, known = pairs.where(_is_unknown()), pairs.where(~_is_unknown())
-    n_u = unknown.select("pert_iname").distinct().count()
-    n_k = known.select("pert_iname").distinct().count()
+    sizes = pairs.agg(F.countDistinct(F.when(_is_unknown(), F.col("pert_iname"))).alias("u"),
+                      F.countDistinct(F.when(~_is_unknown(), F.col("pert_iname"))).alias("k")).first()
+    n_u, n_k = sizes["u"], sizes["k"]
     spark = gs.sparkSession
     if n_u == 0 or n_k == 0:
         return literal_rows(spark, [], _TRANSFER_SCHEMA + ", predicted_moa string")
