@@ -13,12 +13,12 @@ manifest written last marks it complete, so a half-written set is rebuilt.
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigspark.functions.literals import literal_rows
@@ -51,13 +51,16 @@ _MANIFEST_SCHEMA = T.StructType([T.StructField("table", T.StringType()), T.Struc
 _cache: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(f"{FORMAT_VERSION}|{os.path.abspath(sf_dir)}".encode())
-    for name in ("supplier", "part", "lineitem"):
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(path):
-            st = os.stat(path)
-            h.update(f"|{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+def _fingerprint(spark: SparkSession, sf_dir: str, names) -> str:
+    """Identity of the input files: path, count, total bytes and newest
+    modification time, read as file metadata through the ``binaryFile``
+    source (content is pruned), so it works on any Hadoop filesystem."""
+    h = hashlib.sha1(f"{FORMAT_VERSION}|{sf_dir}".encode())
+    for name in names:
+        meta = (spark.read.format("binaryFile").load(f"{sf_dir}/{name}.parquet")
+                .agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
+                     F.max("modificationTime").cast("string").alias("mtime")).first())
+        h.update(f"|{name}:{meta['n']}:{meta['bytes']}:{meta['mtime']}".encode())
     return h.hexdigest()[:16]
 
 
@@ -115,7 +118,8 @@ def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
         return _cache[key]
     if root is None:
         base = f"{scratch_root(spark)}/sigspark-tables"
-        root = f"{base}/{_fingerprint(sf_dir)}" if not rebuild else f"{base}/fresh-{uuid.uuid4().hex[:12]}"
+        root = (f"{base}/{_fingerprint(spark, sf_dir, ('supplier', 'part', 'lineitem'))}" if not rebuild
+                else f"{base}/fresh-{uuid.uuid4().hex[:12]}")
     if rebuild or _read_manifest(spark, root) is None:
         land_tables(spark, sf_dir, root)
     tables = {**_inputs(spark, sf_dir, root),
@@ -125,12 +129,7 @@ def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
 
 
 def _corpus_root(spark: SparkSession, sf_dir: str, rebuild: bool) -> str:
-    h = hashlib.sha1(f"{FORMAT_VERSION}|{os.path.abspath(sf_dir)}".encode())
-    path = os.path.join(sf_dir, "documents.parquet")
-    if os.path.exists(path):
-        st = os.stat(path)
-        h.update(f"|documents:{st.st_size}:{int(st.st_mtime)}".encode())
-    root = f"{scratch_root(spark)}/sigspark-corpus/{h.hexdigest()[:16]}"
+    root = f"{scratch_root(spark)}/sigspark-corpus/{_fingerprint(spark, sf_dir, ('documents',))}"
     return f"{root}-fresh-{uuid.uuid4().hex[:12]}" if rebuild else root
 
 
