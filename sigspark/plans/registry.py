@@ -96,12 +96,9 @@ def _risk_filter_genes(spark, sf_dir):
 
 # ---------------------------------------------------------------- A: sources and sinks
 def _read_matrix_tsv(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    m = t["matrix_long"]
-    genes = sorted(r["gene_id"] for r in m.select("gene_id").distinct().collect())  # pivot labels: gene universe
-    wide = m.groupBy("sig_id").pivot("gene_id", genes).agg(F.first("z_score"))
-    path = _fresh_dir(spark, "matrix-tsv")
-    wide.write.option("sep", "\t").option("header", True).csv(path)
+    """Land the matrix in the wide TSV format, then read it back with A1."""
+    m = _tables(spark, sf_dir)["matrix_long"]
+    path = S.write_matrix_tsv(m, _fresh_dir(spark, "matrix-tsv"), row_id="sig_id", col_id="gene_id")
     long = A.read_matrix_tsv(spark, path, row_id="sig_id", col_id="gene_id", value="z_score")
     return long.where(F.col("z_score").isNotNull()).select("gene_id", "sig_id", "z_score")
 

@@ -242,3 +242,14 @@ def test_classification_metrics_match_sklearn_formulas(spark):
     f1 = (2 * (2 * 0.5 * 0.5 / 1.0) + 2 * (2 * (2 / 3) * 1 / (2 / 3 + 1))) / 5
     assert row["f1_weighted"] == pytest.approx(round(f1, 6))
     assert not math.isnan(row["f1_weighted"])
+
+
+def test_matrix_tsv_round_trip_with_missing_cell(spark, scratch):
+    from sigspark.sources.readers import read_matrix_tsv
+    from sigspark.sources.sinks import write_matrix_tsv
+
+    long = spark.createDataFrame([("s1", "gA", 1.25), ("s1", "gB", -3.0), ("s2", "gB", 1e-4)],
+                                 "sig_id string, gene_id string, z_score double")
+    path = write_matrix_tsv(long, f"{scratch}/wide")
+    back = {(r["sig_id"], r["gene_id"]): r["z_score"] for r in read_matrix_tsv(spark, path, "sig_id", "gene_id").collect()}
+    assert back == {("s1", "gA"): 1.25, ("s1", "gB"): -3.0, ("s2", "gA"): None, ("s2", "gB"): 1e-4}
