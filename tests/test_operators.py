@@ -253,3 +253,27 @@ def test_matrix_tsv_round_trip_with_missing_cell(spark, scratch):
     path = write_matrix_tsv(long, f"{scratch}/wide")
     back = {(r["sig_id"], r["gene_id"]): r["z_score"] for r in read_matrix_tsv(spark, path, "sig_id", "gene_id").collect()}
     assert back == {("s1", "gA"): 1.25, ("s1", "gB"): -3.0, ("s2", "gA"): None, ("s2", "gB"): 1e-4}
+
+
+def test_batch_map_slices_rows(spark):
+    from sigspark.functions.batch import batch_map
+
+    df = spark.range(0, 1000, numPartitions=2).selectExpr("id", "cast(id as double) as z_score")
+
+    def tag(pdf):
+        return pdf.assign(n=len(pdf))[["id", "n"]]
+
+    out = batch_map(df, tag, "id long, n long", batch_size=64).toPandas()
+    assert len(out) == 1000 and out["n"].max() <= 64
+
+
+def test_registry_unknown_name_and_missing_inputs(spark, scratch):
+    from sigspark import ValidationError
+    from sigspark.plans.registry import run_business_query
+    from sigspark.sources.readers import require_inputs
+
+    with pytest.raises(ValidationError):
+        run_business_query(spark, "no_such_question", "/root/testdata/sf0.001")
+    with pytest.raises(ValidationError):
+        require_inputs(spark, ["/root/testdata/sf0.001/lineitem.parquet", f"{scratch}/absent.tsv.gz"])
+    require_inputs(spark, ["/root/testdata/sf0.001/lineitem.parquet"])
