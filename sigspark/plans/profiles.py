@@ -34,15 +34,18 @@ def profile_forest(features: DataFrame, trees: int = 100, seed: int = 42, max_de
     labelled = profile_rules(features).fillna(0, subset=list(FEATURES)).fillna(0.0, subset=list(FEATURES))
     labelled = labelled.select("pert_iname", *[F.col(c).cast("double").alias(c) for c in FEATURES],
                                F.col("clinical_profile").alias("rule_profile"))
-    # One row per compound, read by four fits and the scoring pass: keep it
-    # instead of re-aggregating the signatures each time.
-    labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
+    # One row per compound, read by the three fits: held only while fitting
+    # (the returned frame re-derives it lazily when it is executed).
+    held = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     indexer = StringIndexer(inputCol="rule_profile", outputCol="label", stringOrderType="alphabetAsc")
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="raw_features")
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
     forest = RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=max_depth, labelCol="label",
                                     featuresCol="features", maxMemoryInMB=1024)
-    model = Pipeline(stages=[indexer, assembler, scaler, forest]).fit(labelled)
+    try:
+        model = Pipeline(stages=[indexer, assembler, scaler, forest]).fit(held)
+    finally:
+        held.unpersist()
     scored = model.transform(labelled)
     back = IndexToString(inputCol="prediction", outputCol="clinical_profile", labels=model.stages[0].labels)
     return back.transform(scored).select("pert_iname", *FEATURES, "rule_profile", "clinical_profile")
