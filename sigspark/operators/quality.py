@@ -1,7 +1,7 @@
 """Data quality, statistics, outliers and normalisation (inventory D1–D18).
 
 Whole-table scalars (mean, std, min, max, quartiles) are computed once as a
-one-row aggregate and attached with ``with_scalars`` (a one-row broadcast),
+one-row aggregate and attached with ``with_scalars`` (scalar subqueries),
 never with a single-partition window. Quartiles are exact and distributed
 (``exact_quantiles``); ``approx=True`` switches to ``percentile_approx``.
 """

@@ -12,8 +12,8 @@
   ``(n-1)·p``, and linear interpolation between them reproduces numpy /
   ``percentile_cont``. No task ever holds a whole group, unlike the
   ``percentile`` aggregate whose final merge runs in one task per group.
-* ``with_scalars`` attaches a one-row aggregate to every row through an
-  equi-join on a constant key (a broadcast of exactly one row).
+* ``with_scalars`` attaches a one-row aggregate to every row as scalar
+  subqueries (computed once, no join).
 """
 
 from __future__ import annotations
@@ -29,10 +29,14 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame to every row of ``df``."""
-    key = "__scalar_key"
-    return (df.withColumn(key, F.lit(1))
-            .join(F.broadcast(scalars.withColumn(key, F.lit(1))), key, "inner").drop(key))
+    """Attach the columns of a one-row frame to every row of ``df``.
+
+    Each column becomes a scalar subquery (``DataFrame.scalar()``): Spark
+    computes the one-row aggregate once (several columns of the same
+    aggregate are merged into one subquery) and substitutes the value — no
+    join, no broadcast of a table.
+    """
+    return df.select("*", *[scalars.select(c).scalar().alias(c) for c in scalars.columns])
 
 
 def sequence_index(df: DataFrame, order_by: Sequence[Column | str], name: str = "index",
