@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigspark import config
@@ -394,10 +394,8 @@ def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CO
     per_block = (u.select("ub", "kb", *cols).groupBy("ub", "kb")
                  .cogroup(k.groupBy("k_ub", "k_kb"))
                  .applyInPandas(score, _TRANSFER_SCHEMA))
-    best = (per_block.groupBy("pert_iname")
-            .agg(F.min_by(F.struct("best_match", "shared_genes"),
-                          F.struct(-F.col("shared_genes"), F.col("best_match"))).alias("b"))
-            .select("pert_iname", F.col("b.best_match").alias("best_match"),
-                    F.col("b.shared_genes").alias("shared_genes")))
+    # One candidate per (unknown compound, known block): keep the best across blocks.
+    order = Window.partitionBy("pert_iname").orderBy(F.col("shared_genes").desc(), F.col("best_match"))
+    best = per_block.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") == 1).drop("__rn")
     moa = cm.select(F.col("pert_iname").alias("best_match"), F.col("moa").alias("predicted_moa"))
     return best.join(moa, "best_match", "left").select("pert_iname", "best_match", "shared_genes", "predicted_moa")
