@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigspark import config
@@ -112,27 +112,27 @@ def write_matrix_tsv(long: DataFrame, path: str, row_id: str = "sig_id", col_id:
                      value: str = "z_score", sep: str = "\t") -> str:
     """Long ``(row_id, col_id, value)`` → wide TSV text (the A1 input format).
 
-    Column positions come from the distributed row index over the distinct
-    column ids; each output row gathers its own cells (bounded by the matrix
-    width) into a position map and renders every column in header order
-    (missing cells empty). The header is one line built by an aggregate; the
-    A1 reader recognises it by content, so it may sit in any part file.
-    Nothing passes through the driver except the column count.
+    Column positions rank the distinct column ids (the header's own content,
+    so width-sized by construction); each output row gathers its cells
+    (bounded by the width) into a position map and renders every column in
+    header order, missing cells empty. Only the column count reaches the
+    driver. The header
+    is one line built by an aggregate; the A1 reader recognises it by
+    content, so it may sit in any part file.
     """
-    from sigspark.operators.stats import sequence_index
-
-    columns = sequence_index(long.select(col_id).distinct(), [col_id], "__pos")
-    width = columns.count()
+    columns = long.select(col_id).distinct()
+    positioned = columns.select(col_id, (F.row_number().over(Window.orderBy(col_id)) - 1).alias("__pos"))
+    width = columns.count()  # one integer (a subquery cannot feed the higher-order function below)
+    rows = long.join(positioned, col_id, "inner").groupBy(row_id).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("__pos"), F.col(value).cast("string")))).alias("__m"))
     if width == 0:
         raise ValidationError("matrix has no columns")
-    cells = long.join(columns, col_id, "inner")
-    rows = cells.groupBy(row_id).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("__pos"), F.col(value).cast("string")))).alias("__m"))
-    positions = F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))
+    positions = F.sequence(F.lit(0), F.lit(width - 1))
     line = F.concat_ws(sep, F.col(row_id).cast("string"),
                        F.transform(positions, lambda i: F.coalesce(F.element_at(F.col("__m"), i), F.lit(""))))
-    header = columns.agg(F.array_sort(F.collect_list(F.struct(F.col("__pos"), F.col(col_id).cast("string").alias("name"))))
-                         .alias("__h")).select(
+    header = positioned.agg(
+        F.array_sort(F.collect_list(F.struct(F.col("__pos"), F.col(col_id).cast("string").alias("name"))))
+        .alias("__h")).select(
         F.concat_ws(sep, F.lit(row_id), F.transform("__h", lambda x: x.getField("name"))).alias("value"))
     header.unionByName(rows.select(line.alias("value"))).write.mode("overwrite").text(path)
     return path
