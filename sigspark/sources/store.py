@@ -96,15 +96,27 @@ def _write_all(jobs: list[tuple[DataFrame, str, str]]) -> None:
             f.result()
 
 
+def write_phase1(spark: SparkSession, inputs: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """K1 on real inputs: compute the significant signatures and compound
+    metadata from the five input DataFrames and write them under ``root``.
+
+    This is the production path: the matrix is read where it lies (two
+    passes — the |Z|-filtered rows, and the compound-presence projection,
+    which reads only the id columns) and only the outputs are written.
+    """
+    phase1 = build_signatures(inputs)
+    _write_all([(phase1.genetic_signatures, f"{root}/genetic_signatures", "genetic_signatures"),
+                (phase1.compound_metadata, f"{root}/compound_metadata", "compound_metadata")])
+    return {name: spark.read.parquet(f"{root}/{name}") for name in OUTPUT_TABLES}
+
+
 def land_tables(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write the large bound inputs, then the phase-1 outputs computed from them."""
+    """Test binding: the inputs are themselves joins over the driver tables,
+    so the two derived from the large fact table are written first; then
+    phase 1 runs on them and a manifest marks the set complete."""
     inputs = bind_inputs(spark, sf_dir)
     _write_all([(inputs[name], f"{root}/{name}", name) for name in LANDED_INPUTS])
-    landed = _inputs(spark, sf_dir, root)
-    phase1 = build_signatures(landed)
-    _write_all([(phase1.genetic_signatures, f"{root}/genetic_signatures", "genetic_signatures"),
-                (phase1.compound_metadata, f"{root}/compound_metadata", "compound_metadata")])
-    # Written last: its presence marks the set complete.
+    write_phase1(spark, _inputs(spark, sf_dir, root), root)
     literal_rows(spark, [(name, None) for name in ALL_TABLES], _MANIFEST_SCHEMA) \
         .write.mode("overwrite").parquet(f"{root}/_manifest")
 
