@@ -33,6 +33,13 @@ TARGET_DOSE_UNITS = ("µm", "µM")   # micro sign U+00B5, both cases
 TREATMENT_TYPE = "trt_cp"
 UNKNOWN_PREFIX = "BRD-"
 
+# --- fixed values (default question parameters) ---
+SINGLE_TARGET_GENE = "DDIT4"
+REVERSAL_GENES = ("DDIT4", "PSME1")
+REFERENCE_COMPOUND = "bortezomib"
+CLASS_MARKER_GENES = ("DDIT4", "HSPA5")
+CLASS_MEMBERS = ("bortezomib", "ixazomib", "MG-132")
+
 # --- fixed values (labels) ---
 PROFILE_PRECISION = "Precision_Lead"
 PROFILE_BROAD = "Broad_Spectrum"

@@ -58,7 +58,7 @@ def strongest_hits(cm: DataFrame, gs: DataFrame, n: int = 5) -> DataFrame:
 
 
 # E0b
-def single_target_up(cm: DataFrame, gs: DataFrame, gene: str = "DDIT4", threshold: float = config.Z_THRESHOLD,
+def single_target_up(cm: DataFrame, gs: DataFrame, gene: str = config.SINGLE_TARGET_GENE, threshold: float = config.Z_THRESHOLD,
                      n: int = 10) -> DataFrame:
     rows = gs.where((F.col("pr_gene_symbol") == gene) & (F.col("z_score") > F.lit(float(threshold))))
     j = rows.join(cm.select("pert_iname"), "pert_iname", "left_semi")
@@ -66,7 +66,7 @@ def single_target_up(cm: DataFrame, gs: DataFrame, gene: str = "DDIT4", threshol
 
 
 # E1
-def reversal_signature(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = ("DDIT4", "PSME1"),
+def reversal_signature(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = config.REVERSAL_GENES,
                        threshold: float = config.Z_THRESHOLD, n: int = 10) -> DataFrame:
     rows = gs.where(F.col("pr_gene_symbol").isin(list(genes)) & (F.col("z_score") > F.lit(float(threshold))))
     per = (rows.groupBy("pert_iname")
@@ -99,7 +99,7 @@ def reversal_general(cm: DataFrame, gs: DataFrame, disease: DataFrame,
 
 
 # E2
-def moa_mimics(cm: DataFrame, gs: DataFrame, reference: str = "bortezomib",
+def moa_mimics(cm: DataFrame, gs: DataFrame, reference: str = config.REFERENCE_COMPOUND,
                threshold: float = config.HIGH_CONFIDENCE_Z, n: int = 10) -> DataFrame:
     strong = gs.where(F.col("z_score") > F.lit(float(threshold)))
     ref_genes = strong.where(F.col("pert_iname") == reference).select("pr_gene_symbol").distinct()
@@ -118,7 +118,7 @@ def toxicity_extreme_hits(cm: DataFrame, gs: DataFrame, threshold: float = confi
 
 
 # E3b
-def safety_profile(cm: DataFrame, gs: DataFrame, compound: str = "bortezomib",
+def safety_profile(cm: DataFrame, gs: DataFrame, compound: str = config.REFERENCE_COMPOUND,
                    threshold: float = config.Z_THRESHOLD) -> DataFrame:
     rows = gs.where((F.col("pert_iname") == compound) & (_abs_z() >= F.lit(float(threshold))))
     rows = rows.join(cm.where(F.col("pert_iname") == compound).select("pert_iname"), "pert_iname", "left_semi")
@@ -194,7 +194,7 @@ def ideal_zone(cm: DataFrame, gs: DataFrame, max_genes: int = config.MAX_AFFECTE
 
 
 # E8
-def class_validation(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = ("DDIT4", "HSPA5"),
+def class_validation(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = config.CLASS_MARKER_GENES,
                      min_avg: float = config.EXTREME_Z) -> DataFrame:
     rows = gs.where(F.col("pr_gene_symbol").isin(list(genes)))
     per = (rows.groupBy("pert_iname", "pr_gene_symbol").agg(F.avg("z_score").alias("_avg"))
@@ -205,8 +205,8 @@ def class_validation(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = ("DDIT
 
 
 # E8b
-def class_distribution(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = ("DDIT4", "HSPA5"),
-                       members: Sequence[str] = ("bortezomib", "ixazomib", "MG-132"),
+def class_distribution(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = config.CLASS_MARKER_GENES,
+                       members: Sequence[str] = config.CLASS_MEMBERS,
                        min_avg: float = config.EXTREME_Z) -> DataFrame:
     """E8 rows with per-gene quartiles of ``avg_z`` and a class-member flag."""
     qc = class_validation(cm, gs, genes, min_avg)
