@@ -57,6 +57,16 @@ CATEGORY_SUPPRESSOR = "Targeted Suppressor"
 CATEGORY_ACTIVATOR = "Pathway Activator"
 CATEGORY_COMPLEX = "Complex Regulator"
 
+DRUG_TYPE_UNKNOWN = "Unknown (BRD Compound)"
+DRUG_TYPE_KNOWN = "Known/Approved Drug"
+
+NOVELTY_NOVEL = "novel"
+NOVELTY_ESTABLISHED = "established"
+NOVELTY_ERROR = "error"
+RISK_LOW = "LOW"
+RISK_MEDIUM = "MEDIUM"
+RISK_HIGH = "HIGH"
+
 MATURITY_ESTABLISHED = "Highly Established"
 MATURITY_EMERGING = "Emerging"
 MATURITY_NOVEL = "Novel IP (Unpatented)"

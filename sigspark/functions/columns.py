@@ -72,14 +72,15 @@ def research_maturity(count: Column | str = "pubmed_papers",
 def novelty_status(count: Column | str = "publication_count", threshold: int = config.NOVELTY_THRESHOLD) -> Column:
     """< threshold novel, else established; a failed lookup (-1 / null) is 'error'."""
     c = _col(count)
-    return (F.when(c.isNull() | (c < 0), "error").when(c < threshold, "novel").otherwise("established"))
+    return (F.when(c.isNull() | (c < 0), config.NOVELTY_ERROR).when(c < threshold, config.NOVELTY_NOVEL)
+            .otherwise(config.NOVELTY_ESTABLISHED))
 
 
 def risk_level(count: Column | str = "publication_count", low_above: int = config.RISK_LOW_ABOVE,
                medium_above: int = config.RISK_MEDIUM_ABOVE) -> Column:
     """> 50 LOW, > 10 MEDIUM, else HIGH."""
     c = _col(count)
-    return F.when(c > low_above, "LOW").when(c > medium_above, "MEDIUM").otherwise("HIGH")
+    return F.when(c > low_above, config.RISK_LOW).when(c > medium_above, config.RISK_MEDIUM).otherwise(config.RISK_HIGH)
 
 
 def format_scientific(value: Column | str, decimals: int = 2) -> Column:

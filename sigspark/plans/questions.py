@@ -171,7 +171,7 @@ def repurposing_efficiency(cm: DataFrame, gs: DataFrame, threshold: float = conf
 
 
 def _drug_type() -> Column:
-    return F.when(_is_unknown(), "Unknown (BRD Compound)").otherwise("Known/Approved Drug")
+    return F.when(_is_unknown(), config.DRUG_TYPE_UNKNOWN).otherwise(config.DRUG_TYPE_KNOWN)
 
 
 # E6b
