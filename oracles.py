@@ -340,6 +340,7 @@ having count(distinct s.pr_gene_symbol) = (select count(distinct pr_gene_symbol)
 ORACLE.update({
     # A
     "read_matrix_tsv": q("select gene_id, sig_id, z_score from matrix_long"),
+    "read_matrix_parquet": q("select gene_id, sig_id, z_score from matrix_long"),
     "read_metadata_tsv": q("select * from sig_info"),
     "read_commented_tsv": q("select * from repurposing"),
     "read_pruned": q("select sig_id, pert_iname, pert_itime from sig_info"),

@@ -103,6 +103,14 @@ def _read_matrix_tsv(spark, sf_dir):
     return long.where(F.col("z_score").isNotNull()).select("gene_id", "sig_id", "z_score")
 
 
+def _read_matrix_parquet(spark, sf_dir):
+    """Land the matrix as Parquet array rows, then read it back."""
+    m = _tables(spark, sf_dir)["matrix_long"]
+    path = S.write_matrix_arrays(m, _fresh_dir(spark, "matrix-arrays"), row_id="sig_id", col_id="gene_id")
+    long = A.read_matrix_arrays(spark, path, row_id="sig_id", col_id="gene_id", value="z_score")
+    return long.where(F.col("z_score").isNotNull()).select("gene_id", "sig_id", "z_score")
+
+
 def _read_metadata_tsv(spark, sf_dir):
     sig_info = _tables(spark, sf_dir)["sig_info"]
     path = _fresh_dir(spark, "sig-info-tsv")
@@ -340,6 +348,7 @@ def _t(name):
 QUERIES: dict[str, Query] = {
     # A — sources and sinks
     "read_matrix_tsv": _read_matrix_tsv,
+    "read_matrix_parquet": _read_matrix_parquet,
     "read_metadata_tsv": _read_metadata_tsv,
     "read_commented_tsv": _read_commented_tsv,
     "read_pruned": lambda spark, d: A.read_pruned(_tables(spark, d)["sig_info"], ["sig_id", "pert_iname", "pert_itime"]),

@@ -89,3 +89,15 @@ def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
     if missing:
         from sigspark.errors import ValidationError
         raise ValidationError(f"missing inputs: {missing}")
+
+
+def read_matrix_arrays(spark: SparkSession, path: str, row_id: str = "sig_id", col_id: str = "gene_id",
+                       value: str = "z_score") -> DataFrame:
+    """A1, Parquet form: ``rows(row_id, values array)`` + ``columns(__pos, col_id)``
+    → long ``(row_id, col_id, value)``, null cells kept. ``posexplode`` runs
+    per row inside the scan stage; the column table is width-sized and is
+    broadcast when its measured size allows."""
+    rows = spark.read.parquet(f"{path}/rows")
+    cols = spark.read.parquet(f"{path}/columns")
+    cells = rows.select(row_id, F.posexplode("values").alias("__pos", value))
+    return cells.join(cols, "__pos", "inner").select(row_id, col_id, value)

@@ -136,3 +136,25 @@ def write_matrix_tsv(long: DataFrame, path: str, row_id: str = "sig_id", col_id:
         F.concat_ws(sep, F.lit(row_id), F.transform("__h", lambda x: x.getField("name"))).alias("value"))
     header.unionByName(rows.select(line.alias("value"))).write.mode("overwrite").text(path)
     return path
+
+
+def write_matrix_arrays(long: DataFrame, path: str, row_id: str = "sig_id", col_id: str = "gene_id",
+                        value: str = "z_score") -> str:
+    """Long → dense Parquet matrix: ``rows(row_id, values array<double>)`` plus
+    ``columns(__pos, col_id)``. Missing cells are null array elements.
+
+    The wide form without a wide schema: each row is one array, positions
+    rank the distinct column ids (a width-sized table), and only the column
+    count reaches the driver.
+    """
+    positioned = long.select(col_id).distinct().select(
+        col_id, (F.row_number().over(Window.orderBy(col_id)) - 1).cast("int").alias("__pos"))
+    width = positioned.count()
+    if width == 0:
+        raise ValidationError("matrix has no columns")
+    rows = long.join(positioned, col_id, "inner").groupBy(row_id).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("__pos"), F.col(value).cast("double")))).alias("__m"))
+    values = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.element_at(F.col("__m"), i))
+    rows.select(row_id, values.alias("values")).write.mode("overwrite").parquet(f"{path}/rows")
+    positioned.write.mode("overwrite").parquet(f"{path}/columns")
+    return path

@@ -277,3 +277,14 @@ def test_registry_unknown_name_and_missing_inputs(spark, scratch):
     with pytest.raises(ValidationError):
         require_inputs(spark, ["/root/testdata/sf0.001/lineitem.parquet", f"{scratch}/absent.tsv.gz"])
     require_inputs(spark, ["/root/testdata/sf0.001/lineitem.parquet"])
+
+
+def test_matrix_arrays_round_trip_keeps_null_cells(spark, scratch):
+    from sigspark.sources.readers import read_matrix_arrays
+    from sigspark.sources.sinks import write_matrix_arrays
+
+    long = spark.createDataFrame([("s1", "gA", 1.25), ("s1", "gB", -3.0), ("s2", "gB", 1e-4)],
+                                 "sig_id string, gene_id string, z_score double")
+    path = write_matrix_arrays(long, f"{scratch}/arrays")
+    back = {(r["sig_id"], r["gene_id"]): r["z_score"] for r in read_matrix_arrays(spark, path).collect()}
+    assert back == {("s1", "gA"): 1.25, ("s1", "gB"): -3.0, ("s2", "gA"): None, ("s2", "gB"): 1e-4}
