@@ -204,6 +204,14 @@ join leads_top t on m.pert_iname = t.pert_iname join top7 g on s.pr_gene_symbol
 select m.pert_iname, m.moa, s.pr_gene_symbol, round(avg(s.z_score), 6) as mean_z from {J}
 join leads_top t on m.pert_iname = t.pert_iname join top7 g on s.pr_gene_symbol = g.pr_gene_symbol
 group by m.pert_iname, m.moa, s.pr_gene_symbol""", **_LEADS, top7=_TOP7),
+    "lead_fingerprint_pivot": q(f"""
+select * from (pivot (select m.pert_iname, s.pr_gene_symbol, s.z_score from {J}
+                      join leads_top t on t.pert_iname = m.pert_iname join top20 g on g.pr_gene_symbol = s.pr_gene_symbol)
+               on pr_gene_symbol using round(avg(z_score), 6) group by pert_iname) p""", **_LEADS, top20=_TOP20),
+    "final_matrix_pivot": q(f"""
+select * from (pivot (select m.pert_iname, s.pr_gene_symbol, s.z_score from {J}
+                      join leads_top t on m.pert_iname = t.pert_iname join top7 g on s.pr_gene_symbol = g.pr_gene_symbol)
+               on pr_gene_symbol using round(avg(z_score), 6) group by pert_iname) p""", **_LEADS, top7=_TOP7),
     "compound_category": q("""
 select pert_iname, moa,
   case when moa is null or moa = '' or moa = 'None' then 'Novel Mechanism'

@@ -274,6 +274,17 @@ def lead_fingerprint(cm: DataFrame, gs: DataFrame, n_genes: int = 20, leads: Dat
             .select("pert_iname", "pr_gene_symbol", _r6(F.col("_m")).alias("mean_z")))
 
 
+def lead_fingerprint_wide(cm: DataFrame, gs: DataFrame, n_genes: int = 20) -> DataFrame:
+    """E9c as the heatmap matrix: leads × top genes overall, mean Z.
+
+    Like the reference's pivot table, a column exists for each top gene that
+    some lead actually hits; those names (at most ``n_genes``) are fetched
+    to name the pivot columns."""
+    long = lead_fingerprint(cm, gs, n_genes)
+    genes = sorted(r["pr_gene_symbol"] for r in long.select("pr_gene_symbol").distinct().collect())
+    return long.groupBy("pert_iname").pivot("pr_gene_symbol", genes).agg(F.first("mean_z"))
+
+
 def _final_rows(cm: DataFrame, gs: DataFrame, n_leads: int, n_genes: int) -> DataFrame:
     leads = _lead_names(cm, gs, precision_leads(cm, gs, n=n_leads))
     genes = F.broadcast(top_genes(gs, n_genes, compounds=leads).select("pr_gene_symbol"))
@@ -293,15 +304,16 @@ def final_matrix_mean(cm: DataFrame, gs: DataFrame, n_leads: int = config.TOP_N_
 
 
 def final_matrix_wide(cm: DataFrame, gs: DataFrame, n_leads: int = config.TOP_N_LEADS, n_genes: int = 7) -> DataFrame:
-    """E10 as the reference's matrix: one row per lead, one column per gene (mean Z).
+    """E10 / D15 as the reference's matrix: one row per lead, one column per
+    top gene (mean Z, null where the lead has no row for the gene).
 
     The gene list is the top-``n_genes`` result; it is fetched to name the
-    pivot columns (at most ``n_genes`` values), never the data.
+    pivot columns (at most ``n_genes`` values, bounded by k), never the data.
     """
     leads = _lead_names(cm, gs, precision_leads(cm, gs, n=n_leads))
     genes = [r["pr_gene_symbol"] for r in top_genes(gs, n_genes, compounds=leads).collect()]
     rows = _final_rows(cm, gs, n_leads, n_genes)
-    return rows.groupBy("pert_iname").pivot("pr_gene_symbol", sorted(genes)).agg(F.avg("z_score")).orderBy("pert_iname")
+    return rows.groupBy("pert_iname").pivot("pr_gene_symbol", sorted(genes)).agg(_r6(F.avg("z_score")))
 
 
 # E10b

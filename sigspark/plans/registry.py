@@ -447,8 +447,10 @@ QUERIES: dict[str, Query] = {
     "precision_leads": _on_cg(E.precision_leads),
     "lead_gene_detail": _on_cg(E.lead_gene_detail),
     "lead_fingerprint": _on_cg(E.lead_fingerprint),
+    "lead_fingerprint_pivot": _on_cg(E.lead_fingerprint_wide),
     "final_matrix": _on_cg(E.final_matrix),
     "final_matrix_mean": _on_cg(E.final_matrix_mean),
+    "final_matrix_pivot": _on_cg(E.final_matrix_wide),
     "compound_category": lambda spark, d: E.compound_categories(_cg(spark, d)[0]),
     "gene_function_label": _on_gs(E.gene_function_labels),
     "lead_scorecard": _scorecard,
