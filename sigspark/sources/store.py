@@ -27,12 +27,12 @@ from sigspark.plans.literature import document_frequency, postings
 from sigspark.session import scratch_root
 from sigspark.sources.binding import bind_inputs
 
-FORMAT_VERSION = "4"
+FORMAT_VERSION = "5"
 INPUT_TABLES = ("gene_info", "sig_info", "pert_info", "repurposing", "matrix_long")
-# Inputs derived from the large fact table are landed; the three small
-# dimension views (a distinct over ``part``, two projections of ``supplier``)
-# are cheaper to re-derive on use than to write and re-read.
-LANDED_INPUTS = ("sig_info", "matrix_long")
+# Inputs that need a join or an aggregation over a growing table are landed
+# (written concurrently); the two plain projections of ``supplier`` are
+# re-derived on use.
+LANDED_INPUTS = ("gene_info", "sig_info", "matrix_long")
 OUTPUT_TABLES = ("genetic_signatures", "compound_metadata")
 ALL_TABLES = LANDED_INPUTS + OUTPUT_TABLES
 
@@ -41,6 +41,7 @@ ALL_TABLES = LANDED_INPUTS + OUTPUT_TABLES
 # concentrate a write task.
 _CLUSTER = {
     "matrix_long": ("sig_id", "gene_id"),
+    "gene_info": ("pr_gene_id",),
     "sig_info": ("sig_id",),
     "genetic_signatures": ("pert_iname", "pr_gene_symbol"),
     "compound_metadata": ("pert_iname",),
