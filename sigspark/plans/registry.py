@@ -483,6 +483,7 @@ QUERIES: dict[str, Query] = {
     # H — profiles
     "profile_rules": lambda spark, d: H.profile_rules(_features(spark, d)),
     "profile_forest": lambda spark, d: H.profile_forest(_features(spark, d)),
+    "profile_forest_metrics": lambda spark, d: H.classification_metrics(H.profile_forest(_features(spark, d))),
     "classification_metrics": _profile_eval,
     "predict_response": lambda spark, d: H.predict_response(_cg(spark, d)[1], _cg(spark, d)[0]),
     "profile_report": lambda spark, d: H.profile_report(H.profile_rules(_features(spark, d)), with_stamp=False),
