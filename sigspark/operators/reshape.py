@@ -117,9 +117,16 @@ def dedupe(df: DataFrame, subset: Sequence[str], order_by: Sequence[str], keep:
 
 
 def safe_cast(df: DataFrame, column: str, dtype: str, fill=None) -> DataFrame:
-    """Strict cast (a bad value fails the job under ANSI mode), then fill nulls."""
+    """Strict cast, then fill nulls.
+
+    A non-null value that does not convert fails the job — by ANSI casting
+    when the session has it on, and by an explicit check otherwise.
+    """
     require_columns(df, [column], "cast input")
-    out = df.withColumn(column, F.col(column).cast(dtype))
+    src, cast = F.col(column), F.col(column).cast(dtype)
+    strict = F.when(src.isNotNull() & src.try_cast(dtype).isNull(),
+                    F.raise_error(F.concat(F.lit(f"cannot cast {column} value to {dtype}: "), src.cast("string"))))
+    out = df.withColumn(column, F.coalesce(strict, cast))
     return out.fillna({column: fill}) if fill is not None else out
 
 

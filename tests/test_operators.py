@@ -288,3 +288,14 @@ def test_matrix_arrays_round_trip_keeps_null_cells(spark, scratch):
     path = write_matrix_arrays(long, f"{scratch}/arrays")
     back = {(r["sig_id"], r["gene_id"]): r["z_score"] for r in read_matrix_arrays(spark, path).collect()}
     assert back == {("s1", "gA"): 1.25, ("s1", "gB"): -3.0, ("s2", "gA"): None, ("s2", "gB"): 1e-4}
+
+
+def test_safe_cast_is_strict_without_ansi(spark):
+    df = spark.createDataFrame([("abc",), ("1.5",)], "v string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            B.safe_cast(df, "v", "double").collect()
+        assert _col(B.safe_cast(df.where("v = '1.5'"), "v", "double"), "v") == [1.5]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
