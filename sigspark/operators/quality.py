@@ -121,15 +121,16 @@ def quality_gates(expression: DataFrame, cm: DataFrame, gs: DataFrame, key_colum
     stats = expression.agg(
         n.alias("__n"), F.avg("z_score").alias("z_mean"), F.stddev_samp("z_score").alias("z_sd"),
         *[F.sum(F.col(c).isNull().cast("long")).alias(f"__null_{i}") for i, c in enumerate(key_columns)])
-    worst = F.greatest(*[F.col(f"__null_{i}") / F.col("__n") for i in range(len(key_columns))], F.lit(0.0))
+    worst = F.greatest(*[F.try_divide(F.col(f"__null_{i}"), F.col("__n")) for i in range(len(key_columns))], F.lit(0.0))
+    dup_share = F.try_divide(F.col("__dups"), F.col("__n"))
     dup = duplicate_count(expression.select(*key_columns)).select(F.col("duplicates").alias("__dups"))
     orphans = orphaned_signatures(gs, cm).agg(F.count(F.lit(1)).alias("orphaned_signatures"))
     out = _one_row(stats, dup, orphans)
     return out.select(
-        _r(worst).alias("max_null_share"), _r(F.col("__dups") / F.col("__n")).alias("duplicate_share"),
+        _r(worst).alias("max_null_share"), _r(dup_share).alias("duplicate_share"),
         _r(F.col("z_mean")).alias("z_mean"), _r(F.col("z_sd")).alias("z_sd"), "orphaned_signatures",
         (worst < F.lit(max_null_share)).alias("nulls_ok"),
-        (F.col("__dups") / F.col("__n") < F.lit(max_duplicate_share)).alias("duplicates_ok"),
+        (dup_share < F.lit(max_duplicate_share)).alias("duplicates_ok"),
         (F.abs(F.col("z_mean")) <= F.lit(mean_tolerance)).alias("mean_ok"),
         F.col("z_sd").between(sd_range[0], sd_range[1]).alias("sd_ok"),
         (F.col("orphaned_signatures") == 0).alias("no_orphans"))

@@ -69,10 +69,10 @@ def classification_metrics(df: DataFrame, true_col: str = "rule_profile", pred_c
                        F.sum(F.col("support") * f1).alias("__wf"))
     out = with_scalars(total, weighted)
     nn = F.col("__n")
-    return out.select(F.round(F.col("__hit") / nn, 6).alias("accuracy"),
-                      F.round(F.col("__wp") / nn, 6).alias("precision_weighted"),
-                      F.round(F.col("__wr") / nn, 6).alias("recall_weighted"),
-                      F.round(F.col("__wf") / nn, 6).alias("f1_weighted"))
+    return out.select(F.round(F.try_divide(F.col("__hit"), nn), 6).alias("accuracy"),
+                      F.round(F.try_divide(F.col("__wp"), nn), 6).alias("precision_weighted"),
+                      F.round(F.try_divide(F.col("__wr"), nn), 6).alias("recall_weighted"),
+                      F.round(F.try_divide(F.col("__wf"), nn), 6).alias("f1_weighted"))
 
 
 # H5
