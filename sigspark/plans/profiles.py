@@ -20,37 +20,48 @@ def profile_rules(features: DataFrame) -> DataFrame:
 
 
 # H3
-def profile_forest(features: DataFrame, trees: int = 100, seed: int = 42, max_depth: int = 10) -> DataFrame:
-    """Random forest trained on the rule labels and scored on the same rows.
+def _labelled(features: DataFrame) -> DataFrame:
+    labelled = profile_rules(features).fillna(0, subset=list(FEATURES)).fillna(0.0, subset=list(FEATURES))
+    return labelled.select("pert_iname", *[F.col(c).cast("double").alias(c) for c in FEATURES],
+                           F.col("clinical_profile").alias("rule_profile"))
 
-    MLlib pipeline: label indexer, assembler (null features → 0), standard
-    scaler, forest; predictions mapped back to label strings. Training is
-    distributed over the feature rows (one row per compound).
-    """
+
+def fit_profile_forest(features: DataFrame, trees: int = 100, seed: int = 42, max_depth: int = 10):
+    """Train the forest on the rule labels: label indexer, assembler (null
+    features → 0), standard scaler, random forest. Training is distributed
+    over the feature rows (one row per compound)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 
-    labelled = profile_rules(features).fillna(0, subset=list(FEATURES)).fillna(0.0, subset=list(FEATURES))
-    labelled = labelled.select("pert_iname", *[F.col(c).cast("double").alias(c) for c in FEATURES],
-                               F.col("clinical_profile").alias("rule_profile"))
-    # One row per compound, read by the three fits: held only while fitting
-    # (the returned frame re-derives it lazily when it is executed).
-    held = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     indexer = StringIndexer(inputCol="rule_profile", outputCol="label", stringOrderType="alphabetAsc")
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="raw_features")
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
     forest = RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=max_depth, labelCol="label",
                                     featuresCol="features", maxMemoryInMB=1024)
+    # One row per compound, read by the three fits: held only while fitting.
+    held = _labelled(features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = Pipeline(stages=[indexer, assembler, scaler, forest]).fit(held)
+        return Pipeline(stages=[indexer, assembler, scaler, forest]).fit(held)
     finally:
         held.unpersist()
-    scored = model.transform(labelled)
+
+
+def score_profile_forest(model, features: DataFrame) -> DataFrame:
+    """Predicted profile per compound, next to the rule label it was trained on."""
+    from pyspark.ml.feature import IndexToString
+
+    scored = model.transform(_labelled(features))
     back = IndexToString(inputCol="prediction", outputCol="clinical_profile", labels=model.stages[0].labels)
     return back.transform(scored).select("pert_iname", *FEATURES, "rule_profile", "clinical_profile")
 
 
+def profile_forest(features: DataFrame, trees: int = 100, seed: int = 42, max_depth: int = 10) -> DataFrame:
+    """Random forest trained on the rule labels and scored on the same rows
+    (as the reference does)."""
+    return score_profile_forest(fit_profile_forest(features, trees, seed, max_depth), features)
+
+
 # H4
 def classification_metrics(df: DataFrame, true_col: str = "rule_profile", pred_col: str = "clinical_profile") -> DataFrame:
     """Accuracy and support-weighted precision / recall / F1 (zero division → 0)."""

@@ -283,6 +283,19 @@ def _executive_report(spark, sf_dir):
     return Lit.executive_report(leads, lit)
 
 
+_models: dict[tuple[str, str], object] = {}
+
+
+def _forest(spark, sf_dir):
+    """H3 scored output; the fitted model is kept per session and data folder
+    (like the landed tables), so the forest and its report train once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    features = _features(spark, sf_dir)
+    if key not in _models:
+        _models[key] = H.fit_profile_forest(features)
+    return H.score_profile_forest(_models[key], features)
+
+
 def _profile_eval(spark, sf_dir):
     """H4: the 6 h readout's rule profile scored against the all-time rule profile."""
     t = _tables(spark, sf_dir)
@@ -482,8 +495,8 @@ QUERIES: dict[str, Query] = {
     "leads_per_time": lambda spark, d: G.leads_per_time(*_cg(spark, d), _tables(spark, d)["sig_info"]),
     # H — profiles
     "profile_rules": lambda spark, d: H.profile_rules(_features(spark, d)),
-    "profile_forest": lambda spark, d: H.profile_forest(_features(spark, d)),
-    "profile_forest_metrics": lambda spark, d: H.classification_metrics(H.profile_forest(_features(spark, d))),
+    "profile_forest": _forest,
+    "profile_forest_metrics": lambda spark, d: H.classification_metrics(_forest(spark, d)),
     "classification_metrics": _profile_eval,
     "predict_response": lambda spark, d: H.predict_response(_cg(spark, d)[1], _cg(spark, d)[0]),
     "profile_report": lambda spark, d: H.profile_report(H.profile_rules(_features(spark, d)), with_stamp=False),
