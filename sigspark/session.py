@@ -17,6 +17,9 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Checkpoint files of the distributed row index are removed once the
+    # DataFrames that use them are garbage-collected (set the same on a cluster).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
