@@ -6,8 +6,10 @@ the same hand-off is a set of Parquet tables under the shared scratch folder
 re-reads files instead of recomputing the matrix, and later questions get
 column pruning and row-group skipping on ``pert_iname``.
 
-A table set is identified by the data folder and its input files; a
-manifest written last marks it complete, so a half-written set is rebuilt.
+A table set is identified by the data folder and its input files. Each
+build writes into its own attempt folder and publishes a manifest of the
+table paths last: a half-written set is never read, and two concurrent
+builders never overwrite each other.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from sigspark.plans.literature import document_frequency, postings
 from sigspark.session import scratch_root
 from sigspark.sources.binding import bind_inputs
 
-FORMAT_VERSION = "5"
+FORMAT_VERSION = "6"
 INPUT_TABLES = ("gene_info", "sig_info", "pert_info", "repurposing", "matrix_long")
 # Inputs that need a join or an aggregation over a growing table are landed
 # (written concurrently); the two plain projections of ``supplier`` are
@@ -47,7 +49,8 @@ _CLUSTER = {
     "compound_metadata": ("pert_iname",),
 }
 
-_MANIFEST_SCHEMA = T.StructType([T.StructField("table", T.StringType()), T.StructField("rows", T.LongType())])
+_MANIFEST_SCHEMA = T.StructType([T.StructField("table", T.StringType()), T.StructField("path", T.StringType()),
+                                 T.StructField("attempt", T.StringType())])
 
 _cache: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
@@ -71,18 +74,33 @@ def _write(df: DataFrame, path: str, table: str) -> None:
     out.write.mode("overwrite").parquet(path)
 
 
-def _read_manifest(spark: SparkSession, root: str, tables=ALL_TABLES) -> dict[str, int] | None:
+def _read_manifest(spark: SparkSession, root: str, tables=ALL_TABLES) -> dict[str, str] | None:
+    """Table paths of the first complete build under ``root``, or None.
+
+    Every build writes into its own attempt folder and publishes a manifest
+    of its own (``_manifest-<attempt>``) only after all its tables are
+    written, so concurrent builders never overwrite each other and a reader
+    never sees a half-written set.
+    """
     try:
-        rows = spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{root}/_manifest").collect()
+        rows = spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{root}/_manifest-*").collect()
     except AnalysisException:
         return None
-    got = {r["table"]: r["rows"] for r in rows}
-    return got if set(got) >= set(tables) else None
+    builds: dict[str, dict[str, str]] = {}
+    for r in rows:
+        builds.setdefault(r["attempt"], {})[r["table"]] = r["path"]
+    complete = sorted(a for a, paths in builds.items() if set(paths) >= set(tables))
+    return builds[complete[0]] if complete else None
+
+
+def _publish(spark: SparkSession, root: str, attempt: str, paths: dict[str, str]) -> None:
+    literal_rows(spark, [(t, p, attempt) for t, p in paths.items()], _MANIFEST_SCHEMA) \
+        .write.mode("overwrite").parquet(f"{root}/_manifest-{attempt}")
 
 
-def _inputs(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
+def _inputs(spark: SparkSession, sf_dir: str, paths: dict[str, str]) -> dict[str, DataFrame]:
     bound = bind_inputs(spark, sf_dir)
-    return {name: spark.read.parquet(f"{root}/{name}") if name in LANDED_INPUTS else bound[name]
+    return {name: spark.read.parquet(paths[name]) if name in LANDED_INPUTS else bound[name]
             for name in INPUT_TABLES}
 
 
@@ -111,15 +129,19 @@ def write_phase1(spark: SparkSession, inputs: dict[str, DataFrame], root: str) -
     return {name: spark.read.parquet(f"{root}/{name}") for name in OUTPUT_TABLES}
 
 
-def land_tables(spark: SparkSession, sf_dir: str, root: str) -> None:
+def land_tables(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
     """Test binding: the inputs are themselves joins over the driver tables,
-    so the two derived from the large fact table are written first; then
-    phase 1 runs on them and a manifest marks the set complete."""
+    so the ones that need a join or an aggregation are written first; then
+    phase 1 runs on them. Everything goes into a fresh attempt folder, which
+    is published by its manifest last; returns the table paths."""
+    attempt = uuid.uuid4().hex[:12]
+    base = f"{root}/{attempt}"
     inputs = bind_inputs(spark, sf_dir)
-    _write_all([(inputs[name], f"{root}/{name}", name) for name in LANDED_INPUTS])
-    write_phase1(spark, _inputs(spark, sf_dir, root), root)
-    literal_rows(spark, [(name, None) for name in ALL_TABLES], _MANIFEST_SCHEMA) \
-        .write.mode("overwrite").parquet(f"{root}/_manifest")
+    _write_all([(inputs[name], f"{base}/{name}", name) for name in LANDED_INPUTS])
+    paths = {name: f"{base}/{name}" for name in ALL_TABLES}
+    write_phase1(spark, _inputs(spark, sf_dir, paths), base)
+    _publish(spark, root, attempt, paths)
+    return paths
 
 
 def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
@@ -133,10 +155,11 @@ def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
         base = f"{scratch_root(spark)}/sigspark-tables"
         root = (f"{base}/{_fingerprint(spark, sf_dir, ('supplier', 'part', 'lineitem'))}" if not rebuild
                 else f"{base}/fresh-{uuid.uuid4().hex[:12]}")
-    if rebuild or _read_manifest(spark, root) is None:
-        land_tables(spark, sf_dir, root)
-    tables = {**_inputs(spark, sf_dir, root),
-              **{name: spark.read.parquet(f"{root}/{name}") for name in OUTPUT_TABLES}}
+    paths = None if rebuild else _read_manifest(spark, root)
+    if paths is None:
+        paths = land_tables(spark, sf_dir, root)
+    tables = {**_inputs(spark, sf_dir, paths),
+              **{name: spark.read.parquet(paths[name]) for name in OUTPUT_TABLES}}
     _cache[key] = tables
     return tables
 
@@ -157,14 +180,16 @@ def corpus_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> di
     if not rebuild and key in _cache:
         return _cache[key]
     root = _corpus_root(spark, sf_dir, rebuild)
-    if rebuild or _read_manifest(spark, root, CORPUS_TABLES) is None:
+    paths = None if rebuild else _read_manifest(spark, root, CORPUS_TABLES)
+    if paths is None:
+        attempt = uuid.uuid4().hex[:12]
+        paths = {t: f"{root}/{attempt}/{t}" for t in CORPUS_TABLES}
         postings(raw_table(spark, sf_dir, "documents")).sortWithinPartitions("token", "doc_id") \
-            .write.mode("overwrite").parquet(f"{root}/postings")
-        document_frequency(spark.read.parquet(f"{root}/postings")).sortWithinPartitions("token") \
-            .write.mode("overwrite").parquet(f"{root}/document_frequency")
-        literal_rows(spark, [(t, None) for t in CORPUS_TABLES], _MANIFEST_SCHEMA).write.mode("overwrite") \
-            .parquet(f"{root}/_manifest")
-    tables = {t: spark.read.parquet(f"{root}/{t}") for t in CORPUS_TABLES}
+            .write.mode("overwrite").parquet(paths["postings"])
+        document_frequency(spark.read.parquet(paths["postings"])).sortWithinPartitions("token") \
+            .write.mode("overwrite").parquet(paths["document_frequency"])
+        _publish(spark, root, attempt, paths)
+    tables = {t: spark.read.parquet(paths[t]) for t in CORPUS_TABLES}
     _cache[key] = tables
     return tables
 

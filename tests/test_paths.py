@@ -56,3 +56,17 @@ def test_ml_classification_falls_back_to_rules(spark, monkeypatch):
         H.classify_clinical_profiles(feats.drop("max_response"))
     assert H.classify_clinical_profiles(feats.withColumn("max_response", F.lit(None).cast("double"))) \
         .select("clinical_profile").distinct().collect()[0][0] == "Unknown"
+
+
+def test_concurrent_builds_publish_separately(spark, sf_dir, scratch):
+    from sigspark.sources.store import ALL_TABLES, _read_manifest, land_tables
+
+    root = f"{scratch}/tables"
+    spark.range(3).write.parquet(f"{root}/unpublished-attempt/genetic_signatures")  # a builder that died mid-way
+    first = land_tables(spark, sf_dir, root)
+    second = land_tables(spark, sf_dir, root)
+    assert first != second
+    chosen = _read_manifest(spark, root)
+    assert chosen in (first, second) and set(chosen) == set(ALL_TABLES)
+    assert spark.read.parquet(chosen["genetic_signatures"]).count() == \
+        spark.read.parquet(first["genetic_signatures"]).count()
