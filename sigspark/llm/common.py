@@ -145,10 +145,10 @@ def gram_hashes(words: np.ndarray, m: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    factor = _ODD
+    factor = int(_ODD)
     for j in range(m):
-        out += words[j:j + n] * factor
-        factor = factor * _ODD + np.uint64(2)
+        out += words[j:j + n] * np.uint64(factor)
+        factor = (factor * int(_ODD) + 2) & 0xFFFFFFFFFFFFFFFF
     return mix(out)
 
 
