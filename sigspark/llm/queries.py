@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigspark.llm import decontaminate, language_id, mixing, simhash, substring_dedup, token_counts
-from sigspark.llm.common import ship, table
+from sigspark.llm import (decontaminate, html_extract, language_id, license_scan, mixing, simhash, substring_dedup, token_counts, topk, warc)
+from sigspark.llm.common import land, ship, table
+from sigspark.session import scratch_root
 
 TOKEN_BUDGET = 4096
 
@@ -17,6 +20,12 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the licences that they name or carry."""
+    ship(spark)
+    return license_scan.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items that leak into them."""
     ship(spark)
@@ -25,6 +34,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("covered") / F.col("item_words")).alias("coverage"), F.size("tiles").alias("n_tiles"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -32,6 +47,19 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives are written under the shared folder and read back."""
+    ship(spark)
+    path = f"{scratch_root(spark)}/llm/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.page_report(warc.assemble(land(warc.read_records(spark, path), "records")))
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     found = token_counts.count_tokens(table(spark, sf_dir, "documents"), piece_model(), TOKEN_BUDGET)
@@ -65,10 +93,37 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontamination, op4_simhash, op7_token_counts, op8_substring_dedup, op9_mixing, op10_language_id, pipeline)}
+    op1_license_scan, op2_decontamination, op3_html_extraction, op4_simhash, op5_warc, op6_topk, op7_token_counts, op8_substring_dedup, op9_mixing, op10_language_id, pipeline)}
 
 ORACLE = {}
 
+ORACLE["op5_warc"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages
+), f AS (
+  SELECT hex, min(page_id) AS first FROM p GROUP BY hex
+)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((('0x' || substr(hex, (i // 8) * 10 + 1, 10))::BIGINT >> (35 - 5 * (i % 8))::INTEGER) & 31)::INTEGER + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM p JOIN f USING (hex)
+"""
+
+ORACLE["op6_topk"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
 ORACLE["op8_substring_dedup"] = r"""
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
