@@ -97,6 +97,37 @@ QUERIES = {f.__name__: f for f in (
 
 ORACLE = {}
 
+_TEMPLATES = ", ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for i, (name, text) in enumerate(license_scan.TEMPLATES))
+_SPELLED = """list_transform(regexp_extract_all(lower({}), '[\\p{{L}}\\p{{N}}]+'),
+             lambda x: CASE x WHEN 'licence' THEN 'license' WHEN 'licenced' THEN 'licensed' ELSE x END)"""
+
+ORACLE["op1_license_scan"] = rf"""
+WITH u AS (
+  SELECT doc_id, 1 AS kind, unnest(string_split(text, chr(10))) AS u FROM documents
+  UNION ALL
+  SELECT doc_id, 2, u FROM (SELECT doc_id, unnest(ps) AS u, len(ps) AS n
+    FROM (SELECT doc_id, regexp_split_to_array(text, '\n[^\S\n]*\n') AS ps FROM documents)) WHERE n > 1 AND contains(trim(u, chr(10)), chr(10))
+  UNION ALL
+  SELECT doc_id, 3, regexp_replace(text, '(?im)^\s*(?:copyright|©|\(c\))[^\n]*\n', '', 'g') FROM documents WHERE contains(text, chr(10))
+), uw AS (
+  SELECT row_number() OVER () AS id, doc_id, kind, {_SPELLED.format("u")} AS w FROM u
+), ug AS (
+  SELECT id, doc_id, kind, len(w) - 1 AS n, gram, count(*) AS c
+  FROM (SELECT *, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM uw WHERE len(w) > 1) GROUP BY ALL
+), tw AS (
+  SELECT tid, name, {_SPELLED.format("t")} AS w FROM (VALUES {_TEMPLATES}) AS t(tid, name, t)
+), tg AS (
+  SELECT tid, name, len(w) - 1 AS n, gram, count(*) AS c
+  FROM (SELECT *, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM tw) GROUP BY ALL
+), hit AS (
+  SELECT id, doc_id, kind, tid, name, 2 * sum(least(ug.c, tg.c))::BIGINT / (ug.n + tg.n)::DOUBLE AS dice
+  FROM ug JOIN tg USING (gram) GROUP BY id, doc_id, kind, tid, name, ug.n, tg.n
+)
+SELECT doc_id, name AS license, max(dice) AS dice,
+       CASE arg_max(kind, dice * 1000000 - kind) WHEN 1 THEN 'line' WHEN 2 THEN 'paragraph' ELSE 'text' END AS unit, count(*)::INTEGER AS units
+FROM hit WHERE dice >= 0.8 GROUP BY doc_id, name
+"""
+
 ORACLE["op5_warc"] = r"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages
