@@ -42,8 +42,8 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Removes words covered by 50-word windows that an earlier document also
     has. A text that loses words becomes its other words joined by one space."""
     ship(spark)
-    names = [fresh(docs, n) for n in ("kept", "n_removed", "n_words", "kept_sha256")]
-    out = substring_dedup.dedup_substrings(docs, kept_out=names[0], removed_out=names[1], words_out=names[2], sha_out=names[3])
+    names = [fresh(docs, n) for n in ("kept", "n_removed", "n_words")]
+    out = substring_dedup.dedup_substrings(docs, kept_out=names[0], removed_out=names[1], words_out=names[2])
     cut = F.col(names[1]) > 0
     return out.withColumns({"text": F.when(cut, F.col(names[0])).otherwise(F.col("text")),
                             "n_chars": F.when(cut, F.length(names[0]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from sigspark.session import scratch_root
 
-WORD = r"[^\x20\x09-\x0D]+"
+WORD, SPACES = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
 # Text bytes that one vectorised step works on; a longer document is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -69,7 +69,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup.dedup_substrings(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return substring_dedup.dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,16 +22,14 @@ copies map-side, and the counts are joined back with the skew join.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import (flat, gram_hashes, hash_bitmap, in_bitmap, land, mix, steps, text_bytes, word_bounds, word_hashes)
+from sigspark.llm.common import (SPACES, flat, gram_hashes, hash_bitmap, in_bitmap, land, mix, steps, text_bytes, word_bounds, word_hashes)
 
 
 @dataclass(frozen=True)
@@ -266,24 +264,21 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                        .select("id", "key", F.col("w").alias("start"), (F.col("w") + params.window).alias("end")))
 
 
-def _cut(text: bytes | None, spans) -> tuple[int, int, bytes]:
-    """Words, removed words, and the kept words joined by one space."""
-    words = (text or b"").split()
-    if spans is None or not len(spans):
-        return len(words), 0, b" ".join(words)
-    drop = np.zeros(len(words) + 1, np.int64)
-    for s in spans:
-        drop[s["start"]] += 1
-        drop[min(s["end"], len(words))] -= 1
-    gone = np.cumsum(drop[:-1]) > 0
-    return len(words), int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
+def kept_ranges(spans: DataFrame) -> DataFrame:
+    """Rows (id, key, keep): per document the word ranges (start, n) that no
+    span covers, in order; the last one is open-ended."""
+    order = Window.partitionBy("id", "key").orderBy("start", "end")
+    before = F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    gaps = spans.distinct().withColumn("from", before).select(
+        "id", "key", "end", F.when(F.col("from") < F.col("start"), F.struct(F.col("from").cast("int").alias("start"), (F.col("start") - F.col("from")).cast("int").alias("n"))).alias("gap"))
+    tail = F.struct(F.max("end").cast("int").alias("start"), F.lit(2**31 - 1).alias("n"))
+    return gaps.groupBy("id", "key").agg(F.concat(F.array_sort(F.collect_list("gap")), F.array(tail)).alias("keep"))
 
 
 def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Params = Params(),
-                     kept_out: str = "kept", removed_out: str = "n_removed", words_out: str = "n_words",
-                     sha_out: str = "kept_sha256") -> DataFrame:
+                     kept_out: str = "kept", removed_out: str = "n_removed", words_out: str = "n_words") -> DataFrame:
     """``df`` with the words that stay (joined by one space), the number of
-    words, the number removed, and the SHA-256 of what stays.
+    words and the number removed.
 
     Null, empty and shorter texts lose nothing; a null text keeps the empty
     string. A row with a null id neither loses words nor takes them from
@@ -291,16 +286,14 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words from each other. Every input row comes back once, other columns as
     they are; the added names must be free. An empty table gives none."""
     spans = land(duplicate_spans(df, id_col, text_col, params), "spans")
-    each = spans.groupBy("id", "key").agg(F.collect_list(F.struct("start", "end")).alias("s"))
-    each = land(each, "spans-by-document").select(F.col("id").alias("_sd_id"), F.col("key").alias("_sd_key"), F.col("s").alias("_sd_spans"))
-
-    @F.pandas_udf("n_words long, n_removed long, kept binary, sha string")
-    def cut(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
-        got = [(*x, hashlib.sha256(x[2]).hexdigest()) for x in map(_cut, texts, lists)]
-        return pd.DataFrame(got, columns=["n_words", "n_removed", "kept", "sha"])
-
-    joined = df.join(each, (df[id_col].cast("long") == F.col("_sd_id")) & (F.xxhash64(df[text_col]) == F.col("_sd_key")), "left")
-    out = joined.withColumn("_sd_cut", cut(text_bytes(joined[text_col]), F.col("_sd_spans")))
-    return out.select(*(joined[c] for c in df.columns), F.col("_sd_cut.kept").cast("string").alias(kept_out),
-                      F.col("_sd_cut.n_removed").alias(removed_out), F.col("_sd_cut.n_words").alias(words_out),
-                      F.col("_sd_cut.sha").alias(sha_out))
+    keep = land(kept_ranges(spans), "kept-ranges").select(F.col("id").alias("_sd_id"), F.col("key").alias("_sd_key"), F.col("keep").alias("_sd_keep"))
+    same = (df[id_col].cast("long") == F.col("_sd_id")) & (F.xxhash64(df[text_col]) == F.col("_sd_key"))
+    joined = df.join(keep, same, "left")
+    words = F.filter(F.split(F.coalesce(joined[text_col], F.lit("")), SPACES), lambda w: w != "")
+    out = joined.withColumn("_sd_words", words)
+    all_words = F.col("_sd_words")
+    stay = F.when(F.col("_sd_keep").isNull(), all_words).otherwise(
+        F.flatten(F.transform("_sd_keep", lambda r: F.slice(all_words, r["start"] + 1, F.least(r["n"], F.size(all_words))))))
+    out = out.withColumn("_sd_stay", stay)
+    return out.select(*(out[c] for c in df.columns), F.concat_ws(" ", "_sd_stay").alias(kept_out),
+                      (F.size("_sd_words") - F.size("_sd_stay")).cast("long").alias(removed_out), F.size("_sd_words").cast("long").alias(words_out))
