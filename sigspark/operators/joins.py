@@ -51,8 +51,12 @@ def combine_metadata(pert_info: DataFrame, repurposing: DataFrame) -> DataFrame:
 
 def build_compound_metadata(combined: DataFrame, expression: DataFrame,
                             order_by: Sequence[str] = ("moa", "target", "canonical_smiles", "pubchem_cid")) -> DataFrame:
-    """Metadata of compounds present in the expression table, one row each."""
-    present = combined.join(expression.select("pert_iname"), "pert_iname", "left_semi")
+    """Metadata of compounds present in the expression table, one row each.
+
+    The expression side has one row per cell; its names are made distinct
+    map-side first, so a compound with a third of the matrix is one row per
+    task in the shuffle and one row in the join."""
+    present = combined.join(expression.select("pert_iname").distinct(), "pert_iname", "left_semi")
     return dedupe(present, ["pert_iname"], list(order_by), keep="first")
 
 

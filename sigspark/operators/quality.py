@@ -31,7 +31,7 @@ def _nonempty(n: Column, what: str) -> Column:
 
 # D1
 def gene_statistics(gs: DataFrame) -> DataFrame:
-    az = F.abs(F.col("z_score"))
+    az = F.abs(F.nanvl(F.col("z_score"), F.lit(None).cast("double")))
     return (gs.where(F.col("is_significant") == 1).groupBy("pr_gene_symbol")
             .agg(F.countDistinct("pert_iname").alias("compound_count"), _r(F.avg(az)).alias("avg_abs_z_score"),
                  F.max(az).alias("max_abs_z_score"), F.min(az).alias("min_abs_z_score"),
@@ -158,7 +158,7 @@ def data_summary(df: DataFrame) -> DataFrame:
 def column_statistics(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
     """count, mean, median, sample std, min, max, q1, q3, skewness, kurtosis (pandas estimators)."""
     require_columns(df, [column], "statistics input")
-    vals = df.select(coerce_numeric(column).alias("__x")).where(F.col("__x").isNotNull())
+    vals = df.select(coerce_numeric(column).alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     m = vals.agg(*moments(F.col("__x")))
     if approx:
         q = vals.agg(*[F.percentile_approx("__x", p, 10000).alias(n)

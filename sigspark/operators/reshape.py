@@ -30,8 +30,11 @@ def treatment_only(df: DataFrame, sig_info: DataFrame, pert_type: str = config.T
 
 
 def valid_ids(wanted: DataFrame, present: DataFrame, column: str) -> DataFrame:
-    """Wanted ids that also occur in the matrix, as a set."""
-    return wanted.select(column).intersect(present.select(column))
+    """Wanted ids that also occur in the matrix, as a set.
+
+    The matrix side repeats each id once per cell; it is made distinct first,
+    map-side, so one row per id and task is shuffled."""
+    return wanted.select(column).intersect(present.select(column).distinct())
 
 
 def extract_submatrix(matrix_long: DataFrame, gene_ids: DataFrame, sig_ids: DataFrame) -> DataFrame:
@@ -54,8 +57,16 @@ def melt_wide_to_long(df: DataFrame, id_vars: Sequence[str], value_vars: Sequenc
 
 def stack_matrix(df: DataFrame, id_vars: Sequence[str], value_vars: Sequence[str] | None = None,
                  var_name: str = "gene", value_name: str = "z_score") -> DataFrame:
-    """Like B6 but null cells are dropped (pandas ``stack`` semantics)."""
-    return melt_wide_to_long(df, id_vars, value_vars, var_name, value_name).where(F.col(value_name).isNotNull())
+    """Like B6 but null and NaN cells are dropped (pandas ``stack`` semantics)."""
+    long = melt_wide_to_long(df, id_vars, value_vars, var_name, value_name)
+    return long.where(present(long, value_name))
+
+
+def present(df: DataFrame, column: str) -> Column:
+    """Neither null nor, for floating columns, NaN (pandas' missing value)."""
+    there = F.col(column).isNotNull()
+    floating = df.schema[column].dataType.typeName() in ("double", "float")
+    return there & ~F.isnan(column) if floating else there
 
 
 def filter_by_z_score(df: DataFrame, column: str = "z_score", threshold: float = config.Z_THRESHOLD) -> DataFrame:
@@ -70,18 +81,24 @@ def filter_by_z_score(df: DataFrame, column: str = "z_score", threshold: float =
     return df.where(((z >= t) | (z <= -t)) & ~F.isnan(z))
 
 
+def z_beyond(threshold: float, column: str = "z_score", strict: bool = False) -> Column:
+    """``abs(z) >= t`` (or ``> t``) in a form that Parquet scans can use; false for NaN."""
+    z, t, minus = F.col(column), F.lit(float(threshold)), F.lit(-float(threshold))
+    return (((z > t) | (z < minus)) if strict else ((z >= t) | (z <= minus))) & ~F.isnan(z)
+
+
 def significance_flag(z: Column | str = "z_score", threshold: float = config.Z_THRESHOLD) -> Column:
-    """1 when ``z >= t or z <= -t`` else 0."""
+    """1 when ``z >= t or z <= -t`` else 0 (null and NaN: 0)."""
     z = F.col(z) if isinstance(z, str) else z
-    t = F.lit(float(threshold))
+    z, t = F.nanvl(z.cast("double"), F.lit(None).cast("double")), F.lit(float(threshold))
     return F.when((z >= t) | (z <= -t), F.lit(1)).otherwise(F.lit(0)).cast("int")
 
 
 def z_tier(z: Column | str = "z_score", significant: float = config.Z_THRESHOLD,
            high: float = config.HIGH_CONFIDENCE_Z, extreme: float = config.EXTREME_Z) -> Column:
-    """Tier by ``abs(z)``: > 4 extreme, > 3 high-confidence, > 2 significant."""
+    """Tier by ``abs(z)``: > 4 extreme, > 3 high-confidence, > 2 significant; null and NaN are not significant."""
     z = F.col(z) if isinstance(z, str) else z
-    a = F.abs(z)
+    a = F.abs(F.nanvl(z.cast("double"), F.lit(None).cast("double")))
     return (F.when(a > F.lit(float(extreme)), "extreme")
             .when(a > F.lit(float(high)), "high_confidence")
             .when(a > F.lit(float(significant)), "significant")
@@ -89,8 +106,9 @@ def z_tier(z: Column | str = "z_score", significant: float = config.Z_THRESHOLD,
 
 
 def z_direction(z: Column | str = "z_score") -> Column:
-    """Sign of the response: up / down / none."""
+    """Sign of the response: up / down / none (null and NaN: none)."""
     z = F.col(z) if isinstance(z, str) else z
+    z = F.nanvl(z.cast("double"), F.lit(None).cast("double"))
     return F.when(z > 0, "up").when(z < 0, "down").otherwise("none")
 
 
@@ -151,6 +169,7 @@ def preview_rows(df: DataFrame, order_by: Sequence[str], n: int = 20, offset: in
 
 
 def masked(c: Column | str, threshold: float = config.Z_THRESHOLD) -> Column:
-    """Hide cells with ``abs < threshold``."""
+    """Hide cells with ``abs < threshold``, and NaN."""
     c = F.col(c) if isinstance(c, str) else c
+    c = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
     return F.when(F.abs(c) >= F.lit(float(threshold)), c)

@@ -7,11 +7,12 @@
   offset, and a broadcast join of those offsets yields the index. The tagged
   frame is checkpointed to the shared checkpoint folder first, so both uses
   see the same partitioning.
-* ``exact_quantiles`` uses that index: values sorted by (group, value) get
-  a global rank, each group's start rank and size give the two ranks around
-  ``(n-1)·p``, and linear interpolation between them reproduces numpy /
-  ``percentile_cont``. No task ever holds a whole group, unlike the
-  ``percentile`` aggregate whose final merge runs in one task per group.
+* ``exact_quantiles`` first counts equal values (map-side), so a value that a
+  third of the rows share is one row from there on; running counts over the
+  distinct values, numbered the same distributed way, locate the two ranks
+  around ``(n-1)·p``, and linear interpolation between them reproduces numpy /
+  ``percentile_cont``. Only distinct values are sorted and checkpointed, and no
+  task holds a whole group.
 * ``with_scalars`` attaches a one-row aggregate to every row as scalar
   subqueries (computed once, no join).
 """
@@ -19,6 +20,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,35 +59,56 @@ def sequence_index(df: DataFrame, order_by: Sequence[Column | str], name: str =
             .drop("__pid", "__off", "__mid", "__base"))
 
 
+def running_total(df: DataFrame, order_by: Sequence[Column | str], weight: str, name: str) -> DataFrame:
+    """Sum of ``weight`` over all rows before each row in ``order_by`` order.
+
+    Rows must be unique in that order. Range partitions are numbered, summed
+    within themselves, and shifted by the totals of the partitions before.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = df.orderBy(*order_by).withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    tagged = tagged.withColumn("__pid", F.shiftright("__mid", 33))
+    totals = tagged.groupBy("__pid").agg(F.sum(weight).alias("__w"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    bases = totals.select("__pid", F.coalesce(F.sum("__w").over(before), F.lit(0)).alias("__base"))
+    inner = Window.partitionBy("__pid").orderBy("__mid").rowsBetween(Window.unboundedPreceding, -1)
+    return (tagged.withColumn("__in", F.coalesce(F.sum(weight).over(inner), F.lit(0)))
+            .join(F.broadcast(bases), "__pid", "inner")
+            .withColumn(name, F.col("__base") + F.col("__in")).drop("__pid", "__mid", "__in", "__base"))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_by: Sequence[str] = (),
                     names: Sequence[str] | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles of ``value`` (nulls dropped), per group.
+    """Exact linear-interpolation quantiles of ``value`` (nulls and NaN dropped), per group.
 
     Returns one row per group with one column per probability (``names`` or
     ``q_<p>``); a group with no values is absent.
     """
     group_by = list(group_by)
     names = list(names) if names else [f"q_{str(p).replace('.', '_')}" for p in probs]
-    vals = df.select(*group_by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    ranked = sequence_index(vals, [*group_by, "__v"], "__i")
-    groups = ranked.groupBy(*group_by).agg(F.min("__i").alias("__start"), F.count(F.lit(1)).alias("__n"))
-    probs_arr = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    wanted = (groups.select(*group_by, "__start", "__n", F.explode(probs_arr).alias("__pp"))
-              .select(*group_by, F.col("__pp.k").alias("__k"),
-                      ((F.col("__n") - 1) * F.col("__pp.p")).alias("__pos"), "__start"))
-    wanted = wanted.select(*group_by, "__k", (F.col("__pos") - F.floor("__pos")).alias("__frac"),
-                           (F.col("__start") + F.floor("__pos")).cast("long").alias("__lo"),
-                           (F.col("__start") + F.ceil("__pos")).cast("long").alias("__hi"))
-    points = ranked.select(F.col("__i"), F.col("__v"))
-    lo = points.select(F.col("__i").alias("__lo"), F.col("__v").alias("__vlo"))
-    hi = points.select(F.col("__i").alias("__hi"), F.col("__v").alias("__vhi"))
-    q = (wanted.join(lo, "__lo", "inner").join(hi, "__hi", "inner")
-         .select(*group_by, "__k",
-                 (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")).alias("__q")))
-    aggs = [F.max(F.when(F.col("__k") == i, F.col("__q"))).alias(n) for i, n in enumerate(names)]
+    vals = (df.select(*group_by, F.col(value).cast("double").alias("__v"))
+            .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+    counts = vals.groupBy(*group_by, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    ranked = running_total(counts, [*group_by, "__v"], "__c", "__before")
+    bounds = [F.min("__before").alias("__start"), F.sum("__c").alias("__n")]
     if group_by:
-        return q.groupBy(*group_by).agg(*aggs)
-    return q.agg(*aggs)
+        groups = ranked.groupBy(*group_by).agg(*bounds).select(*[F.col(c).alias(f"__g_{c}") for c in group_by], "__start", "__n")
+        same = [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in group_by]
+        placed = ranked.join(groups, reduce(lambda a, b: a & b, same), "inner")
+    else:
+        placed = with_scalars(ranked, ranked.agg(*bounds))
+    first = F.col("__before") - F.col("__start")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((first <= rank) & (rank < first + F.col("__c")), F.col("__v")))
+
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (F.col("__n") - 1) * F.lit(float(p))
+        aggs += [at(F.floor(pos)).alias(f"__lo{i}"), at(F.ceil(pos)).alias(f"__hi{i}"), F.max(pos - F.floor(pos)).alias(f"__f{i}")]
+    found = placed.groupBy(*group_by).agg(*aggs)
+    return found.select(*group_by, *[(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(n)
+                                     for i, n in enumerate(names)])
 
 
 def moments(value: Column) -> list[Column]:

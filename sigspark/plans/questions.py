@@ -29,11 +29,13 @@ from sigspark import config
 from sigspark.functions.columns import compound_category, gene_function
 from sigspark.functions.literals import literal_rows
 from sigspark.operators.joins import fact_dim_join
-from sigspark.operators.stats import exact_quantiles
+from sigspark.operators.reshape import z_beyond
+from sigspark.operators.stats import exact_quantiles, with_scalars
 
 
 def _abs_z() -> Column:
-    return F.abs(F.col("z_score"))
+    """``abs(z)``; NaN, which Spark orders above every number, is missing."""
+    return F.abs(F.nanvl(F.col("z_score"), F.lit(None).cast("double")))
 
 
 def _r6(c: Column) -> Column:
@@ -111,7 +113,7 @@ def moa_mimics(cm: DataFrame, gs: DataFrame, reference: str = config.REFERENCE_C
 
 # E3
 def toxicity_extreme_hits(cm: DataFrame, gs: DataFrame, threshold: float = config.EXTREME_Z, n: int = 20) -> DataFrame:
-    per = (gs.where(_abs_z() > F.lit(float(threshold))).groupBy("pert_iname")
+    per = (gs.where(z_beyond(threshold, strict=True)).groupBy("pert_iname")
            .agg(F.count(F.lit(1)).alias("extreme_hit_count")))
     return (per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
             .orderBy(F.col("extreme_hit_count").desc(), "pert_iname").limit(n))
@@ -120,7 +122,7 @@ def toxicity_extreme_hits(cm: DataFrame, gs: DataFrame, threshold: float = confi
 # E3b
 def safety_profile(cm: DataFrame, gs: DataFrame, compound: str = config.REFERENCE_COMPOUND,
                    threshold: float = config.Z_THRESHOLD) -> DataFrame:
-    rows = gs.where((F.col("pert_iname") == compound) & (_abs_z() >= F.lit(float(threshold))))
+    rows = gs.where((F.col("pert_iname") == compound) & z_beyond(threshold))
     rows = rows.join(cm.where(F.col("pert_iname") == compound).select("pert_iname"), "pert_iname", "left_semi")
     return rows.orderBy(F.col("z_score").desc(), "pr_gene_symbol").select("pr_gene_symbol", "z_score")
 
@@ -132,11 +134,11 @@ def risk_filter(cm: DataFrame, gs: DataFrame, max_extreme_genes: int = config.RI
     """Compounds that survive: ≤ ``max_extreme_genes`` genes at |Z| > extreme and
     no significant hit on a gene of ``risk_genes`` (a gene list)."""
     per = (gs.groupBy("pert_iname")
-           .agg(F.countDistinct(F.when(_abs_z() > F.lit(float(extreme)), F.col("pr_gene_symbol"))).alias("extreme_genes")))
+           .agg(F.countDistinct(F.when(z_beyond(extreme, strict=True), F.col("pr_gene_symbol"))).alias("extreme_genes")))
     kept = per.where(F.col("extreme_genes") <= max_extreme_genes)
     if risk_genes is not None:
-        flagged = (gs.where(_abs_z() >= F.lit(float(threshold)))
-                   .join(risk_genes.select("pr_gene_symbol"), "pr_gene_symbol", "left_semi").select("pert_iname"))
+        flagged = (gs.where(z_beyond(threshold))
+                   .join(risk_genes.select("pr_gene_symbol"), "pr_gene_symbol", "left_semi").select("pert_iname").distinct())
         kept = kept.join(flagged, "pert_iname", "left_anti")
     return _with_metadata(kept, cm, ["moa"]).select("pert_iname", "moa", "extreme_genes")
 
@@ -150,21 +152,21 @@ def potency_benchmark(cm: DataFrame, gs: DataFrame, n: int = 10) -> DataFrame:
 
 # E5
 def master_regulators(gs: DataFrame, threshold: float = config.Z_THRESHOLD, n: int = 15) -> DataFrame:
-    per = gs.where(_abs_z() > F.lit(float(threshold))).groupBy("pr_gene_symbol").agg(F.count(F.lit(1)).alias("frequency"))
+    per = gs.where(z_beyond(threshold, strict=True)).groupBy("pr_gene_symbol").agg(F.count(F.lit(1)).alias("frequency"))
     return per.orderBy(F.col("frequency").desc(), "pr_gene_symbol").limit(n)
 
 
 # E5b
 def master_regulators_by_freq(gs: DataFrame, min_frequency: int = config.MASTER_REGULATOR_FREQ,
                               threshold: float = config.Z_THRESHOLD) -> DataFrame:
-    per = gs.where(_abs_z() >= F.lit(float(threshold))).groupBy("pr_gene_symbol").agg(F.count(F.lit(1)).alias("frequency"))
+    per = gs.where(z_beyond(threshold)).groupBy("pr_gene_symbol").agg(F.count(F.lit(1)).alias("frequency"))
     return per.where(F.col("frequency") > min_frequency)
 
 
 # E6
 def repurposing_efficiency(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CONFIDENCE_Z,
                            n: int = 10) -> DataFrame:
-    rows = gs.where(~_is_unknown() & (_abs_z() > F.lit(float(threshold))))
+    rows = gs.where(~_is_unknown() & z_beyond(threshold, strict=True))
     per = rows.groupBy("pert_iname").agg(F.countDistinct("pr_gene_symbol").alias("genes_regulated"))
     return (_with_metadata(per, cm, ["moa"]).select("pert_iname", "moa", "genes_regulated")
             .orderBy(F.col("genes_regulated").desc(), "pert_iname").limit(n))
@@ -249,7 +251,7 @@ def _lead_names(cm, gs, leads: DataFrame | None) -> DataFrame:
 # E9b
 def lead_gene_detail(cm: DataFrame, gs: DataFrame, leads: DataFrame | None = None,
                      threshold: float = config.Z_THRESHOLD) -> DataFrame:
-    rows = gs.where(_abs_z() >= F.lit(float(threshold))).join(_lead_names(cm, gs, leads), "pert_iname", "inner")
+    rows = gs.where(z_beyond(threshold)).join(_lead_names(cm, gs, leads), "pert_iname", "inner")
     return (_with_metadata(rows, cm, ["moa"])
             .orderBy("pert_iname", _abs_z().desc(), "pr_gene_symbol", "sig_id")
             .select("pert_iname", "moa", "pr_gene_symbol", "z_score"))
@@ -257,7 +259,7 @@ def lead_gene_detail(cm: DataFrame, gs: DataFrame, leads: DataFrame | None = Non
 
 def top_genes(gs: DataFrame, n: int, threshold: float = config.Z_THRESHOLD,
               compounds: DataFrame | None = None) -> DataFrame:
-    rows = gs.where(_abs_z() >= F.lit(float(threshold)))
+    rows = gs.where(z_beyond(threshold))
     if compounds is not None:
         rows = rows.join(compounds, "pert_iname", "left_semi")
     per = rows.groupBy("pr_gene_symbol").agg(F.count(F.lit(1)).alias("freq"))
@@ -274,15 +276,29 @@ def lead_fingerprint(cm: DataFrame, gs: DataFrame, n_genes: int = 20, leads: Dat
             .select("pert_iname", "pr_gene_symbol", _r6(F.col("_m")).alias("mean_z")))
 
 
-def lead_fingerprint_wide(cm: DataFrame, gs: DataFrame, n_genes: int = 20) -> DataFrame:
-    """E9c as the heatmap matrix: leads × top genes overall, mean Z.
+def _ranked_genes(top: DataFrame) -> DataFrame:
+    """A top-k gene list with its rank (a window over k rows)."""
+    order = Window.orderBy(F.col("freq").desc(), "pr_gene_symbol")
+    return top.select("pr_gene_symbol", F.row_number().over(order).alias("gene_rank"))
+
+
+def _by_rank(rows: DataFrame, genes: DataFrame, n: int) -> DataFrame:
+    """Mean Z per lead with one column per gene rank: ``gene_1`` .. ``gene_n``
+    (null where the lead has no row for the gene) and ``gene_1_symbol`` .., the
+    names of those genes. The schema depends on ``n`` alone, not on the data."""
+    ranks = range(1, n + 1)
+    wide = (rows.join(F.broadcast(genes), "pr_gene_symbol", "inner").groupBy("pert_iname", "gene_rank")
+            .agg(_r6(F.avg("z_score")).alias("_m")).groupBy("pert_iname")
+            .agg(*[F.max(F.when(F.col("gene_rank") == i, F.col("_m"))).alias(f"gene_{i}") for i in ranks]))
+    names = genes.agg(*[F.max(F.when(F.col("gene_rank") == i, F.col("pr_gene_symbol"))).alias(f"gene_{i}_symbol") for i in ranks])
+    return with_scalars(wide, names)
+
 
-    Like the reference's pivot table, a column exists for each top gene that
-    some lead actually hits; those names (at most ``n_genes``) are fetched
-    to name the pivot columns."""
-    long = lead_fingerprint(cm, gs, n_genes)
-    genes = sorted(r["pr_gene_symbol"] for r in long.select("pr_gene_symbol").distinct().collect())
-    return long.groupBy("pert_iname").pivot("pr_gene_symbol", genes).agg(F.first("mean_z"))
+def lead_fingerprint_wide(cm: DataFrame, gs: DataFrame, n_genes: int = 20) -> DataFrame:
+    """E9c as the heatmap matrix: leads × top genes overall, mean Z, columns by gene rank."""
+    rows = (gs.join(_lead_names(cm, gs, None), "pert_iname", "inner")
+            .join(cm.select("pert_iname"), "pert_iname", "left_semi"))
+    return _by_rank(rows, _ranked_genes(top_genes(gs, n_genes)), n_genes)
 
 
 def _final_rows(cm: DataFrame, gs: DataFrame, n_leads: int, n_genes: int) -> DataFrame:
@@ -305,15 +321,10 @@ def final_matrix_mean(cm: DataFrame, gs: DataFrame, n_leads: int = config.TOP_N_
 
 def final_matrix_wide(cm: DataFrame, gs: DataFrame, n_leads: int = config.TOP_N_LEADS, n_genes: int = 7) -> DataFrame:
     """E10 / D15 as the reference's matrix: one row per lead, one column per
-    top gene (mean Z, null where the lead has no row for the gene).
-
-    The gene list is the top-``n_genes`` result; it is fetched to name the
-    pivot columns (at most ``n_genes`` values, bounded by k), never the data.
-    """
+    rank among the leads' top genes (mean Z, null where the lead has none)."""
     leads = _lead_names(cm, gs, precision_leads(cm, gs, n=n_leads))
-    genes = [r["pr_gene_symbol"] for r in top_genes(gs, n_genes, compounds=leads).collect()]
-    rows = _final_rows(cm, gs, n_leads, n_genes)
-    return rows.groupBy("pert_iname").pivot("pr_gene_symbol", sorted(genes)).agg(_r6(F.avg("z_score")))
+    rows = gs.join(leads, "pert_iname", "inner").join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    return _by_rank(rows, _ranked_genes(top_genes(gs, n_genes, compounds=leads)), n_genes)
 
 
 # E10b
@@ -364,7 +375,7 @@ def _score_block(unknown: "pd.DataFrame", known: "pd.DataFrame") -> "pd.DataFram
 
 # E2g
 def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CONFIDENCE_Z,
-                 block_size: int = 1024) -> DataFrame:
+                 block_size: int = 1024, tasks: int | None = None) -> DataFrame:
     """For each unknown (``BRD-``) compound, the known compound sharing the most
     genes at Z > threshold; its mechanism is the prediction.
 
@@ -375,7 +386,9 @@ def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CO
     runs in numpy. Per-task memory is bounded by the block sizes and the
     gene universe; no (compound, compound) row is ever materialised, so a
     gene shared by every compound costs nothing extra. Block counts come from
-    one aggregate of the two distinct compound counts.
+    one aggregate of the two distinct compound counts; there are at least
+    ``tasks`` blocks of unknown compounds (default: the session's parallelism),
+    so small inputs use every core too.
     """
     import math
 
@@ -389,7 +402,8 @@ def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CO
     spark = gs.sparkSession
     if n_u == 0 or n_k == 0:
         return literal_rows(spark, [], _TRANSFER_SCHEMA + ", predicted_moa string")
-    nbu, nbk = max(1, math.ceil(n_u / block_size)), max(1, math.ceil(n_k / block_size))
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    nbu, nbk = max(math.ceil(n_u / block_size), min(n_u, tasks)), max(1, math.ceil(n_k / block_size))
     u = (unknown.withColumn("ub", F.pmod(F.xxhash64("pert_iname"), F.lit(nbu)))
          .withColumn("kb", F.explode(F.sequence(F.lit(0), F.lit(nbk - 1)))))
     k = (known.withColumn("kb", F.pmod(F.xxhash64("pert_iname"), F.lit(nbk)))

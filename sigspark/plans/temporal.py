@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from sigspark import config
 from sigspark.functions.columns import clinical_triage as triage_rule
-from sigspark.operators.reshape import strip_blanks
+from sigspark.operators.reshape import strip_blanks, z_beyond
 
 
 def _abs_z():
-    return F.abs(F.col("z_score"))
+    return F.abs(F.nanvl(F.col("z_score"), F.lit(None).cast("double")))
 
 
 # G1
@@ -31,7 +31,7 @@ def time_metrics(gs: DataFrame, sig_info: DataFrame, compounds: DataFrame | None
                  time_points: Sequence[str] = config.TIME_POINTS,
                  threshold: float = config.Z_THRESHOLD) -> DataFrame:
     """Max |Z| and distinct genes per (compound, time point) at |Z| ≥ threshold."""
-    rows = gs.where(_abs_z() >= F.lit(float(threshold)))
+    rows = gs.where(z_beyond(threshold))
     if compounds is not None:
         rows = rows.join(compounds.select("pert_iname"), "pert_iname", "left_semi")
     times = sig_info.where(F.col("pert_itime").isin(list(time_points))).select("sig_id", "pert_iname", "pert_itime")
@@ -69,10 +69,10 @@ def clinical_triage(pivot: DataFrame, cascade_delta: int = config.CASCADE_DELTA,
 def late_new_hits(gs: DataFrame, sig_info: DataFrame, early: str = "6 h", late: str = "24 h",
                   threshold: float = config.Z_THRESHOLD) -> DataFrame:
     """Genes hit at the late time point that the compound did not hit early."""
-    rows = (gs.where(_abs_z() >= F.lit(float(threshold)))
+    rows = (gs.where(z_beyond(threshold))
             .join(sig_info.select("sig_id", "pert_iname", "pert_itime"), ["sig_id", "pert_iname"], "inner"))
     late_hits = rows.where(F.col("pert_itime") == late).select("pert_iname", "pr_gene_symbol").distinct()
-    early_hits = rows.where(F.col("pert_itime") == early).select("pert_iname", "pr_gene_symbol")
+    early_hits = rows.where(F.col("pert_itime") == early).select("pert_iname", "pr_gene_symbol").distinct()
     return late_hits.join(early_hits, ["pert_iname", "pr_gene_symbol"], "left_anti")
 
 
