@@ -87,5 +87,6 @@ GENE_FUNCTIONS = {
 }
 GENE_FUNCTION_DEFAULT = "Targeted Regulation"
 
-# Tokens pandas reads as missing; normalised to null after a string read.
-MISSING_TOKENS = ("", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "<NA>", "n/a", "#N/A", "-NaN", "-nan")
+# --- fixed values (tokens that pandas reads as missing; null after a string read) ---
+MISSING_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                  "NULL", "NaN", "None", "n/a", "nan", "null")

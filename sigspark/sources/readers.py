@@ -14,15 +14,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigspark import config
-from sigspark.errors import require_columns
+from sigspark.errors import ValidationError, require_columns
 
 
 def _missing_to_null(c: str):
-    return F.when(F.trim(F.col(c)).isin(list(config.MISSING_TOKENS)), F.lit(None)).otherwise(F.col(c))
+    return F.when(F.col(c).isin(list(config.MISSING_TOKENS)), F.lit(None)).otherwise(F.col(c))
 
 
 def read_matrix_tsv(spark: SparkSession, path: str, row_id: str = "gene_id", col_id: str = "sig_id",
@@ -32,15 +33,17 @@ def read_matrix_tsv(spark: SparkSession, path: str, row_id: str = "gene_id", col
 
     Header lines are recognised by content (first field = ``id_header``,
     default ``row_id``), so every part file may repeat the header and a
-    split file never mislabels a data line. All headers must be equal.
+    split file never mislabels a data line. All headers must be equal. The
+    test looks at a line's first characters, before any splitting; only data
+    lines are split for their cells, and only header lines for the names.
     """
-    fields = spark.read.text(path).select(F.split("value", sep).alias("__f"))
-    is_header = F.col("__f")[0] == (id_header or row_id)
-    header = fields.where(is_header).distinct()
-    names = header.select(F.posexplode("__f").alias("__pos", col_id)).where(F.col("__pos") > 0)
-    cells = fields.where(~is_header).select(
-        F.col("__f")[0].alias(row_id), F.posexplode(F.col("__f")).alias("__pos", "__raw")).where(F.col("__pos") > 0)
-    raw = F.when(F.trim("__raw").isin(list(config.MISSING_TOKENS)), F.lit(None)).otherwise(F.col("__raw"))
+    lines = spark.read.text(path)
+    is_header = F.col("value").startswith(f"{id_header or row_id}{sep}")
+    names = (lines.where(is_header).distinct().select(F.posexplode(F.split("value", sep)).alias("__pos", col_id))
+             .where(F.col("__pos") > 0))
+    fields = lines.where(~is_header).select(F.split("value", sep).alias("__f"))
+    cells = fields.select(F.col("__f")[0].alias(row_id), F.posexplode(F.col("__f")).alias("__pos", "__raw")).where(F.col("__pos") > 0)
+    raw = F.when(F.col("__raw").isin(list(config.MISSING_TOKENS)), F.lit(None)).otherwise(F.col("__raw"))
     # The header table has one row per column; Spark broadcasts it when its
     # measured size allows (any realistic width) and shuffles otherwise.
     return (cells.join(names, "__pos", "inner")
@@ -79,7 +82,6 @@ def read_pruned(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
     """A5: fail before planning when an input is missing."""
-    from pyspark.errors import AnalysisException
     missing = []
     for p in paths:
         try:
@@ -87,7 +89,6 @@ def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
         except AnalysisException:
             missing.append(p)
     if missing:
-        from sigspark.errors import ValidationError
         raise ValidationError(f"missing inputs: {missing}")
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigspark import config
 from sigspark.errors import ValidationError
-from sigspark.operators.reshape import significance_flag
+from sigspark.operators.reshape import dedupe, significance_flag
+from sigspark.operators.stats import sequence_index
 
 COMPOUND_KEY = ("pert_iname",)
 SIGNATURE_KEY = ("pert_iname", "sig_id", "pr_gene_symbol")
@@ -46,30 +47,51 @@ def export_reports(summary: DataFrame, detailed: DataFrame, out_dir: str) -> dic
     return paths
 
 
-def _existing(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame | None:
+BUCKET = "_bucket"
+BUCKETS = 16
+
+
+def _bucketed(df: DataFrame, column: str) -> DataFrame:
+    """Storage bucket by key hash: a folder of the stored table."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int"))
+
+
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The appended table without its bucket column; None when nothing is stored yet."""
     try:
-        return spark.read.parquet(path).select(*columns)
+        return spark.read.parquet(path).drop(BUCKET)
     except AnalysisException:
         return None
 
 
 def _stored_rows(spark: SparkSession, path: str) -> int:
+    stored = stored_table(spark, path)
+    return 0 if stored is None else stored.count()  # answered from Parquet footers
+
+
+def stored_keys(batch: DataFrame, path: str, keys: Sequence[str]) -> DataFrame | None:
+    """Keys of the stored rows in the buckets that ``batch`` touches; the files
+    of other buckets are not read. At most ``BUCKETS`` numbers reach the driver."""
+    touched = [r[BUCKET] for r in batch.select(BUCKET).distinct().collect()]
     try:
-        return spark.read.parquet(path).count()  # answered from Parquet footers
+        stored = batch.sparkSession.read.parquet(path)
     except AnalysisException:
-        return 0
+        return None
+    return stored.where(F.col(BUCKET).isin(touched)).select(BUCKET, *keys)
 
 
-def append_if_absent(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is neither repeated in the batch nor already stored.
+def append_if_absent(new: DataFrame, path: str, keys: Sequence[str], bucket_by: str | None = None) -> DataFrame:
+    """Rows of ``new``, with their bucket, whose key is not stored yet.
 
-    A duplicate key skips that row only (the reference dropped the whole
-    batch). Returns the rows that will be appended (lazy).
+    Of the rows that repeat a key in the batch the first by the other columns'
+    values is kept (the reference dropped the whole batch), so reruns agree.
+    Returns the rows that will be appended (lazy).
     """
     keys = list(keys)
-    batch = new.dropDuplicates(keys)
-    stored = _existing(new.sparkSession, path, keys)
-    return batch if stored is None else batch.join(stored, keys, "left_anti")
+    others = [c for c in new.columns if c not in keys]
+    batch = _bucketed(dedupe(new, keys, others or keys, keep="first"), bucket_by or keys[0])
+    stored = stored_keys(batch, path, keys)
+    return batch if stored is None else batch.join(stored, [BUCKET, *keys], "left_anti").select(*batch.columns)
 
 
 def _append(rows: DataFrame, path: str, count: bool = True) -> int | None:
@@ -78,7 +100,7 @@ def _append(rows: DataFrame, path: str, count: bool = True) -> int | None:
     pass; the count is the difference of the footer row counts."""
     spark = rows.sparkSession
     before = _stored_rows(spark, path) if count else 0
-    rows.write.mode("append").parquet(path)
+    rows.write.mode("append").partitionBy(BUCKET).parquet(path)
     return _stored_rows(spark, path) - before if count else None
 
 
@@ -90,7 +112,7 @@ def _flag(new: DataFrame, threshold: float) -> DataFrame:
 def append_signature_batch(batch: DataFrame, path: str, threshold: float = config.Z_THRESHOLD) -> None:
     """A9 for a stream micro-batch: no emptiness check and no counts (an
     empty batch appends nothing; a replayed batch appends nothing)."""
-    _append(append_if_absent(_flag(batch, threshold), path, SIGNATURE_KEY), path, count=False)
+    _append(append_if_absent(_flag(batch, threshold), path, SIGNATURE_KEY, "sig_id"), path, count=False)
 
 
 def append_new_compounds(new: DataFrame, path: str) -> int:
@@ -105,31 +127,49 @@ def append_new_signatures(new: DataFrame, path: str, threshold: float = config.Z
     (compound, signature, gene) rows; returns the count appended."""
     if new.isEmpty():
         raise ValidationError("signature batch is empty")
-    return _append(append_if_absent(_flag(new, threshold), path, SIGNATURE_KEY), path)
+    return _append(append_if_absent(_flag(new, threshold), path, SIGNATURE_KEY, "sig_id"), path)
+
+
+def _positions(long: DataFrame, col_id: str) -> tuple[DataFrame, int]:
+    """Column ids numbered in their order (distributed), and how many there are."""
+    positioned = sequence_index(long.select(col_id).distinct(), [col_id], "__pos")
+    width = positioned.count()
+    if width == 0:
+        raise ValidationError("matrix has no columns")
+    return positioned.withColumn("__pos", F.col("__pos").cast("int")), width
+
+
+def _dense(cells: Column, width: int, kind: str) -> Column:
+    """Cells sorted by position → array of ``width`` values, null where there is
+    no cell: the gap before each cell is filled once, so the work grows with
+    the width and not with its square."""
+    none = F.lit(None).cast(kind)
+    size = F.size(cells)
+    last = F.when(size > 0, F.element_at(cells, -1)["__pos"]).otherwise(F.lit(-1))
+
+    def with_gap(cell, i):
+        before = F.when(i > 0, F.get(cells, i - 1)["__pos"]).otherwise(F.lit(-1))
+        return F.concat(F.array_repeat(none, cell["__pos"] - before - 1), F.array(cell["__v"]))
+
+    return F.concat(F.flatten(F.transform(cells, with_gap)), F.array_repeat(none, F.lit(width - 1) - last))
 
 
 def write_matrix_tsv(long: DataFrame, path: str, row_id: str = "sig_id", col_id: str = "gene_id",
                      value: str = "z_score", sep: str = "\t") -> str:
     """Long ``(row_id, col_id, value)`` → wide TSV text (the A1 input format).
 
-    Column positions rank the distinct column ids (the header's own content,
-    so width-sized by construction); each output row gathers its cells
-    (bounded by the width) into a position map and renders every column in
-    header order, missing cells empty. Only the column count reaches the
-    driver. The header
-    is one line built by an aggregate; the A1 reader recognises it by
-    content, so it may sit in any part file.
+    Column positions number the distinct column ids; each output row sorts its
+    cells (bounded by the width) and fills the gaps in one pass, missing cells
+    empty. Only the column count reaches the driver. The header is one line
+    built by an aggregate; the A1 reader recognises it by content, so it may
+    sit in any part file.
     """
-    columns = long.select(col_id).distinct()
-    positioned = columns.select(col_id, (F.row_number().over(Window.orderBy(col_id)) - 1).alias("__pos"))
-    width = columns.count()  # one integer (a subquery cannot feed the higher-order function below)
-    rows = long.join(positioned, col_id, "inner").groupBy(row_id).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("__pos"), F.col(value).cast("string")))).alias("__m"))
-    if width == 0:
-        raise ValidationError("matrix has no columns")
-    positions = F.sequence(F.lit(0), F.lit(width - 1))
-    line = F.concat_ws(sep, F.col(row_id).cast("string"),
-                       F.transform(positions, lambda i: F.coalesce(F.element_at(F.col("__m"), i), F.lit(""))))
+    positioned, width = _positions(long, col_id)
+    cell = F.struct("__pos", F.col(value).cast("string").alias("__v"))
+    rows = (long.join(positioned, col_id, "inner").groupBy(row_id)
+            .agg(F.array_sort(F.collect_list(cell)).alias("__cells"))
+            .withColumn("__dense", _dense(F.col("__cells"), width, "string")))
+    line = F.concat_ws(sep, F.col(row_id).cast("string"), F.array_join("__dense", sep, ""))
     header = positioned.agg(
         F.array_sort(F.collect_list(F.struct(F.col("__pos"), F.col(col_id).cast("string").alias("name"))))
         .alias("__h")).select(
@@ -144,17 +184,12 @@ def write_matrix_arrays(long: DataFrame, path: str, row_id: str = "sig_id", col_
     ``columns(__pos, col_id)``. Missing cells are null array elements.
 
     The wide form without a wide schema: each row is one array, positions
-    rank the distinct column ids (a width-sized table), and only the column
-    count reaches the driver.
+    number the distinct column ids, and only the column count reaches the driver.
     """
-    positioned = long.select(col_id).distinct().select(
-        col_id, (F.row_number().over(Window.orderBy(col_id)) - 1).cast("int").alias("__pos"))
-    width = positioned.count()
-    if width == 0:
-        raise ValidationError("matrix has no columns")
-    rows = long.join(positioned, col_id, "inner").groupBy(row_id).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("__pos"), F.col(value).cast("double")))).alias("__m"))
-    values = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.element_at(F.col("__m"), i))
-    rows.select(row_id, values.alias("values")).write.mode("overwrite").parquet(f"{path}/rows")
+    positioned, width = _positions(long, col_id)
+    cell = F.struct("__pos", F.col(value).cast("double").alias("__v"))
+    rows = (long.join(positioned, col_id, "inner").groupBy(row_id)
+            .agg(F.array_sort(F.collect_list(cell)).alias("__cells")))
+    rows.select(row_id, _dense(F.col("__cells"), width, "double").alias("values")).write.mode("overwrite").parquet(f"{path}/rows")
     positioned.write.mode("overwrite").parquet(f"{path}/columns")
     return path

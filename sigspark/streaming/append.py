@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sigspark.sources.sinks import append_signature_batch
+from sigspark.sources.sinks import append_signature_batch, stored_table
 
 SIGNATURE_SCHEMA = T.StructType([
     T.StructField("pert_iname", T.StringType()),
@@ -46,4 +46,4 @@ def stream_append_signatures(spark: SparkSession, source_dir: str, target_path:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return spark.read.parquet(target_path)
+    return stored_table(spark, target_path)
