@@ -1,51 +1,43 @@
 """Literature footprint, re-aimed from web search to landed tables.
 
 The reference asks a web search engine how many papers mention each
-compound. Here the corpus is a documents table: a term's count is the
-number of distinct documents whose tokens (``lower(text)`` split on
-non-letters, over the whole text) contain it. The corpus is tokenised once
-into a document-frequency table (the search index), and lookups join it.
-Landed web pages are parsed with regular expressions instead of a DOM
-library.
+compound. Here the corpus is a table of texts: a name's count is the number of
+distinct documents that contain its tokens one after the other. Tokens are
+runs of letters and digits of any script, lower-cased, with inner hyphens
+("MG-132" is one token, "valproic acid" two). The corpus is tokenised once
+into a document-frequency table (the search index) that answers one-token
+names; longer names are matched as token sequences over the whole texts.
+Landed web pages are parsed with regular expressions instead of a DOM library.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigspark.functions.columns import novelty_status, research_maturity, risk_level
 
-TOKEN_SPLIT = "[^a-z]+"
+TOKEN = r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*"
 
 
-def document_tokens(documents: DataFrame) -> DataFrame:
-    """(doc_id, token) for every token of every whole document."""
-    return documents.select("doc_id", F.explode(F.split(F.lower(F.col("text")), TOKEN_SPLIT)).alias("token"))
-
+def tokens(text: Column | str) -> Column:
+    """The tokens of a text in order (null: none)."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)), F.array().cast("array<string>"))
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row work (regex over whole texts) every core.
 
-    A scan yields as many partitions as it has splits/row groups; when that
-    is fewer than the cluster's parallelism (a few large files), rows are
-    redistributed first. A scan that already has enough partitions — the
-    normal case on large inputs — is left alone, so no text is shuffled.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+def document_tokens(documents: DataFrame) -> DataFrame:
+    """(doc_id, token) for every token of every whole document."""
+    return documents.select("doc_id", F.explode(tokens("text")).alias("token"))
 
 
 def postings(documents: DataFrame) -> DataFrame:
-    """Inverted index: distinct ``(token, doc_id)`` over whole texts.
+    """Inverted index: one ``(token, doc_id)`` per document and token.
 
-    Each document's tokens are de-duplicated in the row (``array_distinct``)
-    before the explode; the distinct then only removes pairs of repeated
-    doc_ids, and a token found in every document is combined map-side.
+    Each document's tokens are made distinct in its row (``array_distinct``)
+    before the explode; nothing is shuffled. ``doc_id`` is the corpus's key.
     """
-    tokens = spread(documents).select(
-        "doc_id", F.explode(F.array_distinct(F.split(F.lower(F.col("text")), TOKEN_SPLIT))).alias("token"))
-    return tokens.where(F.col("token") != "").select("token", "doc_id").distinct()
+    return documents.select(F.explode(F.array_distinct(tokens("text"))).alias("token"), "doc_id")
 
 
 def document_frequency(postings_df: DataFrame) -> DataFrame:
@@ -57,22 +49,50 @@ def document_frequency(postings_df: DataFrame) -> DataFrame:
     return postings_df.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-# F5
-def literature_counts(index: DataFrame, terms: DataFrame, term_col: str = "term",
-                      count_col: str = "n_docs") -> DataFrame:
-    """Distinct documents mentioning each term (0 when none), from the
-    document-frequency ``index``; every term row is kept."""
-    hits = index.select(F.col("token").alias(term_col), F.col("n_docs").alias(count_col))
-    return (terms.select(term_col).join(hits, term_col, "left")
-            .select(term_col, F.coalesce(F.col(count_col), F.lit(0)).cast("long").alias(count_col)))
+def phrase_counts(documents: DataFrame, names: DataFrame) -> DataFrame:
+    """``(name_key, n_docs)`` for names of several tokens (``name_key``: their
+    tokens joined by a blank): distinct documents that contain the tokens one
+    after the other. Each document's token sequences of a name's length are
+    made distinct in its row and joined with the names, which Spark broadcasts
+    when their measured size allows; the lengths (a few small numbers) are
+    read first."""
+    lengths = sorted(r[0] for r in names.select(F.size(F.split("name_key", " "))).distinct().collect())
+    if not lengths:
+        return names.select("name_key", F.lit(0).cast("long").alias("n_docs"))
+    toks = documents.select(tokens("text").alias("__t"))
+
+    def runs(n: int) -> Column:
+        starts = F.when(F.size("__t") >= n, F.sequence(F.lit(1), F.size("__t") - (n - 1)))
+        return F.coalesce(F.transform(starts, lambda i: F.array_join(F.slice("__t", i, n), " ")), F.array().cast("array<string>"))
+
+    found = toks.select(F.explode(F.array_distinct(F.concat(*map(runs, lengths)))).alias("name_key"))
+    return found.join(names, "name_key", "left_semi").groupBy("name_key").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def compound_literature(index: DataFrame, compounds: DataFrame) -> DataFrame:
+# F5
+def literature_counts(index: DataFrame, terms: DataFrame, term_col: str = "term", count_col: str = "n_docs",
+                      documents: DataFrame | None = None) -> DataFrame:
+    """Distinct documents mentioning each term (0 when none); every term row is
+    kept. One-token terms are looked up in the document-frequency ``index``;
+    terms of several tokens are matched in ``documents``, without which they
+    are an error. A term without any token is in no document."""
+    keyed = terms.select(term_col).withColumn("name_key", F.array_join(tokens(term_col), " "))
+    hits = index.select(F.col("token").alias("name_key"), F.col("n_docs").alias("__n"))
+    if documents is not None:
+        several = keyed.where(F.col("name_key").contains(" ")).select("name_key").distinct()
+        hits = hits.unionByName(phrase_counts(documents, several).select("name_key", F.col("n_docs").alias("__n")))
+    else:
+        several = F.col("name_key").contains(" ")
+        keyed = keyed.withColumn("name_key", F.when(~several, F.col("name_key")).otherwise(
+            F.raise_error(F.concat(F.lit("a term of several tokens needs the documents: "), F.col("name_key")))))
+    return (keyed.join(hits, "name_key", "left")
+            .select(term_col, F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_col)))
+
+
+def compound_literature(index: DataFrame, compounds: DataFrame, documents: DataFrame) -> DataFrame:
     """F5 for compound names: ``pert_iname, pubmed_papers, research_maturity``."""
-    names = compounds.select("pert_iname", F.lower("pert_iname").alias("term")).distinct()
-    return (literature_counts(index, names.select("term").distinct(), "term", "pubmed_papers")
-            .join(names, "term", "inner")
-            .select("pert_iname", "pubmed_papers")
+    names = compounds.select("pert_iname").distinct()
+    return (literature_counts(index, names, "pert_iname", "pubmed_papers", documents)
             .withColumn("research_maturity", research_maturity("pubmed_papers")))
 
 
@@ -100,23 +120,33 @@ def literature_search(postings_df: DataFrame, index: DataFrame, terms: DataFrame
                     novelty_status("publication_count").alias("status")))
 
 
-# F6
-TITLE_RE = r"<h1[^>]*>([^<]*)</h1>"
-YEAR_RE = r"[0-9]{4}"
-COUNT_RE = r"<span[^>]*class=\"value\"[^>]*>([0-9,]+)</span>"
+# the elements that hold the fields. The heading of an article page has a
+# class of its own; other pages have a plain one.
+TITLE_RE = r'(?is)<h1\b[^>]*class="[^"]*\bheading-title\b[^"]*"[^>]*>(.*?)</h1>'
+HEADING_RE = r"(?is)<h1\b[^>]*>(.*?)</h1>"
+CITATION_RE = r'(?is)<span\b[^>]*class="[^"]*\bcit\b[^"]*"[^>]*>(.*?)</span>'
+COUNT_RE = r'(?is)<span\b[^>]*class="value"[^>]*>(.*?)</span>'
+YEAR_RE = r"\b(?:1[89]|20)[0-9]{2}\b"
 ARTICLE_MARK = 'class="article-page"'
 
 
+def element_text(markup: Column) -> Column:
+    """Text of an element: inner tags removed, the usual references decoded, white space as one blank."""
+    text = F.regexp_replace(markup, r"<[^>]*>", "")
+    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
 def page_fields(pages: DataFrame) -> DataFrame:
-    """Heading, first 4-digit year ('N/A' when absent), result count (commas removed)."""
-    title = F.regexp_replace(F.regexp_extract("html", TITLE_RE, 1), r"^\s+|\s+$", "")
-    year = F.regexp_extract("html", YEAR_RE, 0)
-    count = F.regexp_replace(F.regexp_extract("html", COUNT_RE, 1), ",", "")
+    """Heading, year of the citation ('N/A' when absent), result count (commas removed)."""
+    title = F.coalesce(*[F.nullif(element_text(F.regexp_extract("html", p, 1)), F.lit("")) for p in (TITLE_RE, HEADING_RE)], F.lit("N/A"))
+    year = F.regexp_extract(element_text(F.regexp_extract("html", CITATION_RE, 1)), YEAR_RE, 0)
+    count = F.replace(element_text(F.regexp_extract("html", COUNT_RE, 1)), F.lit(","), F.lit(""))
     return pages.select(
-        "page_id",
-        F.when(title == "", "N/A").otherwise(title).alias("title"),
+        "page_id", title.alias("title"),
         F.when(year == "", "N/A").otherwise(year).alias("year"),
-        F.when(count == "", F.lit(None)).otherwise(count).cast("long").alias("paper_count"),
+        F.when(count.rlike("^[0-9]+$"), count).try_cast("long").alias("paper_count"),
         F.col("html").contains(ARTICLE_MARK).alias("single_article"))
 
 

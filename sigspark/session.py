@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
+from sigspark.errors import ValidationError
+
 # Settings that matter for the plans in this package. On a cluster these come
 # from the job's own configuration; locally we set the same ones.
 _LOCAL_CONF = {
@@ -39,13 +42,16 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder
-    there). Only when nothing is configured — local tests — a private
-    temporary folder is created and registered as the checkpoint dir.
+    there). When nothing is configured, a local session (one JVM) gets a
+    private temporary folder; any other master is an error, since executors
+    would not see each other's files.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValidationError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="sigspark-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
         path = spark.sparkContext.getCheckpointDir() or path

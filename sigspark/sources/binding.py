@@ -71,10 +71,33 @@ select gene_id, sig_id, case when max(z) >= -min(z) then max(z) else min(z) end
 from {assay} group by gene_id, sig_id
 """
 
+# The literature corpus: the documents, and one note per order that names the
+# compounds reported from it. A compound with key k is reported from every
+# (1 + k*k % 997)-th of its orders, so counts range from none to hundreds.
+NOTES_SQL = """
+select -1 - l_orderkey as doc_id, concat('Assay note ', cast(l_orderkey as varchar(20)), ': ', n.pert_iname, ' was tested.') as text
+from (select l_orderkey, max(k.pert_iname) as pert_iname
+      from {lineitem} join {compound_key} k on k.s_suppkey = l_suppkey
+      where l_orderkey % (1 + l_suppkey * l_suppkey % 997) = 0 group by l_orderkey) n
+"""
+
+# Result pages: the landed pages with the fields of a search result, of one
+# article, or neither, by page number.
+RESULT_PAGES_SQL = """
+select page_id, case page_id % 3
+  when 0 then concat(html, '<div class="results-amount"><span class="value">', case when page_id % 2 = 0 then '1,' else '' end,
+                     cast(100 + page_id % 900 as varchar(20)), '</span> results</div>')
+  when 1 then concat('<div class="article-page"><h1 class="heading-title"> Study <i>no. ', cast(page_id as varchar(20)),
+                     '</i> &amp; notes </h1><span class="cit">', cast(4000 + page_id as varchar(20)), ' <b>',
+                     cast(1980 + page_id % 40 as varchar(20)), '</b> Jan;</span></div>', html)
+  else html end as html
+from {pages}
+"""
+
 # Literals of the binding (FIXTURES.md §3) — fixed values.
 REFERENCE_COMPOUND = "Supplier#000000007"
 MARKER_GENES = ("Brand#19/MEDIUM", "Brand#18/STANDARD")
-LITERATURE_TERMS = ("retion", "achach", "aebccd", "zzzzzz")
+LITERATURE_TERMS = ("retion", "achach", "aebccd", "zzzzzz", "Supplier#000000007", "brd-k00000003", "Assay note", "was tested", "éaux")
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -84,6 +107,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, text)`` of the literature corpus."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    compound_key = spark.sql(COMPOUND_KEY_SQL, supplier=read_table(spark, sf_dir, "supplier"))
+    return documents.unionByName(spark.sql(NOTES_SQL, lineitem=read_table(spark, sf_dir, "lineitem"), compound_key=compound_key))
+
+
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(RESULT_PAGES_SQL, pages=read_table(spark, sf_dir, "pages"))
+
+
 def bind_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Lazy DataFrames for the five reference inputs over the driver tables."""
     supplier = read_table(spark, sf_dir, "supplier")

@@ -15,6 +15,7 @@ builders never overwrite each other.
 from __future__ import annotations
 
 import hashlib
+import inspect
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
@@ -24,12 +25,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigspark.functions.literals import literal_rows
+from sigspark.operators import joins, reshape
+from sigspark.plans import jobs, literature
 from sigspark.plans.jobs import build_signatures
 from sigspark.plans.literature import document_frequency, postings
 from sigspark.session import scratch_root
-from sigspark.sources.binding import bind_inputs
+from sigspark.sources import binding
+from sigspark.sources.binding import bind_inputs, corpus
 
-FORMAT_VERSION = "6"
+# Landed tables are found again only by code that would build the same ones.
+BUILD_TEXT = "".join(inspect.getsource(m) for m in (binding, joins, reshape, jobs, literature))
 INPUT_TABLES = ("gene_info", "sig_info", "pert_info", "repurposing", "matrix_long")
 # Inputs that need a join or an aggregation over a growing table are landed
 # (written concurrently); the two plain projections of ``supplier`` are
@@ -52,14 +57,15 @@ _CLUSTER = {
 _MANIFEST_SCHEMA = T.StructType([T.StructField("table", T.StringType()), T.StructField("path", T.StringType()),
                                  T.StructField("attempt", T.StringType())])
 
-_cache: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_cache: dict[tuple, dict[str, DataFrame]] = {}
+_builds: dict[tuple[str, str], str] = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, names) -> str:
     """Identity of the input files: path, count, total bytes and newest
     modification time, read as file metadata through the ``binaryFile``
     source (content is pruned), so it works on any Hadoop filesystem."""
-    h = hashlib.sha1(f"{FORMAT_VERSION}|{sf_dir}".encode())
+    h = hashlib.sha1(f"{BUILD_TEXT}|{sf_dir}".encode())
     for name in names:
         meta = (spark.read.format("binaryFile").load(f"{sf_dir}/{name}.parquet")
                 .agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
@@ -146,11 +152,15 @@ def land_tables(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
 
 def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
                      root: str | None = None) -> dict[str, DataFrame]:
-    """DataFrames over the landed tables of ``sf_dir``; builds them once if missing."""
+    """DataFrames over the landed tables of ``sf_dir``; builds them once if missing.
+
+    ``rebuild`` builds anew, and later calls use that build; a ``root`` of the
+    caller's own is read or built there and remembered by nobody."""
     sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir)
     if not rebuild and root is None and key in _cache:
         return _cache[key]
+    own = root is not None
     if root is None:
         base = f"{scratch_root(spark)}/sigspark-tables"
         root = (f"{base}/{_fingerprint(spark, sf_dir, ('supplier', 'part', 'lineitem'))}" if not rebuild
@@ -160,12 +170,20 @@ def signature_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False,
         paths = land_tables(spark, sf_dir, root)
     tables = {**_inputs(spark, sf_dir, paths),
               **{name: spark.read.parquet(paths[name]) for name in OUTPUT_TABLES}}
-    _cache[key] = tables
+    if not own:
+        _cache[key] = tables
+        _builds[key] = paths["genetic_signatures"]
     return tables
 
 
+def build_of(spark: SparkSession, sf_dir: str) -> str:
+    """Which build ``signature_tables`` answers from (changes with a rebuild)."""
+    signature_tables(spark, sf_dir)
+    return _builds[spark.sparkContext.applicationId, sf_dir.rstrip("/")]
+
+
 def _corpus_root(spark: SparkSession, sf_dir: str, rebuild: bool) -> str:
-    root = f"{scratch_root(spark)}/sigspark-corpus/{_fingerprint(spark, sf_dir, ('documents',))}"
+    root = f"{scratch_root(spark)}/sigspark-corpus/{_fingerprint(spark, sf_dir, ('documents', 'lineitem', 'supplier'))}"
     return f"{root}-fresh-{uuid.uuid4().hex[:12]}" if rebuild else root
 
 
@@ -173,8 +191,8 @@ CORPUS_TABLES = ("postings", "document_frequency")
 
 
 def corpus_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> dict[str, DataFrame]:
-    """The landed inverted index of ``documents``: ``postings(token, doc_id)``
-    and ``document_frequency(token, n_docs)``; built once per corpus."""
+    """The landed inverted index of the literature corpus: ``postings(token,
+    doc_id)`` and ``document_frequency(token, n_docs)``; built once per corpus."""
     sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir, "corpus")
     if not rebuild and key in _cache:
@@ -184,7 +202,7 @@ def corpus_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> di
     if paths is None:
         attempt = uuid.uuid4().hex[:12]
         paths = {t: f"{root}/{attempt}/{t}" for t in CORPUS_TABLES}
-        postings(raw_table(spark, sf_dir, "documents")).sortWithinPartitions("token", "doc_id") \
+        postings(corpus(spark, sf_dir)).sortWithinPartitions("token", "doc_id") \
             .write.mode("overwrite").parquet(paths["postings"])
         document_frequency(spark.read.parquet(paths["postings"])).sortWithinPartitions("token") \
             .write.mode("overwrite").parquet(paths["document_frequency"])
@@ -195,7 +213,7 @@ def corpus_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> di
 
 
 def corpus_index(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
-    """The landed document-frequency table ``(token, n_docs)`` of ``documents``."""
+    """The landed document-frequency table ``(token, n_docs)`` of the literature corpus."""
     return corpus_tables(spark, sf_dir, rebuild)["document_frequency"]
 
 
