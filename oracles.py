@@ -107,6 +107,19 @@ _TOP20 = """
 select pr_gene_symbol from genetic_signatures where abs(z_score) >= 2.0
 group by pr_gene_symbol order by count(*) desc, pr_gene_symbol limit 20"""
 _LEADS = {"leads_all": _LEADS_ALL, "leads_top": _LEADS_TOP}
+
+
+def _by_rank(top: str, n: int) -> str:
+    """Mean Z per lead, one column per rank of the gene list ``top`` (which ends in its order and limit)."""
+    values = ", ".join(f"max(case when rn = {i} then v end) as gene_{i}" for i in range(1, n + 1))
+    names = ", ".join(f"(select pr_gene_symbol from g where rn = {i}) as gene_{i}_symbol" for i in range(1, n + 1))
+    ranked = top.replace("pr_gene_symbol from", "pr_gene_symbol, row_number() over (order by count(*) desc, {}pr_gene_symbol) as rn from".format(
+        "s." if "s.pr_gene_symbol from" in top else ""), 1)
+    return q(f"select pert_iname, {values}, {names} from c group by pert_iname", **_LEADS, g=ranked, c=f"""
+select m.pert_iname, g.rn, round(avg(s.z_score), 6) as v from {J}
+join leads_top t on t.pert_iname = m.pert_iname join g on g.pr_gene_symbol = s.pr_gene_symbol group by m.pert_iname, g.rn""")
+
+
 _DISEASE = f"select * from (values ({_lit(G1)}, 1), ({_lit(G2)}, -1)) t(pr_gene_symbol, direction)"
 _QC = f"""
 select m.pert_iname, m.moa, s.pr_gene_symbol, round(avg(s.z_score), 6) as avg_z from {J}
@@ -204,14 +217,8 @@ join leads_top t on m.pert_iname = t.pert_iname join top7 g on s.pr_gene_symbol
 select m.pert_iname, m.moa, s.pr_gene_symbol, round(avg(s.z_score), 6) as mean_z from {J}
 join leads_top t on m.pert_iname = t.pert_iname join top7 g on s.pr_gene_symbol = g.pr_gene_symbol
 group by m.pert_iname, m.moa, s.pr_gene_symbol""", **_LEADS, top7=_TOP7),
-    "lead_fingerprint_pivot": q(f"""
-select * from (pivot (select m.pert_iname, s.pr_gene_symbol, s.z_score from {J}
-                      join leads_top t on t.pert_iname = m.pert_iname join top20 g on g.pr_gene_symbol = s.pr_gene_symbol)
-               on pr_gene_symbol using round(avg(z_score), 6) group by pert_iname) p""", **_LEADS, top20=_TOP20),
-    "final_matrix_pivot": q(f"""
-select * from (pivot (select m.pert_iname, s.pr_gene_symbol, s.z_score from {J}
-                      join leads_top t on m.pert_iname = t.pert_iname join top7 g on s.pr_gene_symbol = g.pr_gene_symbol)
-               on pr_gene_symbol using round(avg(z_score), 6) group by pert_iname) p""", **_LEADS, top7=_TOP7),
+    "lead_fingerprint_pivot": _by_rank(_TOP20, 20),
+    "final_matrix_pivot": _by_rank(_TOP7, 7),
     "compound_category": q("""
 select pert_iname, moa,
   case when moa is null or moa = '' or moa = 'None' then 'Novel Mechanism'
@@ -281,13 +288,33 @@ def _maturity(c: str) -> str:
 _NOVELTY = ("case when publication_count is null or publication_count < 0 then 'error' "
             "when publication_count < 5 then 'novel' else 'established' end")
 _RISK = "case when publication_count > 50 then 'LOW' when publication_count > 10 then 'MEDIUM' else 'HIGH' end"
-_TOK = "select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as w from documents"
+_CORPUS = """
+select doc_id, text from documents
+union all
+select -1 - l_orderkey, concat('Assay note ', cast(l_orderkey as varchar(20)), ': ', max(k.pert_iname), ' was tested.')
+from lineitem join compound_key k on k.s_suppkey = l_suppkey
+where l_orderkey % (1 + l_suppkey * l_suppkey % 997) = 0 group by l_orderkey"""
+_WORDS = "unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+(?:-[\\p{L}\\p{N}]+)*'))"
+_TOK = f"select distinct doc_id, {_WORDS} as w from corpus"
 _BC = {
-    "bterms": "select distinct unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as term from benchmark",
+    "bterms": f"select distinct {_WORDS} as term from benchmark",
+    "corpus": _CORPUS,
     "tok": _TOK,
     "bc": """select t.term, count(tok.doc_id) as publication_count
-             from (select term from bterms where term <> '') t left join tok on tok.w = t.term group by t.term""",
+             from bterms t left join tok on tok.w = t.term group by t.term""",
 }
+
+
+def _papers(names: str, col: str) -> dict[str, str]:
+    """Documents that hold a name as a run of whole words: both sides lower-cased, other characters as one blank."""
+    def norm(c: str) -> str:
+        return f"' ' || trim(regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}-]+', ' ', 'g')) || ' '"
+
+    return {"corpus": _CORPUS, "lit_names": names, "flat": f"select doc_id, {norm('text')} as t from corpus",
+            "lit": f"""select n.{col}, count(f.doc_id) as papers from (select distinct {col} from lit_names) n
+                       left join flat f on contains(f.t, {norm('n.' + col)}) group by n.{col}"""}
+
+
 _LEAD_B = {
     **_LEADS,
     "lead_b": f"""
@@ -299,13 +326,10 @@ select pert_iname, moa, canonical_smiles, pubchem_cid, max_potency, total_gene_h
 }
 _EXEC = {
     **_LEAD_B,
-    "tok": _TOK,
-    "lit": """select n.pert_iname, count(tok.doc_id) as pubmed_papers
-              from (select distinct pert_iname from lead_b) n left join tok on tok.w = lower(n.pert_iname)
-              group by n.pert_iname""",
+    **_papers("select pert_iname from lead_b", "pert_iname"),
 }
 _EXEC_BODY = f"""
-select b.*, lit.pubmed_papers, {_maturity('lit.pubmed_papers')} as research_maturity
+select b.*, lit.papers as pubmed_papers, {_maturity('lit.papers')} as research_maturity
 from lead_b b left join lit on lit.pert_iname = b.pert_iname"""
 _MERGE = {
     **_LEADS,
@@ -337,6 +361,26 @@ from (select count(*) as n_rows, cast({nulls} as bigint) as total_nulls,
       from {table}) x""")
 
 
+_RESULT_PAGES = """
+select page_id, case page_id % 3
+  when 0 then concat(html, '<div class="results-amount"><span class="value">', case when page_id % 2 = 0 then '1,' else '' end,
+                     cast(100 + page_id % 900 as varchar(20)), '</span> results</div>')
+  when 1 then concat('<div class="article-page"><h1 class="heading-title"> Study <i>no. ', cast(page_id as varchar(20)),
+                     '</i> &amp; notes </h1><span class="cit">', cast(4000 + page_id as varchar(20)), ' <b>',
+                     cast(1980 + page_id % 40 as varchar(20)), '</b> Jan;</span></div>', html)
+  else html end as html
+from pages"""
+
+
+def _element(tag: str, attrs: str = "") -> str:
+    """Text of the first such element: tags out, references decoded, blanks as one."""
+    inner = f"regexp_replace(regexp_extract(html, '(?s)<{tag}{attrs}[^>]*>(.*?)</{tag}>', 1), '<[^>]*>', '', 'g')"
+    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        inner = f"replace({inner}, '{name}', '{char}')"
+    return f"trim(regexp_replace({inner}, '\\s+', ' ', 'g'))"
+
+
+_PAGE_COUNT = f"""try_cast(replace(nullif({_element('span', '[^>]*class="value"')}, ''), ',', '') as bigint)"""
 _LI_COLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 _LI_ORDER = "l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice"
 _CM_COLS = ["pert_iname", "moa", "target", "canonical_smiles", "pubchem_cid"]
@@ -424,7 +468,9 @@ select * from genetic_signatures where pert_iname not in (select pert_iname from
     "merge_left": _merge("left"),
     "merge_right": _merge("right"),
     "merge_outer": _merge("full"),
-    "lead_literature_report": q(_EXEC_BODY, **_EXEC),
+    "lead_literature_report": q("""
+select t.*, lit.papers as pubmed_papers from leads_top t left join lit on lit.pert_iname = t.pert_iname""",
+                                **_LEADS, **_papers("select pert_iname from leads_top", "pert_iname")),
     # D
     "gene_statistics": q("""
 select pr_gene_symbol, count(distinct pert_iname) as compound_count, round(avg(abs(z_score)), 6) as avg_abs_z_score,
@@ -479,7 +525,9 @@ from events where value is not null"""),
     "profile_distribution": q(f"""
 select {_profile('max_response', 'biomarker_count')} as clinical_profile, count(*) as n_compounds
 from f group by 1""", f=_FEATURES),
-    "extra_time_points": q("select distinct pert_itime from sig_info where pert_itime not in ('6 h', '24 h')"),
+    "extra_time_points": q("""
+select distinct case when pert_itime = '6 h' then '3 h' else '48 h' end as pert_itime from sig_info
+where cast(string_split(sig_id, ':')[1] as bigint) % 50 = 7"""),
     "outliers_iqr": q("""
 select event_id, value, coalesce(value < q1 - 1.5 * (q3 - q1) or value > q3 + 1.5 * (q3 - q1), false) as is_outlier
 from events, (select quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.75) as q3 from events) s"""),
@@ -526,35 +574,23 @@ select b.pert_iname, b.mp >= 8.0 as high_potency, b.ag <= 50 as high_specificity
        as criteria_met
 from base b left join rev on rev.pert_iname = b.pert_iname left join tp on tp.pert_iname = b.pert_iname
 left join lit on lit.pert_iname = b.pert_iname""",
-                        disease=_DISEASE, rev=_REVERSAL, **_TIME, tok=_TOK,
+                        disease=_DISEASE, rev=_REVERSAL, **_TIME,
+                        **_papers("select pert_iname from compound_metadata", "pert_iname"),
                         base="""select p.*, m.moa from (
                                   select pert_iname, max(abs(z_score)) as mp, count(distinct pr_gene_symbol) as ag,
                                          count(distinct case when abs(z_score) > 4.0 then pr_gene_symbol end) as eg
                                   from genetic_signatures group by pert_iname) p
-                                join compound_metadata m on m.pert_iname = p.pert_iname""",
-                        lit="""select n.pert_iname, count(tok.doc_id) as papers
-                               from (select distinct pert_iname from compound_metadata) n
-                               left join tok on tok.w = lower(n.pert_iname) group by n.pert_iname"""),
+                                join compound_metadata m on m.pert_iname = p.pert_iname"""),
     # F
-    "literature_counts": q("""
-select t.term, count(d.doc_id) as n_docs from lit_terms t
-left join (select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as w from documents) d
-  on d.w = t.term
-group by t.term""", lit_terms="select * from (values " + ", ".join(f"({_lit(t)})" for t in LITERATURE_TERMS)
-                    + ") t(term)"),
-    "document_frequency": q("""
-select token, count(distinct doc_id) as n_docs
-from (select doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as token from documents) t
-where token <> '' group by token"""),
+    "literature_counts": q("select term, papers as n_docs from lit", **_papers(
+        "select * from (values " + ", ".join(f"({_lit(t)})" for t in LITERATURE_TERMS) + ") t(term)", "term")),
+    "document_frequency": q("select w as token, count(*) as n_docs from tok group by w", corpus=_CORPUS, tok=_TOK),
     "literature_search": q(f"""
 select t.term as compound, count(p.doc_id) as publication_count,
        coalesce(array_to_string(list_transform(list_slice(list_sort(list(p.doc_id) filter (where p.doc_id is not null)),
                                                           1, 10), lambda x: cast(x as varchar)), ','), '') as pmids,
        {_NOVELTY.replace('publication_count', 'count(p.doc_id)')} as status
-from (select term from bterms where term <> '') t
-left join (select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as token from documents) p
-  on p.token = t.term
-group by t.term""", **_BC),
+from bterms t left join tok p on p.w = t.term group by t.term""", **_BC),
     "research_maturity": q(f"select term, publication_count, {_maturity('publication_count')} as research_maturity from bc",
                            **_BC),
     "novelty_status": q(f"select term, publication_count, {_NOVELTY} as novelty_status from bc", **_BC),
@@ -567,19 +603,15 @@ select count(*) as total_compounds, cast(sum(case when st = 'novel' then 1 else
        round(avg(case when publication_count >= 0 then publication_count end), 6) as avg_publications
 from (select publication_count, {_NOVELTY} as st from bc) x""", **_BC),
     "leads_with_benchmark": q("select * from lead_b", **_LEAD_B),
-    "page_fields": q("""
-select page_id, case when t = '' then 'N/A' else t end as title, case when y = '' then 'N/A' else y end as year,
-       try_cast(nullif(c, '') as bigint) as paper_count, contains(html, 'class="article-page"') as single_article
-from (select page_id, html,
-             regexp_replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '^\\s+|\\s+$', '', 'g') as t,
-             regexp_extract(html, '[0-9]{4}', 0) as y,
-             replace(regexp_extract(html, '<span[^>]*class="value"[^>]*>([0-9,]+)</span>', 1), ',', '') as c
-      from pages) x"""),
+    "page_fields": q(f"""
+select page_id, coalesce(nullif({_element('h1', "[^>]*heading-title")}, ''), nullif({_element('h1')}, ''), 'N/A') as title,
+       coalesce(nullif(regexp_extract({_element('span', '[^>]*class="cit"')}, '[12][0-9]{{3}}\\b', 0), ''), 'N/A') as year,
+       {_PAGE_COUNT} as paper_count, contains(html, 'class="article-page"') as single_article
+from result_pages""", result_pages=_RESULT_PAGES),
     "page_maturity": q(f"""
 select page_id, papers as pubmed_papers, {_maturity('papers')} as research_maturity
-from (select page_id, cast(coalesce(try_cast(nullif(replace(regexp_extract(html,
-        '<span[^>]*class="value"[^>]*>([0-9,]+)</span>', 1), ',', ''), '') as bigint),
-        case when contains(html, 'class="article-page"') then 1 else 0 end) as bigint) as papers from pages) x"""),
+from (select page_id, coalesce({_PAGE_COUNT}, case when contains(html, 'class="article-page"') then 1 else 0 end) as papers
+      from result_pages) x""", result_pages=_RESULT_PAGES),
     "leads_by_papers": q(_EXEC_BODY, **_EXEC),
     "executive_report": q(_EXEC_BODY, **_EXEC),
     # G
@@ -660,3 +692,22 @@ join compound_metadata m on m.pert_iname = s.pert_iname where abs(s.z_score) >=
     # K
     "build_signatures": q("select * from genetic_signatures"),
 })
+
+
+def _counts(phases: dict[str, list[tuple[str, str]]]) -> str:
+    """Row counts of other statements (by key, or as text), by phase and output."""
+    return " union all ".join(
+        f"select '{phase}' as phase, '{output}' as output, (select count(*) from ({ORACLE.get(key, key)}) x) as rows, 'ok' as status"
+        for phase, outputs in phases.items() for output, key in outputs)
+
+
+_ASKED = ("reversal_signature", "moa_mimics", "toxicity_extreme_hits", "potency_benchmark", "master_regulators",
+          "repurposing_efficiency", "precision_vs_power", "class_validation", "precision_leads", "final_matrix")
+ORACLE["pipeline_summary"] = _counts({
+    "phase1_extract": [("genetic_signatures", "build_signatures"), ("compound_metadata", "build_compound_metadata")],
+    "phase2_store": [("stored_compounds", "build_compound_metadata"), ("stored_signatures", "build_signatures"),
+                     ("integrity_report", "integrity_report")],
+    "phase3_questions": [*((k, k) for k in _ASKED), ("lead_summary", "precision_leads"), ("lead_gene_hits", "lead_gene_detail")],
+    "phase4_literature": [("executive_report", "executive_report"), ("novelty_report", f"select distinct pert_iname from ({ORACLE['executive_report']}) y")],
+    "phase5_profiles": [("features", "response_features"), ("profile_report", "profile_report")],
+})

@@ -1,16 +1,13 @@
-"""End-to-end jobs (inventory K1, K6)."""
+"""The phase-1 job (inventory K1); the other phases are in ``phases``."""
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sigspark import config
-from sigspark.functions.literals import literal_rows
 from sigspark.operators.joins import build_compound_metadata, combine_metadata
 from sigspark.operators.reshape import filter_by_z_score, landmark_genes, significance_flag, target_signatures
 
@@ -52,29 +49,3 @@ def build_signatures(inputs: dict[str, DataFrame], z_threshold: float = config.Z
                   .withColumn("is_significant", significance_flag("z_score", z_threshold)))
     metadata = build_compound_metadata(combine_metadata(inputs["pert_info"], inputs["repurposing"]), expression)
     return Phase1(expression, signatures, metadata)
-
-
-RUN_SUMMARY_SCHEMA = T.StructType([
-    T.StructField("phase", T.StringType(), False),
-    T.StructField("output", T.StringType(), False),
-    T.StructField("rows", T.LongType(), True),
-    T.StructField("seconds", T.DoubleType(), True),
-    T.StructField("status", T.StringType(), False),
-])
-
-
-def pipeline_summary(spark: SparkSession, steps: dict[str, tuple[str, callable]]) -> DataFrame:
-    """K6: run each phase's output, record rows, seconds and status.
-
-    ``steps`` maps a phase name to ``(output name, thunk returning a DataFrame)``.
-    Only the per-phase counts reach the driver; the outputs stay distributed.
-    """
-    rows = []
-    for phase, (output, thunk) in steps.items():
-        t0 = time.perf_counter()
-        try:
-            n = thunk().count()
-            rows.append((phase, output, int(n), round(time.perf_counter() - t0, 3), "ok"))
-        except Exception as exc:  # a failed phase is reported, later phases still run
-            rows.append((phase, output, None, round(time.perf_counter() - t0, 3), f"failed: {type(exc).__name__}"))
-    return literal_rows(spark, rows, RUN_SUMMARY_SCHEMA)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,28 +21,36 @@ def profile_rules(features: DataFrame) -> DataFrame:
     return features.withColumn("clinical_profile", profile_rule("max_response", "biomarker_count"))
 
 
-# H3
-def _labelled(features: DataFrame) -> DataFrame:
+# H2: training labels
+def labelled_features(features: DataFrame) -> DataFrame:
+    """The rule profile as the label of each feature row (missing features are 0)."""
     labelled = profile_rules(features).fillna(0, subset=list(FEATURES)).fillna(0.0, subset=list(FEATURES))
     return labelled.select("pert_iname", *[F.col(c).cast("double").alias(c) for c in FEATURES],
                            F.col("clinical_profile").alias("rule_profile"))
 
 
-def fit_profile_forest(features: DataFrame, trees: int = 100, seed: int = 42, max_depth: int = 10):
-    """Train the forest on the rule labels: label indexer, assembler (null
-    features → 0), standard scaler, random forest. Training is distributed
-    over the feature rows (one row per compound)."""
+def held_out(share: int = 5):
+    """One compound in ``share``, by key hash: kept from training, scored for the metrics."""
+    return F.pmod(F.xxhash64("pert_iname"), F.lit(share)) == 0
+
+
+# H3
+def fit_profile_forest(features: DataFrame, trees: int = 100, seed: int = 42, max_depth: int = 30):
+    """Train the forest on the rule labels of the compounds not held out:
+    label indexer, assembler, standard scaler, random forest (trees as deep as
+    Spark grows them). Training is distributed over the feature rows (one row
+    per compound)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 
-    indexer = StringIndexer(inputCol="rule_profile", outputCol="label", stringOrderType="alphabetAsc")
+    indexer = StringIndexer(inputCol="rule_profile", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep")
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="raw_features")
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
     forest = RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=max_depth, labelCol="label",
                                     featuresCol="features", maxMemoryInMB=1024)
     # One row per compound, read by the three fits: held only while fitting.
-    held = _labelled(features).persist(StorageLevel.MEMORY_AND_DISK)
+    held = labelled_features(features).where(~held_out()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=[indexer, assembler, scaler, forest]).fit(held)
     finally:
@@ -48,20 +58,24 @@ def fit_profile_forest(features: DataFrame, trees: int = 100, seed: int = 42, ma
 
 
 def score_profile_forest(model, features: DataFrame) -> DataFrame:
-    """Predicted profile per compound, next to the rule label it was trained on."""
+    """Predicted profile per compound next to its rule label, and whether it was held out from training."""
     from pyspark.ml.feature import IndexToString
 
-    scored = model.transform(_labelled(features))
-    back = IndexToString(inputCol="prediction", outputCol="clinical_profile", labels=model.stages[0].labels)
-    return back.transform(scored).select("pert_iname", *FEATURES, "rule_profile", "clinical_profile")
+    scored = model.transform(labelled_features(features))
+    back = IndexToString(inputCol="prediction", outputCol="clinical_profile", labels=[*model.stages[0].labels, config.PROFILE_UNKNOWN])
+    return back.transform(scored).select("pert_iname", *FEATURES, "rule_profile", "clinical_profile", held_out().alias("held_out"))
 
 
-def profile_forest(features: DataFrame, trees: int = 100, seed: int = 42, max_depth: int = 10) -> DataFrame:
-    """Random forest trained on the rule labels and scored on the same rows
-    (as the reference does)."""
+def profile_forest(features: DataFrame, trees: int = 100, seed: int = 42, max_depth: int = 30) -> DataFrame:
+    """Random forest trained on four compounds in five and scored on all."""
     return score_profile_forest(fit_profile_forest(features, trees, seed, max_depth), features)
 
 
+def forest_metrics(scored: DataFrame) -> DataFrame:
+    """H4 of the forest, over the compounds it was not trained on."""
+    return classification_metrics(scored.where("held_out"))
+
+
 # H4
 def classification_metrics(df: DataFrame, true_col: str = "rule_profile", pred_col: str = "clinical_profile") -> DataFrame:
     """Accuracy and support-weighted precision / recall / F1 (zero division → 0)."""
@@ -87,16 +101,20 @@ def classification_metrics(df: DataFrame, true_col: str = "rule_profile", pred_c
 
 
 # H5
-def classify_clinical_profiles(features: DataFrame, use_ml: bool = False) -> DataFrame:
-    """H5: forest (trained eagerly here) or rules; a failed fit falls back to the rules."""
+def classify_clinical_profiles(features: DataFrame, use_ml: bool = True) -> DataFrame:
+    """H5: the forest (trained eagerly here) or the rules; ``profile_source``
+    says which. A failed fit falls back to the rules, as the reference does,
+    with a warning; an empty feature frame is an error."""
     if any(c not in features.columns for c in ("pert_iname", "max_response", "biomarker_count")):
         raise ValidationError("feature frame lacks the profile columns")
-    if not use_ml:
-        return profile_rules(features)
-    try:
-        return profile_forest(features)
-    except Exception:  # the reference falls back to the rule labels on any training error
-        return profile_rules(features)
+    if features.isEmpty():
+        raise ValidationError("feature frame is empty")
+    if use_ml:
+        try:
+            return profile_forest(features).withColumn("profile_source", F.lit("forest"))
+        except Exception as exc:
+            warnings.warn(f"profile forest failed, rules used instead: {exc}", stacklevel=2)
+    return profile_rules(features).withColumn("profile_source", F.lit("rules"))
 
 
 # H6
@@ -105,7 +123,7 @@ def predict_response(gs: DataFrame, names: DataFrame) -> DataFrame:
 
     Missing features become 0; a compound with no rows at all is 'Unknown'.
     """
-    az = F.abs(F.col("z_score"))
+    az = F.abs(F.nanvl(F.col("z_score"), F.lit(None).cast("double")))
     feats = gs.groupBy("pert_iname").agg(
         F.countDistinct("pr_gene_symbol").alias("biomarker_count"), F.round(F.avg(az), 6).alias("avg_response"),
         F.max(az).alias("max_response"), F.round(F.stddev_samp("z_score"), 6).alias("response_variability"))

@@ -28,12 +28,13 @@ from sigspark.plans import profiles as H
 from sigspark.plans import questions as E
 from sigspark.plans import scorecard as SC
 from sigspark.plans import temporal as G
-from sigspark.plans.jobs import build_signatures, expression_table, pipeline_summary
+from sigspark.plans.jobs import build_signatures, expression_table
+from sigspark.plans.phases import full_run
 from sigspark.session import scratch_root
 from sigspark.sources import readers as A
 from sigspark.sources import sinks as S
-from sigspark.sources.binding import LITERATURE_TERMS, MARKER_GENES, REFERENCE_COMPOUND
-from sigspark.sources.store import INPUT_TABLES, corpus_index, corpus_tables, raw_table, signature_tables
+from sigspark.sources.binding import LITERATURE_TERMS, MARKER_GENES, REFERENCE_COMPOUND, corpus, result_pages
+from sigspark.sources.store import INPUT_TABLES, build_of, corpus_index, corpus_tables, raw_table, signature_tables
 from sigspark.streaming.append import stream_append_signatures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,7 +148,7 @@ def _append_compounds(spark, sf_dir):
     path = _fresh_dir(spark, "compounds")
     S.append_new_compounds(cm, path)
     S.append_new_compounds(cm, path)  # replay: nothing new
-    return spark.read.parquet(path)
+    return S.stored_table(spark, path)
 
 
 def _append_signatures(spark, sf_dir):
@@ -155,7 +156,7 @@ def _append_signatures(spark, sf_dir):
     path = _fresh_dir(spark, "signatures")
     S.append_new_signatures(expr, path)
     S.append_new_signatures(expr, path)  # replay: nothing new
-    return spark.read.parquet(path)
+    return S.stored_table(spark, path)
 
 
 def _stream_signatures(spark, sf_dir):
@@ -174,6 +175,14 @@ def _time_wide(spark, sf_dir):
         "pert_iname", "Max_Potency_6h", "Max_Potency_24h")
 
 
+def _extra_time_points(spark, sf_dir):
+    """D9 on labels with odd ones among them: every 50th supplier's signatures were read at 3 h or 48 h."""
+    si = _tables(spark, sf_dir)["sig_info"]
+    odd = F.when(F.substring_index("sig_id", ":", 1).cast("long") % 50 == 7,
+                 F.when(F.col("pert_itime") == "6 h", "3 h").otherwise("48 h")).otherwise(F.col("pert_itime"))
+    return D.extra_time_points(si.withColumn("pert_itime", odd))
+
+
 def _valid_ids(spark, sf_dir):
     t = _tables(spark, sf_dir)
     m = t["matrix_long"]
@@ -252,7 +261,7 @@ def _benchmark_terms(spark, sf_dir):
     """Document counts for every word of the benchmark passages."""
     bench = raw_table(spark, sf_dir, "benchmark")
     terms = Lit.document_tokens(bench.withColumnRenamed("item_id", "doc_id")).select(
-        F.col("token").alias("term")).where(F.col("term") != "").distinct()
+        F.col("token").alias("term")).distinct()
     return Lit.literature_counts(corpus_index(spark, sf_dir), terms, "term", "publication_count")
 
 
@@ -260,13 +269,13 @@ def _literature_search(spark, sf_dir):
     c = corpus_tables(spark, sf_dir)
     bench = raw_table(spark, sf_dir, "benchmark")
     terms = Lit.document_tokens(bench.withColumnRenamed("item_id", "doc_id")).select(
-        F.col("token").alias("compound")).where(F.col("compound") != "").distinct()
+        F.col("token").alias("compound")).distinct()
     return Lit.literature_search(c["postings"], c["document_frequency"], terms)
 
 
 def _lit_terms(spark, sf_dir):
     terms = literal_rows(spark, [(t,) for t in LITERATURE_TERMS], "term string")
-    return Lit.literature_counts(corpus_index(spark, sf_dir), terms)
+    return Lit.literature_counts(corpus_index(spark, sf_dir), terms, documents=corpus(spark, sf_dir))
 
 
 def _leads_with_benchmark(spark, sf_dir):
@@ -275,11 +284,18 @@ def _leads_with_benchmark(spark, sf_dir):
     return Lit.leads_with_benchmark(E.precision_leads(cm, gs), bench)
 
 
+def _lead_literature(spark, sf_dir):
+    """The top leads left-joined with their literature counts."""
+    leads = E.precision_leads(*_cg(spark, sf_dir))
+    lit = Lit.compound_literature(corpus_index(spark, sf_dir), leads.select("pert_iname"), corpus(spark, sf_dir))
+    return leads.join(lit.select("pert_iname", "pubmed_papers"), "pert_iname", "left")
+
+
 def _executive_report(spark, sf_dir):
     cm, gs = _cg(spark, sf_dir)
     leads = Lit.leads_with_benchmark(
         E.precision_leads(cm, gs), cm.where(F.col("pert_iname") == REFERENCE_COMPOUND).select("pert_iname", "moa"))
-    lit = Lit.compound_literature(corpus_index(spark, sf_dir), leads.select("pert_iname"))
+    lit = Lit.compound_literature(corpus_index(spark, sf_dir), leads.select("pert_iname"), corpus(spark, sf_dir))
     return Lit.executive_report(leads, lit)
 
 
@@ -287,9 +303,9 @@ _models: dict[tuple[str, str], object] = {}
 
 
 def _forest(spark, sf_dir):
-    """H3 scored output; the fitted model is kept per session and data folder
-    (like the landed tables), so the forest and its report train once."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """H3 scored output; the fitted model is kept per session and build of the
+    tables, so the forest and its report train once and a rebuild trains anew."""
+    key = (spark.sparkContext.applicationId, build_of(spark, sf_dir))
     features = _features(spark, sf_dir)
     if key not in _models:
         _models[key] = H.fit_profile_forest(features)
@@ -311,7 +327,7 @@ def _profile_eval(spark, sf_dir):
 def _scorecard(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return SC.lead_scorecard(t["compound_metadata"], t["genetic_signatures"], t["sig_info"],
-                             corpus_index(spark, sf_dir), _disease(spark))
+                             corpus_index(spark, sf_dir), corpus(spark, sf_dir), _disease(spark))
 
 
 def _batch_map(spark, sf_dir):
@@ -344,14 +360,9 @@ def _build_compound_metadata(spark, sf_dir):
 
 def _pipeline_summary(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    cm, gs = t["compound_metadata"], t["genetic_signatures"]
-    return pipeline_summary(spark, {
-        "phase1_extract": ("genetic_signatures", lambda: gs),
-        "phase2_integrity": ("integrity_report", lambda: D.integrity_report(cm, gs)),
-        "phase3_questions": ("precision_leads", lambda: E.precision_leads(cm, gs)),
-        "phase4_literature": ("executive_report", lambda: _executive_report(spark, sf_dir)),
-        "phase5_profiles": ("profile_rules", lambda: H.profile_rules(G.response_features(cm, gs))),
-    })
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("lineitem", "part", "supplier", "documents")]
+    return full_run(spark, {k: t[k] for k in INPUT_TABLES}, paths, corpus_index(spark, sf_dir), corpus(spark, sf_dir),
+                    _fresh_dir(spark, "full-run"), REFERENCE_COMPOUND, MARKER_GENES)
 
 
 def _t(name):
@@ -409,7 +420,7 @@ QUERIES: dict[str, Query] = {
     "merge_left": _merge("left"),
     "merge_right": _merge("right"),
     "merge_outer": _merge("outer"),
-    "lead_literature_report": _executive_report,
+    "lead_literature_report": _lead_literature,
     # D — quality and statistics
     "gene_statistics": _on_gs(D.gene_statistics),
     "compound_profile_summary": _on_cg(D.compound_profile_summary),
@@ -427,7 +438,7 @@ QUERIES: dict[str, Query] = {
                                                                "total_experiments"),
     "profile_distribution": lambda spark, d: D.value_counts(H.profile_rules(_features(spark, d)), "clinical_profile",
                                                             "n_compounds"),
-    "extra_time_points": lambda spark, d: D.extra_time_points(_tables(spark, d)["sig_info"]),
+    "extra_time_points": _extra_time_points,
     "outliers_iqr": lambda spark, d: D.outliers_iqr(raw_table(spark, d, "events").select("event_id", "value"), "value"),
     "outliers_zscore": lambda spark, d: D.outliers_zscore(raw_table(spark, d, "events").select("event_id", "value"),
                                                           "value"),
@@ -478,8 +489,8 @@ QUERIES: dict[str, Query] = {
     "novelty_report": lambda spark, d: Lit.novelty_report(_benchmark_terms(spark, d)),
     "novelty_summary": lambda spark, d: Lit.novelty_summary(Lit.novelty_report(_benchmark_terms(spark, d))),
     "leads_with_benchmark": _leads_with_benchmark,
-    "page_fields": lambda spark, d: Lit.page_fields(raw_table(spark, d, "pages")),
-    "page_maturity": lambda spark, d: Lit.page_maturity(Lit.page_fields(raw_table(spark, d, "pages"))),
+    "page_fields": lambda spark, d: Lit.page_fields(result_pages(spark, d)),
+    "page_maturity": lambda spark, d: Lit.page_maturity(Lit.page_fields(result_pages(spark, d))),
     "leads_by_papers": lambda spark, d: Lit.leads_by_papers(_executive_report(spark, d)),
     "executive_report": _executive_report,
     # G — temporal
@@ -496,7 +507,7 @@ QUERIES: dict[str, Query] = {
     # H — profiles
     "profile_rules": lambda spark, d: H.profile_rules(_features(spark, d)),
     "profile_forest": _forest,
-    "profile_forest_metrics": lambda spark, d: H.classification_metrics(_forest(spark, d)),
+    "profile_forest_metrics": lambda spark, d: H.forest_metrics(_forest(spark, d)),
     "classification_metrics": _profile_eval,
     "predict_response": lambda spark, d: H.predict_response(_cg(spark, d)[1], _cg(spark, d)[0]),
     "profile_report": lambda spark, d: H.profile_report(H.profile_rules(_features(spark, d)), with_stamp=False),
