@@ -13,6 +13,7 @@ import zipfile
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,3 +179,12 @@ def hash_bitmap(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[got.column("word").to_numpy()] = got.column("mask").to_numpy().view(np.uint64)
     return out.view(np.uint8)
+
+
+def bitmap_test(bitmap, bits: int):
+    """A column function over 64-bit hashes: whether the broadcast bitmap has their bit."""
+    @F.pandas_udf("boolean")
+    def test(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bitmap.value, h.to_numpy(np.int64).view(np.uint64), bits))
+
+    return test

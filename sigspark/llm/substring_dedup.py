@@ -13,7 +13,8 @@ Three passes over the texts:
    minimisers occur in more than one document;
 2. the super-k-mers of those minimisers only (a bitmap of bounded size lets
    through all of them and a few others), sent to their buckets and sorted;
-3. the removal spans, joined back to their documents.
+3. the removal spans, joined back to their documents. A second bitmap keeps
+   the texts of documents without spans out of that join's shuffle.
 
 A bucket group of more than ``group_limit`` super-k-mers would be too much for
 one task: its windows are counted by an aggregation instead, which collapses
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import (SPACES, flat, gram_hashes, hash_bitmap, in_bitmap, land, mix, steps, text_bytes, word_bounds, word_hashes)
+from sigspark.llm.common import (SPACES, bitmap_test, flat, gram_hashes, hash_bitmap, in_bitmap, land, mix, steps, text_bytes, word_bounds, word_hashes)
 
 
 @dataclass(frozen=True)
@@ -287,8 +288,12 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     they are; the added names must be free. An empty table gives none."""
     spans = land(duplicate_spans(df, id_col, text_col, params), "spans")
     keep = land(kept_ranges(spans), "kept-ranges").select(F.col("id").alias("_sd_id"), F.col("key").alias("_sd_key"), F.col("keep").alias("_sd_keep"))
+    marks = hash_bitmap(keep.select(F.xxhash64("_sd_id", "_sd_key").alias("h")), "h", params.filter_bits)
+    marked = bitmap_test(df.sparkSession.sparkContext.broadcast(marks), params.filter_bits)(
+        F.xxhash64(df[id_col].cast("long"), F.xxhash64(df[text_col])))
     same = (df[id_col].cast("long") == F.col("_sd_id")) & (F.xxhash64(df[text_col]) == F.col("_sd_key"))
-    joined = df.join(keep, same, "left")
+    joined = df.filter(marked).join(keep, same, "left")
+    joined = joined.unionByName(df.filter(~marked), allowMissingColumns=True)
     words = F.filter(F.split(F.coalesce(joined[text_col], F.lit("")), SPACES), lambda w: w != "")
     out = joined.withColumn("_sd_words", words)
     all_words = F.col("_sd_words")
