@@ -145,7 +145,7 @@ def page_fields(pages: DataFrame) -> DataFrame:
     count = F.replace(element_text(F.regexp_extract("html", COUNT_RE, 1)), F.lit(","), F.lit(""))
     return pages.select(
         "page_id", title.alias("title"),
-        F.when(year == "", "N/A").otherwise(year).alias("year"),
+        F.coalesce(F.nullif(year, F.lit("")), F.lit("N/A")).alias("year"),
         F.when(count.rlike("^[0-9]+$"), count).try_cast("long").alias("paper_count"),
         F.col("html").contains(ARTICLE_MARK).alias("single_article"))
 
