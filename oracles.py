@@ -400,6 +400,7 @@ ORACLE.update({
 select 'compound_metadata' as table_name, count(*) as n_rows from compound_metadata
 union all select 'genetic_signatures', count(*) from genetic_signatures"""),
     "export_reports": q("select * from leads_top", **_LEADS),
+    "export_gene_hits": ORACLE["lead_gene_detail"],
     "append_new_compounds": q("select * from compound_metadata"),
     "append_new_signatures": q(_EXPR_FLAG),
     "stream_append_signatures": q(_EXPR_FLAG),

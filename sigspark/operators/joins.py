@@ -93,7 +93,10 @@ def merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inne
           suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """C11: pandas-style merge: null keys match each other, shared columns get suffixes.
 
-    The null-safe equality (``<=>``) is still planned as an equi-join.
+    The null-safe equality (``<=>``) is still planned as an equi-join. An outer
+    merge is the left merge plus the right rows whose key is not on the left
+    (an anti join on the left's distinct keys): AQE splits a hot key in both
+    parts, which it cannot do in a full outer join.
     """
     on = list(on)
     require_columns(left, on, "left merge input")
@@ -105,12 +108,18 @@ def merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inne
     rsel = [F.col(c).alias(f"__rk_{c}") for c in on] + [
         F.col(c).alias(f"{c}{suffixes[1]}" if c in shared else c) for c in right.columns if c not in on]
     lhs, rhs = left.select(*lsel), right.select(*rsel)
+    if how == "outer":
+        keys = left.select(*[F.col(c).alias(f"__lk_{c}") for c in on]).distinct()
+        absent = reduce(lambda a, b: a & b, [F.col(f"__rk_{c}").eqNullSafe(F.col(f"__lk_{c}")) for c in on])
+        rest = rhs.join(keys, absent, "left_anti").select(*[F.col(f"__rk_{c}").alias(c) for c in on],
+                                                          *[c for c in rhs.columns if not c.startswith("__rk_")])
+        return merge(left, right, on, "left", suffixes).unionByName(rest, allowMissingColumns=True)
     cond = reduce(lambda a, b: a & b, [lhs[c].eqNullSafe(rhs[f"__rk_{c}"]) for c in on])
-    joined = lhs.join(rhs, cond, "full_outer" if how == "outer" else how)
+    joined = lhs.join(rhs, cond, how)
     out = []
     for c in lhs.columns:
         if c in on:
-            key = F.coalesce(lhs[c], rhs[f"__rk_{c}"]) if how in ("right", "outer") else lhs[c]
+            key = F.coalesce(lhs[c], rhs[f"__rk_{c}"]) if how == "right" else lhs[c]
             out.append(key.alias(c))
         else:
             out.append(lhs[c])

@@ -143,6 +143,15 @@ def _export_reports(spark, sf_dir):
     return spark.read.schema(leads.schema).option("header", True).csv(paths["lead_summary"])
 
 
+def _export_gene_hits(spark, sf_dir):
+    """The second file of the export: every gene hit of the leads, written in parallel and read back."""
+    cm, gs = _cg(spark, sf_dir)
+    leads = E.precision_leads(cm, gs)
+    hits = E.lead_gene_detail(cm, gs)
+    paths = S.export_reports(leads, hits, _fresh_dir(spark, "reports"))
+    return spark.read.schema(hits.schema).option("header", True).csv(paths["lead_gene_hits"])
+
+
 def _append_compounds(spark, sf_dir):
     cm = _cg(spark, sf_dir)[0]
     path = _fresh_dir(spark, "compounds")
@@ -378,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "read_pruned": lambda spark, d: A.read_pruned(_tables(spark, d)["sig_info"], ["sig_id", "pert_iname", "pert_itime"]),
     "save_tables": _save_tables,
     "export_reports": _export_reports,
+    "export_gene_hits": _export_gene_hits,
     "append_new_compounds": _append_compounds,
     "append_new_signatures": _append_signatures,
     "stream_append_signatures": _stream_signatures,
