@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import flat, steps, text_bytes
+from sigspark.llm.common import STEP_BYTES, flat, steps, text_bytes
 
 UNKNOWN = "und"
 
@@ -93,6 +93,20 @@ def counts(raw: np.ndarray, at: np.ndarray, params: Params) -> np.ndarray:
     return out.reshape(rows, dims)
 
 
+def long_counts(raw: np.ndarray, params: Params) -> np.ndarray:
+    """Counts of one long text, a piece at a time. Pieces meet in a gap that
+    both hold, so no n-gram is lost or counted twice."""
+    total, a = np.zeros((1, params.dims), np.int64), 0
+    while a < len(raw):
+        b = min(a + STEP_BYTES, len(raw))
+        if b < len(raw):
+            gaps = np.flatnonzero(_LETTER[raw[a + 1:b]] == 0)
+            b = a + 2 + int(gaps[-1]) if len(gaps) else b
+        total += counts(raw[a:b], np.array([0, b - a]), params)
+        a = b - 1 if b < len(raw) and _LETTER[raw[b - 1]] == 0 else b
+    return total
+
+
 def vectors(texts: pa.Array, idf: np.ndarray | None, params: Params):
     """Blocks of unit vectors (zero for a text without n-grams), in row order;
     without ``idf`` the raw counts."""
@@ -100,7 +114,8 @@ def vectors(texts: pa.Array, idf: np.ndarray | None, params: Params):
     for lo, hi in steps(at):
         for a in range(lo, hi, 128):
             b = min(a + 128, hi)
-            c = counts(raw[at[a]:at[b]], at[a:b + 1] - at[a], params)
+            part = raw[at[a]:at[b]]
+            c = counts(part, at[a:b + 1] - at[a], params) if len(part) <= 2 * STEP_BYTES else long_counts(part, params)
             if idf is None:
                 yield c
             else:

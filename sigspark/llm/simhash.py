@@ -39,21 +39,17 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
     words = (text or b"").lower().split()  # on bytes: only A-Z and ASCII white space
     if not words:
         return 0
-    if len(words) <= shingle:
-        grams = [b" ".join(words)]
-    else:
-        line, ends, end = b" ".join(words), [], -1
-        for w in words:
+    total, ones, digest = max(1, len(words) - shingle + 1), np.zeros(64, np.int64), xxhash.xxh64_intdigest
+    for lo in range(0, total, 1 << 15):  # bounded work space, however long the text
+        part = words[lo:lo + (1 << 15) + shingle - 1]
+        line, ends, end = b" ".join(part), [], -1
+        for w in part:
             end += 1 + len(w)
             ends.append(end)
         starts = [0, *(e + 1 for e in ends)]
-        grams = [line[a:b] for a, b in zip(starts, ends[shingle - 1:])]
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(g, seed) for g in grams), np.uint64, len(grams))
-    ones = np.zeros(64, np.int64)
-    for i in range(0, len(h), 1 << 16):
-        ones += np.unpackbits(h[i:i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(h), bitorder="little").tobytes(), "little")
+        h = np.fromiter((digest(line[a:b], seed) for a, b in zip(starts, ends[shingle - 1:] or ends[-1:])), np.uint64)
+        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,

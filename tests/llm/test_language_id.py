@@ -62,6 +62,13 @@ def test_counts_do_not_cross_texts():
     assert not together[1].any()
 
 
+def test_long_texts_in_pieces(monkeypatch):
+    p = li.Params(dims=1 << 10)
+    raw = np.frombuffer(("der schnelle  braune 12 fuchs " * 50 + "x" * 300 + " é,, ende").encode(), np.uint8)
+    monkeypatch.setattr(li, "STEP_BYTES", 400)
+    assert np.array_equal(li.long_counts(raw, p), li.counts(raw, np.array([0, len(raw)]), p))
+
+
 def test_held_out_accuracy(spark, sf_dir):
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = op10_language_id(spark, sf_dir).collect()
