@@ -17,14 +17,19 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-# Segment tables kept per task; beyond it the cache starts anew (memory bound, results are the same).
-CACHE_SEGMENTS = 500_000
+# Segment tables in each of the two generations that a worker keeps (memory bound; results are the same).
+CACHE_SEGMENTS = 600_000
+STEP_CHARS = 4_000_000
+
+
+Table = bytes | list  # token counts at every prefix, from the empty one on
 
 
 class PrefixCounter:
@@ -54,7 +59,8 @@ class PrefixCounter:
         self._pairs: dict[tuple[str, str], bool] = {}
         # Pieces that encode to themselves: only these can end a prefix.
         self._tokens = frozenset(p for p in self._score if len(p) == 1 or self._merge(p) == [p])
-        self._tables: dict[str, bytes | list[int]] = {}
+        self._young: dict[str, Table] = {}
+        self._old: dict[str, Table] = {}
 
     def _merge(self, text: str) -> list[str]:
         """BPE of a short string: the best-scored neighbouring pair first, leftmost on ties."""
@@ -76,55 +82,82 @@ class PrefixCounter:
         fits = self._pairs[a, b] = self._merge(a + b) == [a, b]
         return fits
 
-    def _encoded(self, segment: str) -> int:
-        """The library's own count; its blank prefix stands for the segment's first blank."""
-        if segment[0] == BLANK:
-            return len(self._processor.encode(segment[1:])) if len(segment) > 1 else 1
-        return len(self._processor.encode("\n" + segment)) - len(self._processor.encode("\n"))
-
-    def table(self, segment: str) -> bytes | list[int]:
-        """Token count of every prefix of a segment, from the empty one on. The
-        last is compared with the library's count; should they ever differ, the
-        library counts every prefix of that segment."""
+    def _encoded(self, segments: list[str]) -> list[int]:
+        """The library's own counts; its blank prefix stands for a segment's
+        first blank, and a line feed, which merges with nothing, for what is
+        before a segment without one."""
+        texts = [s[1:] if s[0] == BLANK else "\n" + s for s in segments]
+        return [1 if s == BLANK else len(ids) - (0 if s[0] == BLANK else 2)
+                for s, ids in zip(segments, self._processor.encode(texts, num_threads=1))]
+
+    def _compute(self, segment: str, before: str, counts: list[int], sizes: list[int]) -> bool:
+        """Extend counts and last-token lengths, which hold the prefixes of
+        ``before``, to those of ``segment``; False if the recurrence finds no
+        last token somewhere."""
         tokens, pairs, longest = self._tokens, self._pairs, self._longest
-        counts, last = [0], [""]
-        for j in range(1, len(segment) + 1):
-            for i in range(j - longest if j > longest else 0, j):
+        same, most = 0, min(len(before), len(segment), len(counts) - 1)
+        while same < most and before[same] == segment[same]:
+            same += 1
+        del counts[same + 1:], sizes[same + 1:]
+        for j in range(same + 1, len(segment) + 1):
+            for i in range(j - longest if j > longest else 0, j):  # the longest token first
                 token = segment[i:j]
                 if token not in tokens:
                     if i < j - 1:
                         continue
-                    cost = len(token.encode("utf-8", "replace"))  # byte fallback of one character
+                    cost = len(token.encode("utf-8", "replace"))  # a character outside the vocabulary: its bytes
                 else:
                     cost = 1
                 if i:
-                    fits = pairs.get((last[i], token))
-                    if not (self._is_pair(last[i], token) if fits is None else fits):
+                    pair = (segment[i - sizes[i]:i], token)
+                    fits = pairs.get(pair)
+                    if not (self._is_pair(*pair) if fits is None else fits):
                         continue
                 counts.append(counts[i] + cost)
-                last.append(token)
+                sizes.append(j - i)
                 break
             else:
-                return self._counted(segment)
-        if counts[-1] != self._encoded(segment):
-            return self._counted(segment)
-        return bytes(counts) if counts[-1] < 256 and max(counts) < 256 else counts
-
-    def _counted(self, segment: str) -> list[int]:
-        return [0] + [self._encoded(segment[:j]) for j in range(1, len(segment) + 1)]
-
-    def _table(self, segment: str) -> bytes | list[int]:
-        got = self._tables.get(segment)
-        if got is None:
-            if len(self._tables) >= CACHE_SEGMENTS:
-                self._tables.clear()
-            got = self._tables[segment] = self.table(segment)
-        return got
+                return False
+        return True
+
+    def _learn(self, segments: list[str]) -> dict[str, Table]:
+        """Tables of new segments. The last count of each is compared with the
+        library's; should they ever differ, the library counts every prefix of
+        that segment."""
+        if len(self._young) + len(segments) > CACHE_SEGMENTS:
+            self._old, self._young = self._young, {}
+        new, before, counts, sizes = {}, "", [0], [0]
+        segments.sort()
+        for segment, count in zip(segments, self._encoded(segments)):
+            if self._compute(segment, before, counts, sizes) and counts[-1] == count:
+                got = bytes(counts) if max(counts) < 256 else list(counts)
+            else:
+                got = [0, *self._encoded([segment[:j] for j in range(1, len(segment) + 1)])]
+            before = segment
+            new[segment] = got
+            if len(segment) <= 64:  # longer ones hardly come again
+                self._young[segment] = got
+        return new
+
+    def tables(self, texts: list[str | None]) -> list["PrefixTable"]:
+        """The prefix tables of whole texts (null: the empty text)."""
+        split = [self._segment.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+        young, old, tables, missing = self._young, self._old, {}, []
+        for s in set().union(*split):
+            got = young.get(s)
+            if got is None:
+                got = old.get(s)
+                if got is None:
+                    missing.append(s)
+                    continue
+                young[s] = got
+            tables[s] = got
+        if missing:
+            tables.update(self._learn(missing))
+        return [PrefixTable(list(map(tables.__getitem__, segments))) for segments in split]
 
     def prefixes(self, text: str | None) -> "PrefixTable":
-        """The prefix table of a whole text (null: the empty text)."""
-        segments = self._segment.findall(BLANK + text.replace(" ", BLANK)) if text else []
-        return PrefixTable([self._table(s) for s in segments])
+        return self.tables([text])[0]
 
 
 class PrefixTable:
@@ -132,18 +165,21 @@ class PrefixTable:
 
     def __init__(self, tables: list):
         self._tables = tables
-        # Characters and tokens before each segment. The blank put before the
-        # text is no character of it, so positions are shifted by one.
-        self._at = np.concatenate([[0], np.cumsum([len(t) - 1 for t in tables], dtype=np.int64)]).astype(np.int64)
-        self._sum = np.concatenate([[0], np.cumsum([t[-1] for t in tables], dtype=np.int64)]).astype(np.int64)
+        self.tokens = sum([t[-1] for t in tables])
 
-    @property
-    def chars(self) -> int:
-        return max(0, int(self._at[-1]) - 1)
+    # Characters and tokens before each segment. The blank put before the text
+    # is no character of it, so positions are shifted by one.
+    @cached_property
+    def _at(self) -> np.ndarray:
+        return np.cumsum([0, *(len(t) - 1 for t in self._tables)], dtype=np.int64)
+
+    @cached_property
+    def _sum(self) -> np.ndarray:
+        return np.cumsum([0, *(t[-1] for t in self._tables)], dtype=np.int64)
 
     @property
-    def tokens(self) -> int:
-        return int(self._sum[-1])
+    def chars(self) -> int:
+        return max(0, sum(map(len, self._tables)) - len(self._tables) - 1)
 
     def count(self, chars: int) -> int:
         """Tokens of the prefix of so many characters (0: none)."""
@@ -190,8 +226,14 @@ def count_tokens(df: DataFrame, model_file: str, budget: int, id_col: str = "doc
     def run(frames):
         counter = _counter(model_file)
         for frame in frames:
-            tables = (counter.prefixes(t) for t in frame["t"])
-            got = [(p.tokens, p.truncate(budget)) for p in tables]
+            got, lo, texts = [], 0, frame["t"].to_list()
+            while lo < len(texts):  # texts of about STEP_CHARS at a time
+                hi, size = lo, 0
+                while hi < len(texts) and (hi == lo or size < STEP_CHARS):
+                    size += len(texts[hi] or "")
+                    hi += 1
+                got += [(t.tokens, t.truncate(budget)) for t in counter.tables(texts[lo:hi])]
+                lo = hi
             frame = frame.assign(n_tokens=[g[0] for g in got], budget_chars=[g[1] for g in got])
             yield frame[["id", "n_bytes", "n_tokens", "budget_chars"]].astype({"n_tokens": "int64", "budget_chars": "int64"})
 
