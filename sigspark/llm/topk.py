@@ -162,9 +162,13 @@ def top_k(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "em
         sent = sent.select("dim", F.col("to").cast("long").alias("shard"), "block", "key", "vec_id", "v", "floor")
         there = rows.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")).alias("block"), "key", "vec_id", "v")
 
+        names = sent.columns
+        sent = sent.select(*(F.col(c).alias(f"q_{c}") for c in names))  # names of their own: both sides come from one table
+
         def other_shard(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-            return _search(vectors, queries, params)
+            return _search(vectors, queries.set_axis(names, axis=1), params)
 
-        away = there.groupBy("dim", "shard", "block").cogroup(sent.groupBy("dim", "shard", "block")).applyInPandas(other_shard, kinds)
+        away = (there.groupBy("dim", "shard", "block").cogroup(sent.groupBy("q_dim", "q_shard", "q_block"))
+                .applyInPandas(other_shard, kinds))
         home = home.union(away)
     return _ranked(home, params.k).select("query_id", "rank", "vec_id", "score")
