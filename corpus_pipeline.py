@@ -33,9 +33,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship(spark)
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
     marked = simhash.near_duplicates(docs.select(key.alias("key"), "text"), "key", "text")
-    keep = marked.filter(F.col("id") == F.col("component")).select(F.col("id").alias("_nd_key")).distinct()
-    name = fresh(docs, "nd_key")
-    return docs.withColumn(name, key).join(keep, F.col(name) == F.col("_nd_key"), "left_semi").dropDuplicates([name]).drop(name)
+    keep = marked.filter(F.col("id") == F.col("component")).select(F.col("id").alias("key")).distinct()
+    out = docs.withColumn(name := fresh(docs, "nd_key"), key)
+    return out.join(keep, out[name] == keep["key"], "left_semi").dropDuplicates([name]).drop(name)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

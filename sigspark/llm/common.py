@@ -75,6 +75,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def free_prefix(df: DataFrame, prefix: str) -> str:
+    """A prefix that no column of ``df`` has."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def text_bytes(column):
     """The UTF-8 bytes of a text column; null stays null."""
     return F.col(column).cast("binary") if isinstance(column, str) else column.cast("binary")

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import WORD, land
+from sigspark.llm.common import WORD, free_prefix, land
 from sigspark.operators.stats import sequence_index
 
 BUCKETS = 4096  # three hexadecimal digits of the seeded hash
@@ -79,8 +79,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
     null id is ordered like any other. Equal rows share a part at the cut
     evenly. Sources without words get target 0. An empty table gives none.
     Other columns stay; the added names must be free. Reruns agree."""
-    work = df.withColumns({"_mx_size": word_count(df[text_col]), "_mx_h": seeded_hash(df[id_col], df[text_col], params.seed)})
-    narrow = work.select(F.col(source_col).cast("string").alias("source"), F.col("_mx_size").alias("size"), F.col("_mx_h").alias("h"))
+    p = free_prefix(df, "_mx_")
+    work = df.withColumns({f"{p}size": word_count(df[text_col]), f"{p}h": seeded_hash(df[id_col], df[text_col], params.seed)})
+    narrow = work.select(F.col(source_col).cast("string").alias("source"), F.col(f"{p}size").alias("size"), F.col(f"{p}h").alias("h"))
     narrow = land(narrow, "sizes")
     bucket = F.substring("h", 1, 3).alias("bucket")
     sums = land(narrow.groupBy("source", bucket).agg(F.sum("size").alias("words")), "bucket-words")
@@ -100,11 +101,11 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
            .filter((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("words") < F.col("rest")))
            .select("s", F.col("h").alias("cut"), F.expr("(rest - upto + words) div ties").alias("part")))
     plan = plan.join(cut, F.col("source").eqNullSafe(F.col("s")), "left")
-    plan = land(plan.select(F.col("source").alias("_mx_source"), F.col("size").alias("_mx_source_size"), F.col("target").alias("_mx_target"),
-                            F.col("whole").alias("_mx_whole"), F.col("cut").alias("_mx_cut"), F.col("part").alias("_mx_part")), "plan")
+    plan = land(plan.select(F.col("source").alias(f"{p}source"), F.col("size").alias(f"{p}source_size"), F.col("target").alias(f"{p}target"),
+                            F.col("whole").alias(f"{p}whole"), F.col("cut").alias(f"{p}cut"), F.col("part").alias(f"{p}part")), "plan")
 
-    extra = (F.when(F.col("_mx_h") < F.col("_mx_cut"), F.col("_mx_size")).when(F.col("_mx_h") == F.col("_mx_cut"), F.col("_mx_part"))
+    extra = (F.when(F.col(f"{p}h") < F.col(f"{p}cut"), F.col(f"{p}size")).when(F.col(f"{p}h") == F.col(f"{p}cut"), F.col(f"{p}part"))
              .otherwise(F.lit(0).cast("long")))
-    out = work.join(plan, work[source_col].cast("string").eqNullSafe(F.col("_mx_source")))
-    return out.select(*(work[c] for c in df.columns), F.col("_mx_size").alias(size_out), F.col("_mx_source_size").alias(source_size_out),
-                      F.col("_mx_target").alias(target_out), (F.col("_mx_whole") * F.col("_mx_size") + extra).alias(taken_out))
+    out = work.join(plan, work[source_col].cast("string").eqNullSafe(F.col(f"{p}source")))
+    return out.select(*(work[c] for c in df.columns), F.col(f"{p}size").alias(size_out), F.col(f"{p}source_size").alias(source_size_out),
+                      F.col(f"{p}target").alias(target_out), (F.col(f"{p}whole") * F.col(f"{p}size") + extra).alias(taken_out))

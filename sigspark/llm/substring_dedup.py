@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import (SPACES, bitmap_test, flat, gram_hashes, hash_bitmap, in_bitmap, land, mix, steps, text_bytes, word_bounds, word_hashes)
+from sigspark.llm.common import (SPACES, bitmap_test, flat, free_prefix, gram_hashes, hash_bitmap, in_bitmap, land, mix, steps, text_bytes, word_bounds, word_hashes)
 
 
 @dataclass(frozen=True)
@@ -286,19 +286,20 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     others, as no id is smaller or greater. Rows that repeat an id do not take
     words from each other. Every input row comes back once, other columns as
     they are; the added names must be free. An empty table gives none."""
+    p = free_prefix(df, "_sd_")
     spans = land(duplicate_spans(df, id_col, text_col, params), "spans")
-    keep = land(kept_ranges(spans), "kept-ranges").select(F.col("id").alias("_sd_id"), F.col("key").alias("_sd_key"), F.col("keep").alias("_sd_keep"))
-    marks = hash_bitmap(keep.select(F.xxhash64("_sd_id", "_sd_key").alias("h")), "h", params.filter_bits)
+    keep = land(kept_ranges(spans), "kept-ranges").select(F.col("id").alias(f"{p}id"), F.col("key").alias(f"{p}key"), F.col("keep").alias(f"{p}keep"))
+    marks = hash_bitmap(keep.select(F.xxhash64(f"{p}id", f"{p}key").alias("h")), "h", params.filter_bits)
     marked = bitmap_test(df.sparkSession.sparkContext.broadcast(marks), params.filter_bits)(
         F.xxhash64(df[id_col].cast("long"), F.xxhash64(df[text_col])))
-    same = (df[id_col].cast("long") == F.col("_sd_id")) & (F.xxhash64(df[text_col]) == F.col("_sd_key"))
+    same = (df[id_col].cast("long") == F.col(f"{p}id")) & (F.xxhash64(df[text_col]) == F.col(f"{p}key"))
     joined = df.filter(marked).join(keep, same, "left")
     joined = joined.unionByName(df.filter(~marked), allowMissingColumns=True)
     words = F.filter(F.split(F.coalesce(joined[text_col], F.lit("")), SPACES), lambda w: w != "")
-    out = joined.withColumn("_sd_words", words)
-    all_words = F.col("_sd_words")
-    stay = F.when(F.col("_sd_keep").isNull(), all_words).otherwise(
-        F.flatten(F.transform("_sd_keep", lambda r: F.slice(all_words, r["start"] + 1, F.least(r["n"], F.size(all_words))))))
-    out = out.withColumn("_sd_stay", stay)
-    return out.select(*(out[c] for c in df.columns), F.concat_ws(" ", "_sd_stay").alias(kept_out),
-                      (F.size("_sd_words") - F.size("_sd_stay")).cast("long").alias(removed_out), F.size("_sd_words").cast("long").alias(words_out))
+    out = joined.withColumn(f"{p}words", words)
+    all_words = F.col(f"{p}words")
+    stay = F.when(F.col(f"{p}keep").isNull(), all_words).otherwise(
+        F.flatten(F.transform(f"{p}keep", lambda r: F.slice(all_words, r["start"] + 1, F.least(r["n"], F.size(all_words))))))
+    out = out.withColumn(f"{p}stay", stay)
+    return out.select(*(out[c] for c in df.columns), F.concat_ws(" ", f"{p}stay").alias(kept_out),
+                      (F.size(f"{p}words") - F.size(f"{p}stay")).cast("long").alias(removed_out), F.size(f"{p}words").cast("long").alias(words_out))

@@ -30,7 +30,7 @@ def no_docs(spark):
 
 
 CLASH = ["id", "fp", "component", "key", "v", "t", "h", "size", "node", "score", "m", "raw", "body", "sha", "rank", "dim", "shard", "block",
-         "is_query", "taken_", "source_size_", "kept_", "leaks", "nd_key", "lang_pred", "rejected"]
+         "is_query", "_mx_size", "_sd_words", "taken_", "source_size_", "kept_", "leaks", "nd_key", "lang_pred", "rejected"]
 
 
 def clashing(df):
