@@ -52,7 +52,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     path = f"{scratch_root(spark)}/llm/warc-{uuid.uuid4().hex}"
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    return warc.page_report(warc.assemble(land(warc.read_records(spark, path), "records")))
+    return warc.page_report(warc.assemble(land(warc.without_payloads(warc.read_records(spark, path)), "records")))
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,8 +165,8 @@ def parse(data: bytes):
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives under ``path``: its headers and, for
-    HTTP messages, the message head apart from the payload. A malformed archive
-    is an error, never a shorter result."""
+    HTTP messages, the message head apart from the payload, with the payload's
+    size and digest. A malformed archive is an error, never a shorter result."""
     def run(batches):
         names = [x.split()[0] for x in RECORD.split(", ")]
         schema = pa.schema([("file", pa.string()), ("at", pa.int64()), ("warc_type", pa.string()), ("record_id", pa.string()),
@@ -188,7 +188,15 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInArrow(run, RECORD)
+    return files.select("path", "content").mapInArrow(run, RECORD).withColumns({
+        "payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload"))})
+
+
+def without_payloads(records: DataFrame) -> DataFrame:
+    """Records whose HTTP messages keep their sizes and digests but no payload:
+    what assembly needs when the payloads themselves do not travel on."""
+    http = F.coalesce(F.element_at("headers", "Content-Type").startswith("application/http"), F.lit(False))
+    return records.withColumn("payload", F.when(~http, F.col("payload")))
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -196,7 +204,7 @@ def assemble(records: DataFrame) -> DataFrame:
     requests and the metadata records concurrent to it. Records concurrent to
     no response make a capture without one. Records without an identifier, and
     of other types, are in no capture."""
-    part = F.struct("record_id", "warc_type", "headers", "head", "payload")
+    part = F.struct("record_id", "warc_type", "headers", "head", "payload", "payload_bytes", "payload_digest")
     main = records.filter(F.col("warc_type").isin("response", "revisit") & F.col("record_id").isNotNull()).select(
         F.col("record_id").alias("capture_id"), part.alias("response"))
 
@@ -205,8 +213,9 @@ def assemble(records: DataFrame) -> DataFrame:
         return (records.filter((F.col("warc_type") == kind) & to.isNotNull()).groupBy(to.alias("capture_id"))
                 .agg(F.collect_list(part).alias(name)))
 
-    return (main.join(beside("request", "requests"), "capture_id", "full_outer")
-            .join(beside("metadata", "metadata"), "capture_id", "full_outer"))
+    # The small records meet first, so payloads are shuffled once.
+    small = beside("request", "requests").join(beside("metadata", "metadata"), "capture_id", "full_outer")
+    return main.join(small, "capture_id", "full_outer")
 
 
 def page_report(captures: DataFrame) -> DataFrame:
@@ -220,12 +229,11 @@ def page_report(captures: DataFrame) -> DataFrame:
     fields = F.element_at("metadata", 1)["payload"].cast("string")
     page = F.regexp_extract(fields, r"(?m)^pageId: (-?\d+)", 1)
     claimed = F.regexp_replace(header("WARC-Payload-Digest"), "^sha1:", "")
-    computed = base32_sha1(r["payload"])
-    checked = F.when(~is_response | (computed == claimed), claimed).otherwise(F.raise_error(F.concat(F.lit("digest of "), F.col("capture_id"))))
+    checked = F.when(~is_response | (r["payload_digest"] == claimed), claimed).otherwise(F.raise_error(F.concat(F.lit("digest of "), F.col("capture_id"))))
     length = F.regexp_extract(r["head"], r"(?mi)^Content-Length: (\d+)", 1).cast("long")
     rows = land(captures.filter(r.isNotNull()).select(
         "capture_id", F.when(page != "", page).cast("long").alias("page_id"),
-        F.when(is_response, F.octet_length(r["payload"]).cast("long")).otherwise(length).alias("payload_bytes"),
+        F.when(is_response, r["payload_bytes"]).otherwise(length).alias("payload_bytes"),
         checked.alias("payload_digest"), r["warc_type"].alias("record_type"), header("WARC-Refers-To").alias("to")), "report")
     known = rows.filter("record_type = 'response'").select(F.col("capture_id").alias("to"), F.col("page_id").alias("refers_to"))
     return rows.join(known, "to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
