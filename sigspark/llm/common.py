@@ -10,7 +10,9 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -164,16 +166,30 @@ def bit_index(h: np.ndarray, bits: int) -> np.ndarray:
     return ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def in_bitmap(bitmap: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
-    """Whether each hash's bit is set: no false negatives."""
-    i = bit_index(h, bits)
-    return (bitmap[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1
+class Bitmap:
+    """A set of 64-bit hashes as 2**bits bits: every member tests true, few
+    others do while it is sparse. It travels compressed, so a sparse one is
+    small; its size never exceeds 2**bits / 8 bytes."""
 
+    def __init__(self, words: np.ndarray, bits: int):
+        self.bits, self._packed = bits, zlib.compress(words.tobytes(), 1)
 
-def hash_bitmap(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A bitmap of 2**bits bits over a column of 64-bit hashes. Executors set
-    the bits; the driver gets the non-empty 64-bit words, 2**bits / 8 bytes at
-    most whatever the input's size."""
+    def __getstate__(self):
+        return {"bits": self.bits, "_packed": self._packed}
+
+    @cached_property
+    def _bytes(self) -> np.ndarray:
+        return np.frombuffer(zlib.decompress(self._packed), np.uint8)
+
+    def test(self, h: np.ndarray) -> np.ndarray:
+        i = bit_index(h, self.bits)
+        return (self._bytes[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1
+
+
+def hash_bitmap(hashes: DataFrame, column: str, bits: int) -> Bitmap:
+    """A bitmap over a column of 64-bit hashes. Executors set the bits; the
+    driver gets the non-empty 64-bit words, 2**bits / 64 of them at most
+    whatever the input's size."""
     def words(batches):
         for batch in batches:
             h = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -185,13 +201,13 @@ def hash_bitmap(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
            .groupBy("word").agg(F.bit_or("mask").alias("mask"))).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[got.column("word").to_numpy()] = got.column("mask").to_numpy().view(np.uint64)
-    return out.view(np.uint8)
+    return Bitmap(out, bits)
 
 
-def bitmap_test(bitmap, bits: int):
-    """A column function over 64-bit hashes: whether the broadcast bitmap has their bit."""
+def bitmap_test(bitmap):
+    """A column function over 64-bit hashes: whether they test true in the broadcast bitmap."""
     @F.pandas_udf("boolean")
     def test(h: pd.Series) -> pd.Series:
-        return pd.Series(in_bitmap(bitmap.value, h.to_numpy(np.int64).view(np.uint64), bits))
+        return pd.Series(bitmap.value.test(h.to_numpy(np.int64).view(np.uint64)))
 
     return test

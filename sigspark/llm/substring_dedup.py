@@ -17,8 +17,9 @@ Three passes over the texts:
    the texts of documents without spans out of that join's shuffle.
 
 A bucket group of more than ``group_limit`` super-k-mers would be too much for
-one task: its windows are counted by an aggregation instead, which collapses
-copies map-side, and the counts are joined back with the skew join.
+one task. Of its windows first only the hashes are aggregated; windows whose
+hash several documents have are then aggregated by their bytes, copies
+collapsing map-side, and the least ids are joined back with the skew join.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import (SPACES, bitmap_test, flat, free_prefix, gram_hashes, hash_bitmap, in_bitmap, land, mix, steps, text_bytes, word_bounds, word_hashes)
+from sigspark.llm.common import (SPACES, bitmap_test, flat, free_prefix, gram_hashes, hash_bitmap, land, mix, steps, text_bytes, word_bounds, word_hashes)
 
 
 @dataclass(frozen=True)
@@ -92,13 +93,13 @@ def _kmer_rows(params: Params, keep, hot, want_hot: bool):
     """Arrow batches of packed super-k-mers (pass 2): those whose minimiser is
     in the bitmap, either without the hot minimisers or only these."""
     def run(batches):
-        bitmap, bits, hot_list = keep.value, params.filter_bits, hot.value
+        bitmap, hot_list = keep.value, hot.value
         for batch in batches:
             raw, at = flat(batch.column(2))
             for lo, hi in steps(at):
                 part = raw[at[lo]:at[hi]]
                 r, w, n, v, a, b = super_kmers(part, at[lo:hi + 1] - at[lo], params)
-                ok = in_bitmap(bitmap, v.view(np.uint64), bits) if len(v) else np.zeros(0, bool)
+                ok = bitmap.test(v.view(np.uint64)) if len(v) else np.zeros(0, bool)
                 if len(v) and len(hot_list):
                     spot = np.minimum(np.searchsorted(hot_list, v), len(hot_list) - 1)
                     ok &= (hot_list[spot] == v) == want_hot
@@ -114,20 +115,20 @@ def _kmer_rows(params: Params, keep, hot, want_hot: bool):
     return run
 
 
-def _sorted_windows(ids: np.ndarray, packed: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(super-k-mer, window in it) of every window whose words also start in a
-    super-k-mer of a smaller id. The input holds whole bucket groups."""
+def _windows(packed: pa.Array, k: int):
+    """All windows of packed strings: bytes, word bounds, first word of each
+    string, string and hash of the window at each word, and the words where
+    windows begin."""
     raw, at = flat(packed)
     start, end, first = word_bounds(raw, at)
-    words = word_hashes(raw, start, end)
-    n = len(words) - k + 1
+    part = word_hashes(raw, start, end)
+    n = len(part) - k + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return raw, start, end, first, none, none, np.zeros(0, np.uint64)
     h = np.zeros(n, np.uint64)
-    span, part = 1, words  # hash of k words by doubling
-    done = 0
-    left = k
-    while left:
+    span, done, left = 1, 0, k
+    while left:  # hash of k words by doubling
         if left & 1:
             h = mix(h + part[done:done + n] * np.uint64(2 * span + 1))
             done += span
@@ -136,7 +137,15 @@ def _sorted_windows(ids: np.ndarray, packed: pa.Array, k: int) -> tuple[np.ndarr
             part = mix(part[:-span] * np.uint64(0x9E3779B97F4A7C15) + part[span:])
             span *= 2
     row = np.searchsorted(first, np.arange(n), side="right") - 1
-    windows = np.flatnonzero(np.arange(n) + k <= first[row + 1])
+    return raw, start, end, first, row, np.flatnonzero(np.arange(n) + k <= first[row + 1]), h
+
+
+def _sorted_windows(ids: np.ndarray, packed: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(super-k-mer, window in it) of every window whose words also start in a
+    super-k-mer of a smaller id. The input holds whole bucket groups."""
+    raw, start, end, first, row, windows, h = _windows(packed, k)
+    if not len(windows):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     order = windows[np.lexsort((ids[row[windows]], h[windows]))]
     hs = h[order]
     new = np.ones(len(order), bool)
@@ -202,25 +211,33 @@ def _bucket_spans(params: Params):
     return run
 
 
-def _window_rows(params: Params):
-    """The single windows of super-k-mers (hot groups only)."""
+def _window_hash_rows(params: Params):
+    """Hash and id of the single windows of super-k-mers (hot groups only)."""
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 2048):
+                part = batch.slice(lo, 2048)
+                *_, row, windows, h = _windows(part.column(5), params.window)
+                yield pa.RecordBatch.from_arrays([pa.array(h[windows].view(np.int64)), part.column(1).take(pa.array(row[windows]))], names=["h", "id"])
+    return run
+
+
+def _window_rows(params: Params, shared):
+    """The windows of super-k-mers whose hash several documents have (hot groups only)."""
     k = params.window
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                part = batch.slice(lo, 256)
-                packed, w = part.column(5).to_pylist(), part.column(3).to_pylist()
-                rows, at, out = [], [], []
-                for i, line in enumerate(packed):
-                    words = line.split(b" ")
-                    for j in range(len(words) - k + 1):
-                        rows.append(i)
-                        at.append(w[i] + j)
-                        out.append(b" ".join(words[j:j + k]))
-                rows = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), part.column(1).take(rows), part.column(2).take(rows),
-                                                  pa.array(at, pa.int64())], names=["win", "id", "key", "w"])
+            for lo in range(0, len(batch), 2048):
+                part = batch.slice(lo, 2048)
+                raw, start, end, first, row, windows, h = _windows(part.column(5), k)
+                windows = windows[shared.value.test(h[windows])] if len(windows) else windows
+                rows, text = row[windows], raw.tobytes()
+                out = [text[a:b] for a, b in zip(start[windows].tolist(), end[windows + k - 1].tolist())]
+                at = part.column(3).to_numpy()[rows] + windows - first[rows]
+                rows = pa.array(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), part.column(1).take(rows), part.column(2).take(rows), pa.array(at)],
+                                                 names=["win", "id", "key", "w"])
     return run
 
 
@@ -258,8 +275,11 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .mapInArrow(_bucket_spans(params), "id long, key long, start long, end long"))
     if not len(hot_rows):
         return spans
-    windows = land(texts.mapInArrow(_kmer_rows(params, keep, hot, True), kinds)
-                   .mapInArrow(_window_rows(params), "win binary, id long, key long, w long"), "hot-windows")
+    packed = texts.mapInArrow(_kmer_rows(params, keep, hot, True), kinds)
+    twice = (packed.mapInArrow(_window_hash_rows(params), "h long, id long").groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+             .filter("a < b"))
+    shared = sc.broadcast(hash_bitmap(twice, "h", params.filter_bits))
+    windows = land(packed.mapInArrow(_window_rows(params, shared), "win binary, id long, key long, w long"), "hot-windows")
     least = land(windows.groupBy("win").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("win", "a"), "hot-least")
     return spans.union(windows.join(least, "win").filter("id > a")
                        .select("id", "key", F.col("w").alias("start"), (F.col("w") + params.window).alias("end")))
@@ -290,7 +310,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = land(duplicate_spans(df, id_col, text_col, params), "spans")
     keep = land(kept_ranges(spans), "kept-ranges").select(F.col("id").alias(f"{p}id"), F.col("key").alias(f"{p}key"), F.col("keep").alias(f"{p}keep"))
     marks = hash_bitmap(keep.select(F.xxhash64(f"{p}id", f"{p}key").alias("h")), "h", params.filter_bits)
-    marked = bitmap_test(df.sparkSession.sparkContext.broadcast(marks), params.filter_bits)(
+    marked = bitmap_test(df.sparkSession.sparkContext.broadcast(marks))(
         F.xxhash64(df[id_col].cast("long"), F.xxhash64(df[text_col])))
     same = (df[id_col].cast("long") == F.col(f"{p}id")) & (F.xxhash64(df[text_col]) == F.col(f"{p}key"))
     joined = df.filter(marked).join(keep, same, "left")
