@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigspark.llm import decontaminate, language_id, mixing, simhash, substring_dedup
-from sigspark.llm.common import fresh, ship, table
+from sigspark.llm.common import bitmap_test, fresh, hash_bitmap, land, ship, table
 from sigspark.session import scratch_root
 
+DOUBT_BITS = 27
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that language ID rejects (no letter, or too far from
@@ -32,10 +34,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     of equal rows one."""
     ship(spark)
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
-    marked = simhash.near_duplicates(docs.select(key.alias("key"), "text"), "key", "text")
+    marked = land(simhash.near_duplicates(docs.select(key.alias("key"), "text"), "key", "text"), "near-duplicates")
     keep = marked.filter(F.col("id") == F.col("component")).select(F.col("id").alias("key")).distinct()
+    # Only documents of components with several rows are in doubt. A bitmap of
+    # bounded size knows them (and a few others), so other texts are not shuffled.
+    several = land(marked.groupBy("component").count().filter("count > 1").select("component"), "components-of-several")
+    doubted = marked.join(several, "component", "left_semi").select(F.xxhash64("id").alias("h"))
     out = docs.withColumn(name := fresh(docs, "nd_key"), key)
-    return out.join(keep, out[name] == keep["key"], "left_semi").dropDuplicates([name]).drop(name)
+    test = bitmap_test(spark.sparkContext.broadcast(hash_bitmap(doubted, "h", DOUBT_BITS)))(F.xxhash64(out[name]))
+    chosen = out.filter(test).join(keep, out[name] == keep["key"], "left_semi").dropDuplicates([name])
+    return out.filter(~test).unionByName(chosen).drop(name)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
