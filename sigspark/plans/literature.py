@@ -49,16 +49,20 @@ def document_frequency(postings_df: DataFrame) -> DataFrame:
     return postings_df.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def phrase_counts(documents: DataFrame, names: DataFrame) -> DataFrame:
+def phrase_counts(documents: DataFrame, names: DataFrame, postings: DataFrame | None = None) -> DataFrame:
     """``(name_key, n_docs)`` for names of several tokens (``name_key``: their
     tokens joined by a blank): distinct documents that contain the tokens one
     after the other. Each document's token sequences of a name's length are
     made distinct in its row and joined with the names, which Spark broadcasts
     when their measured size allows; the lengths (a few small numbers) are
-    read first."""
+    read first. With the ``postings``, only the texts that hold the first token
+    of some name are looked at."""
     lengths = sorted(r[0] for r in names.select(F.size(F.split("name_key", " "))).distinct().collect())
     if not lengths:
         return names.select("name_key", F.lit(0).cast("long").alias("n_docs"))
+    if postings is not None:
+        first = names.select(F.substring_index("name_key", " ", 1).alias("token")).distinct()
+        documents = documents.join(postings.join(first, "token", "left_semi").select("doc_id").distinct(), "doc_id", "left_semi")
     toks = documents.select(tokens("text").alias("__t"))
 
     def runs(n: int) -> Column:
@@ -71,7 +75,7 @@ def phrase_counts(documents: DataFrame, names: DataFrame) -> DataFrame:
 
 # F5
 def literature_counts(index: DataFrame, terms: DataFrame, term_col: str = "term", count_col: str = "n_docs",
-                      documents: DataFrame | None = None) -> DataFrame:
+                      documents: DataFrame | None = None, postings: DataFrame | None = None) -> DataFrame:
     """Distinct documents mentioning each term (0 when none); every term row is
     kept. One-token terms are looked up in the document-frequency ``index``;
     terms of several tokens are matched in ``documents``, without which they
@@ -80,7 +84,7 @@ def literature_counts(index: DataFrame, terms: DataFrame, term_col: str = "term"
     hits = index.select(F.col("token").alias("name_key"), F.col("n_docs").alias("__n"))
     if documents is not None:
         several = keyed.where(F.col("name_key").contains(" ")).select("name_key").distinct()
-        hits = hits.unionByName(phrase_counts(documents, several).select("name_key", F.col("n_docs").alias("__n")))
+        hits = hits.unionByName(phrase_counts(documents, several, postings).select("name_key", F.col("n_docs").alias("__n")))
     else:
         several = F.col("name_key").contains(" ")
         keyed = keyed.withColumn("name_key", F.when(~several, F.col("name_key")).otherwise(
@@ -89,10 +93,10 @@ def literature_counts(index: DataFrame, terms: DataFrame, term_col: str = "term"
             .select(term_col, F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_col)))
 
 
-def compound_literature(index: DataFrame, compounds: DataFrame, documents: DataFrame) -> DataFrame:
+def compound_literature(index: DataFrame, compounds: DataFrame, documents: DataFrame, postings: DataFrame | None = None) -> DataFrame:
     """F5 for compound names: ``pert_iname, pubmed_papers, research_maturity``."""
     names = compounds.select("pert_iname").distinct()
-    return (literature_counts(index, names, "pert_iname", "pubmed_papers", documents)
+    return (literature_counts(index, names, "pert_iname", "pubmed_papers", documents, postings)
             .withColumn("research_maturity", research_maturity("pubmed_papers")))
 
 

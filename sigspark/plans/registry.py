@@ -33,7 +33,7 @@ from sigspark.plans.phases import full_run
 from sigspark.session import scratch_root
 from sigspark.sources import readers as A
 from sigspark.sources import sinks as S
-from sigspark.sources.binding import LITERATURE_TERMS, MARKER_GENES, REFERENCE_COMPOUND, corpus, result_pages
+from sigspark.sources.binding import LITERATURE_TERMS, MARKER_GENES, REFERENCE_COMPOUND, result_pages
 from sigspark.sources.store import INPUT_TABLES, build_of, corpus_index, corpus_tables, raw_table, signature_tables
 from sigspark.streaming.append import stream_append_signatures
 
@@ -284,7 +284,13 @@ def _literature_search(spark, sf_dir):
 
 def _lit_terms(spark, sf_dir):
     terms = literal_rows(spark, [(t,) for t in LITERATURE_TERMS], "term string")
-    return Lit.literature_counts(corpus_index(spark, sf_dir), terms, documents=corpus(spark, sf_dir))
+    c = corpus_tables(spark, sf_dir)
+    return Lit.literature_counts(c["document_frequency"], terms, documents=c["texts"], postings=c["postings"])
+
+
+def _papers(spark, sf_dir, compounds):
+    c = corpus_tables(spark, sf_dir)
+    return Lit.compound_literature(c["document_frequency"], compounds, c["texts"], c["postings"])
 
 
 def _leads_with_benchmark(spark, sf_dir):
@@ -296,7 +302,7 @@ def _leads_with_benchmark(spark, sf_dir):
 def _lead_literature(spark, sf_dir):
     """The top leads left-joined with their literature counts."""
     leads = E.precision_leads(*_cg(spark, sf_dir))
-    lit = Lit.compound_literature(corpus_index(spark, sf_dir), leads.select("pert_iname"), corpus(spark, sf_dir))
+    lit = _papers(spark, sf_dir, leads.select("pert_iname"))
     return leads.join(lit.select("pert_iname", "pubmed_papers"), "pert_iname", "left")
 
 
@@ -304,7 +310,7 @@ def _executive_report(spark, sf_dir):
     cm, gs = _cg(spark, sf_dir)
     leads = Lit.leads_with_benchmark(
         E.precision_leads(cm, gs), cm.where(F.col("pert_iname") == REFERENCE_COMPOUND).select("pert_iname", "moa"))
-    lit = Lit.compound_literature(corpus_index(spark, sf_dir), leads.select("pert_iname"), corpus(spark, sf_dir))
+    lit = _papers(spark, sf_dir, leads.select("pert_iname"))
     return Lit.executive_report(leads, lit)
 
 
@@ -334,9 +340,9 @@ def _profile_eval(spark, sf_dir):
 
 
 def _scorecard(spark, sf_dir):
-    t = _tables(spark, sf_dir)
+    t, c = _tables(spark, sf_dir), corpus_tables(spark, sf_dir)
     return SC.lead_scorecard(t["compound_metadata"], t["genetic_signatures"], t["sig_info"],
-                             corpus_index(spark, sf_dir), corpus(spark, sf_dir), _disease(spark))
+                             c["document_frequency"], c["texts"], _disease(spark), postings=c["postings"])
 
 
 def _batch_map(spark, sf_dir):
@@ -368,10 +374,10 @@ def _build_compound_metadata(spark, sf_dir):
 
 
 def _pipeline_summary(spark, sf_dir):
-    t = _tables(spark, sf_dir)
+    t, c = _tables(spark, sf_dir), corpus_tables(spark, sf_dir)
     paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("lineitem", "part", "supplier", "documents")]
-    return full_run(spark, {k: t[k] for k in INPUT_TABLES}, paths, corpus_index(spark, sf_dir), corpus(spark, sf_dir),
-                    _fresh_dir(spark, "full-run"), REFERENCE_COMPOUND, MARKER_GENES)
+    return full_run(spark, {k: t[k] for k in INPUT_TABLES}, paths, c["document_frequency"], c["texts"],
+                    _fresh_dir(spark, "full-run"), REFERENCE_COMPOUND, MARKER_GENES, c["postings"])
 
 
 def _t(name):

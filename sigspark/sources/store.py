@@ -187,12 +187,13 @@ def _corpus_root(spark: SparkSession, sf_dir: str, rebuild: bool) -> str:
     return f"{root}-fresh-{uuid.uuid4().hex[:12]}" if rebuild else root
 
 
-CORPUS_TABLES = ("postings", "document_frequency")
+CORPUS_TABLES = ("texts", "postings", "document_frequency")
 
 
 def corpus_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> dict[str, DataFrame]:
-    """The landed inverted index of the literature corpus: ``postings(token,
-    doc_id)`` and ``document_frequency(token, n_docs)``; built once per corpus."""
+    """The landed literature corpus ``texts(doc_id, text)`` and its inverted
+    index: ``postings(token, doc_id)`` and ``document_frequency(token, n_docs)``;
+    built once per corpus."""
     sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir, "corpus")
     if not rebuild and key in _cache:
@@ -202,7 +203,8 @@ def corpus_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> di
     if paths is None:
         attempt = uuid.uuid4().hex[:12]
         paths = {t: f"{root}/{attempt}/{t}" for t in CORPUS_TABLES}
-        postings(corpus(spark, sf_dir)).sortWithinPartitions("token", "doc_id") \
+        corpus(spark, sf_dir).write.mode("overwrite").parquet(paths["texts"])
+        postings(spark.read.parquet(paths["texts"])).sortWithinPartitions("token", "doc_id") \
             .write.mode("overwrite").parquet(paths["postings"])
         document_frequency(spark.read.parquet(paths["postings"])).sortWithinPartitions("token") \
             .write.mode("overwrite").parquet(paths["document_frequency"])
