@@ -16,7 +16,7 @@ from sigspark.llm import decontaminate, language_id, mixing, simhash, substring_
 from sigspark.llm.common import bitmap_test, fresh, hash_bitmap, land, ship, table
 from sigspark.session import scratch_root
 
-DOUBT_BITS = 27
+DOUBT_BITS = 24
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,8 +39,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the package to the Python workers of this application (once)."""
+    """Give the package to the Python workers of this application (once), and
+    keep Arrow batches of whole texts small unless the session says otherwise."""
+    if spark.conf.get(BATCH_BYTES) == "67108864b":  # the default
+        spark.conf.set(BATCH_BYTES, "8m")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

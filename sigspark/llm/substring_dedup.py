@@ -37,15 +37,17 @@ from sigspark.llm.common import (SPACES, bitmap_test, flat, free_prefix, gram_ha
 @dataclass(frozen=True)
 class Params:
     """``gram``: words of the m-grams that minimisers are taken from.
-    ``filter_bits``: the bitmap has 2**filter_bits bits; when more minimisers
-    repeat than it can tell apart, more strings travel and results stay.
+    ``filter_bits``: the bitmap of minimisers has 2**filter_bits bits; when more
+    of them repeat than it can tell apart, more strings travel and results
+    stay. ``doc_bits``: likewise for the documents that lose words.
     ``group_limit``: super-k-mers that one task holds of one minimiser; the hot
     list is at most (all super-k-mers) / group_limit long, and the limit rises
     so that it never exceeds ``max_hot``."""
 
     window: int = 50
     gram: int = 8
-    filter_bits: int = 27
+    filter_bits: int = 26
+    doc_bits: int = 24
     group_limit: int = 32768
     max_hot: int = 1 << 20
 
@@ -309,7 +311,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     p = free_prefix(df, "_sd_")
     spans = land(duplicate_spans(df, id_col, text_col, params), "spans")
     keep = land(kept_ranges(spans), "kept-ranges").select(F.col("id").alias(f"{p}id"), F.col("key").alias(f"{p}key"), F.col("keep").alias(f"{p}keep"))
-    marks = hash_bitmap(keep.select(F.xxhash64(f"{p}id", f"{p}key").alias("h")), "h", params.filter_bits)
+    marks = hash_bitmap(keep.select(F.xxhash64(f"{p}id", f"{p}key").alias("h")), "h", params.doc_bits)
     marked = bitmap_test(df.sparkSession.sparkContext.broadcast(marks))(
         F.xxhash64(df[id_col].cast("long"), F.xxhash64(df[text_col])))
     same = (df[id_col].cast("long") == F.col(f"{p}id")) & (F.xxhash64(df[text_col]) == F.col(f"{p}key"))
