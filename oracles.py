@@ -642,6 +642,11 @@ group by si.pert_itime, s.pert_iname
 having count(distinct s.pr_gene_symbol) <= 50 and max(abs(s.z_score)) >= 8.0"""),
     # H
     "profile_rules": q(f"select *, {_profile('max_response', 'biomarker_count')} as clinical_profile from f", f=_FEATURES),
+    "training_labels": q(f"""
+select pert_iname, cast(biomarker_count as double) as biomarker_count, coalesce(avg_response, 0.0) as avg_response,
+       coalesce(max_response, 0.0) as max_response, coalesce(response_variability, 0.0) as response_variability,
+       {_profile('max_response', 'biomarker_count')} as rule_profile
+from f""", f=_FEATURES),
     "classification_metrics": q("""
 select round(sum(case when t = p then 1 else 0 end) * 1.0 / count(*), 6) as accuracy,
        round((select sum(support * prec) from m) / count(*), 6) as precision_weighted,

@@ -522,6 +522,7 @@ QUERIES: dict[str, Query] = {
     "leads_per_time": lambda spark, d: G.leads_per_time(*_cg(spark, d), _tables(spark, d)["sig_info"]),
     # H — profiles
     "profile_rules": lambda spark, d: H.profile_rules(_features(spark, d)),
+    "training_labels": lambda spark, d: H.labelled_features(_features(spark, d)),
     "profile_forest": _forest,
     "profile_forest_metrics": lambda spark, d: H.forest_metrics(_forest(spark, d)),
     "classification_metrics": _profile_eval,
