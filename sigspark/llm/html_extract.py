@@ -4,15 +4,18 @@ Markup is stripped into lines, one per block of the page; menus, notices,
 forms and other parts that are no article go with the markup. Text lengths are
 summed over sliding windows of lines: the text begins where the sum surges over
 a threshold and ends where it dives to nothing, and everything between is kept.
-Inside an article or main element any text is a surge, since the page itself
-says what belongs to it; elsewhere link text does not count and a surge needs
-as much text as a short paragraph.
+Link text does not count, and a surge needs as much text as a short paragraph.
+The article or main elements of a page are a hint only: if they hold at least
+half of the page's text, any text in them is a surge, and windows do not reach
+over their edges. They never remove a line, so text outside them is kept or
+dropped by its own sums, and elements that hold less are lines like any other.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -78,7 +81,7 @@ def _kind(name: str, attrs: str, inside: bool) -> str:
 
 class _Page:
     """Lines of a page: text, length of the text outside links, and whether an
-    article (2) or main (1) element holds it."""
+    article (2), a main (1) element or both (3) hold it."""
 
     def __init__(self, source: str):
         self.lines: list[tuple[str, int, int]] = []
@@ -116,7 +119,7 @@ class _Page:
             self.lines.append((text, self._plain, self._place))
         self._parts, self._plain = [], 0
         names = {s[0] for s in self._stack}
-        self._place = 2 if "article" in names else 1 if "main" in names else 0
+        self._place = 2 * ("article" in names) + ("main" in names)
 
     def _text(self, text: str) -> None:
         if not text or any(kind in ("other", "named", "comments") for _, kind in self._stack):
@@ -162,7 +165,7 @@ class _Page:
         self._stack.append([name, kind])
         if name in _BLOCK:
             names = {s[0] for s in self._stack}
-            self._place = 2 if "article" in names else 1 if "main" in names else 0
+            self._place = 2 * ("article" in names) + ("main" in names)
 
     def _close(self, name: str) -> None:
         if name in _BLOCK:
@@ -175,7 +178,7 @@ class _Page:
                 break  # a stray end tag does not close what holds the element
         if name in _BLOCK:
             names = {s[0] for s in self._stack}
-            self._place = 2 if "article" in names else 1 if "main" in names else 0
+            self._place = 2 * ("article" in names) + ("main" in names)
 
 
 def keep_between(lengths: list[int], threshold: int, window: int = WINDOW) -> list[bool]:
@@ -192,20 +195,32 @@ def keep_between(lengths: list[int], threshold: int, window: int = WINDOW) -> li
     return keep
 
 
+def _hinted(lines: list[tuple[str, int, int]]) -> list[bool]:
+    """Which lines the page's article elements hold, or else its main elements,
+    if these have at least half of the page's text outside links."""
+    total = sum(plain for _, plain, _ in lines)
+    for bit in (2, 1):
+        held = [bool(place & bit) for _, _, place in lines]
+        if any(held) and 2 * sum(plain for (_, plain, _), h in zip(lines, held) if h) >= total:
+            return held
+    return [False] * len(lines)
+
+
 def main_text(source: str | None) -> str:
     """The main text of one page (null or empty: none)."""
     if not source:
         return ""
     lines = _Page(source).lines
-    place = max((p for _, _, p in lines), default=0)
-    if place:
-        lines = [x for x in lines if x[2] == place]
-        lengths, threshold = [len(text) for text, _, _ in lines], 1
-    else:
-        lengths = [plain for _, plain, _ in lines]
-        best = max((sum(lengths[i:i + WINDOW]) for i in range(len(lengths))), default=0)
-        threshold = min(SURGE, best)
-    keep = keep_between(lengths, threshold)
+    held = _hinted(lines)
+    lengths = [plain for _, plain, _ in lines]
+    if not any(lengths):  # an article of links only
+        lengths = [len(text) if h else 0 for (text, _, _), h in zip(lines, held)]
+    threshold = SURGE
+    if not any(held):
+        threshold = min(SURGE, max((sum(lengths[i:i + WINDOW]) for i in range(len(lengths))), default=0))
+    keep: list[bool] = []
+    for hint, run in groupby(zip(held, lengths), lambda x: x[0]):
+        keep += keep_between([n for _, n in run], 1 if hint else threshold)
     return " ".join(text for (text, _, _), k in zip(lines, keep) if k)
 
 

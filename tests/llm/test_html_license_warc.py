@@ -37,6 +37,25 @@ def test_surge_and_dive():
         False, False, True, True, True, True, True, False, False, False, False, False, False]
 
 
+def test_tags_only_hint():
+    body = " ".join(f"Sentence {i} of a body that is much longer than the teaser." for i in range(9))
+    teaser = '<article><h3><a href="/x">Read also</a></h3><p>Short.</p></article>'
+    for page in (f"<main><h1>Title</h1><p>{body}</p><p>{body}</p></main>{teaser}", f"<div><p>{body}</p><p>{body}</p>{teaser}</div>",
+                 f"<main><p>{body}</p>{teaser}<p>{body}</p></main>"):
+        assert html_extract.main_text(page).count(body) == 2
+    # Text outside a long article stays by its own sums; a short line there does not.
+    page = f"<div><p>Crumb</p></div><article><h1>A</h1><p>{body}</p><p>{body}</p></article><div><p>{body}</p></div>"
+    assert html_extract.main_text(page) == f"A {body} {body} {body}"
+
+
+def test_dive_inside_an_article():
+    links = "".join(f"<li><a href='/{i}'>Link number {i}</a></li>" for i in range(6))
+    assert html_extract.main_text(f"<article><h1>A</h1><p>The text.</p><ul>{links}</ul></article>") == "A The text."
+    got = html_extract.main_text(f"<article><h1>A</h1><p>The text.</p><ul>{links}</ul><p>More.</p></article>")
+    assert got.startswith("A The text.") and got.endswith("More.") and "number 1" not in got
+    assert html_extract.main_text(f"<article><ul>{links}</ul></article>").count("Link") == 6
+
+
 def test_extraction_query(spark, sf_dir):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in op3_html_extraction(spark, sf_dir).collect():
