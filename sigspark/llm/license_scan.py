@@ -5,6 +5,13 @@ each template as multisets of word bigrams: Dice = 2 |A and B| / (|A| + |B|).
 A coefficient of t or more needs |A| between |B| t / (2 - t) and
 |B| (2 - t) / t, so the templates, sorted by size, are pruned to those bounds
 before anything is compared.
+
+Words that no unit of a licence covers are searched for that licence's
+templates by sliding windows, which cross lines and paragraphs: a notice inside
+a line, wrapped within a larger paragraph, or of several paragraphs in a longer
+text is a window. The best window begins and ends with a bigram of the
+template, so only such positions are tried, and only where the longest window
+holds enough of the template.
 """
 
 from __future__ import annotations
@@ -91,7 +98,10 @@ class Matcher:
         # No unit outside these sizes can match anything.
         self.least = int(self.sizes[0] * self.low) if parts else 1
         self.most = int(self.sizes[-1] * self.high) + 1 if parts else 0
-        self.heads = {g for b in self.grams for g in b}
+        self.heads: dict[tuple, list[int]] = {}
+        for i, b in enumerate(self.grams):
+            for g in b:
+                self.heads.setdefault(g, []).append(i)
 
     def match(self, w: list[str]):
         """(template name, coefficient) of every template that the words reach."""
@@ -99,7 +109,7 @@ class Matcher:
         if n < max(1, self.least) or n > self.most:
             return
         pairs = list(zip(w, w[1:]))
-        if self.heads.isdisjoint(pairs):
+        if self.heads.keys().isdisjoint(pairs):
             return
         mine = None
         first, last = bisect_left(self.sizes, n * self.low - 1e-9), bisect_right(self.sizes, n * self.high + 1e-9)
@@ -112,37 +122,148 @@ class Matcher:
                 yield self.names[i], dice
 
 
+    def windows(self, w: list[str], matches: dict[str, list[tuple[int, int, float]]]):
+        """(template name, coefficient) of windows of the words that reach a
+        template, the best first. ``matches`` has what is found so far: first
+        word, word after the last and coefficient, per licence. Windows hold no
+        word of a match of their licence, and half of the bigrams that they
+        share with the template at least are not owed to a match of another
+        licence with as large a coefficient. Windows become matches."""
+        at: dict[int, list[int]] = {}
+        for p, g in enumerate(zip(w, w[1:])):
+            if g in self.heads:
+                for i in self.heads[g]:
+                    at.setdefault(i, []).append(p)
+        at = {i: ps for i, ps in at.items() if len(ps) >= self.sizes[i] * self.low - 1e-9}
+        owed: dict[int, list[tuple[int, int]]] = {i: [] for i in at}
+        while True:
+            # What lost to a window that lost itself is found by the next turn.
+            found = sorted((-dice, a - b, a, i) for i, ps in at.items()
+                           for part in _outside(ps, [m[:2] for m in matches.get(self.names[i], ())] + owed[i]) for dice, a, b in self._slide(w, part, i))
+            if not found:
+                return
+            new: dict[str, list[tuple[int, int]]] = {}
+            for dice, size, a, i in found:
+                name, dice, b = self.names[i], -dice, a - size
+                mine = new.setdefault(name, [])
+                k = bisect_left(mine, (a, b))
+                if (k and mine[k - 1][1] > a) or (k < len(mine) and b > mine[k][0]):
+                    continue
+                if others := self._owed(w, a, b, dice, i, matches):
+                    owed[i] += others
+                    continue
+                mine.insert(k, (a, b))
+                matches.setdefault(name, []).append((a, b, dice))
+                yield name, dice
+
+    def _owed(self, w: list[str], a: int, b: int, dice: float, i: int, matches: dict) -> list[tuple[int, int]]:
+        """The parts of a window that matches of other licences explain, if they explain half of it."""
+        shared = {p for p in range(a, b - 1) if (w[p], w[p + 1]) in self.grams[i]}
+        left, parts = set(shared), []
+        for name, ms in matches.items():
+            if name != self.names[i]:
+                for first, last, d in ms:
+                    if d >= dice and first < b and a < last:
+                        own = {p for p in left if first <= p < last - 1 and any(self.names[k] == name for k in self.heads[w[p], w[p + 1]])}
+                        if own:
+                            parts.append((max(a, first), min(b, last)))
+                            left -= own
+        return parts if 2 * len(left) <= len(shared) else []
+
+    def _slide(self, w: list[str], ps: list[int], i: int):
+        """(coefficient, first word, word after the last) of the best window from
+        each of the positions of a template's bigrams, where it reaches the
+        threshold and the positions' last window does not overlap it with as
+        much as this one can have."""
+        size, grams = self.sizes[i], self.grams[i]
+        reach = int(size * self.high + 1e-9)
+        held, common, end = Counter(), 0, 0  # of the longest window from a position
+        top, until = 0.0, 0
+        for k, p in enumerate(ps):
+            while end < len(ps) and ps[end] - p < reach:
+                g = w[ps[end]], w[ps[end] + 1]
+                held[g] += 1
+                common += held[g] <= grams[g]
+                end += 1
+            most = 2 * common / (common + size)
+            if most >= self.threshold and (p >= until or most > top):
+                mine, both, best, stop = Counter(), 0, 0.0, 0
+                for q in ps[k:end]:
+                    g = w[q], w[q + 1]
+                    mine[g] += 1
+                    if mine[g] <= grams[g]:
+                        both += 1
+                        dice = 2 * both / (q - p + 1 + size)
+                        if dice > best:
+                            best, stop = dice, q + 2
+                if best >= self.threshold:
+                    yield best, p, stop
+                    if p >= until or best > top:
+                        top, until = best, stop
+            g = w[p], w[p + 1]
+            common -= held[g] <= grams[g]
+            held[g] -= 1
+
+
+def _outside(ps: list[int], ranges: list[tuple[int, int]]):
+    """The positions of bigrams without a word of the ranges, cut at each range."""
+    start = 0
+    for a, b in sorted(ranges):
+        yield ps[start:max(start, bisect_left(ps, a - 1))]
+        start = max(start, bisect_left(ps, b))
+    yield ps[start:]
+
+
 def units(text: str):
-    """(kind, words) of the lines, the paragraphs of several lines, and the whole text of several lines."""
-    lines = text.split("\n")
+    """(kind, index of the first word, words) of the lines, the paragraphs of
+    several lines, and the whole text of several lines."""
+    lines, n = text.split("\n"), 0
     for line in lines:
-        yield "line", words(line)
+        yield "line", n, (w := words(line))
+        n += len(w)
     if len(lines) > 1:
+        n = 0
         for paragraph in (paragraphs := re.split(r"\n[^\S\n]*\n", text)):
-            if len(paragraphs) > 1 and "\n" in paragraph.strip("\n"):
-                yield "paragraph", words(paragraph)
-        yield "text", words(_RIGHTS_LINE.sub("", text))
+            if len(paragraphs) > 1:
+                w = words(paragraph)
+                if "\n" in paragraph.strip("\n"):
+                    yield "paragraph", n, w
+                n += len(w)
+        yield "text", 0, words(_RIGHTS_LINE.sub("", text))
 
 
 def scan_text(text: str | None, matcher: Matcher) -> list[dict]:
     """Per licence found: best coefficient, the kind of unit that has it, units matched."""
     best: dict[str, list] = {}
-    for kind, w in units(text) if text else ():
+    whole: list[str] = []
+    matches: dict[str, list[tuple[int, int, float]]] = {}
+
+    def add(name: str, dice: float, kind: str) -> None:
+        got = best.setdefault(name, [0.0, kind, 0])
+        got[2] += 1
+        if dice > got[0]:
+            got[0], got[1] = dice, kind
+
+    for kind, first, w in units(text) if text else ():
+        if kind == "line":
+            whole += w
         for name, dice in matcher.match(w):
-            got = best.setdefault(name, [0.0, kind, 0])
-            got[2] += 1
-            if dice > got[0]:
-                got[0], got[1] = dice, kind
+            add(name, dice, kind)
+            matches.setdefault(name, []).append((0, len(whole), dice) if kind == "text" else (first, first + len(w), dice))
+    for name, dice in matcher.windows(whole, matches):
+        add(name, dice, "window")
     return [{"license": name, "dice": d, "unit": kind, "units": n} for name, (d, kind, n) in sorted(best.items())]
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES,
          params: Params = Params()) -> DataFrame:
     """Rows (id, license, dice, unit, units): one per document and licence with
-    a unit of at least ``threshold``.
+    a unit or window of at least ``threshold``.
 
     Null, empty and licence-free texts have no row. Of units that reach the same
-    coefficient the first counts (lines, then paragraphs, then the text).
+    coefficient the first counts (lines, then paragraphs, then the text, then
+    windows). A window holds no word of a unit that has its licence, and is
+    none if a match of another licence explains half of what it shares.
     Repeated rows and null ids are judged like any other; an empty table gives
     none. Templates travel with the task, so they are a short list (4 MB of
     text at most); templates of one word match nothing."""

@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import html
+import random
 import re
 from collections import Counter
 
@@ -93,6 +94,58 @@ def test_size_bounds_lose_nothing():
             assert sorted(matcher.match(unit)) == pytest.approx(want) if not want else [n for n, _ in sorted(matcher.match(unit))] == [n for n, _ in want]
 
 
+def paragraphs_of(text, *cuts):
+    for cut in cuts:
+        assert text.count(cut) == 1
+        text = text.replace(cut, "\n\n" + cut)
+    return text
+
+
+def test_notices_inside_other_text(spark):
+    mit = paragraphs_of(license_scan._MIT_GRANT, "The above copyright notice and", 'THE SOFTWARE IS PROVIDED "AS IS"')
+    gpl = paragraphs_of(license_scan._GPL_NOTICE, "This program is\ndistributed", "You should have received")
+    code = "\n".join(f"value_{i} = compute(value_{i - 1}) + {i}" for i in range(1, 90))
+    commented = "\n".join(f" * {line}" for line in gpl.split("\n"))
+    texts = ["Some words of the text. Released under the MIT License. More text of the same line follows here, and then some.",
+             "A larger paragraph that goes on and on until it says that the work is licensed\nunder the Apache\nLicense, Version 2.0. It then goes on for long.",
+             f"# Readme\n\nWhat it does.\n\n## License\n\nCopyright (c) 2020 X\n\n{mit}\n\n## Code\n\n{code}", f"/*\n{commented}\n */\n{code}",
+             "Released under the MIT License.\nThe other part is also released under the MIT License, as said.\nEnd.",
+             "It was released under the old licence of the house, and all the rights are reserved.", f"{code}\n\n{mit}\n\n{code}\n\n{mit}\n\n{code}"]
+    df = clashing(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = sorted(tuple(r) for r in license_scan.scan(df, "doc_id", "text").select("id", "license", "unit", "units").collect())
+    assert got == [(0, "MIT", "window", 1), (1, "Apache-2.0", "window", 1), (2, "MIT", "window", 1), (3, "GPL-3.0", "window", 1), (4, "MIT", "line", 2),
+                   (6, "MIT", "window", 2)]
+
+
+def test_windows_by_definition():
+    rng = random.Random(3)
+    parts = [license_scan.words(t) for t in ("a b c d a b e f", "c d e", "b c a")]
+    matcher = license_scan.Matcher([("A", " ".join(t)) for t in parts], 0.7)
+    for _ in range(300):
+        w = [rng.choice("abcdefxy") for _ in range(rng.randrange(2, 40))]
+        if rng.random() < 0.7:
+            w[5:5] = rng.choice(parts)
+        ranges = [(3, 5, 1.0)] if rng.random() < 0.3 else []
+        want = [(d, i, j) for t in parts for i in range(len(w)) for j in range(i + 2, len(w) + 1)
+                if not any(i < b and a < j for a, b, _ in ranges) and (d := dice_by_definition(w[i:j], t)) >= 0.7]
+        matches = {"A": list(ranges)}
+        got = [d for _, d in matcher.windows(w, matches)]
+        assert max(got, default=0) == pytest.approx(max(want, default=(0,))[0])
+        spans = sorted(m[:2] for m in matches["A"])
+        assert len(spans) == len(ranges) + len(got) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+        assert all(any(i < b and a < j for a, b in spans) for _, i, j in want)  # none is left
+
+
+def test_windows_of_other_licences():
+    matcher = license_scan.Matcher(license_scan.TEMPLATES, 0.8)
+    scan = lambda text: [(r["license"], r["unit"], r["units"]) for r in license_scan.scan_text(text, matcher)]
+    assert scan("It is licensed under CC BY-SA 4.0. Also licensed under CC BY-SA 4.0. And so on.") == [("CC-BY-SA-4.0", "window", 2)]
+    assert scan("Licensed under CC BY-SA 4.0. Licensed under CC BY 4.0. Both hold for what comes.") == [("CC-BY-4.0", "window", 1), ("CC-BY-SA-4.0", "window", 1)]
+    grant = license_scan._MIT_GRANT
+    assert scan(f"Of X, all rights reserved. {grant} Parts are licensed under the Apache License, Version 2.0.") == [
+        ("Apache-2.0", "window", 1), ("MIT", "text", 1), ("all-rights-reserved", "window", 1)]
+
+
 PAGES = "page_id long, url string, html string"
 
 
