@@ -5,7 +5,12 @@ words), weighted by log(1 + count) times inverse document frequency and scaled
 to length one. Each language has several centroids (spherical k-means over its
 labelled sample); a text gets the language of the centroid with the largest
 cosine. It is rejected if it has no letter, or if it lies further from that
-centroid than the language's rejection radius.
+centroid than the language's rejection radius for texts of its length.
+
+Different n-grams may share a slot, so the model also has the n-grams themselves
+that it was fitted on. All others count in a text's length, each on its own, and
+never in its product with a centroid. The radius is set from pieces of the
+sample's texts, a class of lengths at a time.
 
 Document frequencies count every labelled training row. Only the centroids are
 fitted on a sample, bounded by ``Params.per_language`` rows a language and
@@ -15,6 +20,7 @@ fitted on a sample, bounded by ``Params.per_language`` rows a language and
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -31,8 +37,9 @@ UNKNOWN = "und"
 class Params:
     """``least_share``: centroids with a smaller share of their language's sample
     are dropped; they stand for mislabelled rows. ``radius_margin``: a language
-    accepts texts whose cosine is at least this share of the lowest cosine in
-    its sample, mislabelled and one-word rows included."""
+    accepts texts whose cosine is at least this share of the cosine that all but
+    ``radius_quantile`` of its sample's pieces of that length class reach; rows
+    of dropped centroids do not count. ``longest`` is 4 at most."""
 
     dims: int = 1 << 13
     longest: int = 4
@@ -41,20 +48,67 @@ class Params:
     centroids: int = 4
     rounds: int = 12
     least_share: float = 0.1
-    radius_margin: float = 0.25
+    radius_margin: float = 0.4
+    radius_quantile: float = 0.05
     seed: int = 7
 
 
+_DIGIT = np.ones(256, np.uint32)  # of n-grams as numbers: gap, a-z, bytes of UTF-8
+_DIGIT[ord("a"):ord("z") + 1] = np.arange(2, 28)
+_DIGIT[0x80:0xF5] = np.arange(28, 28 + 0x75)
+_BASE = 28 + 0x75
+
+
+class Seen:
+    """A set of n-grams as numbers, exact. It travels as the sorted numbers; a
+    test looks up a bit (75 MB of address space, of which memory holds the
+    pages in use)."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.unique(keys).astype(np.uint32)
+
+    def __getstate__(self):
+        return {"keys": self.keys}
+
+    @cached_property
+    def _bits(self) -> np.ndarray:
+        bits = np.zeros((_BASE ** 4 >> 3) + 1, np.uint8)
+        np.bitwise_or.at(bits, self.keys >> 3, np.uint8(1) << (self.keys & 7).astype(np.uint8))
+        return bits
+
+    def test(self, keys: np.ndarray) -> np.ndarray:
+        return (self._bits[keys >> 3] >> (keys & 7).astype(np.uint8)) & 1 == 1
+
+
+# Texts of up to 16, 32, 64, ... different n-grams, the last class longer ones as
+# well. A word that is repeated is as short as the word.
+CLASSES = 11
+
+
+def length_class(grams: np.ndarray) -> np.ndarray:
+    return np.clip(np.ceil(np.log2(np.maximum(grams, 1))).astype(np.int64) - 4, 0, CLASSES - 1)
+
+
+def _merged(tallies: list) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys of (keys, times) pairs, and their times."""
+    if not tallies:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, at = np.unique(np.concatenate([k for k, _ in tallies]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([t for _, t in tallies]), len(keys)).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Model:
     """Fitted model; its size is dims * 4 bytes for each of at most
-    max_languages * centroids centroids."""
+    max_languages * centroids centroids, and 4 bytes an n-gram."""
 
     params: Params
     idf: np.ndarray  # dims
     centroids: np.ndarray  # rows x dims, unit length
     languages: list[str]  # of each row
-    floor: np.ndarray  # lowest accepted cosine of each row
+    floor: np.ndarray  # lowest accepted cosine of each row, per length class
+    seen: Seen  # n-grams that the centroids may count
+    new: float  # weight of any other
 
 
 _LETTER = np.zeros(256, dtype=np.uint8)
@@ -62,10 +116,13 @@ _LETTER[ord("a"):ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _LETTER[0x80:] = np.arange(0x80, 0x100)
 
 
-def counts(raw: np.ndarray, at: np.ndarray, params: Params) -> np.ndarray:
+def counts(raw: np.ndarray, at: np.ndarray, params: Params, seen: Seen | None = None, other: list | None = None) -> np.ndarray:
     """n-gram counts (rows x dims) of lower-cased UTF-8 texts laid end to end.
     Everything but a-z and non-ASCII bytes ends a word; n-grams of two or more
-    bytes may begin or end with one such gap, never hold two."""
+    bytes may begin or end with one such gap, never hold two.
+
+    ``other`` gets row << 32 | number of every n-gram that ``seen`` lacks
+    instead (no ``seen``: of every n-gram, which is counted as well), and times."""
     rows, dims = len(at) - 1, params.dims
     code = _LETTER[raw]
     # One gap byte after every text and a run of gaps as one.
@@ -79,6 +136,8 @@ def counts(raw: np.ndarray, at: np.ndarray, params: Params) -> np.ndarray:
     out = np.zeros(rows * dims, np.int64)
     h = np.zeros(len(line), np.uint32)
     shift = np.uint32(32 - (dims - 1).bit_length())
+    if other is not None:
+        digits, key, keys = _DIGIT[line], np.zeros(len(line), np.uint32), []
     for n in range(1, params.longest + 1):
         size = len(line) - n + 1
         if size <= 0:
@@ -88,12 +147,20 @@ def counts(raw: np.ndarray, at: np.ndarray, params: Params) -> np.ndarray:
         for j in range(1, n - 1):  # gaps only at either end
             ok &= line[j:j + size] != 0
         ok &= (line[:size] != 0) | (line[n - 1:] != 0)
+        if other is not None:
+            key = key[:size] * np.uint32(_BASE) + digits[n - 1:]
+            new = ok if seen is None else ok & ~seen.test(key)
+            keys.append(row[:size][new] << 32 | key[new])
+            if seen is not None:
+                ok &= ~new
         slot = ((h * np.uint32(0x9E3779B1)) >> shift).astype(np.int64)
         out += np.bincount(row[:size][ok] * dims + slot[ok], minlength=rows * dims)
+    if other is not None and keys:
+        other.append(np.unique(np.concatenate(keys), return_counts=True))
     return out.reshape(rows, dims)
 
 
-def long_counts(raw: np.ndarray, params: Params) -> np.ndarray:
+def long_counts(raw: np.ndarray, params: Params, seen: Seen | None = None, other: list | None = None) -> np.ndarray:
     """Counts of one long text, a piece at a time. Pieces meet in a gap that
     both hold, so no n-gram is lost or counted twice."""
     total, a = np.zeros((1, params.dims), np.int64), 0
@@ -102,26 +169,86 @@ def long_counts(raw: np.ndarray, params: Params) -> np.ndarray:
         if b < len(raw):
             gaps = np.flatnonzero(_LETTER[raw[a + 1:b]] == 0)
             b = a + 2 + int(gaps[-1]) if len(gaps) else b
-        total += counts(raw[a:b], np.array([0, b - a]), params)
+        total += counts(raw[a:b], np.array([0, b - a]), params, seen, other)
+        if other and len(other) > 8:
+            other[:] = [_merged(other)]
         a = b - 1 if b < len(raw) and _LETTER[raw[b - 1]] == 0 else b
     return total
 
 
-def vectors(texts: pa.Array, idf: np.ndarray | None, params: Params):
-    """Blocks of unit vectors (zero for a text without n-grams), in row order;
-    without ``idf`` the raw counts."""
+def _blocks(texts: pa.Array, params: Params, seen: Seen | None = None, other: list | None = None):
+    """Counts of blocks of texts, in row order; ``other`` is that of the block."""
     raw, at = flat(texts)
     for lo, hi in steps(at):
         for a in range(lo, hi, 128):
             b = min(a + 128, hi)
-            part = raw[at[a]:at[b]]
-            c = counts(part, at[a:b + 1] - at[a], params) if len(part) <= 2 * STEP_BYTES else long_counts(part, params)
-            if idf is None:
-                yield c
-            else:
-                x = np.log1p(c).astype(np.float32) * idf
-                size = np.sqrt((x * x).sum(axis=1, keepdims=True))
-                yield np.divide(x, size, out=np.zeros_like(x), where=size > 0)
+            part, ends = raw[at[a]:at[b]], at[a:b + 1] - at[a]
+            if other is not None:
+                other.clear()
+            yield counts(part, ends, params, seen, other) if len(part) <= 2 * STEP_BYTES else long_counts(part, params, seen, other)
+
+
+def vectors(texts: pa.Array, idf: np.ndarray | None, params: Params):
+    """Blocks of unit vectors (zero for a text without n-grams), in row order;
+    without ``idf`` the raw counts."""
+    for c in _blocks(texts, params):
+        if idf is None:
+            yield c
+        else:
+            x = np.log1p(c).astype(np.float32) * idf
+            size = np.sqrt((x * x).sum(axis=1, keepdims=True))
+            yield np.divide(x, size, out=np.zeros_like(x), where=size > 0)
+
+
+def cosines(texts: pa.Array, idf: np.ndarray, centroids: np.ndarray, seen: Seen, new: float, params: Params):
+    """Blocks of cosines with the centroids, and length classes, in row order.
+    N-grams not ``seen`` have slots of their own, where centroids are zero."""
+    other: list = []
+    for c in _blocks(texts, params, seen, other):
+        x = np.log1p(c).astype(np.float32) * idf
+        size = (x * x).sum(axis=1)
+        keys, times = _merged(other)
+        size += np.bincount(keys >> 32, (np.log1p(times) * new) ** 2, len(c)).astype(np.float32)
+        size = np.sqrt(size)[:, None]
+        sims = x @ centroids.T
+        yield np.divide(sims, size, out=np.zeros_like(sims), where=size > 0), length_class((c > 0).sum(axis=1) + np.bincount(keys >> 32, minlength=len(c)))
+
+
+def _pieces(texts: pa.Array) -> pa.Array:
+    """Of every text its beginnings of 4, 8, 16, ... letters or a little more (to
+    the end of the word, 64 bytes at most), as far as it goes, and the whole."""
+    raw, at = flat(texts)
+    out = []
+    for a, b in zip(at, at[1:]):
+        text = raw[a:b]
+        is_letter = _LETTER[text] != 0
+        letters = np.flatnonzero(is_letter)
+        for k in range(2, CLASSES + 2):
+            if len(letters) <= 1 << k:
+                break
+            end = int(letters[(1 << k) - 1]) + 1
+            gaps = np.flatnonzero(~is_letter[end:end + 64])
+            out.append(text[:end + (int(gaps[0]) if len(gaps) else 0)].tobytes())
+        out.append(text.tobytes())
+    return pa.array(out, pa.binary())
+
+
+def _floors(near: np.ndarray, classes: np.ndarray, params: Params) -> np.ndarray:
+    """Lowest accepted cosine of each length class; a class of fewer
+    than five pieces has that of the next shorter one with as many, or else of
+    the next longer."""
+    known = {}
+    for k in range(CLASSES):
+        got = near[classes == k]
+        if len(got) >= 5:
+            known[k] = float(np.quantile(got, params.radius_quantile))
+    if not known:
+        return np.full(CLASSES, params.radius_margin * (float(np.quantile(near, params.radius_quantile)) if len(near) else 0.0), np.float32)
+    out, last = [], known[min(known)]
+    for k in range(CLASSES):
+        last = known.get(k, last)
+        out.append(last)
+    return np.asarray(out, np.float32) * np.float32(params.radius_margin)
 
 
 def _frequencies(texts: DataFrame, params: Params) -> tuple[np.ndarray, int]:
@@ -169,16 +296,19 @@ def _lowered(column: str):
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", params: Params = Params()) -> Model:
     """Fit on the rows of ``df`` with a text that has a letter and a non-null
     language. No such rows: a model without centroids, which rejects all."""
+    if params.longest > 4:
+        raise ValueError("n-grams of more than 4 bytes")
     rows = df.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("raw"))
     frequency, n = _frequencies(rows.select(_lowered("raw").alias("t")), params)
     idf = (np.log((1 + n) / (1 + frequency)) + 1).astype(np.float32)
+    new = float(np.log(1 + n) + 1)
 
     # The sample: a seeded hash of the whole text picks some two rows of every
     # one wanted, then the first by that hash up to the bound.
     per = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.max_languages).collect()
     if not per:
-        return Model(params, idf, np.zeros((0, params.dims), np.float32), [], np.zeros(0, np.float32))
+        return Model(params, idf, np.zeros((0, params.dims), np.float32), [], np.zeros((0, CLASSES), np.float32), Seen(np.zeros(0, np.uint32)), new)
     rate = F.create_map(*(x for r in per for x in (F.lit(r["lang"]), F.lit(min(1.0, 2 * params.per_language / r["count"])))))
     h = F.xxhash64("raw", F.lit(params.seed))
     order = Window.partitionBy("lang").orderBy("h", "raw")
@@ -187,17 +317,28 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", params: P
               .select("lang", _lowered("raw").alias("t")))
 
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
-        x = np.concatenate(list(vectors(pa.array(frame["t"], pa.binary()), idf, params)))
+        texts = pa.array(frame["t"], pa.binary())
+        x = np.concatenate(list(vectors(texts, idf, params)))
         c, own = _kmeans(x, params.centroids, params.rounds, params.seed)
         held = np.bincount(own, minlength=len(c))
-        c = c[held >= min(held.max(), params.least_share * len(x))]
-        low = float((x @ c.T).max(axis=1).min())
-        return pd.DataFrame({"lang": frame["lang"].iloc[0], "c": [v.astype(np.float32) for v in c], "low": low})
-
-    got = (sample.groupBy("lang").applyInPandas(cluster, "lang string, c array<float>, low double").toPandas()
+        kept = held >= min(held.max(), params.least_share * len(x))
+        c, texts = c[kept].astype(np.float32), texts.filter(pa.array(kept[own]))
+        # N-grams of two texts at least: so a text is no witness of its own.
+        grams, other = [], []
+        for _ in _blocks(texts, params, None, other):
+            grams.append(_merged(other)[0] & 0xFFFFFFFF)
+        keys, times = np.unique(np.concatenate(grams), return_counts=True)
+        seen = Seen(keys[times >= min(2, len(texts))])
+        got = [(sims.max(axis=1), classes) for sims, classes in cosines(_pieces(texts), idf, c, seen, new, params)]
+        floor = _floors(np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]), params)
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "c": list(c), "floor": [floor] * len(c),
+                             "seen": [seen.keys.astype(np.int64) if i == 0 else None for i in range(len(c))]})
+
+    got = (sample.groupBy("lang").applyInPandas(cluster, "lang string, c array<float>, floor array<float>, seen array<long>").toPandas()
            .sort_values("lang", kind="stable").reset_index(drop=True))
-    return Model(params, idf, np.array([np.asarray(c, np.float32) for c in got["c"]], np.float32).reshape(-1, params.dims),
-                 list(got["lang"]), (got["low"].to_numpy() * params.radius_margin).astype(np.float32))
+    seen = Seen(np.concatenate([np.zeros(0, np.int64), *(np.asarray(k, np.int64) for k in got["seen"] if k is not None)]))
+    stack = lambda column, width: np.array([np.asarray(c, np.float32) for c in got[column]], np.float32).reshape(-1, width)
+    return Model(params, idf, stack("c", params.dims), list(got["lang"]), stack("floor", CLASSES), seen, new)
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score",
@@ -214,18 +355,14 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", lang_out: str =
     def judge(texts: pd.Series) -> pd.DataFrame:
         m = bc.value
         names, scores, far = [], [], []
-        for x in vectors(pa.array(texts, pa.binary()), m.idf, m.params):
-            if not m.languages:
-                names += [None] * len(x)
-                scores += [0.0] * len(x)
-                far += [True] * len(x)
-                continue
-            sims = x @ m.centroids.T
+        if not m.languages:
+            return pd.DataFrame({"lang": [None] * len(texts), "score": 0.0, "rejected": True})
+        for sims, classes in cosines(pa.array(texts, pa.binary()), m.idf, m.centroids, m.seen, m.new, m.params):
             best = np.argmax(sims, axis=1)
-            top = sims[np.arange(len(x)), best]
+            top = sims[np.arange(len(sims)), best]
             names += [m.languages[i] for i in best]
             scores += np.clip(top, 0, 1).astype(float).tolist()
-            far += (top < m.floor[best]).tolist()
+            far += ((top <= 0) | (top < m.floor[best, classes])).tolist()
         return pd.DataFrame({"lang": names, "score": scores, "rejected": far})
 
     readable = F.col(text_col).rlike(r"\p{L}")

@@ -40,6 +40,47 @@ def test_predictions(spark, model):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+POLISH = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem "
+
+
+def strange(spark, model):
+    rng = np.random.default_rng(5)
+    texts = {}
+    for name, lo, hi in (("kana", 0x3041, 0x3096), ("cyrillic", 0x430, 0x44F), ("hangul", 0xAC00, 0xD7A3), ("greek", 0x3B1, 0x3C9)):
+        for n in (40, 400, 2000, 50_000):
+            texts[name, n] = "".join(" " if x < 0.15 else chr(c) for x, c in zip(rng.random(n), rng.integers(lo, hi + 1, n)))
+    texts |= {("polish", n): POLISH * n for n in (1, 4, 500)}
+    got = li.predict(spark.createDataFrame(list(texts.values()), "string").toDF("text"), model).collect()
+    return {k: next(r.rejected for r in got if r.text == t) for k, t in texts.items()}
+
+
+def test_unknown_scripts_and_languages_are_rejected(spark, model):
+    assert all(strange(spark, model).values())
+
+
+def test_unknown_is_rejected_by_the_model_of_the_test_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = li.fit_on_training_rows(docs)
+    assert all(strange(spark, model).values())
+    # Words of known languages stay, also alone or repeated.
+    known = {w for r in docs.filter("lang = 'en'").select("text").limit(50).collect() for w in r.text.split() if w in ("the", "that", "with", "from", "this")}
+    rows = [(w,) for w in known] + [(" ".join([w] * 500),) for w in known]
+    assert rows and not any(r.rejected for r in li.predict(spark.createDataFrame(rows, "text string"), model).collect())
+
+
+def test_one_outlier_does_not_set_the_radius(spark):
+    rows = [(i, " ".join(SAMPLES["en"].split()[(i + k) % 18] for k in range(12)), "en", "s", 1) for i in range(80)]
+    outlier = (999, "ж", "en", "s", 1)
+    plain, mixed = (li.fit(spark.createDataFrame(r, SCHEMA)) for r in (rows, [*rows, outlier]))
+    assert mixed.floor.max() > 0.5 * plain.floor.max() > 0.1
+
+
+def test_seen_is_exact():
+    keys = np.unique(np.random.default_rng(1).integers(1, li._BASE ** 4, 5000)).astype(np.uint32)
+    seen = li.Seen(keys[::2])
+    assert seen.test(keys).tolist() == [i % 2 == 0 for i in range(len(keys))]
+
+
 def test_several_centroids_of_unit_length(model):
     assert np.allclose(np.linalg.norm(model.centroids, axis=1), 1, atol=1e-4)
     assert max(model.languages.count(x) for x in SAMPLES) > 1
