@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigspark.llm import (decontaminate, html_extract, language_id, license_scan, mixing, simhash, substring_dedup, token_counts, topk, warc)
+from sigspark.llm import (decontaminate, html_extract, language_id, license_scan, mixing, packing, periodic_runs, simhash, substring_dedup, token_counts,
+                          topk, warc)
 from sigspark.llm.common import land, ship, table
 from sigspark.session import scratch_root
 
@@ -86,6 +87,32 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    import public_tokenizers
+
+    tokens = packing.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(tokens).select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", F.col("n_tokens").alias("doc_tokens"), "sequence_id", "offset")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run of every document, one text in ten with a planted repeat."""
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(periodic_runs.plant_repeats(docs))
+    longest = F.array_sort("runs", lambda a, b: F.when(a["length"] != b["length"], F.when(a["length"] > b["length"], -1).otherwise(1))
+                           .when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1))
+                           .otherwise(F.when(a["period"] < b["period"], -1).when(a["period"] > b["period"], 1).otherwise(0)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.get(longest, F.lit(0))
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), "collapsed", lines.alias("_lines")).select(
+        "doc_id", "n_runs", "start", "length", "period", F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("_lines", lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,7 +120,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_decontamination, op3_html_extraction, op4_simhash, op5_warc, op6_topk, op7_token_counts, op8_substring_dedup, op9_mixing, op10_language_id, pipeline)}
+    op1_license_scan, op2_decontamination, op3_html_extraction, op4_simhash, op5_warc, op6_topk, op7_token_counts, op8_substring_dedup, op9_mixing, op10_language_id,
+    op12_packing, op13_periodic_runs, pipeline)}
 
 ORACLE = {}
 
