@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigspark.llm import (decontaminate, html_extract, language_id, license_scan, mixing, packing, periodic_runs, simhash, substring_dedup, token_counts,
+from sigspark.llm import (decontaminate, hard_negatives, html_extract, language_id, license_scan, mixing, packing, periodic_runs, simhash, substring_dedup, token_counts,
                           topk, warc)
 from sigspark.llm.common import land, ship, table
 from sigspark.session import scratch_root
@@ -87,6 +87,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row in seven has a wrong label."""
+    ship(spark)
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     import public_tokenizers
@@ -121,7 +129,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_decontamination, op3_html_extraction, op4_simhash, op5_warc, op6_topk, op7_token_counts, op8_substring_dedup, op9_mixing, op10_language_id,
-    op12_packing, op13_periodic_runs, pipeline)}
+    op11_hard_negatives, op12_packing, op13_periodic_runs, pipeline)}
 
 ORACLE = {}
 
@@ -183,6 +191,25 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """
 
+ORACLE["op11_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.x, c.x)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same) WHERE place <= 5
+), n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 ORACLE["op8_substring_dedup"] = r"""
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
