@@ -5,7 +5,7 @@ tail, is shorter than a window. The histogram of tail lengths (fewer numbers
 than a window has tokens, whatever the input's size) is all the plan needs:
 
 1. Shallow combinations of up to three tail lengths that fill a window exactly
-   are enumerated.
+   are enumerated (a frequent length may occur several times in one).
 2. Non-negative least squares solves how often to repeat each: the repeats
    should use up every length's count.
 3. The repeats are rounded up, most frequent first, as far as tails are left.
@@ -27,6 +27,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -46,11 +47,13 @@ CACHE_SEGMENTS = 400_000
 class Params:
     """``window``: a power of two. ``end_id`` closes every document.
     ``combinations``: columns of the least squares problem, at most, taken
-    evenly from all; what they leave over is residual. ``rounds`` of descent."""
+    evenly from all; what they leave over is residual. ``frequent``: lengths
+    that are also taken several times at once. ``rounds`` of descent."""
 
     window: int = 2048
     end_id: int = 1
     combinations: int = 60_000
+    frequent: int = 4
     rounds: int = 400
 
 
@@ -165,51 +168,62 @@ def tokenize(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
     return land(rows.mapInArrow(batches, schema), "tokens")
 
 
-def combinations(lengths: np.ndarray, params: Params) -> np.ndarray:
-    """Rows of up to three lengths (ascending, 0 for none) that fill a window:
-    all pairs, then triples taken evenly up to ``params.combinations``."""
-    window = params.window
+def combinations(counts: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths (rows of three, 0 for none) and how often each is taken, so that
+    they fill a window: all pairs, triples evenly up to ``params.combinations``,
+    and for the ``params.frequent`` lengths with most tokens several of them
+    with up to two others."""
+    window, lengths = params.window, np.flatnonzero(counts)
     held = np.zeros(window + 1, dtype=bool)
     held[lengths] = True
-    pairs = lengths[(lengths <= window - lengths) & held[window - lengths]]
-    pairs = np.stack([np.zeros_like(pairs), pairs, window - pairs], axis=1)
-    triples = []
-    for a in lengths[3 * lengths <= window].tolist():
-        b = lengths[(lengths >= a) & (2 * lengths <= window - a)]
-        b = b[held[window - a - b]]
-        triples.append(np.stack([np.full_like(b, a), b, window - a - b], axis=1))
+
+    def pairs(total: int, least: int = 1) -> np.ndarray:
+        a = lengths[(lengths >= least) & (2 * lengths <= total)]
+        a = a[held[total - a]]
+        return np.stack([a, total - a], axis=1)
+
+    def evenly(rows: np.ndarray, n: int) -> np.ndarray:
+        return rows[np.linspace(0, len(rows) - 1, n).astype(np.int64)] if len(rows) > n else rows
+
+    found = [(np.insert(pairs(window), 0, 0, axis=1), 1)]
+    for n in lengths[np.argsort(-(counts * np.arange(window))[lengths], kind="stable")][:params.frequent].tolist():
+        for k in evenly(np.arange(2, window // n + 1), 24).tolist():
+            rest = window - n * k
+            more = evenly(pairs(rest), 64)
+            one = [[0, rest]] if rest == 0 or held[rest] else []
+            found.append((np.insert(np.concatenate([more, np.array(one, np.int64).reshape(-1, 2)]), 0, n, axis=1), k))
+    triples = [np.insert(pairs(window - a, a), 0, a, axis=1) for a in lengths[3 * lengths <= window].tolist()]
     triples = np.concatenate(triples) if triples else np.zeros((0, 3), np.int64)
-    room = max(0, params.combinations - len(pairs))
-    if len(triples) > room:
-        triples = triples[np.linspace(0, len(triples) - 1, room).astype(np.int64)]
-    return np.concatenate([pairs, triples])
+    found.append((evenly(triples, max(0, params.combinations - sum(len(c) for c, _ in found))), 1))
+    columns = np.concatenate([c for c, _ in found])
+    times = np.ones_like(columns)
+    times[:, 0] = np.repeat([k for _, k in found], [len(c) for c, _ in found])
+    return columns, times
 
 
-def least_squares(columns: np.ndarray, counts: np.ndarray, rounds: int) -> np.ndarray:
+def least_squares(columns: np.ndarray, times: np.ndarray, counts: np.ndarray, rounds: int) -> np.ndarray:
     """x >= 0 that brings sum(x_c * uses of length l in c) near counts[l], long
     tails weighing more: projected gradient descent with momentum."""
-    weight = np.sqrt(np.arange(len(counts), dtype=np.float64) / max(1, len(counts) - 1))
-    weight[0] = 0.0
+    weight = np.arange(len(counts), dtype=np.float64) / max(1, len(counts) - 1)  # squared
 
     def uses(x):
-        return sum(np.bincount(columns[:, k], x, len(counts)) for k in range(columns.shape[1]))
+        return sum(np.bincount(columns[:, k], x * times[:, k], len(counts)) for k in range(columns.shape[1]))
 
     def back(r):
-        return sum(r[columns[:, k]] for k in range(columns.shape[1]))
+        return sum(r[columns[:, k]] * times[:, k] for k in range(columns.shape[1]))
 
-    square = weight * weight
     probe = np.ones(len(columns))
     for _ in range(30):  # the largest curvature, by power iteration
-        probe = back(square * uses(probe))
+        probe = back(weight * uses(probe))
         norm = np.linalg.norm(probe)
         if not norm:
             return np.zeros(len(columns))
         probe /= norm
-    step = 1.0 / (1.05 * np.linalg.norm(back(square * uses(probe))))
+    step = 1.0 / (1.05 * np.linalg.norm(back(weight * uses(probe))))
     x = look = np.zeros(len(columns))
     t = 1.0
     for _ in range(rounds):
-        new = np.maximum(0.0, look - step * back(square * (uses(look) - counts)))
+        new = np.maximum(0.0, look - step * back(weight * (uses(look) - counts)))
         t, before = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
         look = new + (before - 1) / t * (new - x)
         x = new
@@ -248,31 +262,30 @@ def plan_tails(counts: np.ndarray, params: Params = Params()) -> Plan:
     taken = np.zeros(window, np.int64)  # ranks of each length given away
     rows, whole = [], 0
 
-    def use(lengths: list[int], times: int) -> None:
+    def use(lengths: list[int], most: int | None = None) -> None:
         nonlocal whole
+        need = Counter(lengths)
+        now = min(int(left[n]) // k for n, k in need.items())
+        now = now if most is None else min(now, most)
+        if now <= 0:
+            return
         # Of a length that a combination holds twice, the first ranks go to its first place, the next to its second.
         offset = 0
         for n in lengths:
-            rows.append((n, int(taken[n]), int(taken[n]) + times, whole, offset))
-            taken[n] += times
-            left[n] -= times
+            rows.append((n, int(taken[n]), int(taken[n]) + now, whole, offset))
+            taken[n] += now
+            left[n] -= now
             offset += n
-        whole += times
-
-    def times(lengths: list[int]) -> int:
-        return min(int(left[n]) // lengths.count(n) for n in lengths)
+        whole += now
 
-    columns = combinations(np.flatnonzero(left), params)
+    columns, times = combinations(left, params)
     if len(columns):
-        repeats = least_squares(columns, left.astype(np.float64), params.rounds)
+        repeats = least_squares(columns, times, left.astype(np.float64), params.rounds)
         order = np.argsort(-repeats, kind="stable")
-        for c, wanted in zip(columns[order].tolist(), np.ceil(repeats[order] - 1e-6).astype(np.int64).tolist()):
+        for c, k, wanted in zip(columns[order].tolist(), times[order].tolist(), np.ceil(repeats[order] - 1e-6).astype(np.int64).tolist()):
             if wanted <= 0:
                 break
-            lengths = [n for n in c if n]
-            now = min(wanted, times(lengths))
-            if now > 0:
-                use(lengths, now)
+            use([n for n, times in zip(c, k) for _ in range(times) if n], wanted)
     # Greedy: the longest with the longest that still fit; kept where the window fills exactly.
     for n in range(window - 1, 0, -1):
         while left[n]:
@@ -288,7 +301,7 @@ def plan_tails(counts: np.ndarray, params: Params = Params()) -> Plan:
                 room -= m
             if room:
                 break
-            use(lengths, times(lengths))
+            use(lengths)
     powers = window.bit_length() - 1
     base = np.zeros((powers, window), np.int64)
     pieces_at, stream = np.zeros(powers, np.int64), 0

@@ -12,4 +12,4 @@ def test_matches_oracle(spark, sf_dir, duck, key):
 
 
 def test_one_query_per_operator():
-    assert sorted(k.split("_")[0] for k in QUERIES) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])
+    assert sorted(k.split("_")[0] for k in QUERIES) == sorted([*(f"op{n}" for n in range(1, 14)), "pipeline"])
