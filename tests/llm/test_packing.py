@@ -51,16 +51,23 @@ def packed(df, **kw):
 def test_encoder_gives_the_library_s_ids():
     texts = ["", " ", "  two  blanks ", "tab\t\tand\n\n line\r\n ends \n", "don't we'll  x", "nbsp\xa0\xa0 here 　wide 日本語 テキスト", "<|endoftext|> in text",
              "a <|endoftext|>", "\x1c\x1d odd \x0b\x0c blanks \x85   x", "x" * 3000, "ÀÉ 🙂🙂  🙂", "  \n", " lead", "12 345\n\n\n  6"]
+    texts += ["x" * 100_000, "a" + " " * 50_000 + "b", " \n" * 40_000, "日" * 30_000]
     encoder = P.Encoder(FILE)
-    for _ in range(2):  # the second time from the cache
-        assert [b"".join([e, np.array([1], "<u4").tobytes()]) for e in encoder.encode(texts)] == [x.tobytes() for x in library(texts)]
+    assert [encoder.encode(t) + b"\x01\0\0\0" for t in texts] == [x.tobytes() for x in library(texts)] and encoder._ranked
+
+
+def test_other_files_go_to_their_library():
+    tokenizer, encoder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), P.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    text = "Some  words, and MORE\n words"
+    assert encoder._ranked is None and encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def test_encoder_on_random_blanks():
     rng = np.random.default_rng(1)
     letters = list("ab1'.é日 \t\n\xa0 \x0b\x1c\x85s")
     texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(3000)]
-    assert [e + b"\x01\0\0\0" for e in P.Encoder(FILE).encode(texts)] == [x.tobytes() for x in library(texts)]
+    encoder = P.Encoder(FILE)
+    assert [encoder.encode(t) + b"\x01\0\0\0" for t in texts] == [x.tobytes() for x in library(texts)]
 
 
 @pytest.mark.parametrize("window", [2048, 64, 8])
