@@ -305,11 +305,13 @@ _BC = {
 }
 
 
+def _norm_name(c: str) -> str:
+    return f"' ' || trim(regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}-]+', ' ', 'g')) || ' '"
+
+
 def _papers(names: str, col: str) -> dict[str, str]:
     """Documents that hold a name as a run of whole words: both sides lower-cased, other characters as one blank."""
-    def norm(c: str) -> str:
-        return f"' ' || trim(regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}-]+', ' ', 'g')) || ' '"
-
+    norm = _norm_name
     return {"corpus": _CORPUS, "lit_names": names, "flat": f"select doc_id, {norm('text')} as t from corpus",
             "lit": f"""select n.{col}, count(f.doc_id) as papers from (select distinct {col} from lit_names) n
                        left join flat f on contains(f.t, {norm('n.' + col)}) group by n.{col}"""}
@@ -587,11 +589,17 @@ left join lit on lit.pert_iname = b.pert_iname""",
         "select * from (values " + ", ".join(f"({_lit(t)})" for t in LITERATURE_TERMS) + ") t(term)", "term")),
     "document_frequency": q("select w as token, count(*) as n_docs from tok group by w", corpus=_CORPUS, tok=_TOK),
     "literature_search": q(f"""
-select t.term as compound, count(p.doc_id) as publication_count,
+select n.term as compound, count(p.doc_id) as publication_count,
        coalesce(array_to_string(list_transform(list_slice(list_sort(list(p.doc_id) filter (where p.doc_id is not null)),
                                                           1, 10), lambda x: cast(x as varchar)), ','), '') as pmids,
        {_NOVELTY.replace('publication_count', 'count(p.doc_id)')} as status
-from bterms t left join tok p on p.w = t.term group by t.term""", **_BC),
+from names n left join (
+  select k.name, tok.doc_id from (select distinct trim(name) as w, name from names) k join tok on tok.w = k.w
+  union all
+  select k.name, f.doc_id from (select distinct name from names where contains(trim(name), ' ')) k join flat f on contains(f.t, k.name)
+) p on p.name = n.name group by n.term""", **_BC, **{k: v for k, v in _papers("select 1", "term").items() if k == "flat"},
+        names=f"select term, {_norm_name('term')} as name from (select term from bterms union select pert_iname from compound_metadata union "
+              "select * from (values " + ", ".join(f"({_lit(t)})" for t in LITERATURE_TERMS) + ") t(term))"),
     "research_maturity": q(f"select term, publication_count, {_maturity('publication_count')} as research_maturity from bc",
                            **_BC),
     "novelty_status": q(f"select term, publication_count, {_NOVELTY} as novelty_status from bc", **_BC),

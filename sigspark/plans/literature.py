@@ -5,9 +5,11 @@ compound. Here the corpus is a table of texts: a name's count is the number of
 distinct documents that contain its tokens one after the other. Tokens are
 runs of letters and digits of any script, lower-cased, with inner hyphens
 ("MG-132" is one token, "valproic acid" two). The corpus is tokenised once
-into a document-frequency table (the search index) that answers one-token
-names; longer names are matched as token sequences over the whole texts.
-Landed web pages are parsed with regular expressions instead of a DOM library.
+into a positional index: per token and document the places of the token, in
+order, and per token its number of documents. That number answers one-token
+names; for longer names the documents of the rarest token are looked up in the
+others' postings, and the name occurs where their places, each less the token's
+place in the name, have one in common. No text is read again. Landed web pages are parsed with regular expressions instead of a DOM library.
 """
 
 from __future__ import annotations
@@ -31,13 +33,53 @@ def document_tokens(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.explode(tokens("text")).alias("token"))
 
 
-def postings(documents: DataFrame) -> DataFrame:
-    """Inverted index: one ``(token, doc_id)`` per document and token.
+# The postings lie in so many folders by the hash of the token; a list of names reads those of its tokens.
+POSTING_BUCKETS = 32
+# Token lists up to this length are read first and pushed into the scan.
+SHORT_LIST = 1000
+
+
+def _bucket(token: Column) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(POSTING_BUCKETS)).cast("int")
 
-    Each document's tokens are made distinct in its row (``array_distinct``)
-    before the explode; nothing is shuffled. ``doc_id`` is the corpus's key.
-    """
-    return documents.select(F.explode(F.array_distinct(tokens("text"))).alias("token"), "doc_id")
+
+def postings(documents: DataFrame) -> DataFrame:
+    """Positional inverted index: one ``(token, doc_id, positions)`` per
+    document and token; the positions ascend, from 0. ``doc_id`` is the
+    corpus's key. A document's places of a token are put together in the task
+    that reads it, by sorting a batch's token numbers (Arrow); nothing is shuffled."""
+    def group(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            words = batch.column(1)
+            flat, size = words.flatten().dictionary_encode(), np.asarray(words.value_lengths())
+            row = np.repeat(np.arange(len(size)), size)
+            pos = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            key = row * max(1, len(flat.dictionary)) + flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.diff(key[order], prepend=-1))
+            at = pa.array(order[first])
+            yield pa.RecordBatch.from_arrays(
+                [flat.dictionary.take(flat.indices.take(at)), batch.column(0).take(pa.array(row[order[first]])),
+                 pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(pos[order], pa.int32()))],
+                names=["token", "doc_id", "positions"])
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return documents.select("doc_id", tokens("text").alias("words")).mapInArrow(group, f"token string, doc_id {kind}, positions array<int>")
+
+
+_postings_of = postings  # where a parameter has the name
+
+
+def write_postings(postings_df: DataFrame, path: str) -> None:
+    """Land postings in folders by token hash, by token and document within
+    their files; a folder's documents are dealt to several tasks, so that a
+    token that every document has is not one task's."""
+    deal = max(1, int(postings_df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // POSTING_BUCKETS)
+    (postings_df.withColumn("bucket", _bucket(F.col("token"))).repartition("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(deal)))
+     .sortWithinPartitions("bucket", "token", "doc_id").write.mode("overwrite").partitionBy("bucket").parquet(path))
 
 
 def document_frequency(postings_df: DataFrame) -> DataFrame:
@@ -49,28 +91,53 @@ def document_frequency(postings_df: DataFrame) -> DataFrame:
     return postings_df.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def phrase_counts(documents: DataFrame, names: DataFrame, postings: DataFrame | None = None) -> DataFrame:
-    """``(name_key, n_docs)`` for names of several tokens (``name_key``: their
-    tokens joined by a blank): distinct documents that contain the tokens one
-    after the other. Each document's token sequences of a name's length are
-    made distinct in its row and joined with the names, which Spark broadcasts
-    when their measured size allows; the lengths (a few small numbers) are
-    read first. With the ``postings``, only the texts that hold the first token
-    of some name are looked at."""
-    lengths = sorted(r[0] for r in names.select(F.size(F.split("name_key", " "))).distinct().collect())
-    if not lengths:
-        return names.select("name_key", F.lit(0).cast("long").alias("n_docs"))
-    if postings is not None:
-        first = names.select(F.substring_index("name_key", " ", 1).alias("token")).distinct()
-        documents = documents.join(postings.join(first, "token", "left_semi").select("doc_id").distinct(), "doc_id", "left_semi")
-    toks = documents.select(tokens("text").alias("__t"))
+def _narrow(tokens_df: DataFrame, *tables: DataFrame) -> list[DataFrame]:
+    """The tables with a token column, cut down to the folders and values of
+    ``tokens_df`` where these are few. A long list touches every folder."""
+    rows = tokens_df.select("token").distinct().limit(SHORT_LIST + 1).withColumn("bucket", _bucket(F.col("token"))).collect()
+    if len(rows) > SHORT_LIST:
+        return [t.drop("bucket") for t in tables]
+    folders, values = sorted({r["bucket"] for r in rows}), [r["token"] for r in rows]
+    return [(t.where(F.col("bucket").isin(folders)) if "bucket" in t.columns else t).where(F.col("token").isin(values)).drop("bucket") for t in tables]
+
 
-    def runs(n: int) -> Column:
-        starts = F.when(F.size("__t") >= n, F.sequence(F.lit(1), F.size("__t") - (n - 1)))
-        return F.coalesce(F.transform(starts, lambda i: F.array_join(F.slice("__t", i, n), " ")), F.array().cast("array<string>"))
+def _words(keyed: DataFrame) -> DataFrame:
+    return keyed.select(F.explode(F.split("name_key", " ")).alias("token"))
 
-    found = toks.select(F.explode(F.array_distinct(F.concat(*map(runs, lengths)))).alias("name_key"))
-    return found.join(names, "name_key", "left_semi").groupBy("name_key").agg(F.count(F.lit(1)).alias("n_docs"))
+
+def phrase_matches(postings_df: DataFrame, index: DataFrame, names: DataFrame) -> DataFrame:
+    """``(name_key, doc_id)``: the documents that contain a name's tokens one
+    after the other, for names of several tokens; ``name_key`` holds the tokens
+    joined by a blank.
+
+    A name is looked for in the documents of its rarest token only. Of a
+    document, the postings of the names' tokens come together, and the places
+    of each, less its place in the name, are intersected in that one row."""
+    parts = names.select("name_key").where(F.col("name_key").contains(" ")).distinct().select(
+        "name_key", F.size(F.split("name_key", " ")).alias("n"), F.posexplode(F.split("name_key", " ")).alias("place", "token"))
+    found = parts.join(index, "token").select("name_key", "n", F.struct("n_docs", "place", "token").alias("p"))
+    whole = found.groupBy("name_key", "n").agg(F.array_sort(F.collect_list("p")).alias("parts")).where(F.size("parts") == F.col("n"))
+    look = whole.select("name_key", "parts", F.posexplode("parts").alias("i", "p"))
+    wanted = look.groupBy(F.col("p.token").alias("token")).agg(
+        F.collect_list(F.when(F.col("i") == 0, F.struct("name_key", "parts"))).alias("names"))  # those whose rarest token it is
+    held = postings_df.join(wanted, "token")
+    docs = held.groupBy("doc_id").agg(F.collect_list(F.struct("token", "positions")).alias("held"), F.flatten(F.collect_list("names")).alias("names"))
+    docs = docs.where(F.size("names") > 0).select("doc_id", "names", F.map_from_entries("held").alias("held"))
+
+    def starts(part: Column) -> Column:
+        at = F.coalesce(F.element_at("held", part["token"]), F.array().cast("array<int>"))
+        return F.transform(at, lambda p: p - part["place"])
+
+    def occurs(name: Column) -> Column:
+        parts = name["parts"]
+        return F.size(F.aggregate(F.slice(parts, 2, F.size(parts)), starts(parts[0]), lambda a, part: F.array_intersect(a, starts(part)))) > 0
+
+    return docs.select("doc_id", F.explode(F.transform(F.filter("names", occurs), lambda n: n["name_key"])).alias("name_key"))
+
+
+def name_key(term: Column | str) -> Column:
+    """A name's tokens joined by a blank: names that are spelt alike but for case and punctuation share one."""
+    return F.array_join(tokens(term), " ")
 
 
 # F5
@@ -78,49 +145,57 @@ def literature_counts(index: DataFrame, terms: DataFrame, term_col: str = "term"
                       documents: DataFrame | None = None, postings: DataFrame | None = None) -> DataFrame:
     """Distinct documents mentioning each term (0 when none); every term row is
     kept. One-token terms are looked up in the document-frequency ``index``;
-    terms of several tokens are matched in ``documents``, without which they
-    are an error. A term without any token is in no document."""
-    keyed = terms.select(term_col).withColumn("name_key", F.array_join(tokens(term_col), " "))
+    terms of several tokens in the ``postings`` (made from the ``documents``
+    where only these are given), without which they are an error. A term
+    without any token is in no document."""
+    keyed = terms.select(term_col).withColumn("name_key", name_key(term_col))
     hits = index.select(F.col("token").alias("name_key"), F.col("n_docs").alias("__n"))
-    if documents is not None:
-        several = keyed.where(F.col("name_key").contains(" ")).select("name_key").distinct()
-        hits = hits.unionByName(phrase_counts(documents, several, postings).select("name_key", F.col("n_docs").alias("__n")))
+    if postings is None and documents is not None:
+        postings = _postings_of(documents)
+    several = F.col("name_key").contains(" ")
+    if postings is not None:
+        index, postings = _narrow(_words(keyed), index, postings)
+        hits = index.select(F.col("token").alias("name_key"), F.col("n_docs").alias("__n"))
+        phrases = phrase_matches(postings, index, keyed)
+        hits = hits.unionByName(phrases.groupBy("name_key").agg(F.count(F.lit(1)).alias("__n")))
     else:
-        several = F.col("name_key").contains(" ")
         keyed = keyed.withColumn("name_key", F.when(~several, F.col("name_key")).otherwise(
             F.raise_error(F.concat(F.lit("a term of several tokens needs the documents: "), F.col("name_key")))))
     return (keyed.join(hits, "name_key", "left")
             .select(term_col, F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_col)))
 
 
-def compound_literature(index: DataFrame, compounds: DataFrame, documents: DataFrame, postings: DataFrame | None = None) -> DataFrame:
+def compound_literature(index: DataFrame, compounds: DataFrame, postings: DataFrame) -> DataFrame:
     """F5 for compound names: ``pert_iname, pubmed_papers, research_maturity``."""
     names = compounds.select("pert_iname").distinct()
-    return (literature_counts(index, names, "pert_iname", "pubmed_papers", documents, postings)
+    return (literature_counts(index, names, "pert_iname", "pubmed_papers", postings=postings)
             .withColumn("research_maturity", research_maturity("pubmed_papers")))
 
 
 def literature_search(postings_df: DataFrame, index: DataFrame, terms: DataFrame, term_col: str = "compound",
                       max_results: int = 10) -> DataFrame:
-    """The search result per term: total count, the first ``max_results``
-    document ids (ascending, comma-joined as in the report CSV) and the
-    novelty status.
+    """The search result per distinct term: total count, the first
+    ``max_results`` document ids (ascending, comma-joined as in the report CSV)
+    and the novelty status. Terms are matched like those of
+    ``literature_counts``: by their tokens, so ``MG-132`` finds ``mg-132``.
 
     The id list is a top-k per term (``row_number() <= k``, limited per map
     task before the shuffle), so a term found in every document still sends
-    only k ids per task; the count is the real total from the index.
+    only k ids per task; the count is the real total.
     """
-    t = terms.select(F.col(term_col).alias("token")).distinct()
-    w = Window.partitionBy("token").orderBy("doc_id")
-    first = (postings_df.join(t, "token", "left_semi").withColumn("__rn", F.row_number().over(w))
-             .where(F.col("__rn") <= max_results)
-             .groupBy("token").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")),
-                                                            lambda x: x.cast("string")), ",").alias("pmids")))
-    counts = literature_counts(index, t.withColumnRenamed("token", "term"), "term", "publication_count") \
-        .withColumnRenamed("term", "token")
-    return (counts.join(first, "token", "left")
-            .select(F.col("token").alias(term_col), "publication_count",
-                    F.coalesce(F.col("pmids"), F.lit("")).alias("pmids"),
+    keyed = terms.select(term_col).distinct().withColumn("name_key", name_key(term_col))
+    index, postings_df = _narrow(_words(keyed), index, postings_df)
+    phrases = phrase_matches(postings_df, index, keyed)
+    words = keyed.where(~F.col("name_key").contains(" ")).select(F.col("name_key").alias("token")).distinct()
+    matches = postings_df.join(words, "token").select("doc_id", F.col("token").alias("name_key")).unionByName(phrases)
+    w = Window.partitionBy("name_key").orderBy("doc_id")
+    first = (matches.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= max_results)
+             .groupBy("name_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",").alias("pmids")))
+    hits = index.select(F.col("token").alias("name_key"), "n_docs").unionByName(
+        phrases.groupBy("name_key").agg(F.count(F.lit(1)).alias("n_docs")))
+    return (keyed.join(hits, "name_key", "left").join(first, "name_key", "left")
+            .withColumn("publication_count", F.coalesce("n_docs", F.lit(0)).cast("long"))
+            .select(term_col, "publication_count", F.coalesce(F.col("pmids"), F.lit("")).alias("pmids"),
                     novelty_status("publication_count").alias("status")))
 
 

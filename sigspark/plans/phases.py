@@ -76,15 +76,15 @@ def answer(spark: SparkSession, cm: DataFrame, gs: DataFrame, root: str, referen
     return {**out, **{name: spark.read.option("header", True).csv(path) for name, path in paths.items()}}
 
 
-def review(cm: DataFrame, leads: DataFrame, index: DataFrame, documents: DataFrame, root: str,
-           reference: str = config.REFERENCE_COMPOUND, postings: DataFrame | None = None) -> Outputs:
+def review(cm: DataFrame, leads: DataFrame, index: DataFrame, postings: DataFrame, root: str,
+           reference: str = config.REFERENCE_COMPOUND) -> Outputs:
     """K4: literature counts of the leads and the reference compound, the
     executive report and the novelty report."""
     from pyspark.sql import functions as F
 
     benchmark = cm.where(F.col("pert_iname") == reference).select("pert_iname", "moa")
     rows = Lit.leads_with_benchmark(leads, benchmark)
-    papers = _saved({"literature": Lit.compound_literature(index, rows.select("pert_iname"), documents, postings)}, root)["literature"]
+    papers = _saved({"literature": Lit.compound_literature(index, rows.select("pert_iname"), postings)}, root)["literature"]
     counts = papers.select("pert_iname", F.col("pubmed_papers").alias("publication_count"))
     return _saved({"executive_report": Lit.executive_report(rows, papers), "novelty_report": Lit.novelty_report(counts)}, root)
 
@@ -95,8 +95,8 @@ def profile(cm: DataFrame, gs: DataFrame, root: str, use_ml: bool = True) -> Out
     return {"features": features, **_saved({"profile_report": H.profile_report(H.classify_clinical_profiles(features, use_ml))}, root)}
 
 
-def full_run(spark: SparkSession, inputs: Outputs, paths: Sequence[str], index: DataFrame, documents: DataFrame, root: str,
-             reference: str, markers: Sequence[str], postings: DataFrame | None = None) -> DataFrame:
+def full_run(spark: SparkSession, inputs: Outputs, paths: Sequence[str], index: DataFrame, postings: DataFrame, root: str,
+             reference: str, markers: Sequence[str]) -> DataFrame:
     """K6: all phases in order; rows (phase, output, rows, status).
 
     A phase that fails is reported and the phases that need it are not run;
@@ -123,6 +123,6 @@ def full_run(spark: SparkSession, inputs: Outputs, paths: Sequence[str], index:
     run("phase2_store", tables, lambda: store(spark, *cm_gs(), f"{root}/phase2"))
     run("phase3_questions", tables, lambda: answer(spark, *cm_gs(), f"{root}/phase3", reference, markers))
     run("phase4_literature", ("compound_metadata", "precision_leads"),
-        lambda: review(done["compound_metadata"], done["precision_leads"], index, documents, f"{root}/phase4", reference, postings))
+        lambda: review(done["compound_metadata"], done["precision_leads"], index, postings, f"{root}/phase4", reference))
     run("phase5_profiles", tables, lambda: profile(*cm_gs(), f"{root}/phase5"))
     return literal_rows(spark, rows, SUMMARY_SCHEMA)

@@ -277,20 +277,21 @@ def _benchmark_terms(spark, sf_dir):
 def _literature_search(spark, sf_dir):
     c = corpus_tables(spark, sf_dir)
     bench = raw_table(spark, sf_dir, "benchmark")
-    terms = Lit.document_tokens(bench.withColumnRenamed("item_id", "doc_id")).select(
-        F.col("token").alias("compound")).distinct()
+    words = Lit.document_tokens(bench.withColumnRenamed("item_id", "doc_id")).select(F.col("token").alias("compound"))
+    names = _cg(spark, sf_dir)[0].select(F.col("pert_iname").alias("compound"))
+    terms = words.union(names).union(literal_rows(spark, [(t,) for t in LITERATURE_TERMS], "compound string"))
     return Lit.literature_search(c["postings"], c["document_frequency"], terms)
 
 
 def _lit_terms(spark, sf_dir):
     terms = literal_rows(spark, [(t,) for t in LITERATURE_TERMS], "term string")
     c = corpus_tables(spark, sf_dir)
-    return Lit.literature_counts(c["document_frequency"], terms, documents=c["texts"], postings=c["postings"])
+    return Lit.literature_counts(c["document_frequency"], terms, postings=c["postings"])
 
 
 def _papers(spark, sf_dir, compounds):
     c = corpus_tables(spark, sf_dir)
-    return Lit.compound_literature(c["document_frequency"], compounds, c["texts"], c["postings"])
+    return Lit.compound_literature(c["document_frequency"], compounds, c["postings"])
 
 
 def _leads_with_benchmark(spark, sf_dir):
@@ -342,7 +343,7 @@ def _profile_eval(spark, sf_dir):
 def _scorecard(spark, sf_dir):
     t, c = _tables(spark, sf_dir), corpus_tables(spark, sf_dir)
     return SC.lead_scorecard(t["compound_metadata"], t["genetic_signatures"], t["sig_info"],
-                             c["document_frequency"], c["texts"], _disease(spark), postings=c["postings"])
+                             c["document_frequency"], c["postings"], _disease(spark))
 
 
 def _batch_map(spark, sf_dir):
@@ -376,8 +377,8 @@ def _build_compound_metadata(spark, sf_dir):
 def _pipeline_summary(spark, sf_dir):
     t, c = _tables(spark, sf_dir), corpus_tables(spark, sf_dir)
     paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("lineitem", "part", "supplier", "documents")]
-    return full_run(spark, {k: t[k] for k in INPUT_TABLES}, paths, c["document_frequency"], c["texts"],
-                    _fresh_dir(spark, "full-run"), REFERENCE_COMPOUND, MARKER_GENES, c["postings"])
+    return full_run(spark, {k: t[k] for k in INPUT_TABLES}, paths, c["document_frequency"], c["postings"],
+                    _fresh_dir(spark, "full-run"), REFERENCE_COMPOUND, MARKER_GENES)
 
 
 def _t(name):

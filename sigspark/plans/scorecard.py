@@ -14,11 +14,10 @@ CRITERIA = ("high_potency", "high_specificity", "moa_clarity", "limited_extreme"
             "stable_over_time", "novel_literature")
 
 
-def lead_scorecard(cm: DataFrame, gs: DataFrame, sig_info: DataFrame, corpus_index: DataFrame, documents: DataFrame,
+def lead_scorecard(cm: DataFrame, gs: DataFrame, sig_info: DataFrame, corpus_index: DataFrame, postings: DataFrame,
                    disease: DataFrame, min_potency: float = config.MIN_POTENCY, max_genes: int = config.MAX_AFFECTED_GENES,
                    extreme: float = config.EXTREME_Z, max_extreme_genes: int = config.RISK_MAX_EXTREME_GENES,
-                   shift: int = config.CASCADE_DELTA, novelty: int = config.NOVELTY_THRESHOLD,
-                   postings: DataFrame | None = None) -> DataFrame:
+                   shift: int = config.CASCADE_DELTA, novelty: int = config.NOVELTY_THRESHOLD) -> DataFrame:
     """One row per compound with the seven booleans and how many hold.
 
     Every input is per-compound (aggregates, a reversal list, the time
@@ -31,7 +30,7 @@ def lead_scorecard(cm: DataFrame, gs: DataFrame, sig_info: DataFrame, corpus_ind
     base = per.join(cm.select("pert_iname", "moa"), "pert_iname", "inner")
     reversed_ = reversal_general(cm, gs, disease).select("pert_iname", F.lit(True).alias("__rev"))
     pivot = time_pivot_delta(time_metrics(gs, sig_info)).select("pert_iname", "Gene_Delta")
-    papers = compound_literature(corpus_index, cm.select("pert_iname"), documents, postings).select("pert_iname", "pubmed_papers")
+    papers = compound_literature(corpus_index, cm.select("pert_iname"), postings).select("pert_iname", "pubmed_papers")
     moa = F.col("moa")
     known_moa = moa.isNotNull() & (moa != "") & (moa != "None")
     out = (base.join(reversed_, "pert_iname", "left").join(pivot, "pert_iname", "left")

@@ -28,7 +28,7 @@ from sigspark.functions.literals import literal_rows
 from sigspark.operators import joins, reshape
 from sigspark.plans import jobs, literature
 from sigspark.plans.jobs import build_signatures
-from sigspark.plans.literature import document_frequency, postings
+from sigspark.plans.literature import document_frequency, postings, write_postings
 from sigspark.session import scratch_root
 from sigspark.sources import binding
 from sigspark.sources.binding import bind_inputs, corpus
@@ -187,13 +187,13 @@ def _corpus_root(spark: SparkSession, sf_dir: str, rebuild: bool) -> str:
     return f"{root}-fresh-{uuid.uuid4().hex[:12]}" if rebuild else root
 
 
-CORPUS_TABLES = ("texts", "postings", "document_frequency")
+CORPUS_TABLES = ("postings", "document_frequency")
 
 
 def corpus_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> dict[str, DataFrame]:
-    """The landed literature corpus ``texts(doc_id, text)`` and its inverted
-    index: ``postings(token, doc_id)`` and ``document_frequency(token, n_docs)``;
-    built once per corpus."""
+    """The landed positional index of the literature corpus: ``postings(token,
+    doc_id, positions)`` in folders by token hash, and
+    ``document_frequency(token, n_docs)``; built once per corpus."""
     sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, sf_dir, "corpus")
     if not rebuild and key in _cache:
@@ -203,9 +203,7 @@ def corpus_tables(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> di
     if paths is None:
         attempt = uuid.uuid4().hex[:12]
         paths = {t: f"{root}/{attempt}/{t}" for t in CORPUS_TABLES}
-        corpus(spark, sf_dir).write.mode("overwrite").parquet(paths["texts"])
-        postings(spark.read.parquet(paths["texts"])).sortWithinPartitions("token", "doc_id") \
-            .write.mode("overwrite").parquet(paths["postings"])
+        write_postings(postings(corpus(spark, sf_dir)), paths["postings"])
         document_frequency(spark.read.parquet(paths["postings"])).sortWithinPartitions("token") \
             .write.mode("overwrite").parquet(paths["document_frequency"])
         _publish(spark, root, attempt, paths)

@@ -40,6 +40,42 @@ def test_names_with_digits_hyphens_blanks_and_accents(spark):
         Lit.literature_counts(index, terms).collect()
 
 
+def test_phrases_by_positions_match_brute_force(spark, scratch):
+    import random
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["a", "b", "c", "the", "the", "D-1"]) for _ in range(rng.randint(0, 30))) for _ in range(200)] + [None, "", "the " * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = [" ".join(rng.choice(["A", "b", "c", "the", "d-1", "zz"]) for _ in range(rng.randint(1, 4))) for _ in range(80)] + ["the the the", "a  (b)", "", "#"]
+    Lit.write_postings(Lit.postings(docs), f"{scratch}/postings")
+    landed = spark.read.parquet(f"{scratch}/postings")
+    assert "bucket" in landed.columns
+    index = Lit.document_frequency(landed)
+    terms = spark.createDataFrame([(n,) for n in names], "term string")
+
+    def ids(name):
+        key = " ".join(name.lower().replace("(", " ").replace(")", " ").replace("#", " ").split())
+        return [i for i, t in enumerate(texts) if key and f" {key} " in f" {' '.join((t or '').lower().split())} "]
+
+    for short in (Lit.SHORT_LIST, 0):
+        Lit.SHORT_LIST, before = short, Lit.SHORT_LIST
+        try:
+            got = {r.term: r.n_docs for r in Lit.literature_counts(index, terms, postings=landed).collect()}
+            found = {r.term: (r.publication_count, r.pmids) for r in Lit.literature_search(landed, index, terms, "term").collect()}
+        finally:
+            Lit.SHORT_LIST = before
+        assert got == {n: len(ids(n)) for n in names}
+        assert found == {n: (len(ids(n)), ",".join(map(str, ids(n)[:10]))) for n in names}
+
+
+def test_search_finds_names_whatever_their_case(spark):
+    docs = spark.createDataFrame([(1, "Both MG-132 and valproic acid"), (2, "mg-132; acid valproic")], "doc_id long, text string")
+    index = Lit.document_frequency(Lit.postings(docs))
+    terms = spark.createDataFrame([("MG-132",), ("mg-132",), ("Valproic Acid",), ("none such",)], "compound string")
+    got = {r.compound: (r.publication_count, r.pmids) for r in Lit.literature_search(Lit.postings(docs), index, terms).collect()}
+    assert got == {"MG-132": (2, "1,2"), "mg-132": (2, "1,2"), "Valproic Acid": (1, "1"), "none such": (0, "")}
+
+
 def test_reports_hold_real_counts(spark, sf_dir):
     papers = [r.pubmed_papers for r in QUERIES["executive_report"](spark, sf_dir).collect()]
     assert any(papers)
