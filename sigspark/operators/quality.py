@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sigspark import config
 from sigspark.errors import ValidationError, require_columns
 from sigspark.operators.joins import orphaned_signatures
-from sigspark.operators.reshape import coerce_numeric
+from sigspark.operators.reshape import coerce_numeric, nan_as_null, number
 from sigspark.operators.stats import exact_quantiles, moments, with_scalars
 
 
@@ -77,7 +77,8 @@ def integrity_report(cm: DataFrame, gs: DataFrame) -> DataFrame:
 
 # D4
 def null_profile(df: DataFrame) -> DataFrame:
-    """Per column: null count and null % (2 decimals)."""
+    """Per column: null count and null % (2 decimals); NaN counts as null."""
+    df = nan_as_null(df)
     n = F.count(F.lit(1))
     wide = df.agg(_nonempty(n, "input frame").alias("__rows"),
                   *[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in df.columns])
@@ -95,7 +96,8 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 def quality_report(df: DataFrame, max_null_share: float = config.MAX_NULL_SHARE,
                    max_duplicate_share: float = config.MAX_DUPLICATE_SHARE) -> DataFrame:
-    """One row: shape, total nulls, duplicates and the two warning flags."""
+    """One row: shape, total nulls (NaN among them), duplicates and the two warning flags."""
+    df = nan_as_null(df)
     nulls = df.agg(_nonempty(F.count(F.lit(1)), "input frame").alias("n_rows"),
                    *[F.sum(F.col(c).isNull().cast("long")).alias(f"__null_{i}") for i, c in enumerate(df.columns)])
     null_cols = [F.col(f"__null_{i}") for i in range(len(df.columns))]
@@ -117,6 +119,7 @@ def quality_gates(expression: DataFrame, cm: DataFrame, gs: DataFrame, key_colum
                   mean_tolerance: float = 0.5, sd_range: tuple[float, float] = (0.5, 2.0)) -> DataFrame:
     """Documented gates as booleans over D3/D4/D7 metrics (one row)."""
     require_columns(expression, key_columns, "gate input")
+    expression = nan_as_null(expression)
     n = F.count(F.lit(1))
     stats = expression.agg(
         n.alias("__n"), F.avg("z_score").alias("z_mean"), F.stddev_samp("z_score").alias("z_sd"),
@@ -139,6 +142,7 @@ def quality_gates(expression: DataFrame, cm: DataFrame, gs: DataFrame, key_colum
 # D6
 def data_summary(df: DataFrame) -> DataFrame:
     """One row: rows, columns, total nulls, null %, duplicates, and type counts."""
+    df = nan_as_null(df)
     types: dict[str, int] = {}
     for _, t in df.dtypes:
         types[t] = types.get(t, 0) + 1
@@ -199,7 +203,7 @@ def outliers_iqr(df: DataFrame, column: str, threshold: float = config.OUTLIER_T
     require_columns(df, [column], "outlier input")
     out = with_scalars(df, _quartiles(df, column, approx))
     iqr = F.col("__q3") - F.col("__q1")
-    x = F.col(column)
+    x = number(df, column)
     flag = (x < F.col("__q1") - F.lit(threshold) * iqr) | (x > F.col("__q3") + F.lit(threshold) * iqr)
     return out.withColumn("is_outlier", F.coalesce(flag, F.lit(False))).drop("__q1", "__med", "__q3")
 
@@ -208,8 +212,9 @@ def outliers_iqr(df: DataFrame, column: str, threshold: float = config.OUTLIER_T
 def outliers_zscore(df: DataFrame, column: str, threshold: float = config.OUTLIER_THRESHOLD) -> DataFrame:
     """Flag ``|x - mean| / population std > threshold``; a zero std flags nothing."""
     require_columns(df, [column], "outlier input")
-    stats = df.agg(F.avg(column).alias("__mean"), F.stddev_pop(column).alias("__sd"))
-    z = F.try_divide(F.abs(F.col(column) - F.col("__mean")), F.col("__sd"))
+    x = number(df, column)
+    stats = df.agg(F.avg(x).alias("__mean"), F.stddev_pop(x).alias("__sd"))
+    z = F.try_divide(F.abs(x - F.col("__mean")), F.col("__sd"))
     flag = F.coalesce(F.when(F.col("__sd") > 0, z > F.lit(threshold)), F.lit(False))
     return with_scalars(df, stats).withColumn("is_outlier", flag).drop("__mean", "__sd")
 
@@ -221,12 +226,12 @@ def normalize(df: DataFrame, column: str = "z_score", method: str = "standard",
     A zero denominator gives null (numpy gives NaN/inf).
     """
     require_columns(df, [column], "normalisation input")
-    x = F.col(column)
+    x = number(df, column)
     if method == "standard":
-        stats = df.agg(F.avg(column).alias("__a"), F.stddev_pop(column).alias("__b"))
+        stats = df.agg(F.avg(x).alias("__a"), F.stddev_pop(x).alias("__b"))
         value = F.try_divide(x - F.col("__a"), F.col("__b"))
     elif method == "minmax":
-        stats = df.agg(F.min(column).alias("__a"), F.max(column).alias("__m"))
+        stats = df.agg(F.min(x).alias("__a"), F.max(x).alias("__m"))
         value = F.try_divide(x - F.col("__a"), F.col("__m") - F.col("__a"))
     elif method == "robust":
         stats = _quartiles(df, column, approx)
@@ -240,7 +245,7 @@ def normalize(df: DataFrame, column: str = "z_score", method: str = "standard",
 
 # D16
 def share_of_total(df: DataFrame, column: str, name: str = "share_pct") -> DataFrame:
-    total = df.agg(F.sum(column).alias("__total"))
+    total = df.agg(F.sum(number(df, column)).alias("__total"))
     return (with_scalars(df, total)
             .withColumn(name, _r(F.try_divide(F.col(column) * 100.0, F.col("__total")))).drop("__total"))
 
@@ -257,5 +262,5 @@ def validate_frame(df: DataFrame, required_columns: Sequence[str] = (), min_rows
 # D18
 def consensus_signature(df: DataFrame) -> DataFrame:
     """One mean Z per (compound, gene) over replicate signatures."""
-    return df.groupBy("pert_iname", "pr_gene_symbol").agg(_r(F.avg("z_score")).alias("mean_z"),
+    return df.groupBy("pert_iname", "pr_gene_symbol").agg(_r(F.avg(number(df, "z_score"))).alias("mean_z"),
                                                          F.count(F.lit(1)).alias("n_replicates"))

@@ -69,6 +69,21 @@ def present(df: DataFrame, column: str) -> Column:
     return there & ~F.isnan(column) if floating else there
 
 
+def number(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null: aggregates pass over it and comparisons are not true."""
+    floating = df.schema[column].dataType.typeName() in ("double", "float")
+    return F.nullif(F.col(column), F.lit(float("nan"))) if floating else F.col(column)
+
+
+def nan_as_null(df: DataFrame) -> DataFrame:
+    return df.select(*[number(df, c).alias(c) for c in df.columns])
+
+
+def z_above(threshold: float, column: str = "z_score") -> Column:
+    """``z > t`` in a form that Parquet scans can use; false for NaN, which Spark orders above every number."""
+    return (F.col(column) > F.lit(float(threshold))) & ~F.isnan(column)
+
+
 def filter_by_z_score(df: DataFrame, column: str = "z_score", threshold: float = config.Z_THRESHOLD) -> DataFrame:
     """Keep ``abs(z) >= threshold``; a null or NaN Z is dropped.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sigspark import config
 from sigspark.operators.joins import build_compound_metadata, combine_metadata
-from sigspark.operators.reshape import filter_by_z_score, landmark_genes, significance_flag, target_signatures
+from sigspark.operators.reshape import filter_by_z_score, landmark_genes, present, significance_flag, target_signatures
 
 
 @dataclass
@@ -33,7 +33,7 @@ def expression_table(gene_info: DataFrame, sig_info: DataFrame, matrix_long: Dat
     genes = landmark_genes(gene_info).select(F.col("pr_gene_id").alias("gene_id"), "pr_gene_symbol")
     sigs = (target_signatures(sig_info).where(F.col("pert_type") == config.TREATMENT_TYPE)
             .select("sig_id", "pert_iname"))
-    cells = matrix_long.where(F.col("z_score").isNotNull())
+    cells = matrix_long.where(present(matrix_long, "z_score"))
     named = cells.join(genes, "gene_id", "inner").join(sigs, "sig_id", "inner")
     return named.select("pert_iname", "sig_id", "pr_gene_symbol", "z_score")
 

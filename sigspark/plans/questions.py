@@ -29,7 +29,7 @@ from sigspark import config
 from sigspark.functions.columns import compound_category, gene_function
 from sigspark.functions.literals import literal_rows
 from sigspark.operators.joins import fact_dim_join
-from sigspark.operators.reshape import z_beyond
+from sigspark.operators.reshape import number, z_above, z_beyond
 from sigspark.operators.stats import exact_quantiles, with_scalars
 
 
@@ -54,7 +54,8 @@ def _with_metadata(per_compound: DataFrame, cm: DataFrame, cols: Sequence[str])
 
 # E0a
 def strongest_hits(cm: DataFrame, gs: DataFrame, n: int = 5) -> DataFrame:
-    j = fact_dim_join(cm.select("pert_iname", "moa"), gs.select("pert_iname", "sig_id", "pr_gene_symbol", "z_score"))
+    rows = gs.select("pert_iname", "sig_id", "pr_gene_symbol", number(gs, "z_score").alias("z_score"))
+    j = fact_dim_join(cm.select("pert_iname", "moa"), rows)
     return (j.orderBy(F.col("z_score").desc(), "pert_iname", "pr_gene_symbol", "sig_id").limit(n)
             .select("pert_iname", "moa", "pr_gene_symbol", "z_score"))
 
@@ -62,7 +63,7 @@ def strongest_hits(cm: DataFrame, gs: DataFrame, n: int = 5) -> DataFrame:
 # E0b
 def single_target_up(cm: DataFrame, gs: DataFrame, gene: str = config.SINGLE_TARGET_GENE, threshold: float = config.Z_THRESHOLD,
                      n: int = 10) -> DataFrame:
-    rows = gs.where((F.col("pr_gene_symbol") == gene) & (F.col("z_score") > F.lit(float(threshold))))
+    rows = gs.where((F.col("pr_gene_symbol") == gene) & z_above(threshold))
     j = rows.join(cm.select("pert_iname"), "pert_iname", "left_semi")
     return j.orderBy(F.col("z_score").desc(), "pert_iname", "sig_id").limit(n).select("pert_iname", "z_score")
 
@@ -70,7 +71,7 @@ def single_target_up(cm: DataFrame, gs: DataFrame, gene: str = config.SINGLE_TAR
 # E1
 def reversal_signature(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = config.REVERSAL_GENES,
                        threshold: float = config.Z_THRESHOLD, n: int = 10) -> DataFrame:
-    rows = gs.where(F.col("pr_gene_symbol").isin(list(genes)) & (F.col("z_score") > F.lit(float(threshold))))
+    rows = gs.where(F.col("pr_gene_symbol").isin(list(genes)) & z_above(threshold))
     per = (rows.groupBy("pert_iname")
            .agg(F.avg("z_score").alias("avg_impact"), F.countDistinct("pr_gene_symbol").alias("_genes"))
            .where(F.col("_genes") == len(set(genes))))
@@ -91,7 +92,7 @@ def reversal_general(cm: DataFrame, gs: DataFrame, disease: DataFrame,
     d = disease.select("pr_gene_symbol", F.col("direction").cast("double").alias("direction"))
     n_genes = d.select("pr_gene_symbol").distinct().agg(F.count(F.lit(1)).alias("_n_disease"))
     hits = (gs.join(d, "pr_gene_symbol", "inner")
-            .where(-F.col("direction") * F.col("z_score") > F.lit(float(threshold))))
+            .where((-F.col("direction") * F.col("z_score") > F.lit(float(threshold))) & ~F.isnan("z_score")))
     per = (hits.groupBy("pert_iname")
            .agg(F.countDistinct("pr_gene_symbol").alias("genes_reversed"),
                 F.avg(-F.col("direction") * F.col("z_score")).alias("reversal_score")))
@@ -103,7 +104,7 @@ def reversal_general(cm: DataFrame, gs: DataFrame, disease: DataFrame,
 # E2
 def moa_mimics(cm: DataFrame, gs: DataFrame, reference: str = config.REFERENCE_COMPOUND,
                threshold: float = config.HIGH_CONFIDENCE_Z, n: int = 10) -> DataFrame:
-    strong = gs.where(F.col("z_score") > F.lit(float(threshold)))
+    strong = gs.where(z_above(threshold))
     ref_genes = strong.where(F.col("pert_iname") == reference).select("pr_gene_symbol").distinct()
     rows = strong.where(F.col("pert_iname") != reference).join(ref_genes, "pr_gene_symbol", "left_semi")
     per = rows.groupBy("pert_iname").agg(F.count(F.lit(1)).alias("matching_gene_count"))
@@ -199,7 +200,7 @@ def ideal_zone(cm: DataFrame, gs: DataFrame, max_genes: int = config.MAX_AFFECTE
 def class_validation(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = config.CLASS_MARKER_GENES,
                      min_avg: float = config.EXTREME_Z) -> DataFrame:
     rows = gs.where(F.col("pr_gene_symbol").isin(list(genes)))
-    per = (rows.groupBy("pert_iname", "pr_gene_symbol").agg(F.avg("z_score").alias("_avg"))
+    per = (rows.groupBy("pert_iname", "pr_gene_symbol").agg(F.avg(number(rows, "z_score")).alias("_avg"))
            .where(F.col("_avg") > F.lit(float(min_avg))))
     return (_with_metadata(per, cm, ["moa"])
             .select("pert_iname", "moa", "pr_gene_symbol", _r6(F.col("_avg")).alias("avg_z"))
@@ -271,7 +272,7 @@ def lead_fingerprint(cm: DataFrame, gs: DataFrame, n_genes: int = 20, leads: Dat
     """Mean Z per (lead, gene) over the top genes overall — the heatmap in long form."""
     genes = F.broadcast(top_genes(gs, n_genes).select("pr_gene_symbol"))
     rows = gs.join(_lead_names(cm, gs, leads), "pert_iname", "inner").join(genes, "pr_gene_symbol", "inner")
-    per = rows.groupBy("pert_iname", "pr_gene_symbol").agg(F.avg("z_score").alias("_m"))
+    per = rows.groupBy("pert_iname", "pr_gene_symbol").agg(F.avg(number(rows, "z_score")).alias("_m"))
     return (per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
             .select("pert_iname", "pr_gene_symbol", _r6(F.col("_m")).alias("mean_z")))
 
@@ -288,7 +289,7 @@ def _by_rank(rows: DataFrame, genes: DataFrame, n: int) -> DataFrame:
     names of those genes. The schema depends on ``n`` alone, not on the data."""
     ranks = range(1, n + 1)
     wide = (rows.join(F.broadcast(genes), "pr_gene_symbol", "inner").groupBy("pert_iname", "gene_rank")
-            .agg(_r6(F.avg("z_score")).alias("_m")).groupBy("pert_iname")
+            .agg(_r6(F.avg(number(rows, "z_score"))).alias("_m")).groupBy("pert_iname")
             .agg(*[F.max(F.when(F.col("gene_rank") == i, F.col("_m"))).alias(f"gene_{i}") for i in ranks]))
     names = genes.agg(*[F.max(F.when(F.col("gene_rank") == i, F.col("pr_gene_symbol"))).alias(f"gene_{i}_symbol") for i in ranks])
     return with_scalars(wide, names)
@@ -316,7 +317,7 @@ def final_matrix(cm: DataFrame, gs: DataFrame, n_leads: int = config.TOP_N_LEADS
 # E10 (mean pivot, long form)
 def final_matrix_mean(cm: DataFrame, gs: DataFrame, n_leads: int = config.TOP_N_LEADS, n_genes: int = 7) -> DataFrame:
     rows = _final_rows(cm, gs, n_leads, n_genes)
-    return (rows.groupBy("pert_iname", "moa", "pr_gene_symbol").agg(_r6(F.avg("z_score")).alias("mean_z")))
+    return (rows.groupBy("pert_iname", "moa", "pr_gene_symbol").agg(_r6(F.avg(number(rows, "z_score"))).alias("mean_z")))
 
 
 def final_matrix_wide(cm: DataFrame, gs: DataFrame, n_leads: int = config.TOP_N_LEADS, n_genes: int = 7) -> DataFrame:
@@ -392,7 +393,7 @@ def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CO
     """
     import math
 
-    strong = gs.where(F.col("z_score") > F.lit(float(threshold))).join(cm.select("pert_iname"), "pert_iname",
+    strong = gs.where(z_above(threshold)).join(cm.select("pert_iname"), "pert_iname",
                                                                          "left_semi")
     pairs = strong.select("pert_iname", "pr_gene_symbol").distinct()
     unknown, known = pairs.where(_is_unknown()), pairs.where(~_is_unknown())

@@ -76,6 +76,56 @@ def test_search_finds_names_whatever_their_case(spark):
     assert got == {"MG-132": (2, "1,2"), "mg-132": (2, "1,2"), "Valproic Acid": (1, "1"), "none such": (0, "")}
 
 
+def _nan_free(spark, questions):
+    """Each question's rows with one NaN score added are those without it."""
+    from sigspark import config
+
+    genes = [config.SINGLE_TARGET_GENE, *config.REVERSAL_GENES, *config.CLASS_MARKER_GENES]
+    cm = spark.createDataFrame([("a", "m1"), ("b", "m2"), ("BRD-c", "m3"), (config.REFERENCE_COMPOUND, "m4")], "pert_iname string, moa string")
+    rows = [(p, f"s{p}", g, z, 1) for p, z in (("a", 5.0), ("b", 4.5), ("BRD-c", 6.0), (config.REFERENCE_COMPOUND, 7.0)) for g in genes]
+    schema = "pert_iname string, sig_id string, pr_gene_symbol string, z_score double, is_significant int"
+    nan = [(p, "sx", g, NAN, 0) for p in ("a", "z") for g in genes]
+    disease = spark.createDataFrame([(g, -1) for g in set(genes)], "pr_gene_symbol string, direction int")
+    clean, spoilt = spark.createDataFrame(rows, schema), spark.createDataFrame(rows + nan, schema)
+    for ask in questions:
+        assert sorted(map(str, ask(cm, spoilt, disease).collect())) == sorted(map(str, ask(cm, clean, disease).collect())) != []
+
+
+def test_nan_scores_change_no_answer(spark):
+    from sigspark.plans import questions as E
+
+    _nan_free(spark, [lambda cm, gs, d, f=f: f(cm, gs) for f in (E.strongest_hits, E.single_target_up, E.reversal_signature, E.moa_mimics, E.class_validation,
+                                                                 E.moa_transfer)] + [lambda cm, gs, d: E.reversal_general(cm, gs, d)])
+
+
+def test_nan_is_missing_in_statistics(spark):
+    import math
+
+    from sigspark.operators import quality as Q
+
+    x = spark.createDataFrame([(float(i), "k") for i in range(5)] + [(100.0, "k"), (NAN, "k"), (None, "k")], "z_score double, k string")
+    flags = [{r.z_score: r.is_outlier for r in f.collect()} for f in (Q.outliers_zscore(x, "z_score", 2.0), Q.outliers_iqr(x, "z_score"))]
+    for found in flags:
+        assert [v for k, v in found.items() if k is None or math.isnan(k)] == [False, False] and [k for k, v in found.items() if v] == [100.0]
+    assert {r.column: r.null_count for r in Q.null_profile(x).collect()} == {"z_score": 2, "k": 0}
+    assert Q.quality_report(x).first().total_nulls == 2 and Q.data_summary(x).first().null_count == 2
+    for method in ("standard", "minmax", "robust"):
+        got = [r.z_score_normalized for r in Q.normalize(x, "z_score", method).collect()]
+        assert sum(v is None for v in got) == 2 and not any(v is not None and math.isnan(v) for v in got)
+    rows = spark.createDataFrame([("a", "g", 1.0), ("a", "g", NAN), ("a", "g", 3.0)], "pert_iname string, pr_gene_symbol string, z_score double")
+    assert Q.consensus_signature(rows).first().mean_z == 2.0
+
+
+def test_phase_1_drops_nan_cells(spark):
+    from sigspark.plans.jobs import expression_table
+
+    genes = spark.createDataFrame([("1", "g", "1")], "pr_gene_id string, pr_gene_symbol string, pr_is_lm string")
+    sigs = spark.createDataFrame([("s", "p", "trt_cp", "MCF7", 10.0, "µM")],
+                                 "sig_id string, pert_iname string, pert_type string, cell_id string, pert_dose double, pert_dose_unit string")
+    matrix = spark.createDataFrame([("1", "s", NAN), ("1", "s", None)], "gene_id string, sig_id string, z_score double")
+    assert expression_table(genes, sigs, matrix).collect() == []
+
+
 def test_reports_hold_real_counts(spark, sf_dir):
     papers = [r.pubmed_papers for r in QUERIES["executive_report"](spark, sf_dir).collect()]
     assert any(papers)
