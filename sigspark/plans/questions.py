@@ -29,6 +29,7 @@ from sigspark import config
 from sigspark.functions.columns import compound_category, gene_function
 from sigspark.functions.literals import literal_rows
 from sigspark.operators.joins import fact_dim_join
+from sigspark.operators.partners import best_partners
 from sigspark.operators.reshape import number, z_above, z_beyond
 from sigspark.operators.stats import exact_quantiles, with_scalars
 
@@ -341,88 +342,14 @@ def gene_function_labels(gs: DataFrame) -> DataFrame:
                         F.concat(fn, F.lit("\n("), F.col("pr_gene_symbol"), F.lit(")")).alias("gene_label"))
 
 
-_TRANSFER_SCHEMA = "pert_iname string, best_match string, shared_genes long"
-
-
-def _score_block(unknown: "pd.DataFrame", known: "pd.DataFrame") -> "pd.DataFrame":
-    """Shared-gene counts of one (unknown block × known block) as a 0/1 matrix
-    product; returns each unknown compound's best known partner in the block
-    (most shared genes, then smallest name). Both blocks are bounded."""
-    import numpy as np
-    import pandas as pd
-
-    empty = pd.DataFrame({"pert_iname": pd.Series([], dtype=object), "best_match": pd.Series([], dtype=object),
-                          "shared_genes": pd.Series([], dtype="int64")})
-    if unknown.empty or known.empty:
-        return empty
-    genes = np.intersect1d(unknown["pr_gene_symbol"].unique(), known["pr_gene_symbol"].unique())
-    if genes.size == 0:
-        return empty
-    unknown = unknown[unknown["pr_gene_symbol"].isin(genes)]
-    known = known[known["pr_gene_symbol"].isin(genes)]
-    u_names = np.sort(unknown["pert_iname"].unique())
-    k_names = np.sort(known["pert_iname"].unique())
-    u = np.zeros((u_names.size, genes.size), dtype=np.float32)
-    k = np.zeros((genes.size, k_names.size), dtype=np.float32)
-    u[np.searchsorted(u_names, unknown["pert_iname"]), np.searchsorted(genes, unknown["pr_gene_symbol"])] = 1
-    k[np.searchsorted(genes, known["pr_gene_symbol"]), np.searchsorted(k_names, known["pert_iname"])] = 1
-    shared = np.rint(u @ k).astype(np.int64)
-    best = shared.argmax(axis=1)  # first maximum = smallest name (names sorted)
-    count = shared[np.arange(u_names.size), best]
-    keep = count > 0
-    return pd.DataFrame({"pert_iname": u_names[keep], "best_match": k_names[best[keep]],
-                         "shared_genes": count[keep]})
-
-
 # E2g
 def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CONFIDENCE_Z,
                  block_size: int = 1024, tasks: int | None = None) -> DataFrame:
     """For each unknown (``BRD-``) compound, the known compound sharing the most
-    genes at Z > threshold; its mechanism is the prediction.
-
-    Blocked sparse matrix product instead of a gene self-join: unknown and
-    known compounds are hashed into blocks of about ``block_size``; each
-    (unknown block, known block) pair meets in one cogroup task by
-    replicating rows with ``explode(sequence(...))``, and the block product
-    runs in numpy. Per-task memory is bounded by the block sizes and the
-    gene universe; no (compound, compound) row is ever materialised, so a
-    gene shared by every compound costs nothing extra. Block counts come from
-    one aggregate of the two distinct compound counts; there are at least
-    ``tasks`` blocks of unknown compounds (default: the session's parallelism),
-    so small inputs use every core too.
-    """
-    import math
-
-    strong = gs.where(z_above(threshold)).join(cm.select("pert_iname"), "pert_iname",
-                                                                         "left_semi")
-    pairs = strong.select("pert_iname", "pr_gene_symbol").distinct()
-    unknown, known = pairs.where(_is_unknown()), pairs.where(~_is_unknown())
-    sizes = pairs.agg(F.countDistinct(F.when(_is_unknown(), F.col("pert_iname"))).alias("u"),
-                      F.countDistinct(F.when(~_is_unknown(), F.col("pert_iname"))).alias("k")).first()
-    n_u, n_k = sizes["u"], sizes["k"]
-    spark = gs.sparkSession
-    if n_u == 0 or n_k == 0:
-        return literal_rows(spark, [], _TRANSFER_SCHEMA + ", predicted_moa string")
-    tasks = tasks or spark.sparkContext.defaultParallelism
-    nbu, nbk = max(math.ceil(n_u / block_size), min(n_u, tasks)), max(1, math.ceil(n_k / block_size))
-    u = (unknown.withColumn("ub", F.pmod(F.xxhash64("pert_iname"), F.lit(nbu)))
-         .withColumn("kb", F.explode(F.sequence(F.lit(0), F.lit(nbk - 1)))))
-    k = (known.withColumn("kb", F.pmod(F.xxhash64("pert_iname"), F.lit(nbk)))
-         .withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(nbu - 1)))))
-    cols = ["pert_iname", "pr_gene_symbol"]
-    # Both sides come from ``pairs``: give the known side its own column names
-    # so the cogroup keys resolve unambiguously.
-    k = k.select(F.col("ub").alias("k_ub"), F.col("kb").alias("k_kb"), F.col("pert_iname").alias("k_pert"),
-                 F.col("pr_gene_symbol").alias("k_gene"))
-
-    def score(a, b):
-        return _score_block(a[cols], b[["k_pert", "k_gene"]].set_axis(cols, axis=1))
-
-    per_block = (u.select("ub", "kb", *cols).groupBy("ub", "kb")
-                 .cogroup(k.groupBy("k_ub", "k_kb"))
-                 .applyInPandas(score, _TRANSFER_SCHEMA))
-    # One candidate per (unknown compound, known block): keep the best across blocks.
-    order = Window.partitionBy("pert_iname").orderBy(F.col("shared_genes").desc(), F.col("best_match"))
-    best = per_block.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") == 1).drop("__rn")
+    genes at Z > threshold (ties: the smaller name); its mechanism is the
+    prediction. The search is ``partners.best_partners``."""
+    strong = gs.where(z_above(threshold)).join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    pairs = strong.select("pert_iname", "pr_gene_symbol").distinct().withColumn("known", ~_is_unknown())
+    best = best_partners(pairs, block_size, tasks)
     moa = cm.select(F.col("pert_iname").alias("best_match"), F.col("moa").alias("predicted_moa"))
     return best.join(moa, "best_match", "left").select("pert_iname", "best_match", "shared_genes", "predicted_moa")

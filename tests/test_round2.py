@@ -290,3 +290,29 @@ def test_shared_scratch_is_required_on_a_cluster():
 
     with pytest.raises(ValidationError, match="spark.checkpoint.dir"):
         scratch_root(Session())
+
+
+def test_best_partners_skip_blocks_that_cannot_reach(spark):
+    import random
+
+    from sigspark.operators import partners as P
+
+    rng = random.Random(6)
+    genes = [f"g{i}" for i in range(60)]
+    sets = {f"K{i:03}": rng.sample(genes, 40 if i < 20 else rng.randint(1, 8)) for i in range(200)}
+    sets |= {f"BRD-{i}": rng.sample(genes, 30) for i in range(40)} | {"BRD-alone": ["only"], "BRD-one": ["g0"]}
+    pairs = spark.createDataFrame([(c, g, not c.startswith("BRD")) for c, gs in sets.items() for g in gs], "pert_iname string, pr_gene_symbol string, known boolean")
+    want = {}
+    for u in (c for c in sets if c.startswith("BRD")):
+        n, name = max(((len(set(sets[u]) & set(sets[k])), k) for k in sets if k.startswith("K")), key=lambda x: (x[0], [-ord(c) for c in x[1]]))
+        if n:
+            want[u] = (name, n)
+    for block in (10, 1000):
+        assert {r.pert_iname: (r.best_match, r.shared_genes) for r in P.best_partners(pairs, block).collect()} == want
+    sizes = sorted(((len(g), 1) for c, g in sets.items() if c.startswith("K")), reverse=True)
+    merged = {}
+    for n, c in sizes:
+        merged[n] = merged.get(n, 0) + c
+    rest = spark.createDataFrame([(u, len(set(sets[u])), n) for u, (_, n) in want.items()], "pert_iname string, n int, best int")
+    went = P.visits(rest, sorted(merged.items(), reverse=True), 10).groupBy("pert_iname").count().collect()
+    assert sum(r["count"] for r in went) < 0.2 * len(want) * 19  # of 19 blocks after the first
