@@ -13,8 +13,11 @@ never in its product with a centroid. The radius is set from pieces of the
 sample's texts, a class of lengths at a time.
 
 Document frequencies count every labelled training row. Only the centroids are
-fitted on a sample, bounded by ``Params.per_language`` rows a language and
-``Params.max_languages`` languages.
+fitted on a sample: up to ``Params.per_language`` different texts of every
+language, so copies of a text neither fill the sample nor empty it. A centroid
+that lies at another language's, nearer than at those of its own, stands for
+mislabelled rows and is dropped; a second script or variety lies at no other
+language's and stays, however small its share.
 """
 
 from __future__ import annotations
@@ -28,15 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import STEP_BYTES, flat, steps, text_bytes
+from sigspark.llm.common import STEP_BYTES, flat, land, steps, text_bytes
 
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
 class Params:
-    """``least_share``: centroids with a smaller share of their language's sample
-    are dropped; they stand for mislabelled rows. ``radius_margin``: a language
+    """A centroid of fewer than ``least_texts`` texts, or whose cosine with a
+    larger centroid of another language is ``twin`` or more and above that with
+    its own language's others, is dropped; the largest of a language stays.
+    ``radius_margin``: a language
     accepts texts whose cosine is at least this share of the cosine that all but
     ``radius_quantile`` of its sample's pieces of that length class reach; rows
     of dropped centroids do not count. ``longest`` is 4 at most."""
@@ -44,10 +49,10 @@ class Params:
     dims: int = 1 << 13
     longest: int = 4
     per_language: int = 600
-    max_languages: int = 200
     centroids: int = 4
     rounds: int = 12
-    least_share: float = 0.1
+    least_texts: int = 5
+    twin: float = 0.6
     radius_margin: float = 0.4
     radius_quantile: float = 0.05
     seed: int = 7
@@ -100,7 +105,7 @@ def _merged(tallies: list) -> tuple[np.ndarray, np.ndarray]:
 @dataclass(frozen=True)
 class Model:
     """Fitted model; its size is dims * 4 bytes for each of at most
-    max_languages * centroids centroids, and 4 bytes an n-gram."""
+    ``centroids`` centroids a language, and 4 bytes an n-gram."""
 
     params: Params
     idf: np.ndarray  # dims
@@ -304,41 +309,64 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", params: P
     idf = (np.log((1 + n) / (1 + frequency)) + 1).astype(np.float32)
     new = float(np.log(1 + n) + 1)
 
-    # The sample: a seeded hash of the whole text picks some two rows of every
-    # one wanted, then the first by that hash up to the bound.
-    per = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.max_languages).collect()
-    if not per:
-        return Model(params, idf, np.zeros((0, params.dims), np.float32), [], np.zeros((0, CLASSES), np.float32), Seen(np.zeros(0, np.uint32)), new)
-    rate = F.create_map(*(x for r in per for x in (F.lit(r["lang"]), F.lit(min(1.0, 2 * params.per_language / r["count"])))))
-    h = F.xxhash64("raw", F.lit(params.seed))
+    # The sample: a seeded hash of the whole text picks some two different texts
+    # of every one wanted, then the first by that hash up to the bound.
+    keyed = rows.withColumn("h", F.xxhash64("raw", F.lit(params.seed)))
+    per = keyed.select("lang", "h").distinct().groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("texts"))
+    some = F.pmod("h", F.lit(1_000_000)) < F.least(F.lit(1.0), F.lit(2.0 * params.per_language) / F.col("texts")) * 1_000_000
     order = Window.partitionBy("lang").orderBy("h", "raw")
-    sample = (rows.withColumn("h", h).filter(F.pmod("h", F.lit(1_000_000)) < F.coalesce(rate[F.col("lang")], F.lit(0.0)) * 1_000_000)
-              .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= params.per_language)
-              .select("lang", _lowered("raw").alias("t")))
+    sample = land(keyed.join(per, F.col("lang") == F.col("of")).filter(some).select("lang", "h", "raw").dropDuplicates(["lang", "h"])
+                  .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= params.per_language)
+                  .select("lang", "h", _lowered("raw").alias("t")), "language-sample")
 
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
-        texts = pa.array(frame["t"], pa.binary())
-        x = np.concatenate(list(vectors(texts, idf, params)))
+        x = np.concatenate(list(vectors(pa.array(frame.sort_values("h")["t"], pa.binary()), idf, params)))
         c, own = _kmeans(x, params.centroids, params.rounds, params.seed)
-        held = np.bincount(own, minlength=len(c))
-        kept = held >= min(held.max(), params.least_share * len(x))
-        c, texts = c[kept].astype(np.float32), texts.filter(pa.array(kept[own]))
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "c": list(c.astype(np.float32)), "held": np.bincount(own, minlength=len(c))})
+
+    got = sample.groupBy("lang").applyInPandas(cluster, "lang string, c array<float>, held long").toPandas()
+    got = got.sort_values(["lang", "held"], ascending=[True, False], kind="stable").reset_index(drop=True)
+    stack = lambda column, width: np.array([np.asarray(c, np.float32) for c in got[column]], np.float32).reshape(-1, width)
+    if not len(got):
+        return Model(params, idf, stack("c", params.dims), [], np.zeros((0, CLASSES), np.float32), Seen(np.zeros(0, np.uint32)), new)
+    centroids, languages = stack("c", params.dims), got["lang"].to_numpy()
+    kept = genuine(centroids, languages, got["held"].to_numpy(), params)
+    every = sample.sparkSession.sparkContext.broadcast((centroids, languages, kept))
+
+    def measure(frame: pd.DataFrame) -> pd.DataFrame:
+        centroids, languages, kept = every.value
+        mine = languages == frame["lang"].iloc[0]
+        texts, c, stays = pa.array(frame["t"], pa.binary()), centroids[mine], kept[mine]
+        own = np.argmax(np.concatenate(list(vectors(texts, idf, params))) @ c.T, axis=1)
+        c, texts = c[stays], texts.filter(pa.array(stays[own]))
         # N-grams of two texts at least: so a text is no witness of its own.
         grams, other = [], []
         for _ in _blocks(texts, params, None, other):
             grams.append(_merged(other)[0] & 0xFFFFFFFF)
         keys, times = np.unique(np.concatenate(grams), return_counts=True)
         seen = Seen(keys[times >= min(2, len(texts))])
-        got = [(sims.max(axis=1), classes) for sims, classes in cosines(_pieces(texts), idf, c, seen, new, params)]
-        floor = _floors(np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]), params)
-        return pd.DataFrame({"lang": frame["lang"].iloc[0], "c": list(c), "floor": [floor] * len(c),
-                             "seen": [seen.keys.astype(np.int64) if i == 0 else None for i in range(len(c))]})
-
-    got = (sample.groupBy("lang").applyInPandas(cluster, "lang string, c array<float>, floor array<float>, seen array<long>").toPandas()
-           .sort_values("lang", kind="stable").reset_index(drop=True))
-    seen = Seen(np.concatenate([np.zeros(0, np.int64), *(np.asarray(k, np.int64) for k in got["seen"] if k is not None)]))
-    stack = lambda column, width: np.array([np.asarray(c, np.float32) for c in got[column]], np.float32).reshape(-1, width)
-    return Model(params, idf, stack("c", params.dims), list(got["lang"]), stack("floor", CLASSES), seen, new)
+        near = [(sims.max(axis=1), classes) for sims, classes in cosines(_pieces(texts), idf, c, seen, new, params)]
+        floor = _floors(np.concatenate([n[0] for n in near]), np.concatenate([n[1] for n in near]), params)
+        return pd.DataFrame({"lang": [frame["lang"].iloc[0]], "floor": [floor], "seen": [seen.keys.astype(np.int64)]})
+
+    radius = sample.groupBy("lang").applyInPandas(measure, "lang string, floor array<float>, seen array<long>").toPandas().set_index("lang")
+    seen = Seen(np.concatenate([np.zeros(0, np.int64), *(np.asarray(k, np.int64) for k in radius["seen"])]))
+    floors = np.array([np.asarray(radius.loc[x, "floor"], np.float32) for x in languages[kept]], np.float32).reshape(-1, CLASSES)
+    return Model(params, idf, centroids[kept], languages[kept].tolist(), floors, seen, new)
+
+
+def genuine(centroids: np.ndarray, languages: np.ndarray, held: np.ndarray, params: Params) -> np.ndarray:
+    """Which centroids stay. Rows of a language lie together, largest first."""
+    kept = np.ones(len(centroids), dtype=bool)
+    for language in dict.fromkeys(languages.tolist()):
+        own = np.flatnonzero(languages == language)
+        others = np.flatnonzero(languages != language)
+        for i in own[1:]:
+            mine = (centroids[own[own != i]] @ centroids[i]).max()
+            larger = others[held[others] > held[i]]
+            away = (centroids[larger] @ centroids[i]).max(initial=-1.0)
+            kept[i] = held[i] >= params.least_texts and not (away >= params.twin and away > mine)
+    return kept
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score",

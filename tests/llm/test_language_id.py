@@ -75,6 +75,46 @@ def test_one_outlier_does_not_set_the_radius(spark):
     assert mixed.floor.max() > 0.5 * plain.floor.max() > 0.1
 
 
+def _said(lang, n, seed, words=None):
+    rng = np.random.default_rng(seed)
+    words = words or SAMPLES[lang].split()
+    return [" ".join(rng.choice(words, rng.integers(6, 20))) for _ in range(n)]
+
+
+def _fit(spark, texts):
+    return li.fit(spark.createDataFrame([(i, t, lang, "s", 1) for i, (t, lang) in enumerate(texts)], SCHEMA))
+
+
+def _guess(spark, model, texts):
+    return li.predict(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+
+
+def test_more_languages_than_a_few_hundred_are_all_learned(spark):
+    rng = np.random.default_rng(8)
+    letters = [chr(c) for c in [*range(97, 123), *range(0x430, 0x450), *range(0x3B1, 0x3CA)]]
+    own = {f"l{i:03}": ["".join(rng.choice(letters, 6)) for _ in range(6)] for i in range(230)}
+    model = _fit(spark, [(" ".join(rng.permutation(w)), lang) for lang, w in own.items() for _ in range(3)])
+    assert set(model.languages) == set(own)
+    assert [r.lang_pred for r in _guess(spark, model, [" ".join(w) for w in own.values()])] == list(own)
+
+
+@pytest.mark.parametrize("copied", [SAMPLES["fr"], SAMPLES["fr"] + "deux", "il " + SAMPLES["fr"]])
+def test_copies_of_one_text_do_not_lose_a_language(spark, copied):
+    model = _fit(spark, [(t, "en") for t in _said("en", 700, 1)] + [(copied, "fr")] * 3000)
+    assert set(model.languages) == {"en", "fr"}
+    assert all((r.lang_pred, r.rejected) == ("fr", False) for r in _guess(spark, model, [copied, "le renard brun et le chien"]))
+
+
+def test_a_small_second_script_stays_and_mislabelled_rows_go(spark):
+    latin = "brza smeđa lisica i lenji pas trčali su kroz zelena polja starog grada pored reke".split()
+    cyrillic = "брза смеђа лисица и лењи пас трчали су кроз зелена поља старог града поред реке".split()
+    texts = [(t, "en") for t in _said("en", 500, 2)] + [(t, "sr") for t in _said("", 460, 3, latin) + _said("", 25, 4, cyrillic)]
+    texts += [(t, "sr") for t in _said("en", 15, 5)]  # mislabelled
+    model = _fit(spark, texts)
+    assert all((r.lang_pred, r.rejected) == ("sr", False) for r in _guess(spark, model, _said("", 20, 6, cyrillic) + _said("", 20, 7, latin)))
+    assert all(r.lang_pred == "en" for r in _guess(spark, model, _said("en", 20, 8)))
+
+
 def test_seen_is_exact():
     keys = np.unique(np.random.default_rng(1).integers(1, li._BASE ** 4, 5000)).astype(np.uint32)
     seen = li.Seen(keys[::2])
