@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from sigspark.llm.common import land
 
 
+NO_FLOOR = -(1 << 63)  # below every score
+
+
 @dataclass(frozen=True)
 class Params:
     """``shard_rows``: vectors of a shard, about. ``query_block``: queries that
@@ -39,9 +42,7 @@ class KDTree:
     """Over integer vectors (rows); ``ids`` break ties, smaller first."""
 
     def __init__(self, points: np.ndarray, ids: np.ndarray, leaf: int):
-        # Inner products below 2**53 are exact as doubles, and doubles multiply faster.
-        top = int(np.abs(points).max(initial=0))
-        self.points = points.astype(np.float64) if top * top * max(1, points.shape[1]) < 1 << 52 else points
+        self.points, self.top = points, int(np.abs(points).max(initial=0))
         self.ids, self.order = ids, np.arange(len(points))
         self.left, self.right, self.low, self.high, self.span = [], [], [], [], []
         stack = [(0, len(points), -1, False)]
@@ -64,19 +65,28 @@ class KDTree:
                 stack.append((a + half, b, node, True))
                 stack.append((a, a + half, node, False))
         self.points, self.ids = self.points[self.order], self.ids[self.order]
-        self.low, self.high = np.array(self.low), np.array(self.high)
+        self.low, self.high = np.array(self.low, np.float64), np.array(self.high, np.float64)
+        self._far = np.maximum(np.abs(self.low), np.abs(self.high))
+        self._doubles = self.points.astype(np.float64)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """The largest inner product any vector in each node's box can have (queries x nodes)."""
-        queries = queries.astype(self.points.dtype)
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        """The largest inner product any vector in each node's box can have
+        (queries x nodes), raised by more than doubles can round it off."""
+        q = queries.astype(np.float64)
+        slack = np.abs(q) @ self._far.T * (1e-15 * (q.shape[1] + 2))
+        return np.maximum(q, 0) @ self.high.T + np.minimum(q, 0) @ self.low.T + slack
+
+    def scores(self, a: int, b: int, query: np.ndarray) -> np.ndarray:
+        # Inner products below 2**53 are exact as doubles, and doubles multiply faster.
+        if self.top * int(np.abs(query).max(initial=0)) * max(1, len(query)) < 1 << 52:
+            return (self._doubles[a:b] @ query.astype(np.float64)).astype(np.int64)
+        return self.points[a:b] @ query
 
-    def search(self, query: np.ndarray, bound: np.ndarray, own: int, keys: np.ndarray, k: int, floor: float) -> list[tuple[int, int]]:
+    def search(self, query: np.ndarray, bound: np.ndarray, own: int, keys: np.ndarray, k: int, floor: int) -> list[tuple[int, int]]:
         """(score, row) of the best ``k`` (or those that reach ``floor``), best
         first; the row whose key is ``own`` takes no part."""
         best: list[tuple[int, int, int]] = []  # a heap: the worst kept (lowest score, then largest id) on top
         boxes = [(-bound[0], 0)]
-        query = query.astype(self.points.dtype)
         while boxes:
             ceiling, node = heapq.heappop(boxes)
             kth = max(floor, best[0][0]) if len(best) == k else floor
@@ -88,7 +98,7 @@ class KDTree:
                         heapq.heappush(boxes, (-bound[child], child))
                 continue
             a, b = self.span[node]
-            scores = self.points[a:b] @ query
+            scores = self.scores(a, b, query)
             for i in np.flatnonzero(scores >= kth).tolist():
                 row = a + i
                 if keys[row] == own:
@@ -118,7 +128,7 @@ def _search(vectors: pd.DataFrame, queries: pd.DataFrame, params: Params) -> pd.
         q = np.stack(part["v"].to_list()).astype(np.int64).reshape(len(part), dim)
         bounds = tree.bounds(q)
         for i, (own, query_id, floor) in enumerate(zip(part["key"], part["vec_id"], part["floor"])):
-            got = tree.search(q[i], bounds[i], own, keys, params.k, -np.inf if pd.isna(floor) else floor)
+            got = tree.search(q[i], bounds[i], own, keys, params.k, floor)
             out += [(own, query_id, int(tree.ids[row]), score) for score, row in got]
     return _frame(out)
 
@@ -151,12 +161,13 @@ def top_k(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "em
     kinds = "key long, query_id long, vec_id long, score long"
 
     def own_shard(frame: pd.DataFrame) -> pd.DataFrame:
-        return _search(frame, frame[frame["is_query"]].assign(floor=np.nan), params)
+        return _search(frame, frame[frame["is_query"]].assign(floor=NO_FLOOR), params)
 
     home = land(rows.groupBy("dim", "shard").applyInPandas(own_shard, kinds), "own-shard")
     kth = home.groupBy("key").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).select(
-        F.col("key").alias("q"), F.when(F.col("n") == params.k, F.col("least").cast("double")).alias("floor"))
-    asked = rows.filter("is_query").join(kth, F.col("key") == F.col("q"), "left").select("dim", "shard", "block", "key", "vec_id", "v", "floor")
+        F.col("key").alias("q"), F.when(F.col("n") == params.k, F.col("least")).alias("floor"))
+    asked = rows.filter("is_query").join(kth, F.col("key") == F.col("q"), "left").select(
+        "dim", "shard", "block", "key", "vec_id", "v", F.coalesce("floor", F.lit(NO_FLOOR)).alias("floor"))
     if shards > 1:
         sent = asked.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter(F.col("to") != F.col("shard"))
         sent = sent.select("dim", F.col("to").cast("long").alias("shard"), "block", "key", "vec_id", "v", "floor")

@@ -50,9 +50,25 @@ def test_tree_prunes_and_stays_exact():
     q = rng.integers(-1000, 1000, (5, 3))
     bounds = tree.bounds(q)
     for i in range(5):
-        got = tree.search(q[i], bounds[i], -1, np.arange(4000), 10, -np.inf)
+        got = tree.search(q[i], bounds[i], -1, np.arange(4000), 10, topk.NO_FLOOR)
         assert [s for s, _ in got] == sorted((points @ q[i]).tolist(), reverse=True)[:10]
-    assert topk.KDTree(np.array([[1 << 30, 1]]), np.array([1]), 4).points.dtype == np.int64  # too large for exact doubles
+
+
+def test_large_components_give_exact_scores(spark):
+    """Components of the queries, too, decide whether doubles are exact."""
+    rng = random.Random(9)
+    rows = [(i, [float(rng.randint(-2000, 2000)) for _ in range(4)], 1) for i in range(1, 400)]
+    rows += [(100 * i, [float((1 << 50) + 3 * i), 1.0, 7.0, -3.0], 1) for i in (50, 60)]
+    rows += [(10_000 + i, [2000.0, float(i % 3), 1.0, 0.0], 1) for i in range(1, 40)]  # near ties
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    ok = [(i, [int(x) for x in v]) for i, v, _ in rows]
+    for size in (8192, 64):
+        got = topk.top_k(df.repartition(3), F.col("vec_id").isin(5000, 6000), params=topk.Params(scale=1, shard_rows=size, leaf=8)).collect()
+        for q in (5000, 6000):
+            own = dict(ok)[q]
+            dot = sorted((-sum(x * y for x, y in zip(own, v)), j) for j, v in ok if j not in (5000, 6000))[:10]
+            mine = sorted((-r["score"], r["vec_id"]) for r in got if r["query_id"] == q and r["vec_id"] not in (5000, 6000))
+            assert mine == dot[:len(mine)] and len(mine) >= 8
 
 
 def test_water_fill(spark):
