@@ -315,7 +315,8 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", params: P
     per = keyed.select("lang", "h").distinct().groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("texts"))
     some = F.pmod("h", F.lit(1_000_000)) < F.least(F.lit(1.0), F.lit(2.0 * params.per_language) / F.col("texts")) * 1_000_000
     order = Window.partitionBy("lang").orderBy("h", "raw")
-    sample = land(keyed.join(per, F.col("lang") == F.col("of")).filter(some).select("lang", "h", "raw").dropDuplicates(["lang", "h"])
+    # ``per`` has one row a language, far less than the model itself; a shuffle join would send every text.
+    sample = land(keyed.join(F.broadcast(per), F.col("lang") == F.col("of")).filter(some).select("lang", "h", "raw").dropDuplicates(["lang", "h"])
                   .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= params.per_language)
                   .select("lang", "h", _lowered("raw").alias("t")), "language-sample")
 
