@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigspark import config
 from sigspark.errors import ValidationError
-from sigspark.operators.reshape import dedupe, significance_flag
+from sigspark.operators.reshape import significance_flag
 from sigspark.operators.stats import sequence_index
+from sigspark.sources.keyed import append_rows, stored_table  # noqa: F401
 
 COMPOUND_KEY = ("pert_iname",)
 SIGNATURE_KEY = ("pert_iname", "sig_id", "pr_gene_symbol")
@@ -47,87 +47,31 @@ def export_reports(summary: DataFrame, detailed: DataFrame, out_dir: str) -> dic
     return paths
 
 
-BUCKET = "_bucket"
-BUCKETS = 16
-
-
-def _bucketed(df: DataFrame, column: str) -> DataFrame:
-    """Storage bucket by key hash: a folder of the stored table."""
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int"))
-
-
-def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The appended table without its bucket column; None when nothing is stored yet."""
-    try:
-        return spark.read.parquet(path).drop(BUCKET)
-    except AnalysisException:
-        return None
-
-
-def _stored_rows(spark: SparkSession, path: str) -> int:
-    stored = stored_table(spark, path)
-    return 0 if stored is None else stored.count()  # answered from Parquet footers
-
-
-def stored_keys(batch: DataFrame, path: str, keys: Sequence[str]) -> DataFrame | None:
-    """Keys of the stored rows in the buckets that ``batch`` touches; the files
-    of other buckets are not read. At most ``BUCKETS`` numbers reach the driver."""
-    touched = [r[BUCKET] for r in batch.select(BUCKET).distinct().collect()]
-    try:
-        stored = batch.sparkSession.read.parquet(path)
-    except AnalysisException:
-        return None
-    return stored.where(F.col(BUCKET).isin(touched)).select(BUCKET, *keys)
-
-
-def append_if_absent(new: DataFrame, path: str, keys: Sequence[str], bucket_by: str | None = None) -> DataFrame:
-    """Rows of ``new``, with their bucket, whose key is not stored yet.
-
-    Of the rows that repeat a key in the batch the first by the other columns'
-    values is kept (the reference dropped the whole batch), so reruns agree.
-    Returns the rows that will be appended (lazy).
-    """
-    keys = list(keys)
-    others = [c for c in new.columns if c not in keys]
-    batch = _bucketed(dedupe(new, keys, others or keys, keep="first"), bucket_by or keys[0])
-    stored = stored_keys(batch, path, keys)
-    return batch if stored is None else batch.join(stored, [BUCKET, *keys], "left_anti").select(*batch.columns)
-
-
-def _append(rows: DataFrame, path: str, count: bool = True) -> int | None:
-    """One job: the anti join reads the files listed at planning time and
-    appends new files, so the stored table is read and extended in a single
-    pass; the count is the difference of the footer row counts."""
-    spark = rows.sparkSession
-    before = _stored_rows(spark, path) if count else 0
-    rows.write.mode("append").partitionBy(BUCKET).parquet(path)
-    return _stored_rows(spark, path) - before if count else None
-
-
 def _flag(new: DataFrame, threshold: float) -> DataFrame:
     return new.select("pert_iname", "sig_id", "pr_gene_symbol", F.col("z_score").cast("double").alias("z_score"),
                       significance_flag("z_score", threshold).alias("is_significant"))
 
 
 def append_signature_batch(batch: DataFrame, path: str, threshold: float = config.Z_THRESHOLD) -> None:
-    """A9 for a stream micro-batch: no emptiness check and no counts (an
-    empty batch appends nothing; a replayed batch appends nothing)."""
-    _append(append_if_absent(_flag(batch, threshold), path, SIGNATURE_KEY, "sig_id"), path, count=False)
+    """A9 for a stream micro-batch: an empty or replayed batch appends nothing."""
+    append_rows(_flag(batch, threshold), path, SIGNATURE_KEY)
 
 
 def append_new_compounds(new: DataFrame, path: str) -> int:
     """Append metadata rows for compounds not yet stored; returns the count appended."""
-    if new.isEmpty():
+    rows = new.count()
+    if not rows:
         raise ValidationError("compound batch is empty")
-    return _append(append_if_absent(new, path, COMPOUND_KEY), path)
+    return append_rows(new, path, COMPOUND_KEY, rows)
 
 
 def append_new_signatures(new: DataFrame, path: str, threshold: float = config.Z_THRESHOLD) -> int:
     """Set ``is_significant`` from the Z score and append unseen
     (compound, signature, gene) rows; returns the count appended."""
-    if new.isEmpty():
+    rows = new.count()
+    if not rows:
         raise ValidationError("signature batch is empty")
-    return _append(append_if_absent(_flag(new, threshold), path, SIGNATURE_KEY, "sig_id"), path)
+    return append_rows(_flag(new, threshold), path, SIGNATURE_KEY, rows)
 
 
 def _positions(long: DataFrame, col_id: str) -> tuple[DataFrame, int]:

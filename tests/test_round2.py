@@ -214,19 +214,7 @@ def test_append_keeps_the_first_of_repeated_keys(spark, scratch):
         assert S.append_new_signatures(df, path) == 2
         assert {r.sig_id: r.z_score for r in S.stored_table(spark, path).collect()} == {"s1": 1.0, "s2": 5.0}
         assert S.append_new_signatures(df, path) == 0
-        assert S.BUCKET not in S.stored_table(spark, path).columns
-
-
-def test_a_later_batch_reads_only_the_buckets_it_touches(spark, scratch):
-    path = f"{scratch}/t"
-    schema = "pert_iname string, sig_id string, pr_gene_symbol string, z_score double"
-    S.append_new_signatures(spark.createDataFrame([("c", f"s{i}", "g", 1.0) for i in range(400)], schema), path)
-    everything = spark.read.parquet(path)
-    batch = S._bucketed(spark.createDataFrame([("c", "s7", "g", 1.0)], schema), "sig_id")
-    keys = S.stored_keys(batch, path, S.SIGNATURE_KEY)
-    assert everything.select(S.BUCKET).distinct().count() == S.BUCKETS
-    assert keys.select(S.BUCKET).distinct().count() == 1
-    assert "PartitionFilters: [isnotnull" in keys._jdf.queryExecution().executedPlan().toString()
+        assert S.stored_table(spark, path).columns == ["pert_iname", "sig_id", "pr_gene_symbol", "z_score", "is_significant"]
 
 
 @pytest.mark.parametrize("kind", ["tsv", "arrays"])
