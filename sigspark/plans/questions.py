@@ -31,7 +31,7 @@ from sigspark.functions.literals import literal_rows
 from sigspark.operators.joins import fact_dim_join
 from sigspark.operators.partners import best_partners
 from sigspark.operators.reshape import number, z_above, z_beyond
-from sigspark.operators.stats import exact_quantiles, with_scalars
+from sigspark.operators.stats import exact_quantiles, landed, with_scalars
 
 
 def _abs_z() -> Column:
@@ -213,7 +213,7 @@ def class_distribution(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = conf
                        members: Sequence[str] = config.CLASS_MEMBERS,
                        min_avg: float = config.EXTREME_Z) -> DataFrame:
     """E8 rows with per-gene quartiles of ``avg_z`` and a class-member flag."""
-    qc = class_validation(cm, gs, genes, min_avg)
+    qc = landed(class_validation(cm, gs, genes, min_avg))  # read by the counts, the quartiles and the rows
     counts = qc.groupBy("pr_gene_symbol").agg(F.count(F.lit(1)).alias("gene_n"))
     quart = exact_quantiles(qc, "avg_z", [0.25, 0.5, 0.75], ["pr_gene_symbol"], ["__q1", "__q2", "__q3"]).select(
         "pr_gene_symbol", _r6(F.col("__q1")).alias("gene_q1"), _r6(F.col("__q2")).alias("gene_median"),
