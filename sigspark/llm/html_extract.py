@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3  # lines
 SURGE = 60  # characters of text outside links, in a window
+SHARE = 0.3  # of the page's highest sum, for text outside the elements that hold its article
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
     |<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>
@@ -51,6 +52,7 @@ _NOT = set("no not has have with without is non main article content body page w
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
            "option": ({"option"}, {"select", "datalist"})}
+_CONTAINERS = {"article", "main", "body", "section", "div", "td", "th", "aside", "figure"}
 _SCOPE = {"article", "main", "body", "section", "div", "td", "th", "li", "table", "blockquote", "aside", "nav", "footer", "header", "form", "button", "figure"}
 
 
@@ -80,15 +82,16 @@ def _kind(name: str, attrs: str, inside: bool) -> str:
 
 
 class _Page:
-    """Lines of a page: text, length of the text outside links, and whether an
-    article (2), a main (1) element or both (3) hold it."""
+    """Lines of a page: text, length of the text outside links, whether an
+    article (2), a main (1) element or both (3) hold it, and the number of the
+    innermost container around it."""
 
     def __init__(self, source: str):
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, int, int]] = []
         self._parts: list[str] = []
         self._plain = 0
-        self._stack: list[list] = []  # [name, kind]
-        self._place = 0
+        self._stack: list[list] = []  # [name, kind, number]
+        self._place = self._box = self._opened = 0
         at, low = 0, None
         while m := _TAG.search(source, at):
             self._text(source[at:m.start()])
@@ -116,16 +119,20 @@ class _Page:
     def _line(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
-            self.lines.append((text, self._plain, self._place))
+            self.lines.append((text, self._plain, self._place, self._box))
         self._parts, self._plain = [], 0
+        self._locate()
+
+    def _locate(self) -> None:
         names = {s[0] for s in self._stack}
         self._place = 2 * ("article" in names) + ("main" in names)
+        self._box = next((s[2] for s in reversed(self._stack) if s[0] in _CONTAINERS), 0)
 
     def _text(self, text: str) -> None:
-        if not text or any(kind in ("other", "named", "comments") for _, kind in self._stack):
+        if not text or any(s[1] in ("other", "named", "comments") for s in self._stack):
             return
         names = [s[0] for s in self._stack]
-        if any(kind == "header" for _, kind in self._stack) and not _HEADINGS & set(names):
+        if any(s[1] == "header" for s in self._stack) and not _HEADINGS & set(names):
             return  # of an article's own header only the headings
         text = html.unescape(text)
         self._parts.append(text)
@@ -162,10 +169,10 @@ class _Page:
             for s in self._stack:  # what holds the article is no side part, whatever its name
                 if s[1] == "named":
                     s[1] = ""
-        self._stack.append([name, kind])
+        self._opened += 1
+        self._stack.append([name, kind, self._opened])
         if name in _BLOCK:
-            names = {s[0] for s in self._stack}
-            self._place = 2 * ("article" in names) + ("main" in names)
+            self._locate()
 
     def _close(self, name: str) -> None:
         if name in _BLOCK:
@@ -177,8 +184,7 @@ class _Page:
             if self._stack[i][0] in ("article", "main", "nav", "aside", "footer", "table") and name not in ("article", "main", "body", "html", "nav", "aside", "footer", "table"):
                 break  # a stray end tag does not close what holds the element
         if name in _BLOCK:
-            names = {s[0] for s in self._stack}
-            self._place = 2 * ("article" in names) + ("main" in names)
+            self._locate()
 
 
 def keep_between(lengths: list[int], threshold: int, window: int = WINDOW) -> list[bool]:
@@ -195,13 +201,37 @@ def keep_between(lengths: list[int], threshold: int, window: int = WINDOW) -> li
     return keep
 
 
-def _hinted(lines: list[tuple[str, int, int]]) -> list[bool]:
+def trim(keep: list[bool], lengths: list[int], boxes: list[int]) -> list[bool]:
+    """``keep`` without the lines before a run's first text that stand in another
+    container: the window that surges reaches that text from them."""
+    out = list(keep)
+    for i, k in enumerate(keep):
+        if k and not (i and keep[i - 1]):
+            first = next((j for j in range(i, len(keep)) if lengths[j]), i)
+            out[i:first] = [boxes[j] == boxes[first] for j in range(i, first)]
+    return out
+
+
+def bridge(keep: list[bool], boxes: list[int]) -> list[bool]:
+    """``keep`` with the gaps between kept lines whose lines, and the kept ones
+    on both sides, stand in one container."""
+    out, last, same = list(keep), None, False  # the kept line before, and whether its container holds all lines since
+    for i, k in enumerate(keep):
+        same = same and boxes[i] == boxes[last]
+        if k:
+            if same and last is not None:
+                out[last + 1:i] = [True] * (i - last - 1)
+            last, same = i, True
+    return out
+
+
+def _hinted(lines: list[tuple[str, int, int, int]]) -> list[bool]:
     """Which lines the page's article elements hold, or else its main elements,
     if these have at least half of the page's text outside links."""
-    total = sum(plain for _, plain, _ in lines)
+    total = sum(line[1] for line in lines)
     for bit in (2, 1):
-        held = [bool(place & bit) for _, _, place in lines]
-        if any(held) and 2 * sum(plain for (_, plain, _), h in zip(lines, held) if h) >= total:
+        held = [bool(line[2] & bit) for line in lines]
+        if any(held) and 2 * sum(line[1] for line, h in zip(lines, held) if h) >= total:
             return held
     return [False] * len(lines)
 
@@ -212,16 +242,14 @@ def main_text(source: str | None) -> str:
         return ""
     lines = _Page(source).lines
     held = _hinted(lines)
-    lengths = [plain for _, plain, _ in lines]
-    if not any(lengths):  # an article of links only
-        lengths = [len(text) if h else 0 for (text, _, _), h in zip(lines, held)]
-    threshold = SURGE
-    if not any(held):
-        threshold = min(SURGE, max((sum(lengths[i:i + WINDOW]) for i in range(len(lengths))), default=0))
+    lengths = [len(text) if h else plain for (text, plain, _, _), h in zip(lines, held)]
+    highest = max((sum(lengths[i:i + WINDOW]) for i in range(len(lengths))), default=0)
+    threshold = max(SURGE, int(SHARE * highest)) if any(held) else min(SURGE, highest)
     keep: list[bool] = []
     for hint, run in groupby(zip(held, lengths), lambda x: x[0]):
         keep += keep_between([n for _, n in run], 1 if hint else threshold)
-    return " ".join(text for (text, _, _), k in zip(lines, keep) if k)
+    boxes = [line[3] for line in lines]
+    return " ".join(line[0] for line, k in zip(lines, bridge(trim(keep, lengths, boxes), boxes)) if k)
 
 
 def extract(df: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

@@ -49,12 +49,63 @@ def test_tags_only_hint():
     assert html_extract.main_text(page) == f"A {body} {body} {body}"
 
 
-def test_dive_inside_an_article():
-    links = "".join(f"<li><a href='/{i}'>Link number {i}</a></li>" for i in range(6))
-    assert html_extract.main_text(f"<article><h1>A</h1><p>The text.</p><ul>{links}</ul></article>") == "A The text."
-    got = html_extract.main_text(f"<article><h1>A</h1><p>The text.</p><ul>{links}</ul><p>More.</p></article>")
-    assert got.startswith("A The text.") and got.endswith("More.") and "number 1" not in got
-    assert html_extract.main_text(f"<article><ul>{links}</ul></article>").count("Link") == 6
+LINKS = "".join(f"<li><a href='/{i}'>Link number {i}</a></li>" for i in range(6))
+LONG = "A sentence of the body that goes on for more than the sixty characters of a surge."
+
+
+def test_links_inside_an_article():
+    names = " ".join(f"Link number {i}" for i in range(6))
+    assert html_extract.main_text(f"<article><h1>A</h1><p>The text.</p><ul>{LINKS}</ul></article>") == f"A The text. {names}"
+    assert html_extract.main_text(f"<article><h1>A</h1><p>The text.</p><ul>{LINKS}</ul><p>More.</p></article>") == f"A The text. {names} More."
+    assert html_extract.main_text(f"<article><ul>{LINKS}</ul></article>") == names
+    # Without article markup the container decides whether a dive is a gap or the end.
+    assert html_extract.main_text(f"<div><p>{LONG}</p><ul>{LINKS}</ul><p>{LONG}</p></div>") == f"{LONG} {names} {LONG}"
+    assert html_extract.main_text(f"<div><p>{LONG}</p></div><div><ul>{LINKS}</ul></div><div><p>{LONG}</p></div>") == f"{LONG} {LONG}"
+    assert html_extract.main_text(f"<div><p>{LONG}</p></div><ul>{LINKS}</ul>") == LONG
+
+
+def test_text_outside_the_article_needs_a_surge_like_its_own():
+    body = "".join(f"<p>{LONG} {LONG} {LONG}</p>" for _ in range(4))
+    assert html_extract.main_text(f"<article>{body}</article><div><p>{LONG}</p></div>").count(LONG) == 12  # an unnamed comment
+    assert html_extract.main_text(f"<article>{body}</article><div>{body}</div>").count(LONG) == 24
+
+
+def blocks_by_definition(lines, window=3, surge=60):
+    """Line blocks of a page without hints, straight from the definition: each line's
+    window sum, starts and ends of text, then gaps within one container."""
+    sums = [sum(n for _, n, _, _ in lines[i:i + window]) for i in range(len(lines))]
+    limit = min(surge, max(sums, default=0))
+    kept = [i for i in range(len(lines)) if sums[i] > 0 and any(
+        sums[a] >= max(1, limit) and all(sums[x] > 0 for x in range(a, i + 1)) for a in range(i + 1))]
+    starts = set(kept) - {i + 1 for i in kept}
+    before = {x: next(y for y in range(x, len(lines)) if lines[y][1]) for i in starts for x in range(i, i + window)
+              if x in kept and not any(lines[y][1] for y in range(i, x + 1))}
+    kept = [i for i in kept if i not in before or lines[i][3] == lines[before[i]][3]]
+    for a, b in list(zip(kept, kept[1:])):
+        if len({lines[x][3] for x in range(a, b + 1)}) == 1:
+            kept += range(a + 1, b)
+    return " ".join(lines[i][0] for i in sorted(kept))
+
+
+def test_line_blocks_alone(spark, sf_dir):
+    """Without article markup surge and dive find the article: 0.95 of all lines are decided right."""
+    right = total = 0
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        bare = re.sub(r"<(/?)(article|main)\b[^>]*>", r"<\1div>", r.html)
+        lines = html_extract._Page(bare).lines
+        got = html_extract.main_text(bare)
+        assert got == blocks_by_definition(lines)
+        want = Counter(x[0] for x in html_extract._Page(r.html).lines if x[2])
+        all_lines = Counter(x[0] for x in html_extract._Page(re.sub(r' class="[^"]*"', "", bare)).lines)
+        for text, n in all_lines.items():
+            total += n
+            right += n if (text in got) == (text in want) else 0
+    assert right >= 0.95 * total
+    rng = random.Random(3)
+    for _ in range(300):
+        part = lambda: rng.choice([f"<p>{LONG[:rng.randrange(1, 80)]}</p>", f"<ul>{LINKS[:39 * rng.randrange(6)]}</ul>", "<div>", "</div>"])
+        page = "".join(part() for _ in range(rng.randrange(1, 25)))
+        assert html_extract.main_text(page) == blocks_by_definition(html_extract._Page(page).lines)
 
 
 def test_extraction_query(spark, sf_dir):
