@@ -23,6 +23,7 @@ from sigspark.llm.common import land
 CRLF = "\r\n"
 RECORD_END = CRLF + CRLF
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed values: the alphabet of RFC 4648
+MIDDLE = 32  # captures in a file of the middle size class
 _CONV32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"  # the digits of conv(..., 32)
 
 
@@ -48,9 +49,15 @@ def _record(kind, headers: list[tuple], block):
 
 
 def write_archives(df: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-                   min_revisit: int = 0, date: str = "2024-01-01T00:00:00Z", captures_per_file: int = 2000) -> None:
+                   min_revisit: int = 0, date: str = "2024-01-01T00:00:00Z", captures_per_file: int = 2000, file_bytes: int = 128 << 20) -> None:
     """Write a capture per row of ``df`` under ``path``.
 
+    A file holds at most ``captures_per_file`` captures and ``file_bytes`` of
+    payload, or one capture with a larger payload: captures of like payload
+    sizes are written together, one pass over the payloads per size class that
+    occurs (under 1/2,000 of the bytes, under 1/32, larger). One payload must
+    fit a Spark string (2 GB).
+
     Of the rows with equal payloads of at least ``min_revisit`` bytes the one
     with the smallest id (then url; null ids last) is a response and the others
     revisit it; smaller payloads are all responses. A null payload is empty; a
@@ -70,9 +77,7 @@ def write_archives(df: DataFrame, path: str, id_col: str = "page_id", url_col: s
     lone = F.col("first").isNull() | ((F.col("first.id").eqNullSafe(F.col("id"))) & (F.col("first.url").eqNullSafe(F.col("url"))) & (F.col("copy") == 1))
     rows = rows.withColumn("is_response", lone)
     rid = lambda kind, i=F.col("id"), u=F.col("url"), c=F.col("copy"): _uuid(F.lit(kind), i, u, F.col("sha"), c)
-    payloads = base.filter(F.col("n") >= min_revisit).groupBy("sha").agg(F.first("body").alias("body"))
-    rows = rows.join(payloads.withColumnRenamed("sha", "body_sha").withColumn("wanted", F.lit(True)),
-                     (F.col("sha") == F.col("body_sha")) & F.col("is_response"), "left")
+    payloads = base.filter(F.col("n") >= min_revisit)
 
     target = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     shared = [("WARC-Date", F.lit(date)), ("WARC-Target-URI", target)]
@@ -89,8 +94,24 @@ def write_archives(df: DataFrame, path: str, id_col: str = "page_id", url_col: s
     fields = F.coalesce(F.concat(F.lit("pageId: "), F.col("id").cast("string"), F.lit(CRLF)), F.lit(""))
     metadata = _record(F.lit("metadata"), [("WARC-Record-ID", rid("metadata")), *shared, ("WARC-Concurrent-To", rid("capture")),
                                            ("Content-Type", F.lit("application/warc-fields"))], fields)
-    (rows.select(F.concat_ws(RECORD_END, request, capture, metadata).alias("value"))
-     .write.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", captures_per_file).text(path))
+    records = F.concat_ws(RECORD_END, request, capture, metadata).alias("value")
+    # A class holds the payloads below a size; files of its captures stay below file_bytes.
+    bounds = [-1, *sorted({file_bytes // captures_per_file, file_bytes // min(captures_per_file, MIDDLE)}), None]
+    classes = list(zip(bounds, bounds[1:]))
+    held = seen.agg(*(F.coalesce(F.bool_or(_between("n", a, b)), F.lit(False)) for a, b in classes)).first()
+    chosen = [c for c, h in zip(classes, held) if h] or classes[:1]  # an empty table is an empty archive
+    for i, (a, b) in enumerate(chosen):
+        part = payloads.filter(_between("n", a, b)).groupBy(F.col("sha").alias("body_sha")).agg(F.first("body").alias("body"))
+        per_file = max(1, min(captures_per_file, file_bytes // b)) if b else 1
+        (rows.filter(_between("n", a, b)).join(part, (F.col("sha") == F.col("body_sha")) & F.col("is_response"), "left").select(records)
+         .write.mode("append" if i else "errorifexists").option("lineSep", RECORD_END).option("compression", "gzip")
+         .option("maxRecordsPerFile", per_file).text(path))
+
+
+def _between(column: str, low: int, high: int | None):
+    """Sizes above ``low`` and up to ``high``."""
+    above = F.col(column) > low
+    return above if high is None else above & (F.col(column) <= high)
 
 
 RECORD = "file string, at long, warc_type string, record_id string, headers map<string,string>, head string, payload binary"

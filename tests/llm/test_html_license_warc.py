@@ -229,6 +229,23 @@ def test_round_trip(spark, scratch):
     assert report == sorted(want, key=repr)
 
 
+def test_files_are_bounded_by_payload_bytes(spark, scratch):
+    rng = random.Random(5)
+    pages = [(i, f"http://a/{i}", str(i) + "x" * n) for i, n in enumerate([10, 0, 40, 900, 3_000, 3_100, 3_200, 40_000, 5_000_000, 6_000_000, 10] * 3)]
+    pages += [(100 + i, None, p[2]) for i, p in enumerate(rng.sample(pages, 8))]
+    limit = 100_000
+    captures, path = written(spark, pages, scratch, file_bytes=limit)
+    sizes = [[len(block) for _, headers, block in warc.parse(bytes(f.content)) if headers["WARC-Type"] == "response"]
+             for f in spark.read.format("binaryFile").load(path).collect()]
+    assert all(sum(n) <= limit + 200 * len(n) or len(n) == 1 for n in sizes) and any(len(n) > 1 for n in sizes)
+    report = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.page_report(captures).collect()}
+    first = {}
+    for i, _, text in sorted(pages, key=lambda p: p[0]):
+        assert report.pop(i) == (len(text), "revisit" if text in first else "response", first.get(text))
+        first.setdefault(text, i)
+    assert not report
+
+
 def test_small_payloads_never_revisit(spark, scratch):
     captures, _ = written(spark, [(1, "a", "ab"), (2, "b", "ab"), (3, "c", "abcdef"), (4, "d", "abcdef")], scratch, min_revisit=4)
     got = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes) for r in warc.page_report(captures).collect()}
