@@ -8,14 +8,18 @@ a bounded block of the benchmark; each such pair is tiled: the longest common
 runs among unmarked words are found by running Karp-Rabin hashes, marked, and
 the search is repeated down to ``min_match`` words.
 
-The benchmark is dealt into blocks of at most ``block_bytes`` on average; each
-block is one pass over the documents. Nothing is shuffled.
+The benchmark is dealt into blocks of some ``block_bytes``; each block is one pass
+over the documents, whose results are landed before the next block is read, so
+the driver and a worker hold one block at a time whatever the benchmark's size.
+Documents are not shuffled.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigspark.llm.common import flat, fresh, gram_hashes, steps, text_bytes, word_bounds, word_hashes
+from sigspark.llm.common import flat, fresh, gram_hashes, land, steps, text_bytes, word_bounds, word_hashes
 
 _PUNCT = "“”„‘’‚—–…«»¿¡·•"
 _APART = np.ones(256, dtype=bool)
@@ -31,7 +35,7 @@ for _lo, _hi in (("0", "9"), ("a", "z")):
     _APART[ord(_lo):ord(_hi) + 1] = False
 _APART[0x80:] = False
 
-MATCH = "array<struct<item_id:long,item_words:int,covered:int,tiles:array<struct<item_start:int,doc_start:int,words:int>>>>"
+MATCH = "array<struct<item_id:{},item_words:int,covered:int,tiles:array<struct<item_start:int,doc_start:int,words:int>>>>"
 
 
 @dataclass(frozen=True)
@@ -114,7 +118,7 @@ def greedy_tiles(item: list[int], doc: list[int], min_match: int) -> list[tuple[
 class Seeds:
     """The words of a block of benchmark items, and the hashes of their seeds."""
 
-    def __init__(self, ids: list, texts: list[bytes | None], min_match: int):
+    def __init__(self, ids: list, texts: list[bytes | None], copies: list[int], min_match: int):
         raw, at = flat(pa.array(texts, pa.binary()))
         start, end, first = word_bounds(raw, at, _APART)
         hashes, text = word_hashes(raw, start, end), raw.tobytes()
@@ -125,7 +129,7 @@ class Seeds:
             a, b = int(first[i]), int(first[i + 1])
             if a == b:
                 continue
-            self.items[i] = (key, [text[x:y] for x, y in zip(start[a:b].tolist(), end[a:b].tolist())])
+            self.items[i] = (key, [text[x:y] for x, y in zip(start[a:b].tolist(), end[a:b].tolist())], copies[i])
             m = min(min_match, b - a)
             h = gram_hashes(hashes[a:b], m)
             found[m].append((h, np.full(len(h), i)))
@@ -147,7 +151,7 @@ class Seeds:
     def tile(self, words: list[bytes], places: np.ndarray, item: int, coverage: float):
         """The match of one document with one item, or None. Words outside the
         shared seeds can be in no tile; runs of them become one separator."""
-        key, target = self.items[item]
+        key, target, _ = self.items[item]
         m = min(self.min_match, len(target))
         number = {w: i + 1 for i, w in enumerate(dict.fromkeys(target))}
         doc, where, last = [], [], -1
@@ -197,7 +201,7 @@ def _leaks(texts: pa.Array, seeds: Seeds, coverage: float) -> list[list[dict]]:
             words = _Words(part, start[span], end[span])
             got = seeds.tile(words, np.unique(where[a:b] - f), int(item[a]), coverage)
             if got:
-                out[lo + r].append(got)
+                out[lo + r].extend([got] * seeds.items[int(item[a])][2])
     return out
 
 
@@ -211,43 +215,66 @@ class _Words:
         return self._raw[self._start[i]:self._end[i]].tobytes()
 
 
-def _judge(seeds, coverage: float):
-    @F.pandas_udf(MATCH)
+def _judge(seeds, coverage: float, kind: str):
+    @F.pandas_udf(kind)
     def judge(texts: pd.Series) -> pd.Series:
         return pd.Series(_leaks(pa.array(texts, pa.binary()), seeds.value, coverage))
     return judge
 
 
+def _judges(benchmark: DataFrame, text_col: str, item_id: str, item_text: str, params: Params) -> Iterator[tuple]:
+    """(column, last) for each block of the benchmark: the matches of a text with
+    the block's items. A block is read when it is asked for, and the one before
+    is released, so its column must be landed by then."""
+    key = benchmark.schema[item_id].dataType.simpleString()
+    items = land(benchmark.select(F.col(item_id).alias("id"), normalised(item_text).alias("t")).groupBy("id", "t").agg(F.count(F.lit(1)).alias("n")), "benchmark")
+    total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // params.block_bytes))
+    block = F.pmod(F.xxhash64("t", F.col("id").cast("string")), F.lit(blocks))
+    for b in range(blocks):
+        rows = items.filter(block == b).orderBy("id", "t").collect()
+        texts = [bytes(r["t"]) if r["t"] is not None else None for r in rows]
+        seeds = benchmark.sparkSession.sparkContext.broadcast(Seeds([r["id"] for r in rows], texts, [r["n"] for r in rows], params.min_match))
+
+        yield _judge(seeds, params.coverage, MATCH.format(key))(normalised(text_col)), b == blocks - 1
+        if b < blocks - 1:
+            seeds.unpersist()
+
+
 def with_leaks(df: DataFrame, benchmark: DataFrame, out_col: str, text_col: str = "text", item_id: str = "item_id",
                item_text: str = "text", params: Params = Params()) -> DataFrame:
     """``df`` with an array of the benchmark items that leak into each text
     (item id, its words, words covered, tiles), empty if none.
 
     Null and empty texts leak nothing; items without a word are in no document.
-    Items and rows may repeat: each is judged by itself. An item with a null id
-    is matched and reported with a null id. An empty benchmark or table gives
-    no matches. ``out_col`` must be free; other columns stay."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("id"), normalised(item_text).alias("t"))
-    total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // params.block_bytes))
-    items = items.withColumn("block", F.pmod(F.xxhash64("t", "id"), F.lit(blocks)))
-    got = []
-    for block in range(blocks):
-        rows = items.filter(F.col("block") == block).orderBy("id", "t").collect()
-        bc = df.sparkSession.sparkContext.broadcast(Seeds([r["id"] for r in rows], [bytes(r["t"]) if r["t"] is not None else None for r in rows],
-                                                          params.min_match))
-        got.append(_judge(bc, params.coverage)(normalised(text_col)))
-    return df.withColumn(out_col, F.concat(*got) if len(got) > 1 else got[0])
+    Items and rows may repeat: each is judged by itself. Item ids may be of any
+    atomic type; an item with a null id is matched and reported with a null id.
+    An empty benchmark or table gives no matches. ``out_col`` must be free; other
+    columns stay. With several blocks ``df`` is landed once a block; ``leaks``
+    lands the matches only and ``drop_leaks`` the rows that are left."""
+    out, names = df, []
+    for judged, last in _judges(benchmark, text_col, item_id, item_text, params):
+        names.append(out_col if last and not names else fresh(out, f"{out_col}_{len(names)}"))
+        out = out.withColumn(names[-1], judged)
+        if not last or len(names) > 1:
+            out = land(out, "leaks")
+    return out if len(names) == 1 else out.select(*df.columns, F.concat(*names).alias(out_col))
 
 
 def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> DataFrame:
     """Rows (id, item_id, item_words, covered, tiles): one per document and
     leaked item; documents without a leak have no row."""
-    found = with_leaks(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), benchmark, "m", "t", params=params)
-    return found.select("id", F.explode("m").alias("m")).select("id", "m.*")
+    texts, parts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), []
+    for judged, last in _judges(benchmark, "t", "item_id", "text", params):
+        found = texts.select("id", F.explode(judged).alias("m")).select("id", "m.*")
+        parts.append(found if last else land(found, "leaks"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def drop_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", params: Params = Params()) -> DataFrame:
     """``df`` without the rows into which a benchmark item leaks."""
-    name = fresh(df, "leaks")
-    return with_leaks(df, benchmark, name, text_col, params=params).filter(F.size(name) == 0).drop(name)
+    out, name = df, fresh(df, "leaks")
+    for judged, last in _judges(benchmark, text_col, "item_id", "text", params):
+        kept = out.withColumn(name, judged).filter(F.size(name) == 0).drop(name)
+        out = kept if last else land(kept, "without-leaks")
+    return out

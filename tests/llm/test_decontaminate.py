@@ -59,6 +59,33 @@ def test_leaks(spark):
     assert leaked(spark, ["these are two words of it"], ["two words"]) == [(0, 0)]  # an item below the least match is a seed as a whole
 
 
+def test_one_block_at_a_time(spark, edge_docs, monkeypatch):
+    """Each block is read after the results of the one before are landed; the
+    results are those of one block, for text ids and repeated items too."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(40)]
+    items = [(f"item {i}", " ".join(rng.choices(words, k=rng.randint(3, 30)))) for i in range(12)]
+    items += items[:3] + [(None, items[4][1])]
+    docs = [(i, " ".join(t for _, t in rng.sample(items, 2)) if i % 3 else " ".join(rng.choices(words, k=50))) for i in range(30)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    want = sorted(((i, k) for i, t in docs for k, x in items
+                   if covered_by_definition(x.split(), t.split(), min(4, len(x.split()))) >= 0.7 * len(x.split())), key=repr)
+    steps, land, seeds = [], dc.land, dc.Seeds.__init__
+    monkeypatch.setattr(dc, "land", lambda df, name: (steps.append(name), land(df, name))[1])
+    monkeypatch.setattr(dc.Seeds, "__init__", lambda self, ids, *a: (steps.append(len(ids)), seeds(self, ids, *a))[1])
+    for size in (1 << 20, 300):
+        steps.clear()
+        params = dc.Params(block_bytes=size)
+        assert sorted(((r.id, r.item_id) for r in dc.leaks(d, b, params=params).collect()), key=repr) == want
+        assert [x for x in steps if x == "leaks"] == ["leaks"] * (sum(isinstance(x, int) for x in steps) - 1)
+        assert all(not isinstance(x, int) or not isinstance(y, int) for x, y in zip(steps, steps[1:]))
+        left = sorted(r.doc_id for r in dc.drop_leaks(d, b, params=params).collect())
+        assert left == [i for i, _ in docs if i not in {x for x, _ in want}]
+        marked = dc.with_leaks(d, b, "m", params=params).collect()
+        assert sorted(((r.doc_id, m.item_id) for r in marked for m in r.m), key=repr) == want
+    assert sum(isinstance(x, int) for x in steps) > 3 * 2
+
+
 def test_drop_keeps_columns(spark, edge_docs):
     b = spark.createDataFrame([(1, "other text with id two")], "item_id long, text string")
     got = dc.drop_leaks(clashing(edge_docs), b)
