@@ -40,16 +40,16 @@ class Params:
     ``filter_bits``: the bitmap of minimisers has 2**filter_bits bits; when more
     of them repeat than it can tell apart, more strings travel and results
     stay. ``doc_bits``: likewise for the documents that lose words.
-    ``group_limit``: super-k-mers that one task holds of one minimiser; the hot
-    list is at most (all super-k-mers) / group_limit long, and the limit rises
-    so that it never exceeds ``max_hot``."""
+    ``group_limit``: super-k-mers that one task holds of one minimiser, whatever
+    the input's size. ``hot_bits``: the bitmap of minimisers beyond it; those
+    that it cannot tell apart from them are treated as hot too, and results stay."""
 
     window: int = 50
     gram: int = 8
     filter_bits: int = 26
     doc_bits: int = 24
-    group_limit: int = 32768
-    max_hot: int = 1 << 20
+    group_limit: int = 2048
+    hot_bits: int = 22
 
 
 def _sliding_min(g: np.ndarray, width: int) -> np.ndarray:
@@ -93,18 +93,18 @@ def super_kmers(raw: np.ndarray, at: np.ndarray, params: Params):
 
 def _kmer_rows(params: Params, keep, hot, want_hot: bool):
     """Arrow batches of packed super-k-mers (pass 2): those whose minimiser is
-    in the bitmap, either without the hot minimisers or only these."""
+    in the bitmap, either without the hot minimisers (None: there are none) or
+    only these."""
     def run(batches):
-        bitmap, hot_list = keep.value, hot.value
+        bitmap = keep.value
         for batch in batches:
             raw, at = flat(batch.column(2))
             for lo, hi in steps(at):
                 part = raw[at[lo]:at[hi]]
                 r, w, n, v, a, b = super_kmers(part, at[lo:hi + 1] - at[lo], params)
                 ok = bitmap.test(v.view(np.uint64)) if len(v) else np.zeros(0, bool)
-                if len(v) and len(hot_list):
-                    spot = np.minimum(np.searchsorted(hot_list, v), len(hot_list) - 1)
-                    ok &= (hot_list[spot] == v) == want_hot
+                if len(v) and hot is not None:
+                    ok &= hot.value.test(v.view(np.uint64)) == want_hot
                 ok = np.flatnonzero(ok)
                 text = part.tobytes()
                 for i in range(0, len(ok), 8192):
@@ -264,18 +264,17 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     seen = texts.select("id", "t").mapInArrow(minimisers, "v long, id long")
     shared = land(seen.groupBy("v").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("n"))
                   .filter("a < b").select("v", "n"), "minimisers")
-    limit = params.group_limit
-    total = shared.agg(F.sum("n")).first()[0] or 0
-    limit = max(limit, -(-total // params.max_hot))
-    hot_rows = shared.filter(F.col("n") > limit).select("v").toPandas()["v"].to_numpy(dtype=np.int64)
     sc = spark.sparkContext
-    keep, hot = sc.broadcast(hash_bitmap(shared, "v", params.filter_bits)), sc.broadcast(np.sort(hot_rows))
+    keep, hot = sc.broadcast(hash_bitmap(shared, "v", params.filter_bits)), None
+    beyond = shared.filter(F.col("n") > params.group_limit)
+    if not beyond.isEmpty():
+        hot = sc.broadcast(hash_bitmap(beyond, "v", params.hot_bits))
 
     kinds = "v long, id long, key long, w long, n long, packed binary"
     packed = texts.mapInArrow(_kmer_rows(params, keep, hot, False), kinds)
     spans = (packed.repartition("v").sortWithinPartitions("v")
              .mapInArrow(_bucket_spans(params), "id long, key long, start long, end long"))
-    if not len(hot_rows):
+    if hot is None:
         return spans
     packed = texts.mapInArrow(_kmer_rows(params, keep, hot, True), kinds)
     twice = (packed.mapInArrow(_window_hash_rows(params), "h long, id long").groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"))

@@ -40,6 +40,7 @@ def test_against_brute_force(spark, sf_dir, edge_docs, no_docs):
     want = brute([(r.doc_id, r.text) for r in docs.collect()])
     assert found(docs) == want
     assert found(docs, replace(sd.Params(), group_limit=3, filter_bits=12)) == want  # hot groups, a full bitmap
+    assert found(docs, replace(sd.Params(), group_limit=40, hot_bits=6)) == want  # a full bitmap of hot groups
     assert found(docs.repartition(7)) == want
     want = brute([(r.doc_id, r.text) for r in edge_docs.collect()])
     assert found(edge_docs) == want and found(clashing(edge_docs)) == want
