@@ -43,16 +43,28 @@ def _bucket(token: Column) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(POSTING_BUCKETS)).cast("int")
 
 
-def postings(documents: DataFrame) -> DataFrame:
-    """Positional inverted index: one ``(token, doc_id, positions)`` per
-    document and token; the positions ascend, from 0. ``doc_id`` is the
-    corpus's key. A document's places of a token are put together in the task
-    that reads it, by sorting a batch's token numbers (Arrow); nothing is shuffled."""
+# Documents are indexed so many tokens at a time (a longer document alone).
+SLICE_TOKENS = 1 << 18
+
+
+def _grouper(most: int):
+    """The task's function of ``postings``: batches of (doc_id, words) are cut
+    between documents into slices of at most ``most`` words before they are sorted."""
+    def slices(batch):
+        import numpy as np
+
+        size = np.asarray(batch.column(1).value_lengths())
+        ends, start = np.cumsum(size), 0
+        while start < len(size):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] - size[start] + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
     def group(batches):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             words = batch.column(1)
             flat, size = words.flatten().dictionary_encode(), np.asarray(words.value_lengths())
             row = np.repeat(np.arange(len(size)), size)
@@ -66,8 +78,19 @@ def postings(documents: DataFrame) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(pos[order], pa.int32()))],
                 names=["token", "doc_id", "positions"])
 
+    return group
+
+
+def postings(documents: DataFrame) -> DataFrame:
+    """Positional inverted index: one ``(token, doc_id, positions)`` per
+    document and token; the positions ascend, from 0. ``doc_id`` is the
+    corpus's key. A document's places of a token are put together in the task
+    that reads it, by sorting the token numbers (Arrow) of so many documents at a
+    time as have ``SLICE_TOKENS`` tokens, so a task's memory does not follow the
+    batch's size; nothing is shuffled."""
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", tokens("text").alias("words")).mapInArrow(group, f"token string, doc_id {kind}, positions array<int>")
+    return documents.select("doc_id", tokens("text").alias("words")).mapInArrow(
+        _grouper(SLICE_TOKENS), f"token string, doc_id {kind}, positions array<int>")
 
 
 _postings_of = postings  # where a parameter has the name
