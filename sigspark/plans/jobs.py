@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sigspark import config
 from sigspark.operators.joins import build_compound_metadata, combine_metadata
-from sigspark.operators.reshape import filter_by_z_score, landmark_genes, present, significance_flag, target_signatures
+from sigspark.operators.reshape import dedupe, filter_by_z_score, landmark_genes, present, significance_flag, target_signatures
 
 
 @dataclass
@@ -30,12 +30,25 @@ def expression_table(gene_info: DataFrame, sig_info: DataFrame, matrix_long: Dat
     the signature list is broadcast when its measured size allows and
     shuffle-joined otherwise (AQE re-plans at run time from actual sizes).
     """
+    cells, genes, sigs = _wanted(gene_info, sig_info, matrix_long)
+    named = cells.join(genes, "gene_id", "inner").join(sigs, "sig_id", "inner")
+    return named.select("pert_iname", "sig_id", "pr_gene_symbol", "z_score")
+
+
+def _wanted(gene_info: DataFrame, sig_info: DataFrame, matrix_long: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     genes = landmark_genes(gene_info).select(F.col("pr_gene_id").alias("gene_id"), "pr_gene_symbol")
     sigs = (target_signatures(sig_info).where(F.col("pert_type") == config.TREATMENT_TYPE)
             .select("sig_id", "pert_iname"))
-    cells = matrix_long.where(present(matrix_long, "z_score"))
-    named = cells.join(genes, "gene_id", "inner").join(sigs, "sig_id", "inner")
-    return named.select("pert_iname", "sig_id", "pr_gene_symbol", "z_score")
+    return matrix_long.where(present(matrix_long, "z_score")), genes, sigs
+
+
+def expression_names(gene_info: DataFrame, sig_info: DataFrame, matrix_long: DataFrame) -> DataFrame:
+    """The compounds of the expression table. The cells' signatures are made
+    distinct before they are named, so the join with the signature list reads a
+    row per signature and task, and not one per cell."""
+    cells, genes, sigs = _wanted(gene_info, sig_info, matrix_long)
+    held = cells.join(genes.select("gene_id"), "gene_id", "left_semi").select("sig_id").distinct()
+    return sigs.join(held, "sig_id", "left_semi").select("pert_iname").distinct()
 
 
 def build_signatures(inputs: dict[str, DataFrame], z_threshold: float = config.Z_THRESHOLD) -> Phase1:
@@ -47,5 +60,10 @@ def build_signatures(inputs: dict[str, DataFrame], z_threshold: float = config.Z
     expression = expression_table(inputs["gene_info"], inputs["sig_info"], inputs["matrix_long"])
     signatures = (filter_by_z_score(expression, "z_score", z_threshold)
                   .withColumn("is_significant", significance_flag("z_score", z_threshold)))
-    metadata = build_compound_metadata(combine_metadata(inputs["pert_info"], inputs["repurposing"]), expression)
+    # The first of a name's combined rows is made of the first row of each side, so names
+    # that repeat on both sides need not be combined in all pairs.
+    structure = dedupe(inputs["pert_info"], ["pert_iname"], ["canonical_smiles", "pubchem_cid"])
+    mechanism = dedupe(inputs["repurposing"], ["pert_iname"], ["moa", "target"])
+    names = expression_names(inputs["gene_info"], inputs["sig_info"], inputs["matrix_long"])
+    metadata = build_compound_metadata(combine_metadata(structure, mechanism), names)
     return Phase1(expression, signatures, metadata)

@@ -14,6 +14,7 @@ supplier : line status : order mod 5, Z = heavy-tailed function of quantity.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 COMPOUND_KEY_SQL = """
 select s_suppkey, s_nationkey,
@@ -118,6 +119,15 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(RESULT_PAGES_SQL, pages=read_table(spark, sf_dir, "pages"))
 
 
+def _readouts(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """The lineitem rows that differ in what a row of ``sig_info`` is made of
+    (supplier, line status, plate), each with a part that exists: enough for its
+    assay, whose joins then read a row per signature and not one per cell."""
+    measured = lineitem.join(part.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi")
+    return measured.groupBy("l_suppkey", "l_linestatus", (F.col("l_orderkey") % 5).alias("l_orderkey")).agg(
+        F.min("l_partkey").alias("l_partkey"), F.min("l_quantity").alias("l_quantity"))
+
+
 def bind_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Lazy DataFrames for the five reference inputs over the driver tables."""
     supplier = read_table(spark, sf_dir, "supplier")
@@ -125,9 +135,10 @@ def bind_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     lineitem = read_table(spark, sf_dir, "lineitem")
     compound_key = spark.sql(COMPOUND_KEY_SQL, supplier=supplier)
     assay = spark.sql(ASSAY_SQL, lineitem=lineitem, part=part, compound_key=compound_key)
+    readouts = spark.sql(ASSAY_SQL, lineitem=_readouts(lineitem, part), part=part, compound_key=compound_key)
     return {
         "gene_info": spark.sql(GENE_INFO_SQL, part=part),
-        "sig_info": spark.sql(SIG_INFO_SQL, assay=assay),
+        "sig_info": spark.sql(SIG_INFO_SQL, assay=readouts),
         "pert_info": spark.sql(PERT_INFO_SQL, compound_key=compound_key),
         "repurposing": spark.sql(REPURPOSING_SQL, compound_key=compound_key),
         "matrix_long": spark.sql(MATRIX_LONG_SQL, assay=assay),

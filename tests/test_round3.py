@@ -21,3 +21,51 @@ def test_postings_sort_a_bounded_number_of_words_at_a_time(spark):
     assert got == sorted(expected(range(6)) + expected(range(2, 5)))
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id int, text string").coalesce(1)
     assert sorted((r.token, r.doc_id, r.positions) for r in Lit.postings(docs).collect()) == expected(range(6))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_metadata_of_names_repeated_on_both_sides_needs_no_pairs(spark):
+    from sigspark.plans.jobs import build_signatures, expression_names, expression_table
+
+    inputs = {
+        "gene_info": spark.createDataFrame([("g1", "A", 1), ("g1", "A", 1), ("g2", "B", 0)], "pr_gene_id string, pr_gene_symbol string, pr_is_lm int"),
+        "sig_info": spark.createDataFrame([(s, n, t, "MCF7", 10.0, "µM", "6 h") for s, n, t in
+                                           (("s1", "x", "trt_cp"), ("s1", "x", "trt_cp"), ("s2", "y", "trt_cp"), ("s3", "z", "trt_sh"),
+                                            ("s4", None, "trt_cp"), (None, "w", "trt_cp"), ("s5", "v", "trt_cp"))],
+                                          "sig_id string, pert_iname string, pert_type string, cell_id string, pert_dose double, pert_dose_unit string, pert_itime string"),
+        "matrix_long": spark.createDataFrame([("g1", "s1", 3.0), ("g1", "s1", 1.0), ("g2", "s2", 5.0), ("g1", "s3", 5.0), ("g1", "s4", 4.0),
+                                              ("g1", None, 4.0), ("g1", "s5", float("nan")), ("g1", "s2", 0.5)], "gene_id string, sig_id string, z_score double"),
+        "pert_info": spark.createDataFrame([("x", "C2", "c1"), ("x", None, "c9"), ("x", None, "c3"), ("y", "C", None), ("v", "C", "c"), (None, "C", "c")],
+                                           "pert_iname string, canonical_smiles string, pubchem_cid string"),
+        "repurposing": spark.createDataFrame([("x", "m2", "t1"), ("x", "m1", "t2"), ("x", "m1", "t1"), ("v", None, None)],
+                                             "pert_iname string, moa string, target string"),
+    }
+    three = [inputs[k] for k in ("gene_info", "sig_info", "matrix_long")]
+    names = expression_names(*three)
+    assert sorted(map(str, (r[0] for r in names.collect()))) == ["None", "x", "y"]
+    assert set(names.collect()) == set(expression_table(*three).select("pert_iname").distinct().collect())
+    metadata = build_signatures(inputs).compound_metadata
+    assert sorted(map(tuple, metadata.collect())) == [("x", "m1", "t1", None, "c3"), ("y", None, None, "C", None)]
+    assert _plan(metadata).count("row_number()") >= 3  # each side is one row a name before they are combined
+
+
+def test_signature_info_joins_one_row_per_signature(spark, sf_dir):
+    from sigspark.sources import binding as Bd
+
+    part = spark.createDataFrame([(p, f"b{p}", "T", 20) for p in (1, 1, 2, 3)], "p_partkey long, p_brand string, p_type string, p_size int")
+    supplier = spark.createDataFrame([(1, 2, "S1"), (1, 2, "S1"), (2, 3, None), (9, 4, "S9")], "s_suppkey long, s_nationkey int, s_name string")
+    lineitem = spark.createDataFrame(
+        [(o, p, s, st, 5.0) for o in (1, 2, 6, -4, None) for p in (1, 2, 7, None) for s in (1, 2, 5, 9, None) for st in ("F", "O", None)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linestatus string, l_quantity double")
+    keys = spark.sql(Bd.COMPOUND_KEY_SQL, supplier=supplier)
+
+    def rows(lines):
+        assay = spark.sql(Bd.ASSAY_SQL, lineitem=lines, part=part, compound_key=keys)
+        return sorted(map(str, spark.sql(Bd.SIG_INFO_SQL, assay=assay).collect()))
+    few = Bd._readouts(lineitem, part)
+    assert rows(few) == rows(lineitem)
+    assert few.count() < lineitem.count() / 4
+    assert "min(l_partkey" in _plan(Bd.bind_inputs(spark, sf_dir)["sig_info"])
