@@ -69,3 +69,28 @@ def test_signature_info_joins_one_row_per_signature(spark, sf_dir):
     assert rows(few) == rows(lineitem)
     assert few.count() < lineitem.count() / 4
     assert "min(l_partkey" in _plan(Bd.bind_inputs(spark, sf_dir)["sig_info"])
+
+
+def test_classification_metrics_make_their_rows_once(spark):
+    from sigspark.plans.profiles import classification_metrics
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        made.add(1)
+        return x
+
+    pairs = [("a", "a"), ("a", "b"), ("b", "b"), ("b", "b"), ("c", "a"), (None, "a"), ("a", None), (None, None)]
+    df = spark.createDataFrame(pairs, "t string, p string").repartition(2)
+    row = classification_metrics(df.select("t", counted("p").alias("p")), "t", "p").collect()[0]
+    assert made.value == len(pairs)
+    n, hit = len(pairs), 3
+    # weighted over the true labels a (3), b (2), c (1), and the two null labels, which match nothing
+    prec, rec = {"a": 1 / 3, "b": 2 / 3, "c": 0}, {"a": 1 / 3, "b": 1, "c": 0}
+    support = {"a": 3, "b": 2, "c": 1}
+    assert row.accuracy == round(hit / n, 6)
+    assert row.precision_weighted == round(sum(support[k] * prec[k] for k in support) / n, 6)
+    assert row.recall_weighted == round(sum(support[k] * rec[k] for k in support) / n, 6)
+    empty = classification_metrics(df.where("t = 'zz'"), "t", "p").collect()[0]
+    assert list(empty) == [None] * 4
