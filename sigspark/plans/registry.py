@@ -171,7 +171,8 @@ def _append_signatures(spark, sf_dir):
 def _stream_signatures(spark, sf_dir):
     expr = _expression(_tables(spark, sf_dir))
     base = _fresh_dir(spark, "stream")
-    expr.repartition(4).write.parquet(f"{base}/incoming")
+    # Row groups of 8 MB: a micro-batch of few large files is read by as many tasks as its size asks for.
+    expr.repartition(4).write.option("parquet.block.size", 8 << 20).parquet(f"{base}/incoming")
     return stream_append_signatures(spark, f"{base}/incoming", f"{base}/table", f"{base}/_checkpoint",
                                     max_files_per_trigger=2)
 

@@ -139,7 +139,7 @@ def absent_rows(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
     others = [c for c in new.columns if c not in keys]
     batch = dedupe(new, keys, others or keys, keep="first")
-    stored = stored_keys(batch, path, keys)
+    stored = stored_keys(new, path, keys)  # of the rows as they came: the same keys, without another dedupe
     if stored is None:
         return batch
     stored = stored.select(*[F.col(k).alias(f"__s_{k}") for k in keys])

@@ -94,3 +94,15 @@ def test_classification_metrics_make_their_rows_once(spark):
     assert row.recall_weighted == round(sum(support[k] * rec[k] for k in support) / n, 6)
     empty = classification_metrics(df.where("t = 'zz'"), "t", "p").collect()[0]
     assert list(empty) == [None] * 4
+
+
+def test_an_append_looks_for_stored_keys_without_ordering_the_batch(spark, scratch, monkeypatch):
+    from sigspark.sources import keyed as K
+
+    seen, real = [], K.stored_keys
+    monkeypatch.setattr(K, "stored_keys", lambda batch, *a: (seen.append(_plan(batch)), real(batch, *a))[1])
+    first = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    assert K.append_rows(first, f"{scratch}/t", ["k"]) == 3
+    assert K.append_rows(first.unionByName(spark.createDataFrame([("c", 7), ("c", 5)], "k string, v int")), f"{scratch}/t", ["k"]) == 1
+    assert sorted(map(str, (tuple(r) for r in K.stored_table(spark, f"{scratch}/t").collect()))) == ["('a', 1)", "('b', 3)", "('c', 5)", "(None, 4)"]
+    assert len(seen) == 2 and not any("row_number" in p for p in seen)
