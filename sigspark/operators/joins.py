@@ -1,11 +1,9 @@
 """Join operators (inventory C1–C12).
 
 Broadcast policy: no operator forces a broadcast of a table whose size
-grows with the data. Dimension joins are left to Spark, which broadcasts a
-side only when its measured size is under ``autoBroadcastJoinThreshold``
-(statically from file sizes, or at run time by AQE from the shuffle
-statistics) and otherwise plans a shuffle join, with AQE splitting skewed
-partitions. Explicit ``broadcast`` hints are used only for sides whose size
+grows with the data. Dimension joins go through ``sides.joined``: a side of
+small files is left to Spark, which may broadcast it, a larger one is joined by
+shuffle, with AQE splitting skewed partitions. Explicit ``broadcast`` hints are used only for sides whose size
 is bounded by construction (a top-k list, a one-row aggregate, a fixed
 lookup table).
 """
@@ -20,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sigspark.errors import ValidationError, require_columns
 from sigspark.operators.reshape import dedupe
+from sigspark.operators.sides import joined
 from sigspark.operators.stats import with_scalars
 
 COMPOUND_COLUMNS = ("pert_iname", "moa", "target", "canonical_smiles", "pubchem_cid")
@@ -29,23 +28,23 @@ def fact_dim_join(compound_metadata: DataFrame, signatures: DataFrame) -> DataFr
     """``compound_metadata JOIN genetic_signatures USING (pert_iname)``."""
     cm = compound_metadata
     gs_cols = [c for c in signatures.columns if c != "pert_iname"]
-    return cm.join(signatures, "pert_iname", "inner").select(*cm.columns, *gs_cols)
+    return joined(cm, signatures, "pert_iname").select(*cm.columns, *gs_cols)
 
 
 def attach_gene_symbol(df: DataFrame, gene_info: DataFrame) -> DataFrame:
     """Left join on ``gene_id = pr_gene_id``, then drop both ids."""
     genes = gene_info.select(F.col("pr_gene_id").alias("gene_id"), "pr_gene_symbol")
-    return df.join(genes, "gene_id", "left").drop("gene_id")
+    return joined(df, genes, "gene_id", "left").drop("gene_id")
 
 
 def attach_compound(df: DataFrame, sig_info: DataFrame) -> DataFrame:
     """Left join on ``sig_id`` to bring the compound name."""
-    return df.join(sig_info.select("sig_id", "pert_iname"), "sig_id", "left")
+    return joined(df, sig_info.select("sig_id", "pert_iname"), "sig_id", "left")
 
 
 def combine_metadata(pert_info: DataFrame, repurposing: DataFrame) -> DataFrame:
     """C4: structure (pert info) ⟕ mechanism list on ``pert_iname``."""
-    return (pert_info.join(repurposing.select("pert_iname", "moa", "target"), "pert_iname", "left")
+    return (joined(pert_info, repurposing.select("pert_iname", "moa", "target"), "pert_iname", "left")
             .select("pert_iname", "moa", "target", "canonical_smiles", "pubchem_cid"))
 
 
@@ -56,7 +55,7 @@ def build_compound_metadata(combined: DataFrame, expression: DataFrame,
     The expression side has one row per cell; its names are made distinct
     map-side first, so a compound with a third of the matrix is one row per
     task in the shuffle and one row in the join."""
-    present = combined.join(expression.select("pert_iname").distinct(), "pert_iname", "left_semi")
+    present = joined(combined, expression.select("pert_iname").distinct(), "pert_iname", "left_semi")
     return dedupe(present, ["pert_iname"], list(order_by), keep="first")
 
 
@@ -82,8 +81,8 @@ def orphaned_signatures(signatures: DataFrame, compound_metadata: DataFrame, nul
     """
     keys = compound_metadata.select("pert_iname")
     if not null_aware:
-        return signatures.join(keys, "pert_iname", "left_anti")
-    anti = signatures.join(keys.where(F.col("pert_iname").isNotNull()), "pert_iname", "left_anti")
+        return joined(signatures, keys, "pert_iname", "left_anti")
+    anti = joined(signatures, keys.where(F.col("pert_iname").isNotNull()), "pert_iname", "left_anti")
     flags = keys.agg(F.count(F.lit(1)).alias("__keys"), F.sum(F.col("pert_iname").isNull().cast("long")).alias("__nulls"))
     keep = (F.col("__keys") == 0) | ((F.coalesce(F.col("__nulls"), F.lit(0)) == 0) & F.col("pert_iname").isNotNull())
     return with_scalars(anti, flags).where(keep).select(*signatures.columns)
@@ -111,11 +110,11 @@ def merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inne
     if how == "outer":
         keys = left.select(*[F.col(c).alias(f"__lk_{c}") for c in on]).distinct()
         absent = reduce(lambda a, b: a & b, [F.col(f"__rk_{c}").eqNullSafe(F.col(f"__lk_{c}")) for c in on])
-        rest = rhs.join(keys, absent, "left_anti").select(*[F.col(f"__rk_{c}").alias(c) for c in on],
+        rest = joined(rhs, keys, absent, "left_anti").select(*[F.col(f"__rk_{c}").alias(c) for c in on],
                                                           *[c for c in rhs.columns if not c.startswith("__rk_")])
         return merge(left, right, on, "left", suffixes).unionByName(rest, allowMissingColumns=True)
     cond = reduce(lambda a, b: a & b, [lhs[c].eqNullSafe(rhs[f"__rk_{c}"]) for c in on])
-    joined = lhs.join(rhs, cond, how)
+    both = joined(lhs, rhs, cond, how)
     out = []
     for c in lhs.columns:
         if c in on:
@@ -124,4 +123,4 @@ def merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inne
         else:
             out.append(lhs[c])
     out += [rhs[c] for c in rhs.columns if not c.startswith("__rk_")]
-    return joined.select(*out)
+    return both.select(*out)

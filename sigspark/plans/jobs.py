@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sigspark import config
 from sigspark.operators.joins import build_compound_metadata, combine_metadata
 from sigspark.operators.reshape import dedupe, filter_by_z_score, landmark_genes, present, significance_flag, target_signatures
+from sigspark.operators.sides import joined
 
 
 @dataclass
@@ -27,11 +28,10 @@ def expression_table(gene_info: DataFrame, sig_info: DataFrame, matrix_long: Dat
     restriction keeps only ids present in those dimensions, each pair is one
     inner join here: the matrix — the only large input — is joined twice
     instead of four times. The gene list is bounded by the gene universe;
-    the signature list is broadcast when its measured size allows and
-    shuffle-joined otherwise (AQE re-plans at run time from actual sizes).
+    the signature list is shuffle-joined unless its files are small.
     """
     cells, genes, sigs = _wanted(gene_info, sig_info, matrix_long)
-    named = cells.join(genes, "gene_id", "inner").join(sigs, "sig_id", "inner")
+    named = joined(joined(cells, genes, "gene_id"), sigs, "sig_id")
     return named.select("pert_iname", "sig_id", "pr_gene_symbol", "z_score")
 
 
@@ -47,8 +47,8 @@ def expression_names(gene_info: DataFrame, sig_info: DataFrame, matrix_long: Dat
     distinct before they are named, so the join with the signature list reads a
     row per signature and task, and not one per cell."""
     cells, genes, sigs = _wanted(gene_info, sig_info, matrix_long)
-    held = cells.join(genes.select("gene_id"), "gene_id", "left_semi").select("sig_id").distinct()
-    return sigs.join(held, "sig_id", "left_semi").select("pert_iname").distinct()
+    held = joined(cells, genes.select("gene_id"), "gene_id", "left_semi").select("sig_id").distinct()
+    return joined(sigs, held, "sig_id", "left_semi").select("pert_iname").distinct()
 
 
 def build_signatures(inputs: dict[str, DataFrame], z_threshold: float = config.Z_THRESHOLD) -> Phase1:

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sigspark.operators.sides import joined, unsent
+
 COMPOUND_KEY_SQL = """
 select s_suppkey, s_nationkey,
   case when s_suppkey % 30 = 1 then concat('brd-x', lpad(cast(s_suppkey as varchar(20)), 6, '0'))
@@ -112,7 +114,8 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text)`` of the literature corpus."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     compound_key = spark.sql(COMPOUND_KEY_SQL, supplier=read_table(spark, sf_dir, "supplier"))
-    return documents.unionByName(spark.sql(NOTES_SQL, lineitem=read_table(spark, sf_dir, "lineitem"), compound_key=compound_key))
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    return documents.unionByName(spark.sql(NOTES_SQL, lineitem=lineitem, compound_key=unsent(compound_key)))
 
 
 def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +126,7 @@ def _readouts(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """The lineitem rows that differ in what a row of ``sig_info`` is made of
     (supplier, line status, plate), each with a part that exists: enough for its
     assay, whose joins then read a row per signature and not one per cell."""
-    measured = lineitem.join(part.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi")
+    measured = joined(lineitem, part.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi")
     return measured.groupBy("l_suppkey", "l_linestatus", (F.col("l_orderkey") % 5).alias("l_orderkey")).agg(
         F.min("l_partkey").alias("l_partkey"), F.min("l_quantity").alias("l_quantity"))
 
@@ -134,8 +137,9 @@ def bind_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     part = read_table(spark, sf_dir, "part")
     lineitem = read_table(spark, sf_dir, "lineitem")
     compound_key = spark.sql(COMPOUND_KEY_SQL, supplier=supplier)
-    assay = spark.sql(ASSAY_SQL, lineitem=lineitem, part=part, compound_key=compound_key)
-    readouts = spark.sql(ASSAY_SQL, lineitem=_readouts(lineitem, part), part=part, compound_key=compound_key)
+    sides = {"part": unsent(part), "compound_key": unsent(compound_key)}
+    assay = spark.sql(ASSAY_SQL, lineitem=lineitem, **sides)
+    readouts = spark.sql(ASSAY_SQL, lineitem=_readouts(lineitem, part), **sides)
     return {
         "gene_info": spark.sql(GENE_INFO_SQL, part=part),
         "sig_info": spark.sql(SIG_INFO_SQL, assay=readouts),
