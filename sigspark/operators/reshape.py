@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sigspark import config
 from sigspark.errors import ValidationError, require_columns
+from sigspark.operators.sides import joined
 
 
 def landmark_genes(gene_info: DataFrame) -> DataFrame:
@@ -26,7 +27,7 @@ def target_signatures(sig_info: DataFrame, cell: str = config.TARGET_CELL, dose:
 def treatment_only(df: DataFrame, sig_info: DataFrame, pert_type: str = config.TREATMENT_TYPE) -> DataFrame:
     """Keep rows whose signature is a compound treatment (semi join on ``sig_id``)."""
     keep = sig_info.where(F.col("pert_type") == pert_type).select("sig_id")
-    return df.join(keep, "sig_id", "left_semi")
+    return joined(df, keep, "sig_id", "left_semi")
 
 
 def valid_ids(wanted: DataFrame, present: DataFrame, column: str) -> DataFrame:
@@ -40,11 +41,11 @@ def valid_ids(wanted: DataFrame, present: DataFrame, column: str) -> DataFrame:
 def extract_submatrix(matrix_long: DataFrame, gene_ids: DataFrame, sig_ids: DataFrame) -> DataFrame:
     """Matrix cells whose gene and signature are both wanted (two semi joins).
 
-    The id lists are dimension-sized; Spark broadcasts them when their
-    measured size is under the broadcast threshold and shuffles otherwise.
+    A short id list may be broadcast; the signatures grow with the matrix and
+    are then joined by shuffle.
     """
-    return (matrix_long.join(gene_ids.select(F.col("pr_gene_id").alias("gene_id")), "gene_id", "left_semi")
-            .join(sig_ids.select("sig_id"), "sig_id", "left_semi"))
+    cells = joined(matrix_long, gene_ids.select(F.col("pr_gene_id").alias("gene_id")), "gene_id", "left_semi")
+    return joined(cells, sig_ids.select("sig_id"), "sig_id", "left_semi")
 
 
 def melt_wide_to_long(df: DataFrame, id_vars: Sequence[str], value_vars: Sequence[str] | None = None,

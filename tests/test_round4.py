@@ -74,3 +74,13 @@ def test_phase_1_sends_no_signature_list(spark, grown):
         plan = _plan(df)
         assert plan.count("BroadcastHashJoin") == 1  # the gene list's
         assert df.count() == N // 2
+
+
+def test_a_submatrix_is_cut_out_without_sending_the_signatures(spark, grown):
+    from sigspark.operators.reshape import extract_submatrix
+
+    genes = _landed(spark.createDataFrame([("g:1",), ("g:1",), (None,)], "pr_gene_id string"))
+    cells = [("g:1", f"s{7:09d}", 1.0), ("g:1", f"s{7:09d}", 1.0), ("g:2", f"s{7:09d}", 2.0), ("g:1", f"s{N:09d}", 3.0), (None, f"s{1:09d}", 4.0), ("g:1", None, 5.0)]
+    out = extract_submatrix(spark.createDataFrame(cells, "gene_id string, sig_id string, z_score double"), genes, grown["sig_info"].unionByName(grown["sig_info"]))
+    assert _plan(out).count("BroadcastHashJoin") == 1  # the gene list's
+    assert sorted(map(tuple, out.select("gene_id", "sig_id", "z_score").collect())) == cells[:2]
