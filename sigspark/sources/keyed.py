@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigspark.operators.reshape import dedupe
+from sigspark.operators.sides import joined
 
 BATCH, PART, STATS = "_batch", "_part", "_key_stats"
 PART_ROWS = 1 << 18
@@ -144,7 +145,7 @@ def absent_rows(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
         return batch
     stored = stored.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys]
-    return batch.join(stored, reduce(lambda a, b: a & b, same), "left_anti")
+    return joined(batch, stored, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def _write_statistics(spark: SparkSession, path: str, batch: str, keys: Sequence[str], depth: int) -> int:

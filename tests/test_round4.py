@@ -84,3 +84,14 @@ def test_a_submatrix_is_cut_out_without_sending_the_signatures(spark, grown):
     out = extract_submatrix(spark.createDataFrame(cells, "gene_id string, sig_id string, z_score double"), genes, grown["sig_info"].unionByName(grown["sig_info"]))
     assert _plan(out).count("BroadcastHashJoin") == 1  # the gene list's
     assert sorted(map(tuple, out.select("gene_id", "sig_id", "z_score").collect())) == cells[:2]
+
+
+def test_an_append_sends_no_stored_keys(spark, scratch):
+    from sigspark.sources import keyed as K
+
+    rows = spark.range(N).select(_name("k").alias("k"), F.col("id").alias("v")).unionByName(spark.createDataFrame([(None, 1)], "k string, v long"))
+    assert K.append_rows(rows, f"{scratch}/t", ["k"]) == N + 1
+    again = rows.where(F.col("v") < 5).unionByName(spark.createDataFrame([("new", 8), ("new", 3), (None, 9)], "k string, v long"))
+    absent = K.absent_rows(again, f"{scratch}/t", ["k"])
+    assert "BroadcastHashJoin" not in _plan(absent)
+    assert [tuple(r) for r in absent.collect()] == [("new", 3)]
