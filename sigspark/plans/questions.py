@@ -31,6 +31,7 @@ from sigspark.functions.literals import literal_rows
 from sigspark.operators.joins import fact_dim_join
 from sigspark.operators.partners import best_partners
 from sigspark.operators.reshape import number, z_above, z_beyond
+from sigspark.operators.sides import joined
 from sigspark.operators.stats import exact_quantiles, landed, with_scalars
 
 
@@ -50,7 +51,7 @@ def _is_unknown(name: Column | str = "pert_iname", prefix: str = config.UNKNOWN_
 
 
 def _with_metadata(per_compound: DataFrame, cm: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return per_compound.join(cm.select("pert_iname", *cols), "pert_iname", "inner")
+    return joined(per_compound, cm.select("pert_iname", *cols), "pert_iname")
 
 
 # E0a
@@ -65,7 +66,7 @@ def strongest_hits(cm: DataFrame, gs: DataFrame, n: int = 5) -> DataFrame:
 def single_target_up(cm: DataFrame, gs: DataFrame, gene: str = config.SINGLE_TARGET_GENE, threshold: float = config.Z_THRESHOLD,
                      n: int = 10) -> DataFrame:
     rows = gs.where((F.col("pr_gene_symbol") == gene) & z_above(threshold))
-    j = rows.join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    j = joined(rows, cm.select("pert_iname"), "pert_iname", "left_semi")
     return j.orderBy(F.col("z_score").desc(), "pert_iname", "sig_id").limit(n).select("pert_iname", "z_score")
 
 
@@ -76,7 +77,7 @@ def reversal_signature(cm: DataFrame, gs: DataFrame, genes: Sequence[str] = conf
     per = (rows.groupBy("pert_iname")
            .agg(F.avg("z_score").alias("avg_impact"), F.countDistinct("pr_gene_symbol").alias("_genes"))
            .where(F.col("_genes") == len(set(genes))))
-    j = per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    j = joined(per, cm.select("pert_iname"), "pert_iname", "left_semi")
     return (j.select("pert_iname", _r6(F.col("avg_impact")).alias("avg_impact"))
             .orderBy(F.col("avg_impact").desc(), "pert_iname").limit(n))
 
@@ -98,7 +99,7 @@ def reversal_general(cm: DataFrame, gs: DataFrame, disease: DataFrame,
            .agg(F.countDistinct("pr_gene_symbol").alias("genes_reversed"),
                 F.avg(-F.col("direction") * F.col("z_score")).alias("reversal_score")))
     per = per.join(F.broadcast(n_genes), F.col("genes_reversed") == F.col("_n_disease"), "inner")
-    j = per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    j = joined(per, cm.select("pert_iname"), "pert_iname", "left_semi")
     return j.select("pert_iname", "genes_reversed", _r6(F.col("reversal_score")).alias("reversal_score"))
 
 
@@ -117,7 +118,7 @@ def moa_mimics(cm: DataFrame, gs: DataFrame, reference: str = config.REFERENCE_C
 def toxicity_extreme_hits(cm: DataFrame, gs: DataFrame, threshold: float = config.EXTREME_Z, n: int = 20) -> DataFrame:
     per = (gs.where(z_beyond(threshold, strict=True)).groupBy("pert_iname")
            .agg(F.count(F.lit(1)).alias("extreme_hit_count")))
-    return (per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    return (joined(per, cm.select("pert_iname"), "pert_iname", "left_semi")
             .orderBy(F.col("extreme_hit_count").desc(), "pert_iname").limit(n))
 
 
@@ -141,7 +142,7 @@ def risk_filter(cm: DataFrame, gs: DataFrame, max_extreme_genes: int = config.RI
     if risk_genes is not None:
         flagged = (gs.where(z_beyond(threshold))
                    .join(risk_genes.select("pr_gene_symbol"), "pr_gene_symbol", "left_semi").select("pert_iname").distinct())
-        kept = kept.join(flagged, "pert_iname", "left_anti")
+        kept = joined(kept, flagged, "pert_iname", "left_anti")
     return _with_metadata(kept, cm, ["moa"]).select("pert_iname", "moa", "extreme_genes")
 
 
@@ -181,7 +182,7 @@ def _drug_type() -> Column:
 # E6b
 def drug_type_counts(cm: DataFrame, gs: DataFrame) -> DataFrame:
     per = gs.groupBy("pert_iname").agg(F.count(F.lit(1)).alias("_n"))
-    j = per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    j = joined(per, cm.select("pert_iname"), "pert_iname", "left_semi")
     return j.groupBy(_drug_type().alias("drug_type")).agg(F.sum("_n").cast("long").alias("hit_count"))
 
 
@@ -189,7 +190,7 @@ def drug_type_counts(cm: DataFrame, gs: DataFrame) -> DataFrame:
 def precision_vs_power(cm: DataFrame, gs: DataFrame) -> DataFrame:
     per = gs.groupBy("pert_iname").agg(F.max(_abs_z()).alias("max_potency"),
                                        F.countDistinct("pr_gene_symbol").alias("affected_genes"))
-    return per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    return joined(per, cm.select("pert_iname"), "pert_iname", "left_semi")
 
 
 # E7b
@@ -274,7 +275,7 @@ def lead_fingerprint(cm: DataFrame, gs: DataFrame, n_genes: int = 20, leads: Dat
     genes = F.broadcast(top_genes(gs, n_genes).select("pr_gene_symbol"))
     rows = gs.join(_lead_names(cm, gs, leads), "pert_iname", "inner").join(genes, "pr_gene_symbol", "inner")
     per = rows.groupBy("pert_iname", "pr_gene_symbol").agg(F.avg(number(rows, "z_score")).alias("_m"))
-    return (per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    return (joined(per, cm.select("pert_iname"), "pert_iname", "left_semi")
             .select("pert_iname", "pr_gene_symbol", _r6(F.col("_m")).alias("mean_z")))
 
 
@@ -298,8 +299,8 @@ def _by_rank(rows: DataFrame, genes: DataFrame, n: int) -> DataFrame:
 
 def lead_fingerprint_wide(cm: DataFrame, gs: DataFrame, n_genes: int = 20) -> DataFrame:
     """E9c as the heatmap matrix: leads × top genes overall, mean Z, columns by gene rank."""
-    rows = (gs.join(_lead_names(cm, gs, None), "pert_iname", "inner")
-            .join(cm.select("pert_iname"), "pert_iname", "left_semi"))
+    rows = gs.join(_lead_names(cm, gs, None), "pert_iname", "inner")
+    rows = joined(rows, cm.select("pert_iname"), "pert_iname", "left_semi")
     return _by_rank(rows, _ranked_genes(top_genes(gs, n_genes)), n_genes)
 
 
@@ -325,7 +326,7 @@ def final_matrix_wide(cm: DataFrame, gs: DataFrame, n_leads: int = config.TOP_N_
     """E10 / D15 as the reference's matrix: one row per lead, one column per
     rank among the leads' top genes (mean Z, null where the lead has none)."""
     leads = _lead_names(cm, gs, precision_leads(cm, gs, n=n_leads))
-    rows = gs.join(leads, "pert_iname", "inner").join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    rows = joined(gs.join(leads, "pert_iname", "inner"), cm.select("pert_iname"), "pert_iname", "left_semi")
     return _by_rank(rows, _ranked_genes(top_genes(gs, n_genes, compounds=leads)), n_genes)
 
 
@@ -348,8 +349,8 @@ def moa_transfer(cm: DataFrame, gs: DataFrame, threshold: float = config.HIGH_CO
     """For each unknown (``BRD-``) compound, the known compound sharing the most
     genes at Z > threshold (ties: the smaller name); its mechanism is the
     prediction. The search is ``partners.best_partners``."""
-    strong = gs.where(z_above(threshold)).join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    strong = joined(gs.where(z_above(threshold)), cm.select("pert_iname"), "pert_iname", "left_semi")
     pairs = strong.select("pert_iname", "pr_gene_symbol").distinct().withColumn("known", ~_is_unknown())
     best = best_partners(pairs, block_size, tasks)
     moa = cm.select(F.col("pert_iname").alias("best_match"), F.col("moa").alias("predicted_moa"))
-    return best.join(moa, "best_match", "left").select("pert_iname", "best_match", "shared_genes", "predicted_moa")
+    return joined(best, moa, "best_match", "left").select("pert_iname", "best_match", "shared_genes", "predicted_moa")

@@ -22,6 +22,7 @@ from sigspark.functions.literals import literal_rows
 from sigspark.operators import joins as Cj
 from sigspark.operators import quality as D
 from sigspark.operators import reshape as B
+from sigspark.operators.sides import joined
 from sigspark.operators.stats import sequence_index
 from sigspark.plans import literature as Lit
 from sigspark.plans import profiles as H
@@ -244,7 +245,7 @@ def _masked_fingerprint(spark, sf_dir):
 def _merge_frames(spark, sf_dir):
     cm, gs = _cg(spark, sf_dir)
     left = E.lead_candidates(cm, gs).select("pert_iname", "moa", "max_potency", "total_gene_hits")
-    per_moa = (E.precision_vs_power(cm, gs).join(cm.select("pert_iname", "moa"), "pert_iname")
+    per_moa = (joined(E.precision_vs_power(cm, gs), cm.select("pert_iname", "moa"), "pert_iname")
                .groupBy("moa").agg(F.count(F.lit(1)).alias("n_compounds"), F.max("max_potency").alias("max_potency")))
     return left, per_moa
 
@@ -305,7 +306,7 @@ def _lead_literature(spark, sf_dir):
     """The top leads left-joined with their literature counts."""
     leads = E.precision_leads(*_cg(spark, sf_dir))
     lit = _papers(spark, sf_dir, leads.select("pert_iname"))
-    return leads.join(lit.select("pert_iname", "pubmed_papers"), "pert_iname", "left")
+    return joined(leads, lit.select("pert_iname", "pubmed_papers"), "pert_iname", "left")
 
 
 def _executive_report(spark, sf_dir):
@@ -334,11 +335,11 @@ def _profile_eval(spark, sf_dir):
     t = _tables(spark, sf_dir)
     cm, gs, si = t["compound_metadata"], t["genetic_signatures"], t["sig_info"]
     truth = H.profile_rules(G.response_features(cm, gs)).select("pert_iname", F.col("clinical_profile").alias("rule_profile"))
-    early = gs.join(si.where(F.col("pert_itime") == "6 h").select("sig_id", "pert_iname"), ["sig_id", "pert_iname"],
-                    "left_semi")
+    early = joined(gs, si.where(F.col("pert_itime") == "6 h").select("sig_id", "pert_iname"), ["sig_id", "pert_iname"],
+                   "left_semi")
     early_prof = H.predict_response(early, truth.select("pert_iname")).select(
         "pert_iname", F.col("predicted_profile").alias("clinical_profile"))
-    return H.classification_metrics(truth.join(early_prof, "pert_iname", "inner"))
+    return H.classification_metrics(joined(truth, early_prof, "pert_iname"))
 
 
 def _scorecard(spark, sf_dir):

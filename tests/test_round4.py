@@ -95,3 +95,16 @@ def test_an_append_sends_no_stored_keys(spark, scratch):
     absent = K.absent_rows(again, f"{scratch}/t", ["k"])
     assert "BroadcastHashJoin" not in _plan(absent)
     assert [tuple(r) for r in absent.collect()] == [("new", 3)]
+
+
+def test_papers_are_counted_without_sending_the_index_or_the_compounds(spark, grown):
+    from sigspark.plans import literature as Lit
+    from sigspark.plans import questions as E
+
+    index = _landed(spark.range(N).select(_name("t").alias("token"), F.lit(3).cast("long").alias("n_docs")))
+    counts = Lit.literature_counts(index, spark.createDataFrame([(f"T{5:09d}",), (f"T{5:09d}",), ("none",), (None,)], "term string"))
+    leads = E.lead_candidates(grown["cm"], grown["gs"], max_genes=50, min_potency=9.0)
+    for df in (counts, leads):
+        assert "BroadcastHashJoin" not in _plan(df)
+    assert sorted(map(str, map(tuple, counts.collect()))) == sorted(map(str, [(f"T{5:09d}", 3), (f"T{5:09d}", 3), ("none", 0), (None, 0)]))
+    assert leads.count() == sum(abs(i % 19 - 9) == 9 for i in range(N))
