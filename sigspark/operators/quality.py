@@ -17,6 +17,7 @@ from sigspark import config
 from sigspark.errors import ValidationError, require_columns
 from sigspark.operators.joins import orphaned_signatures
 from sigspark.operators.reshape import coerce_numeric, nan_as_null, number
+from sigspark.operators.sides import joined
 from sigspark.operators.stats import exact_quantiles, moments, with_scalars
 
 
@@ -45,7 +46,7 @@ def compound_profile_summary(cm: DataFrame, gs: DataFrame) -> DataFrame:
     per = gs.groupBy("pert_iname").agg(
         F.sum(F.when(F.col("is_significant") == 1, 1).otherwise(0)).cast("long").alias("significant_hits"),
         F.count(F.lit(1)).alias("total_affected_genes"))
-    return (cm.join(per, "pert_iname", "left")
+    return (joined(cm, per, "pert_iname", "left")
             .select(*cm.columns, F.coalesce("significant_hits", F.lit(0)).cast("long").alias("significant_hits"),
                     F.coalesce("total_affected_genes", F.lit(0)).cast("long").alias("total_affected_genes")))
 

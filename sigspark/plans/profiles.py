@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sigspark import config
 from sigspark.errors import ValidationError
 from sigspark.functions.columns import profile_rule
+from sigspark.operators.sides import joined
 from sigspark.operators.stats import sequence_index
 
 FEATURES = ("biomarker_count", "avg_response", "max_response", "response_variability")
@@ -126,7 +127,7 @@ def predict_response(gs: DataFrame, names: DataFrame) -> DataFrame:
     feats = gs.groupBy("pert_iname").agg(
         F.countDistinct("pr_gene_symbol").alias("biomarker_count"), F.round(F.avg(az), 6).alias("avg_response"),
         F.max(az).alias("max_response"), F.round(F.stddev_samp("z_score"), 6).alias("response_variability"))
-    req = names.select("pert_iname").distinct().join(feats, "pert_iname", "left")
+    req = joined(names.select("pert_iname").distinct(), feats, "pert_iname", "left")
     filled = req.select("pert_iname", F.coalesce("biomarker_count", F.lit(0)).cast("long").alias("biomarker_count"),
                         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("avg_response", "max_response",
                                                                        "response_variability")])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigspark import config
+from sigspark.operators.sides import joined
 from sigspark.plans.literature import compound_literature
 from sigspark.plans.questions import _is_unknown, reversal_general
 from sigspark.plans.temporal import time_metrics, time_pivot_delta
@@ -27,15 +28,14 @@ def lead_scorecard(cm: DataFrame, gs: DataFrame, sig_info: DataFrame, corpus_ind
     per = gs.groupBy("pert_iname").agg(
         F.max(az).alias("max_potency"), F.countDistinct("pr_gene_symbol").alias("affected_genes"),
         F.countDistinct(F.when(az > F.lit(float(extreme)), F.col("pr_gene_symbol"))).alias("extreme_genes"))
-    base = per.join(cm.select("pert_iname", "moa"), "pert_iname", "inner")
+    base = joined(per, cm.select("pert_iname", "moa"), "pert_iname", "inner")
     reversed_ = reversal_general(cm, gs, disease).select("pert_iname", F.lit(True).alias("__rev"))
     pivot = time_pivot_delta(time_metrics(gs, sig_info)).select("pert_iname", "Gene_Delta")
     papers = compound_literature(corpus_index, cm.select("pert_iname"), postings).select("pert_iname", "pubmed_papers")
     moa = F.col("moa")
     known_moa = moa.isNotNull() & (moa != "") & (moa != "None")
-    out = (base.join(reversed_, "pert_iname", "left").join(pivot, "pert_iname", "left")
-           .join(papers, "pert_iname", "left")
-           .select("pert_iname",
+    out = joined(joined(joined(base, reversed_, "pert_iname", "left"), pivot, "pert_iname", "left"), papers, "pert_iname", "left")
+    out = (out.select("pert_iname",
                    (F.col("max_potency") >= F.lit(float(min_potency))).alias("high_potency"),
                    (F.col("affected_genes") <= max_genes).alias("high_specificity"),
                    (~_is_unknown() | known_moa).alias("moa_clarity"),

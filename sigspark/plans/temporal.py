@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sigspark import config
 from sigspark.functions.columns import clinical_triage as triage_rule
 from sigspark.operators.reshape import strip_blanks, z_beyond
+from sigspark.operators.sides import joined
 
 
 def _abs_z():
@@ -23,7 +24,7 @@ def response_features(cm: DataFrame, gs: DataFrame) -> DataFrame:
            .agg(F.countDistinct("pr_gene_symbol").alias("biomarker_count"),
                 F.round(F.avg(_abs_z()), 6).alias("avg_response"), F.max(_abs_z()).alias("max_response"),
                 F.round(F.stddev_samp("z_score"), 6).alias("response_variability")))
-    return per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    return joined(per, cm.select("pert_iname"), "pert_iname", "left_semi")
 
 
 # G2
@@ -35,7 +36,7 @@ def time_metrics(gs: DataFrame, sig_info: DataFrame, compounds: DataFrame | None
     if compounds is not None:
         rows = rows.join(compounds.select("pert_iname"), "pert_iname", "left_semi")
     times = sig_info.where(F.col("pert_itime").isin(list(time_points))).select("sig_id", "pert_iname", "pert_itime")
-    return (rows.join(times, ["sig_id", "pert_iname"], "inner").groupBy("pert_iname", "pert_itime")
+    return (joined(rows, times, ["sig_id", "pert_iname"]).groupBy("pert_iname", "pert_itime")
             .agg(F.max(_abs_z()).alias("max_potency"), F.countDistinct("pr_gene_symbol").alias("affected_genes")))
 
 
@@ -69,11 +70,10 @@ def clinical_triage(pivot: DataFrame, cascade_delta: int = config.CASCADE_DELTA,
 def late_new_hits(gs: DataFrame, sig_info: DataFrame, early: str = "6 h", late: str = "24 h",
                   threshold: float = config.Z_THRESHOLD) -> DataFrame:
     """Genes hit at the late time point that the compound did not hit early."""
-    rows = (gs.where(z_beyond(threshold))
-            .join(sig_info.select("sig_id", "pert_iname", "pert_itime"), ["sig_id", "pert_iname"], "inner"))
+    rows = joined(gs.where(z_beyond(threshold)), sig_info.select("sig_id", "pert_iname", "pert_itime"), ["sig_id", "pert_iname"])
     late_hits = rows.where(F.col("pert_itime") == late).select("pert_iname", "pr_gene_symbol").distinct()
     early_hits = rows.where(F.col("pert_itime") == early).select("pert_iname", "pr_gene_symbol").distinct()
-    return late_hits.join(early_hits, ["pert_iname", "pr_gene_symbol"], "left_anti")
+    return joined(late_hits, early_hits, ["pert_iname", "pr_gene_symbol"], "left_anti")
 
 
 # G6
@@ -94,11 +94,11 @@ def leads_per_time(cm: DataFrame, gs: DataFrame, sig_info: DataFrame, n: int = c
     group limit before the shuffle, so a large time point is cut to n rows
     per map task first.
     """
-    rows = gs.join(sig_info.select("sig_id", "pert_iname", "pert_itime"), ["sig_id", "pert_iname"], "inner")
+    rows = joined(gs, sig_info.select("sig_id", "pert_iname", "pert_itime"), ["sig_id", "pert_iname"])
     per = (rows.groupBy("pert_itime", "pert_iname")
            .agg(F.max(_abs_z()).alias("max_potency"), F.countDistinct("pr_gene_symbol").alias("total_gene_hits"))
            .where((F.col("total_gene_hits") <= max_genes) & (F.col("max_potency") >= F.lit(float(min_potency)))))
-    per = per.join(cm.select("pert_iname"), "pert_iname", "left_semi")
+    per = joined(per, cm.select("pert_iname"), "pert_iname", "left_semi")
     w = Window.partitionBy("pert_itime").orderBy(F.col("max_potency").desc(), F.col("pert_iname"))
     return (per.withColumn("time_rank", F.row_number().over(w).cast("long")).where(F.col("time_rank") <= n)
             .select("pert_itime", "time_rank", "pert_iname", "max_potency", "total_gene_hits"))

@@ -108,3 +108,19 @@ def test_papers_are_counted_without_sending_the_index_or_the_compounds(spark, gr
         assert "BroadcastHashJoin" not in _plan(df)
     assert sorted(map(str, map(tuple, counts.collect()))) == sorted(map(str, [(f"T{5:09d}", 3), (f"T{5:09d}", 3), ("none", 0), (None, 0)]))
     assert leads.count() == sum(abs(i % 19 - 9) == 9 for i in range(N))
+
+
+def test_the_phases_send_no_grown_side(spark, grown):
+    from sigspark.operators import joins as C
+    from sigspark.operators import quality as D
+    from sigspark.plans import profiles as H
+    from sigspark.plans import questions as E
+    from sigspark.plans import temporal as G
+
+    cm, gs, sig_info = grown["cm"], grown["gs"], grown["sig_info"]
+    for df in (C.orphaned_signatures(gs, cm), C.attach_compound(gs.drop("pert_iname"), sig_info), D.compound_profile_summary(cm, gs), E.precision_vs_power(cm, gs),
+               E.drug_type_counts(cm, gs), E.toxicity_extreme_hits(cm, gs), G.response_features(cm, gs), G.time_metrics(gs, sig_info), G.late_new_hits(gs, sig_info),
+               H.predict_response(gs, cm)):
+        assert "BroadcastHashJoin" not in _plan(df)
+    assert D.compound_profile_summary(cm, gs).where("total_affected_genes = 1").count() == N
+    assert C.orphaned_signatures(gs, cm).count() == 0
